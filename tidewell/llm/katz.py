@@ -31,10 +31,10 @@ from .bpe import slices
 
 END, BEGIN = U(0x1F3D5B79A2C4E688), U(0x2E4C6A8897B5D3F1)
 SMALL = 5  # counts up to this are discounted
-CHUNK_TOKENS = 1 << 21
+CHUNK_TOKENS = 1 << 20
 CHUNK = "chunk bigint, doc_ids array<bigint>, held array<boolean>, sizes array<int>, words binary, ids binary"
 REQUEST = "part int, chunk bigint, keys binary, counts binary"
-ANSWER = "part int, chunk bigint, counts binary, stats array<bigint>"
+ANSWER = "part int, chunk bigint, keys binary, counts binary, stats array<bigint>"
 SCORED = "kind int, rid bigint, doc_id bigint, held boolean, n_tokens bigint, n_known bigint, base double, score double, part int, keys binary, vals binary"
 
 
@@ -59,7 +59,7 @@ def expand_sorted(raw: bytes) -> np.ndarray:
 
 
 def chunks(docs: DataFrame, fold: int, tokens: int) -> DataFrame:
-    """Texts as local word numbers, some two million tokens a row; documents keep the table's order."""
+    """Texts as local word numbers, some million tokens a row; documents keep the table's order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, n, held_, ids_, sizes_, hashes = TaskContext.get().partitionId() << 32, 0, [], [], [], []
@@ -95,8 +95,9 @@ def chunks(docs: DataFrame, fold: int, tokens: int) -> DataFrame:
 
     test = F.coalesce(remainder(F.col("doc_id"), fold) == 0, F.lit(False))
     out = docs.select("doc_id", "text", test.alias("held")).mapInArrow(run, CHUNK)
-    # one physical plan, so that a chunk holds the same rows whenever it is computed again
-    return docs.sparkSession.createDataFrame(out.rdd, out.schema)
+    # one set of input splits, so that a chunk holds the same rows whenever it is computed again
+    spark = docs.sparkSession
+    return DataFrame(spark._jsparkSession.createDataFrame(out._jdf.toJavaRDD(), out._jdf.schema()), spark)
 
 
 class _Chunk:
@@ -152,7 +153,8 @@ def requests(chunk_rows: DataFrame, parts: int) -> DataFrame:
 
 def counted(asked: DataFrame) -> DataFrame:
     """For each request, the total of each key times two, plus 1 if the chunk owns the key; and for
-    each part a row without chunk that has the sum, the number and the counts of counts of its keys."""
+    each part a row without chunk, the count table itself: its keys and their counts, with the sum,
+    the number and the counts of counts."""
 
     def run(table: pa.Table) -> pa.Table:
         rows = sorted(table.to_pylist(), key=lambda r: r["chunk"])
@@ -172,7 +174,8 @@ def counted(asked: DataFrame) -> DataFrame:
             {
                 "part": pa.array([part] * (len(rows) + 1), pa.int32()),
                 "chunk": pa.array([*(r["chunk"] for r in rows), None], pa.int64()),
-                "counts": pa.array([*(squeeze(x) for x in parts), None], pa.binary()),
+                "keys": pa.array([*([None] * len(rows)), squeeze_sorted(distinct[total > 0])], pa.binary()),
+                "counts": pa.array([*(squeeze(x) for x in parts), squeeze(seen.astype(np.uint64))], pa.binary()),
                 "stats": pa.array([*([None] * len(rows)), stats], pa.list_(pa.int64())),
             }
         )
@@ -276,7 +279,7 @@ def evaluated(chunk_rows: DataFrame, answers: DataFrame, model: Model, parts: in
         return pa.concat_tables([pa.table({n: pa.array(x[n], t) if n in x else pa.nulls(len(x["kind"]), t) for n, t in kinds}) for x in out])
 
     kinds = [("kind", pa.int32()), ("rid", pa.int64()), ("doc_id", pa.int64()), ("held", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("part", pa.int32()), ("keys", pa.binary()), ("vals", pa.binary())]
-    return chunk_rows.groupBy("chunk").cogroup(answers.where("chunk is not null").groupBy("chunk")).applyInArrow(run, SCORED)
+    return chunk_rows.groupBy("chunk").cogroup(answers.where("chunk is not null").select("part", "chunk", "counts").groupBy("chunk")).applyInArrow(run, SCORED)
 
 
 def _fields(raw: bytes, types: tuple) -> list[np.ndarray]:
