@@ -61,58 +61,81 @@ def _mark(own: np.ndarray) -> tuple[int, int]:
     return int(mix(u).sum(dtype=U).view(np.int64)), int(mix(u ^ U(0x9E3779B97F4A7C15)).sum(dtype=U).view(np.int64))
 
 
-def profiles(docs: DataFrame, width: int, k: int) -> DataFrame:
-    """doc_id, n (set size), s1, s2 (sums that tell sets apart) and sketch (the k smallest hashes) of each row."""
+def _scan(docs: DataFrame, width: int, extra: str, value) -> DataFrame:
+    """doc_id, n (set size), s1 and s2 (sums that tell sets apart) of each row, and a further column made of its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = shingle_sets(batch.column(1).to_pylist(), width)
             sums = [_mark(x) for x in sets]
-            low = [x[:k] for x in sets]
-            sketch = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, low)]), pa.int32()), pa.array(np.concatenate(low) if low else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0).cast(pa.int64()), "n": pa.array(map(len, sets), pa.int64()), "s1": pa.array([s for s, _ in sums], pa.int64()), "s2": pa.array([s for _, s in sums], pa.int64()), "sketch": sketch})
+            out = {"doc_id": batch.column(0).cast(pa.int64()), "n": pa.array(map(len, sets), pa.int64()), "s1": pa.array([s for s, _ in sums], pa.int64()), "s2": pa.array([s for _, s in sums], pa.int64())}
+            yield pa.RecordBatch.from_pydict(out | ({extra.split()[0]: value(sets)} if extra else {}))
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n bigint, s1 bigint, s2 bigint, sketch array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n bigint, s1 bigint, s2 bigint" + (f", {extra}" if extra else ""))
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """c and own (the whole set, packed) of the documents in wanted (c, n, s1, s2).
+def marks(docs: DataFrame, width: int) -> DataFrame:
+    """doc_id, n, s1, s2 of each row."""
+    return _scan(docs, width, "", None)
 
-    A bitmap of fixed size over the wanted ids, made by aggregation, turns most other documents
-    away at the scan; an exact join does the rest.
+
+def sketches(docs: DataFrame, width: int, k: int) -> DataFrame:
+    """doc_id, n, s1, s2 and sketch (the k smallest hashes) of each row."""
+
+    def value(sets: list[np.ndarray]) -> pa.Array:
+        low = [x[:k] for x in sets]
+        return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, low)]), pa.int32()), pa.array(np.concatenate(low) if low else np.zeros(0, np.int64)))
+
+    return _scan(docs, width, "sketch array<bigint>", value)
+
+
+def _likely(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose key is in wanted (its only column), and a few others.
+
+    A bitmap of fixed size over the wanted ids, made by aggregation, turns other rows away before
+    they are shuffled. It only saves work: where it fills up, more rows pass.
     """
-    bit = F.pmod(F.xxhash64(F.col("c")), F.lit(1 << _BITS))
-    maps = wanted.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
-    # bucket numbers begin at 1 and positions at 0, except for the bit 0, which has the bucket 0
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << _BITS))
+    ids = wanted.select(bit(F.col(wanted.columns[0])).alias("bit"))
+    maps = ids.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
+    # buckets begin at 1 with the bit 1; the bit 0 has the bucket 0 and the position 0
     seen = np.zeros((1 << _BITS) + (1 << 16), bool)
     for r in maps:
         bits = np.unpackbits(np.frombuffer(bytes(r.bits), np.uint8), bitorder="little")
-        first = (r.bucket - 1) * len(bits) + 1 if r.bucket > 0 else 0
-        at = np.flatnonzero(bits) + first
-        seen[at[at >= 0]] = True
-    packed = np.packbits(seen)
+        seen[np.flatnonzero(bits) + ((r.bucket - 1) * len(bits) + 1 if r.bucket > 0 else 0)] = True
+    packed, names = np.packbits(seen), rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.unpackbits(packed).astype(bool)
-        for batch in slices(batches):
-            batch = batch.filter(pa.array(known[batch.column(2).to_numpy()]))
-            sets = shingle_sets(batch.column(1).to_pylist(), width)
-            sums = [_mark(x) for x in sets]
-            yield pa.RecordBatch.from_pydict({"c": batch.column(0).cast(pa.int64()), "n": pa.array(map(len, sets), pa.int64()), "s1": pa.array([s for s, _ in sums], pa.int64()), "s2": pa.array([s for _, s in sums], pa.int64()), "own": pa.array([x.tobytes() for x in sets], pa.binary())})
+        for batch in batches:
+            yield batch.filter(pa.array(known[batch.column(batch.num_columns - 1).to_numpy()])).select(names)
+
+    return rows.withColumn("_bit", bit(F.col(key))).mapInArrow(run, rows.schema)
+
 
-    found = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("c"), "text").select("c", "text", bit.alias("bit")).mapInArrow(run, "c bigint, n bigint, s1 bigint, s2 bigint, own binary")
-    return found.join(wanted, ["c", "n", "s1", "s2"], "left_semi").select("c", "own").dropDuplicates(["c"])
+def full_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """c and own (the whole set, packed) of the classes in wanted (c)."""
+    texts = _likely(docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), "doc_id", wanted)
+    found = _scan(texts, width, "own binary", lambda sets: pa.array([x.tobytes() for x in sets], pa.binary())).withColumnRenamed("doc_id", "c")
+    exact = classes.select("c", "n", "s1", "s2").join(wanted, "c", "left_semi")
+    return found.join(exact, ["c", "n", "s1", "s2"], "left_semi").select("c", "own").dropDuplicates(["c"])
 
 
 def _sizes_fit(a: str, b: str, percent: int) -> Column:
     return (100 * F.least(a, b)) >= (percent * F.greatest(a, b))
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    """The distinct ids of pairs (a, b)."""
+    return pairs.select(F.col("a").alias("c")).unionAll(pairs.select(F.col("b").alias("c"))).distinct()
+
+
 def _estimated(pairs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose similarity, estimated from the k smallest hashes of the union, may
     reach the threshold: at least percent - 30. For k = 64 the estimate falls that far below a
     true 0.8 once in 10**8 pairs; sets that fit into their sketches are decided exactly."""
-    side = lambda x: classes.select(F.col("c").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
+    near = _likely(classes.select("c", "n", "sketch"), "c", _ends(pairs))
+    side = lambda x: near.select(F.col("c").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
     both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
     union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, k)
     common = F.array_intersect("s_a", "s_b")
@@ -148,26 +171,25 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     larger hash). Each row with a null doc_id is a document of its own without links: component_id
     is null and kept is true. An empty table gives an empty result.
     """
-    rows = staged(profiles(docs, width, k), "profiles")
-    per_doc = rows.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.struct("n", "s1", "s2", "sketch")).alias("p")).select("doc_id", "p.n", "p.s1", "p.s2", "p.sketch")
-    classes = staged(per_doc.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("c"), F.first("sketch").alias("sketch")), "classes")
+    rows = staged(marks(docs, width), "marks")
+    per_doc = rows.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.struct("n", "s1", "s2")).alias("p")).select("doc_id", "p.n", "p.s1", "p.s2")
+    firsts = per_doc.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("c"))
+    found = sketches(docs, width, k).withColumnRenamed("doc_id", "c").join(firsts, ["c", "n", "s1", "s2"], "left_semi")
+    classes = staged(found.dropDuplicates(["c"]), "classes")
 
-    postings = classes.select("c", "n", F.explode("sketch").alias("v"))
+    postings = classes.select("c", F.explode("sketch").alias("v"))
     often = postings.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
     # up to percent of k, both sets of a pair fit into their sketches and the overlap has an exact bound
     need = F.when(F.col("n") * 100 <= k * percent, F.ceil(F.col("n") * percent / 100.0)).otherwise(F.lit(k // 2)).cast("int")
-    per_class = postings.join(often, "v").groupBy("c", "n").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("shared"))
-    listed = per_class.withColumn("room", F.size("shared") - need + 1).where("room > 0").select("c", "n", F.explode(F.slice("shared", F.lit(1), F.col("room"))).alias("x"))
-    index = staged(listed.select(F.col("x.v").alias("v"), "c", "n"), "index")
+    per_class = postings.join(often, "v").groupBy("c").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("shared"))
+    listed = per_class.where(F.size("shared") >= 1).join(classes.select("c", "n"), "c").withColumn("room", F.size("shared") - need + 1).where("room > 0")
+    index = staged(listed.select("c", "n", F.explode(F.slice("shared", F.lit(1), F.col("room"))).alias("x")).select(F.col("x.v").alias("v"), "c", "n"), "index")
 
     pivots = index.groupBy("v").agg(F.min(F.struct("c", "n")).alias("p"), F.count("*").alias("m")).where("m > 1").select("v", F.col("p.c").alias("a"), F.col("p.n").alias("n_a"))
     first = index.join(pivots, "v").where(F.col("c") != F.col("a")).where(_sizes_fit("n", "n_a", percent)).select("a", F.col("c").alias("b")).distinct()
-    first = staged(_estimated(first, classes, k, percent), "pairs")
-
-    in_lists = index.join(pivots.select("v"), "v").select("c").distinct()
-    wanted = classes.select("c", "n", "s1", "s2").join(in_lists, "c", "left_semi")
-    sets = staged(full_sets(docs, wanted, width), "sets")
-    links = staged(_confirmed(first, sets, percent), "links")
+    first = staged(first, "pairs")
+    near = staged(_estimated(first, classes, k, percent), "near")
+    links = staged(_confirmed(near, full_sets(docs, classes, _ends(near), width), percent), "links")
     roots = components(links)
 
     labelled = index.join(roots.select(F.col("node").alias("c"), "root"), "c", "left").select("v", "c", "n", F.coalesce("root", "c").alias("label"))
@@ -175,14 +197,16 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     rest = staged(labelled.join(mixed, "v").where("c != a").select("v", "c", "n", "label"), "rest")
     x, y = rest.select("v", F.col("c").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("l_a")), rest.select("v", F.col("c").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("l_b"))
     second = x.join(y, "v").where((F.col("a") < F.col("b")) & (F.col("l_a") != F.col("l_b")) & _sizes_fit("n_a", "n_b", percent)).select("a", "b").distinct()
-    more = _confirmed(_estimated(second, classes, k, percent), sets, percent)
-    final = components(links.select("hi", "lo").unionAll(more))
+    second = staged(second, "second")
+    other = staged(_estimated(second, classes, k, percent), "other")
+    more = _confirmed(other, full_sets(docs, classes, _ends(other), width), percent)
+    final = components(links.unionAll(more))
 
     of_class = classes.select("n", "s1", "s2", "c").join(final.select(F.col("node").alias("c"), "root"), "c", "left").select("n", "s1", "s2", F.coalesce("root", "c").alias("component_id"))
     known = per_doc.select("doc_id", "n", "s1", "s2").join(of_class, ["n", "s1", "s2"], "left")
     out = known.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
     lone = rows.where("doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.lit(None).cast("bigint").alias("component_id"))
-    unstage(first, sets, index, rest)
+    unstage(first, near, index, rest, second, other)
     return out.unionAll(lone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
