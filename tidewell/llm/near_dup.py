@@ -8,8 +8,9 @@ Nothing is lost to frequent values: two documents that are similar enough share
 retained values, so they also share one that isn't among the need - 1 most frequent of either.
 Only the others are listed. Equal sets are one class beforehand. Within a list, every member is
 first compared with one of them, the pivot; after these links are merged to components, only
-members of different components are compared with each other. A large group of near copies thus
-costs one pair a member and list.
+members of different components are compared with each other: those that are both like a pivot
+in blocks, in which the full sets meet as matrices and only links come out, others as pairs. A
+large group of near copies thus makes no more rows than members and blocks.
 """
 
 from __future__ import annotations
@@ -161,6 +162,44 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"), "own_a", "own_b").mapInArrow(run, "hi bigint, lo bigint")
 
 
+def _block_links(members: DataFrame, sets: DataFrame, percent: int, block: int = 256) -> DataFrame:
+    """Links (hi, lo) between members (p, c, n, label) of the same p with different labels.
+
+    Members of a p are dealt by hash to as many blocks as their number asks for, and each two
+    blocks meet in a group of at most some 2 * block rows. Groups whose members all have one
+    label are left out beforehand.
+    """
+    sizes = members.groupBy("p").agg(F.count("*").alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("m > 1 and lo < hi").select("p", F.ceil(F.col("m") / block).cast("int").alias("g"))
+    dealt = members.join(sizes, "p").withColumn("i", F.pmod(F.xxhash64("c"), F.col("g")).cast("int"))
+    met = dealt.select("p", "c", "label", "i", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("j")).select("p", "c", "label", "i", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"))
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, labels, blocks_ = (np.array(table.column(x)) for x in ("c", "label", "i"))
+        own = [np.frombuffer(x, np.int64) for x in table.column("own").to_pylist()]
+        size = np.array([len(x) for x in own])
+        _, col, often = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
+        row, common = np.repeat(np.arange(len(own)), size), often[col] > 1
+        both = np.zeros((len(own), len(own)))
+        kept, col = np.unique(col[common], return_inverse=True)
+        row = row[common]
+        for at in range(0, len(kept), 4096):  # columns of the incidence matrix at a time
+            some = (col >= at) & (col < at + 4096)
+            hit = np.zeros((len(own), min(4096, len(kept) - at)), np.float32)
+            hit[row[some], col[some] - at] = 1
+            both += hit @ hit.T
+        linked = 100 * both >= percent * (size[:, None] + size[None, :] - both)
+        same_block = bool((table.column("lo").to_numpy() == table.column("hi").to_numpy()).all())
+        linked &= (labels[:, None] != labels[None, :]) & (ids[:, None] > ids[None, :])
+        if not same_block:
+            linked &= blocks_[:, None] != blocks_[None, :]
+        hi, lo = np.nonzero(linked)
+        # of the links between two components one does
+        _, first = np.unique(np.stack([np.maximum(labels[hi], labels[lo]), np.minimum(labels[hi], labels[lo])]), axis=1, return_index=True)
+        return pa.table({"hi": pa.array(ids[hi[first]], pa.int64()), "lo": pa.array(ids[lo[first]], pa.int64())})
+
+    return met.join(sets, "c").groupBy("p", "lo", "hi").applyInArrow(run, "hi bigint, lo bigint")
+
+
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, k: int = K) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id (the smallest doc_id that links
     reach, itself included) and kept (doc_id = component_id).
@@ -192,21 +231,26 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     links = staged(_confirmed(near, full_sets(docs, classes, _ends(near), width), percent), "links")
     roots = components(links)
 
-    labelled = index.join(roots.select(F.col("node").alias("c"), "root"), "c", "left").select("v", "c", "n", F.coalesce("root", "c").alias("label"))
-    mixed = labelled.groupBy("v").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m"), F.min("c").alias("a")).where("m > 2 and lo < hi").select("v", "a")
-    rest = staged(labelled.join(mixed, "v").where("c != a").select("v", "c", "n", "label"), "rest")
-    x, y = rest.select("v", F.col("c").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("l_a")), rest.select("v", F.col("c").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("l_b"))
-    second = x.join(y, "v").where((F.col("a") < F.col("b")) & (F.col("l_a") != F.col("l_b")) & _sizes_fit("n_a", "n_b", percent)).select("a", "b").distinct()
+    label = roots.select(F.col("node").alias("c"), "root")
+    labelled = index.join(label, "c", "left").select("v", "c", "n", F.coalesce("root", "c").alias("label"))
+    mixed = labelled.groupBy("v").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m"), F.min("c").alias("p")).where("m > 2 and lo < hi").select("v", "p")
+    like = near.select(F.col("a").alias("p"), F.col("b").alias("c"))
+    here = labelled.join(mixed, "v").where("c != p").join(like.withColumn("like", F.lit(True)), ["p", "c"], "left").select("p", "v", "c", "n", "label", F.coalesce("like", F.lit(False)).alias("like"))
+    rest = staged(here, "rest")
+    x, y = rest.select("v", F.col("c").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("l_a"), F.col("like").alias("k_a")), rest.where("not like").select("v", F.col("c").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("l_b"))
+    second = x.join(y, "v").where((F.col("k_a") | (F.col("a") < F.col("b"))) & (F.col("l_a") != F.col("l_b")) & _sizes_fit("n_a", "n_b", percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     second = staged(second, "second")
     other = staged(_estimated(second, classes, k, percent), "other")
-    more = _confirmed(other, full_sets(docs, classes, _ends(other), width), percent)
+    blocks = staged(rest.where("like").select("p", "c", "n", "label").distinct(), "blocks")
+    own = staged(full_sets(docs, classes, _ends(other).unionAll(blocks.select("c")).distinct(), width), "sets")
+    more = _confirmed(other, own, percent).unionAll(_block_links(blocks, own, percent))
     final = components(links.unionAll(more))
 
     of_class = classes.select("n", "s1", "s2", "c").join(final.select(F.col("node").alias("c"), "root"), "c", "left").select("n", "s1", "s2", F.coalesce("root", "c").alias("component_id"))
     known = per_doc.select("doc_id", "n", "s1", "s2").join(of_class, ["n", "s1", "s2"], "left")
     out = known.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
     lone = rows.where("doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.lit(None).cast("bigint").alias("component_id"))
-    unstage(first, near, index, rest, second, other)
+    unstage(first, near, index, rest, second, other, blocks, own)
     return out.unionAll(lone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
