@@ -31,7 +31,7 @@ from .bpe import slices
 
 END, BEGIN = U(0x1F3D5B79A2C4E688), U(0x2E4C6A8897B5D3F1)
 SMALL = 5  # counts up to this are discounted
-CHUNK_TOKENS = 1 << 20
+CHUNK_TOKENS = 1 << 19
 CHUNK = "chunk bigint, doc_ids array<bigint>, held array<boolean>, sizes array<int>, words binary, ids binary"
 REQUEST = "part int, chunk bigint, keys binary, counts binary"
 ANSWER = "part int, chunk bigint, keys binary, counts binary, stats array<bigint>"
@@ -59,7 +59,7 @@ def expand_sorted(raw: bytes) -> np.ndarray:
 
 
 def chunks(docs: DataFrame, fold: int, tokens: int) -> DataFrame:
-    """Texts as local word numbers, some million tokens a row; documents keep the table's order."""
+    """Texts as local word numbers, some half a million tokens a row; documents keep the table's order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, n, held_, ids_, sizes_, hashes = TaskContext.get().partitionId() << 32, 0, [], [], [], []
