@@ -237,8 +237,13 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     like = near.select(F.col("a").alias("p"), F.col("b").alias("c"))
     here = labelled.join(mixed, "v").where("c != p").join(like.withColumn("like", F.lit(True)), ["p", "c"], "left").select("p", "v", "c", "n", "label", F.coalesce("like", F.lit(False)).alias("like"))
     rest = staged(here, "rest")
-    x, y = rest.select("v", F.col("c").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("l_a"), F.col("like").alias("k_a")), rest.where("not like").select("v", F.col("c").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("l_b"))
-    second = x.join(y, "v").where((F.col("k_a") | (F.col("a") < F.col("b"))) & (F.col("l_a") != F.col("l_b")) & _sizes_fit("n_a", "n_b", percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    # a pair comes out at the smallest list that it shares; where both are like that list's pivot, their blocks meet
+    lists = rest.groupBy("c").agg(F.collect_set("v").alias("mine"))
+    wide = rest.join(lists, "c")
+    x = wide.select("v", F.col("c").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("l_a"), F.col("like").alias("k_a"), F.col("mine").alias("m_a"))
+    y = wide.where("not like").select("v", F.col("c").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("l_b"), F.col("mine").alias("m_b"))
+    near_sized = (F.col("k_a") | (F.col("a") < F.col("b"))) & (F.col("l_a") != F.col("l_b")) & _sizes_fit("n_a", "n_b", percent)
+    second = x.join(y, (x["v"] == y["v"]) & near_sized & (F.array_min(F.array_intersect("m_a", "m_b")) == x["v"])).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     second = staged(second, "second")
     other = staged(_estimated(second, classes, k, percent), "other")
     blocks = staged(rest.where("like").select("p", "c", "n", "label").distinct(), "blocks")
