@@ -10,32 +10,34 @@ from ._shared import staged, unstage
 
 def _star(links: DataFrame, both_ways: bool) -> DataFrame:
     """Links of every node's neighbours (of those above it, if both_ways, else of those below it)
-    to the smallest id among the node and its neighbours. Minima are pre-aggregated, and the
-    join back is one that Spark can split where a node has very many links."""
-    out = links.select(F.col("hi").alias("u"), F.col("lo").alias("v"))
-    if both_ways:
-        out = out.unionAll(links.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-    least = out.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    joined = out.join(least, "u")
-    if both_ways:
-        joined = joined.where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
-    else:
-        joined = joined.select(F.col("v").alias("hi"), F.col("m").alias("lo")).unionAll(least.select(F.col("u").alias("hi"), F.col("m").alias("lo")))
-    return joined.where("hi > lo").distinct()
+    to the smallest id among the node and its neighbours. At most one link for each of links, and
+    one for each node if not both_ways; some may repeat. Minima are pre-aggregated, and the join
+    back is one that Spark can split where a node has very many links."""
+    down, up = links.select(F.col("hi").alias("u"), F.col("lo").alias("v")), links.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
+    least = (down.unionAll(up) if both_ways else down).groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    out = (up if both_ways else down).join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
+    if not both_ways:
+        out = out.unionAll(least.select(F.col("u").alias("hi"), F.col("m").alias("lo")))
+    return out.where("hi > lo")
+
+
+def _unsettled(links: DataFrame) -> int:
+    """How many nodes have two centres, or are a centre and have one: none, if every component is a star around its smallest node."""
+    ends = links.select(F.col("hi").alias("u"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(links.select(F.col("lo").alias("u"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    nodes = ends.groupBy("u").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.where("up > 1 or (up > 0 and down > 0)").agg(F.count("*")).first()[0]
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """node, root of every linked node that isn't itself the smallest of its component.
 
-    links: (hi, lo) with hi > lo, whatever the direction of the link. Each round replaces the
-    links by stars around smaller centres and is written as a table; a path of n nodes takes
-    O(log n) rounds. Only two sums come to the driver. No links give no rows.
+    links: (hi, lo) with hi > lo, whatever the direction of the link; they may repeat. Each round
+    replaces the links by stars around smaller centres and is written as a table; a path of n
+    nodes takes O(log n) rounds. Only a count comes to the driver. No links give no rows.
     """
-    current, seen = staged(links.select("hi", "lo").distinct(), name), None
-    while True:
-        mark = current.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-        if mark == seen or mark[0] == 0:
-            return current.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
-        following = staged(_star(_star(current, True), False), name)
+    current = staged(links.select("hi", "lo").distinct(), name)
+    while _unsettled(current):
+        following = staged(_star(_star(current, True), False).distinct(), name)
         unstage(current)
-        current, seen = following, mark
+        current = following
+    return current.select(F.col("hi").alias("node"), F.col("lo").alias("root"))

@@ -249,7 +249,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     blocks = staged(rest.where("like").select("p", "c", "n", "label").distinct(), "blocks")
     own = staged(full_sets(docs, classes, _ends(other).unionAll(blocks.select("c")).distinct(), width), "sets")
     more = _confirmed(other, own, percent).unionAll(_block_links(blocks, own, percent))
-    final = components(links.unionAll(more))
+    final = components(roots.select(F.col("node").alias("hi"), F.col("root").alias("lo")).unionAll(more))
 
     of_class = classes.select("n", "s1", "s2", "c").join(final.select(F.col("node").alias("c"), "root"), "c", "left").select("n", "s1", "s2", F.coalesce("root", "c").alias("component_id"))
     known = per_doc.select("doc_id", "n", "s1", "s2").join(of_class, ["n", "s1", "s2"], "left")
