@@ -63,21 +63,16 @@ def _mark(own: np.ndarray) -> tuple[int, int]:
 
 
 def _scan(docs: DataFrame, width: int, extra: str, value) -> DataFrame:
-    """doc_id, n (set size), s1 and s2 (sums that tell sets apart) of each row, and a further column made of its set."""
+    """doc_id, n (set size), s1 and s2 (sums that tell sets apart) of each row, and a further column (extra: its name and type) that value makes of the sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = shingle_sets(batch.column(1).to_pylist(), width)
             sums = [_mark(x) for x in sets]
             out = {"doc_id": batch.column(0).cast(pa.int64()), "n": pa.array(map(len, sets), pa.int64()), "s1": pa.array([s for s, _ in sums], pa.int64()), "s2": pa.array([s for _, s in sums], pa.int64())}
-            yield pa.RecordBatch.from_pydict(out | ({extra.split()[0]: value(sets)} if extra else {}))
+            yield pa.RecordBatch.from_pydict(out | {extra.split()[0]: value(sets)})
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n bigint, s1 bigint, s2 bigint" + (f", {extra}" if extra else ""))
-
-
-def marks(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n, s1, s2 of each row."""
-    return _scan(docs, width, "", None)
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id bigint, n bigint, s1 bigint, s2 bigint, {extra}")
 
 
 def sketches(docs: DataFrame, width: int, k: int) -> DataFrame:
@@ -210,10 +205,10 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     larger hash). Each row with a null doc_id is a document of its own without links: component_id
     is null and kept is true. An empty table gives an empty result.
     """
-    rows = staged(marks(docs, width), "marks")
+    rows = staged(sketches(docs, width, k), "sketches")
     per_doc = rows.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.struct("n", "s1", "s2")).alias("p")).select("doc_id", "p.n", "p.s1", "p.s2")
     firsts = per_doc.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("c"))
-    found = sketches(docs, width, k).withColumnRenamed("doc_id", "c").join(firsts, ["c", "n", "s1", "s2"], "left_semi")
+    found = rows.withColumnRenamed("doc_id", "c").join(firsts, ["c", "n", "s1", "s2"], "left_semi")
     classes = staged(found.dropDuplicates(["c"]), "classes")
 
     postings = classes.select("c", F.explode("sketch").alias("v"))
