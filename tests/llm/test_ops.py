@@ -252,6 +252,23 @@ def test_factors_learn_pairs():
     assert model.raw(find([1, 2])) > 0 > max(model.raw(find([1])), model.raw(find([2])))
 
 
+def test_factors_learn_pairs_of_weak_terms():
+    rng = np.random.default_rng(3)
+
+    def draw(n):  # toxic: one of 40 insults and one of 40 groups; clean: only one of the two
+        out = []
+        for i in range(n):
+            insult, group, only = rng.integers(1, 41), rng.integers(41, 81), rng.integers(2)
+            out.append((i % 2, i, np.array([insult, group] if i % 2 else [(insult, group)[only]], np.uint64)))
+        return out
+
+    sample, held = draw(6000), draw(1000)
+    model = toxicity.factorize(sample)
+    assert model.keys.tolist() == list(range(1, 81))
+    wrong = sum((model.raw(toxicity.Sparse(model.keys).find(own)[1]) >= 0) != y for y, _, own in held)
+    assert wrong <= 50
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 

@@ -19,7 +19,7 @@ from ._labelled import MAX_EACH, informative, labelled_sample, score_rows
 from ._shared import remainder
 
 THRESHOLD = 0.5
-#: Most terms with weights, dimensions of a term's vector, bytes of the word beginnings.
+#: Most terms of the first passes, dimensions of a term's vector, bytes of the word beginnings.
 TERMS, FACTORS, PREFIXES = 4096, 8, (4, 6)
 
 
@@ -56,10 +56,13 @@ class FactorModel:
                 seen = np.unique(doc[at] * len(self.keys) + row)
                 d, i = seen // len(self.keys), seen % len(self.keys)
                 first = np.flatnonzero(np.append(True, d[1:] != d[:-1]))
-                v = self.factors[i]
-                total = np.add.reduceat(v, first)
-                own = np.add.reduceat(self.weights[i] - 0.5 * (v * v).sum(1), first)
-                out[d[first]] += own + 0.5 * (total * total).sum(1)
+                ends = np.append(first, len(i))
+                for some in np.array_split(np.arange(len(first)), min(len(first), 1 + (len(i) >> 18))):
+                    a, z = ends[some[0]], ends[some[-1] + 1]
+                    v = self.factors[i[a:z]]
+                    total = np.add.reduceat(v, first[some] - a)
+                    own = np.add.reduceat(self.weights[i[a:z]] - 0.5 * (v * v).sum(1), first[some] - a)
+                    out[d[first[some]]] += own + 0.5 * (total * total).sum(1)
             return 1 / (1 + np.exp(-np.clip(out, -40, 40)))
 
         return score
@@ -68,23 +71,28 @@ class FactorModel:
 def factorize(sample: list[tuple[int, int, np.ndarray]], most: int = TERMS, factors: int = FACTORS, least: int = 5, rate: float = 0.2, l1: float = 1e-3, l2: float = 1e-3, epochs: int = 8) -> FactorModel:
     """Stochastic gradient descent with per-coordinate steps (AdaGrad) on the logistic loss.
 
-    Weights are soft-thresholded by l1, so that terms without evidence end at 0. Terms that fewer
-    than `least` documents of the sample hold are left out, and of the others the `most` that
-    tell the classes apart best are kept. Without both classes the score is constant.
+    Every term that at least `least` documents of the sample hold has a weight and a vector. The
+    first `epochs` passes learn the `most` terms that tell the classes apart best on their own,
+    the next as many all terms: what the first explain leaves little to learn, so that the many
+    others only move, by smaller first steps, where their pairs are needed. Weights are
+    soft-thresholded by l1. Without both classes the score is constant.
     """
     classes = {y for y, *_ in sample}
-    keys = informative(sample, least, most)
+    keys, count = np.unique(np.concatenate([np.zeros(0, np.uint64), *(x[2] for x in sample)]), return_counts=True)
+    keys = keys[count >= least]
     if len(classes) < 2 or not len(keys):
         return FactorModel(np.zeros(0, np.uint64), np.zeros(0), np.zeros((0, factors)), 3.0 if classes == {1} else -3.0)
     sparse = Sparse(keys)
     rows = [(y, sparse.find(own)[1]) for y, _, own in sample]
+    strong = np.isin(keys, informative(sample, least, most))
     n = [sum(y == c for y, _ in rows) for c in (0, 1)]
     heft = [len(rows) / (2 * x) for x in n]
     rng = np.random.Generator(np.random.PCG64(11))
     w, v, b = np.zeros(len(keys)), rng.normal(0, 0.01, (len(keys), factors)), 0.0
-    gw, gv, gb = np.full(len(keys), 1e-6), np.full((len(keys), factors), 1e-4), 1e-6
-    for _ in range(epochs):
-        for y, own in rows:
+    gw, gb = np.where(strong, 1e-6, 10.0), 1e-6
+    gv = np.repeat(np.where(strong, 1e-4, 1.0)[:, None], factors, 1)
+    for some in epochs * [[(y, own[strong[own]]) for y, own in rows]] + epochs * [rows]:
+        for y, own in some:
             f = v[own]
             total = f.sum(0)
             raw = b + w[own].sum() + 0.5 * (total @ total - (f * f).sum())
