@@ -135,6 +135,17 @@ def test_validate_and_catalog(spark, tmp_path):
     assert io.safe(spark, lambda: spark.read.parquet(str(tmp_path / "none")), "a int").count() == 0
 
 
+def test_catalog_upsert_query(spark, tmp_path, monkeypatch):
+    big = 5_000_000_000
+    rows = [("old only", big, "a"), ("new later", 2, "a"), ("new later", 3, "b"), ("old later", big + 2, "a"), ("old later", 1, "b"), ("new only", big + 1, "b")]
+    spark.createDataFrame(rows, "user_id string, event_id bigint, event_type string").write.parquet(str(tmp_path / "events.parquet"))
+    replaced, upsert = [], catalog.upsert
+    monkeypatch.setattr(catalog, "upsert", lambda old, entries, key: replaced.extend(r[0] for r in entries.select(key).collect()) or upsert(old, entries, key))
+    got = sorted(one(registry.QUERIES["catalog_upsert"](spark, str(tmp_path)), "user_id", "event_id"))
+    assert got == [("new later", 3), ("new only", big + 1), ("old later", big + 2), ("old only", big)]
+    assert sorted(replaced) == ["new later", "new only"]
+
+
 def test_stream(spark, tmp_path):
     from tidewell.streaming.events import upsert_stream, windowed
 
