@@ -146,6 +146,13 @@ def test_catalog_upsert_query(spark, tmp_path, monkeypatch):
     assert sorted(replaced) == ["new later", "new only"]
 
 
+def test_unpivot_has_every_line(spark):
+    lines = registry.Tables(spark, SF).lineitem
+    got = registry.QUERIES["union_all_unpivot_lines"](spark, SF)
+    assert dict(one(got.groupBy("metric").count(), "metric", "count")) == dict.fromkeys(("quantity", "discount", "tax"), lines.count())
+    assert one(got.agg(F.count("amount"), F.count("rate")), "*") == [(lines.count(), 2 * lines.count())]
+
+
 def test_stream(spark, tmp_path):
     from tidewell.streaming.events import upsert_stream, windowed
 

@@ -84,6 +84,15 @@ def union_all_unpivot(t):
     return one.unionAll(t.lineitem.where("l_linenumber = 2").select(F.lit(2), "l_orderkey", "l_quantity", "l_tax"))
 
 
+@query("""SELECT 'quantity' AS metric, l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS amount, CAST(NULL AS DOUBLE) AS rate FROM lineitem
+UNION ALL SELECT 'discount', l_orderkey, l_linenumber, CAST(NULL AS DOUBLE), CAST(l_discount AS DOUBLE) FROM lineitem
+UNION ALL SELECT 'tax', l_orderkey, l_linenumber, CAST(NULL AS DOUBLE), CAST(l_tax AS DOUBLE) FROM lineitem""")
+def union_all_unpivot_lines(t):
+    none = F.lit(None).cast("double")
+    branch = lambda metric, amount, rate: t.lineitem.select(F.lit(metric).alias("metric"), "l_orderkey", "l_linenumber", amount.cast("double").alias("amount"), rate.cast("double").alias("rate"))
+    return branch("quantity", c("l_quantity"), none).unionAll(branch("discount", none, c("l_discount"))).unionAll(branch("tax", none, c("l_tax")))
+
+
 @query("SELECT l_returnflag, round(avg(l_quantity),4) AS quantity, round(avg(l_extendedprice),4) AS price, round(avg(l_discount),6) AS discount FROM lineitem GROUP BY 1")
 def avg_one_key(t):
     return t.lineitem.groupBy("l_returnflag").agg(r(F.avg("l_quantity")).alias("quantity"), r(F.avg("l_extendedprice")).alias("price"), r(F.avg("l_discount"), 6).alias("discount"))
