@@ -200,6 +200,13 @@ def test_near_dup(spark, docs, odd):
     assert {r.doc_id for r in near_dup.first_of_each(odd).collect()} == {None, *range(len(ODD))} - {10}
 
 
+def test_near_dup_at_a_third(spark):
+    words = lambda i, own: " ".join([f"s{i}x{j}" for j in range(150)] + [f"{own}{i}x{j}" for j in range(150)])  # noqa: E731  150 of 450 in common
+    pairs = spark.createDataFrame([(2 * i + k, words(i, "ab"[k])) for i in range(40) for k in range(2)], "doc_id bigint, text string")
+    got = near_dup.near_duplicates(pairs, width=1, percent=30).collect()
+    assert {r.doc_id: r.component_id for r in got} == {d: d - d % 2 for d in range(80)}
+
+
 def test_components(spark):
     n = 40
     path = spark.range(1, n).select(F.col("id").alias("hi"), (F.col("id") - 1).alias("lo"))

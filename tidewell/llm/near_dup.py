@@ -213,8 +213,9 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
 
     postings = classes.select("c", F.explode("sketch").alias("v"))
     often = postings.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
-    # up to percent of k, both sets of a pair fit into their sketches and the overlap has an exact bound
-    need = F.when(F.col("n") * 100 <= k * percent, F.ceil(F.col("n") * percent / 100.0)).otherwise(F.lit(k // 2)).cast("int")
+    # up to percent of k, both sets of a pair fit into their sketches and the overlap has an exact bound; of larger
+    # ones, as in _estimated(), pairs are given up that share 30 % of k less than the threshold lets expect
+    need = F.when(F.col("n") * 100 <= k * percent, F.ceil(F.col("n") * percent / 100.0)).otherwise(F.lit(max(1, k * (percent - 30) // 100))).cast("int")
     per_class = postings.join(often, "v").groupBy("c").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("shared"))
     listed = per_class.where(F.size("shared") >= 1).join(classes.select("c", "n"), "c").withColumn("room", F.size("shared") - need + 1).where("room > 0")
     index = staged(listed.select("c", "n", F.explode(F.slice("shared", F.lit(1), F.col("room"))).alias("x")).select(F.col("x.v").alias("v"), "c", "n"), "index")
