@@ -286,3 +286,82 @@ def test_pipeline(spark):
         assert kept.columns == docs.columns and 0.7 * before < kept.count() <= before
     packed = corpus_pipeline.STAGES[3][1](spark, kept, "/root/testdata/sf0.01")
     assert packed.select("doc_id").distinct().count() == kept.count()
+
+
+def components_by_brute_force(rows, width):
+    sets = {i: {tuple(w[j : j + width]) for j in range(len(w) - width + 1)} or ({tuple(w)} if w else set()) for i, w in ((i, t.split()) for i, t in rows)}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            if b < a and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {i: find(i) for i in sets}
+
+
+def template_rows():
+    """Rows that share a template but are not alike: short ones, and long ones of which half is the same."""
+    half = " ".join(f"t{j}" for j in range(70))
+    short = [(i, f"one two three four five own{i}") for i in range(150)]
+    return short + [(1000 + i, f"{half} " + " ".join(f"o{i}x{j}" for j in range(70))) for i in range(60)]
+
+
+def near_groups():
+    """Chains, stars and copies of which many two are less alike than the threshold."""
+    rng = np.random.default_rng(4)
+    base, rows = [f"w{j}" for j in range(90)], []
+    for i in range(120):
+        w = list(base)
+        for j in rng.choice(90, int(rng.integers(0, 9)), replace=False):
+            w[j] = f"x{i}_{j}"
+        rows.append((i, " ".join(w)))
+    chain = [f"c{j}" for j in range(40)]
+    rows += [(500 + i, " ".join(chain[i : i + 30])) for i in range(10)]
+    rows += [(600 + i, "exact copy of one and the same text") for i in range(50)]
+    return rows
+
+
+@pytest.mark.parametrize("sizes", [{}, {"few": 2, "pivots": 1, "members": 16, "room": 4000}])
+def test_near_dup_groups(spark, sizes):
+    rows = template_rows() + near_groups()
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(df, 2, **sizes).collect()}
+    assert got == components_by_brute_force(rows, 2)
+
+
+def test_near_dup_lists_of_templates(spark):
+    """Templates make no candidates: neither lists, for small sets, nor members that go on to full sets, for large ones."""
+    rows = spark.createDataFrame(template_rows(), "doc_id bigint, text string")
+    scanned = near_dup.sketches(rows, 2, 64).where("n > 0")
+    classes = scanned.groupBy("n", "s1", "s2", "c").agg(F.min("doc_id").alias("first"), F.first("sketch").alias("sketch"))
+    index = near_dup.listed(classes, 64, 80)
+    pairs = index.where("n < 64").groupBy("v", "m").agg(F.max("small").alias("pairs"), F.count("*").alias("k")).where("pairs and k > 1")
+    assert pairs.count() == 0
+    large = classes.where("n > 64").select(F.lit(1).cast("bigint").alias("p"), "c", "n", F.col("c").alias("label"))
+    assert near_dup._alive(large, classes, 64, 80, 16).count() == 0
+
+
+def test_first_of_each_is_by_row(spark):
+    same, other = "a b c d e f g h", "p q r s t u v w"
+    rows = [(1, same, "x"), (2, same, "y"), (2, other, "z"), (None, same, "n"), (None, "lone text without id here", "o"), (None, "lone text without id here", "o"), (5, "", "e"), (6, None, "f"), (7, other, "g"), (7, other, "g")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, n string")
+    got = Counter(tuple(r) for r in near_dup.first_of_each(df).collect())
+    assert got == Counter([(1, same, "x"), (2, other, "z"), (None, "lone text without id here", "o"), (5, "", "e"), (6, None, "f")])
+    assert {(r.doc_id, r.component_id) for r in near_dup.near_duplicates(df).collect()} == {(1, 1), (2, 1), (None, 1), (None, None), (5, 5), (6, 6), (7, 2)}
+    clash = df.withColumnsRenamed({"n": "sketch"}).withColumn("c", F.lit(1)).withColumn("row", F.lit("r")).withColumn("likely", F.lit(False))
+    assert near_dup.first_of_each(clash).columns == clash.columns and near_dup.first_of_each(clash).count() == 5
+    assert near_dup.first_of_each(df.limit(0)).count() == 0
+
+
+def test_components_of_a_star_and_nothing(spark):
+    star = spark.range(1, 3000).select(F.col("id").alias("hi"), F.lit(0).cast("bigint").alias("lo"))
+    more = star.unionAll(spark.range(1, 50).select((F.col("id") + 5000).alias("hi"), (F.col("id") + 100).alias("lo"))).unionAll(star.limit(5))
+    got = components.components(more).collect()
+    assert len(got) == 2999 + 49 and {r.root for r in got} == {0}
+    assert components.components(star.limit(0)).count() == 0

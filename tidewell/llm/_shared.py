@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,12 +14,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where unset one of this session's own."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or where unset one in the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="tidewell-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+    return named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/tidewell-staged"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -40,6 +37,33 @@ def unstage(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: A key with more than this share of a table's rows is dealt to several tasks; at most as many keys are.
+HEAVY = 256
+
+
+def heavy_limit(rows: int) -> int:
+    """How many rows of a table with so many a key may have before it is split."""
+    return max(1000, rows // HEAVY)
+
+
+def spread_join(rows: DataFrame, table: DataFrame, keys: Sequence[str], by: str, counts: DataFrame, limit: int, how: str = "inner") -> DataFrame:
+    """rows joined with table, which has one row a key at most. counts (keys, count) tells how many rows each key has.
+
+    Rows of a key with more than `limit` of them are dealt to several tasks by the hash of `by`,
+    and its row of the table goes to each of these. Only the heavy keys come to the driver: at
+    most HEAVY of them, as each has more than that share of the rows.
+    """
+    heavy = counts.where(F.col("count") > limit).select(*keys, F.ceil(F.col("count") / limit).cast("int").alias("_parts"))
+    found = heavy.collect()
+    if not found:
+        return rows.join(table, list(keys), how)
+    few = F.broadcast(rows.sparkSession.createDataFrame(found, heavy.schema))
+    parts = F.coalesce("_parts", F.lit(1))
+    dealt = rows.join(few, list(keys), "left").withColumn("_salt", F.pmod(F.xxhash64(by), parts).cast("int")).drop("_parts")
+    copied = table.join(few, list(keys), "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    return dealt.join(copied, [*keys, "_salt"], how).drop("_salt")
+
+
 def remainder(doc_id: Column, n: int) -> Column:
     """crc32(doc_id as text) mod n."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(n)

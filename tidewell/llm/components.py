@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import staged, unstage
+from ._shared import heavy_limit, spread_join, staged, unstage
 
 
-def _star(links: DataFrame, both_ways: bool) -> DataFrame:
+def _star(links: DataFrame, both_ways: bool, limit: int) -> DataFrame:
     """Links of every node's neighbours (of those above it, if both_ways, else of those below it)
     to the smallest id among the node and its neighbours. At most one link for each of links, and
-    one for each node if not both_ways; some may repeat. Minima are pre-aggregated, and the join
-    back is one that Spark can split where a node has very many links."""
+    one for each node if not both_ways; some may repeat. Minima are pre-aggregated; in the join
+    back, a node with very many links is dealt to several tasks."""
     down, up = links.select(F.col("hi").alias("u"), F.col("lo").alias("v")), links.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
     least = (down.unionAll(up) if both_ways else down).groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    out = (up if both_ways else down).join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
+    side = up if both_ways else down
+    out = spread_join(side, least, ["u"], "v", side.groupBy("u").count(), limit).select(F.col("v").alias("hi"), F.col("m").alias("lo"))
     if not both_ways:
         out = out.unionAll(least.select(F.col("u").alias("hi"), F.col("m").alias("lo")))
     return out.where("hi > lo")
@@ -29,15 +30,20 @@ def _unsettled(links: DataFrame) -> int:
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
-    """node, root of every linked node that isn't itself the smallest of its component.
+    """node, root of every linked node that isn't itself the smallest of its component; a staged table.
 
-    links: (hi, lo) with hi > lo, whatever the direction of the link; they may repeat. Each round
-    replaces the links by stars around smaller centres and is written as a table; a path of n
-    nodes takes O(log n) rounds. Only a count comes to the driver. No links give no rows.
+    links: (hi, lo) with hi > lo, whatever the direction of the link; they may repeat; links with
+    a null end don't count. Each round replaces the links by stars around smaller centres and is
+    written as a table; a path of n nodes takes O(log n) rounds. Only counts and at most a few
+    hundred heavy centres come to the driver. No links give no rows.
     """
-    current = staged(links.select("hi", "lo").distinct(), name)
+    current = staged(links.where("hi > lo").select("hi", "lo").distinct(), name)
     while _unsettled(current):
-        following = staged(_star(_star(current, True), False).distinct(), name)
-        unstage(current)
+        limit = heavy_limit(current.count())
+        half = staged(_star(current, True, limit).distinct(), name)
+        following = staged(_star(half, False, limit).distinct(), name)
+        unstage(current, half)
         current = following
-    return current.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
+    out = current.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
+    out._staged_path = current._staged_path
+    return out

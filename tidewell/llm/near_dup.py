@@ -3,18 +3,25 @@
 A document's set holds its distinct word shingles; one hash function orders all shingles, and a
 document's sketch is the k smallest of its set. Inverted lists of retained values give pairs
 with overlaps, the sketch of the union estimates their similarity, and the full sets decide.
+Equal sets are one class beforehand; lists, pairs and links are between classes.
 
-Nothing is lost to frequent values: two documents that are similar enough share at least `need`
+Nothing is lost to frequent values: two sets that are similar enough share at least `need`
 retained values, so they also share one that isn't among the need - 1 most frequent of either.
-Only the others are listed. Equal sets are one class beforehand. Within a list, every member is
-first compared with one of them, the pivot; after these links are merged to components, only
-members of different components are compared with each other: those that are both like a pivot
-in blocks, in which the full sets meet as matrices and only links come out, others as pairs. A
-large group of near copies thus makes no more rows than members and blocks.
+Only the others are listed. Where both sets fit into their sketches, `need` is the exact overlap
+for the two sizes, and lists are kept apart by the smaller size: sets that share a template but
+not enough of it stand in no common list.
+
+Of a list with few members, all pairs are compared. Of a longer one, every member is compared
+with one of them, the pivot; links merge labels, and a second pivot takes the rest. Members of a
+list that then still has several labels meet in blocks, where only those outside the list's
+largest label are compared with others. First their sketches meet, and only members that may be
+like one of another label go on; then full sets meet, in blocks bounded by bytes. Of a block
+come members and links, never pairs of a list.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,12 +30,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._arrays import Tokens, U, mix, pair_hash
-from ._shared import staged, unstage
+from ._shared import heavy_limit, spread_join, staged, unstage
 from .bpe import slices
 from .components import components
 
 K, PERCENT, WIDTH = 64, 80, 5
-_BITS = 23
+#: Members of a list of which all pairs are compared; pivots of a longer one; members and bytes of a block.
+FEW, PIVOTS, MEMBERS, BYTES = 8, 2, 1024, 2 << 20
+_SLICE = 2 << 20
 
 
 def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
@@ -38,7 +47,7 @@ def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
     tokens = Tokens([(t or "").encode().lower() for t in texts])
     h, at = tokens.hash, tokens.offsets
     key = h.copy()
-    for i in range(1, width):
+    for i in range(1, min(width, len(h))):
         key[: len(h) - i] = pair_hash(key[: len(h) - i], h[i:])
     out = []
     for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
@@ -62,11 +71,12 @@ def _mark(own: np.ndarray) -> tuple[int, int]:
     return int(mix(u).sum(dtype=U).view(np.int64)), int(mix(u ^ U(0x9E3779B97F4A7C15)).sum(dtype=U).view(np.int64))
 
 
+
 def _scan(docs: DataFrame, width: int, extra: str, value) -> DataFrame:
     """doc_id, n (set size), s1 and s2 (sums that tell sets apart) of each row, and a further column (extra: its name and type) that value makes of the sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, size=_SLICE):
             sets = shingle_sets(batch.column(1).to_pylist(), width)
             sums = [_mark(x) for x in sets]
             out = {"doc_id": batch.column(0).cast(pa.int64()), "n": pa.array(map(len, sets), pa.int64()), "s1": pa.array([s for s, _ in sums], pa.int64()), "s2": pa.array([s for _, s in sums], pa.int64())}
@@ -75,46 +85,51 @@ def _scan(docs: DataFrame, width: int, extra: str, value) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id bigint, n bigint, s1 bigint, s2 bigint, {extra}")
 
 
+#: A class's number: two different sets have the same one time in 2**64.
+_CLASS = F.xxhash64
+
+
 def sketches(docs: DataFrame, width: int, k: int) -> DataFrame:
-    """doc_id, n, s1, s2 and sketch (the k smallest hashes) of each row."""
+    """doc_id, n, s1, s2, sketch (the k smallest hashes) and c (the class) of each row."""
 
     def value(sets: list[np.ndarray]) -> pa.Array:
         low = [x[:k] for x in sets]
         return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, low)]), pa.int32()), pa.array(np.concatenate(low) if low else np.zeros(0, np.int64)))
 
-    return _scan(docs, width, "sketch array<bigint>", value)
+    return _scan(docs, width, "sketch array<bigint>", value).withColumn("c", _CLASS("n", "s1", "s2"))
 
 
-def _likely(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """The rows whose key is in wanted (its only column), and a few others.
+def _marked(rows: DataFrame, key: str, wanted: DataFrame, n: int) -> DataFrame:
+    """rows with likely: true where the key is null or one of wanted (its only column; n rows), and in a few other rows.
 
-    A bitmap of fixed size over the wanted ids, made by aggregation, turns other rows away before
-    they are shuffled. It only saves work: where it fills up, more rows pass.
+    A bitmap with 16 bits for each wanted key, made by aggregation and broadcast (32 MB at most),
+    turns other rows away before they are read further or shuffled. It only saves work: where it
+    fills up, more rows pass.
     """
-    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << _BITS))
+    size = 1 << min(28, max(16, math.ceil(math.log2(16 * n + 1))))
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(size)) + 1
     ids = wanted.select(bit(F.col(wanted.columns[0])).alias("bit"))
-    maps = ids.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
-    # buckets begin at 1 with the bit 1; the bit 0 has the bucket 0 and the position 0
-    seen = np.zeros((1 << _BITS) + (1 << 16), bool)
-    for r in maps:
-        bits = np.unpackbits(np.frombuffer(bytes(r.bits), np.uint8), bitorder="little")
-        seen[np.flatnonzero(bits) + ((r.bucket - 1) * len(bits) + 1 if r.bucket > 0 else 0)] = True
-    packed, names = np.packbits(seen), rows.columns
+    maps = ids.groupBy(F.bitmap_bucket_number("bit").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("_bits"))
+    place = F.bitmap_bit_position(bit(F.col(key)))
+    octet = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    there = (F.bitmap_bucket_number(bit(F.col(key))) == F.col("_bucket")) & (F.getbit(octet, (place % 8).cast("int")) == 1)
+    known = rows.join(F.broadcast(maps), there, "left")
+    return known.select(*rows.columns, (F.col("_bucket").isNotNull() | F.col(key).isNull()).alias("likely"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.unpackbits(packed).astype(bool)
-        for batch in batches:
-            yield batch.filter(pa.array(known[batch.column(batch.num_columns - 1).to_numpy()])).select(names)
 
-    return rows.withColumn("_bit", bit(F.col(key))).mapInArrow(run, rows.schema)
+def _likely(rows: DataFrame, key: str, wanted: DataFrame, n: int) -> DataFrame:
+    """The rows that _marked() marks."""
+    return _marked(rows, key, wanted, n).where("likely").drop("likely")
 
 
 def full_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """c and own (the whole set, packed) of the classes in wanted (c)."""
-    texts = _likely(docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), "doc_id", wanted)
-    found = _scan(texts, width, "own binary", lambda sets: pa.array([x.tobytes() for x in sets], pa.binary())).withColumnRenamed("doc_id", "c")
-    exact = classes.select("c", "n", "s1", "s2").join(wanted, "c", "left_semi")
-    return found.join(exact, ["c", "n", "s1", "s2"], "left_semi").select("c", "own").dropDuplicates(["c"])
+    """c and own (the whole set, packed) of the classes in wanted (c), as a staged table."""
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    n = wanted.count()
+    firsts = _likely(classes.select("c", "first"), "c", wanted, n).join(wanted, "c", "left_semi").select("first")
+    found = _scan(_likely(texts, "doc_id", firsts, n), width, "own binary", lambda sets: pa.array([x.tobytes() for x in sets], pa.binary()))
+    found = found.select(_CLASS("n", "s1", "s2").alias("c"), "own").join(wanted, "c", "left_semi")
+    return staged(found.groupBy("c").agg(F.max("own").alias("own")), "sets")
 
 
 def _sizes_fit(a: str, b: str, percent: int) -> Column:
@@ -122,17 +137,50 @@ def _sizes_fit(a: str, b: str, percent: int) -> Column:
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
-    """The distinct ids of pairs (a, b)."""
+    """The distinct classes of pairs (a, b)."""
     return pairs.select(F.col("a").alias("c")).unionAll(pairs.select(F.col("b").alias("c"))).distinct()
 
 
+def _overlap(n: Column, m: Column, percent: int) -> Column:
+    """The least number of common values of sets of n and m values that are similar enough."""
+    return F.ceil(percent * (n + m) / F.lit(100.0 + percent))
+
+
+def listed(classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """The inverted lists: v (the value), m (the size of the smaller set of a pair that the list is
+    for, 0 for sets of which one may not fit into its sketch), c, n, and small (n is m, or m is 0).
+
+    A set as the smaller of a pair has the need of a pair with its own size, or, as equal sets are
+    one class, with the next; as the larger, that of a pair with m.
+    """
+    postings = classes.select("c", F.explode("sketch").alias("v"))
+    often = postings.groupBy("v").agg(F.count("*").alias("count")).where("count > 1")
+    limit = heavy_limit(classes.count())
+    shared = spread_join(postings, often, ["v"], "c", often, limit).groupBy("c").agg(F.array_sort(F.collect_list(F.struct("count", "v"))).alias("shared"))
+    full = k * percent // 100
+    n, has = F.col("n"), F.size("shared")
+    alike = _overlap(n, n, percent)
+    small = F.when(alike < n, alike).when((100 * n >= percent * (n + 1)) & (_overlap(n, n + 1, percent) <= n), _overlap(n, n + 1, percent)).otherwise(F.lit(k + 1))
+    # of larger ones, as in _estimated(), pairs are given up that share 30 % of k less than the threshold lets expect
+    wide = F.when(n <= k, F.ceil(n * percent / 100.0)).otherwise(F.lit(max(1, k * (percent - 30) // 100)))
+    entry = lambda m, small, need: F.struct(m.cast("int").alias("m"), small.alias("small"), (has - need + 1).cast("int").alias("room"))
+    low, high = F.ceil(n * percent / 100.0).cast("int"), F.least(n - 1, F.lit(full)).cast("int")
+    below = F.when((low <= high) & (low > 0), F.transform(F.sequence(low, high), lambda m: entry(m, F.lit(False), _overlap(n, m, percent)))).otherwise(F.array().cast("array<struct<m:int,small:boolean,room:int>>"))
+    own = F.when(n <= full, entry(n, F.lit(True), small)).otherwise(entry(F.lit(0), F.lit(True), wide))
+    rooms = F.filter(F.concat(F.array(own), below), lambda x: x["room"] > 0)
+    rows = shared.join(classes.select("c", "n"), "c").select("c", "n", "shared", F.explode(rooms).alias("x"))
+    return rows.select("c", "n", "x.m", "x.small", F.explode(F.slice("shared", F.lit(1), F.col("x.room"))).alias("s")).select(F.col("s.v").alias("v"), "m", "c", "n", "small")
+
+
 def _estimated(pairs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose similarity, estimated from the k smallest hashes of the union, may
     reach the threshold: at least percent - 30. For k = 64 the estimate falls that far below a
     true 0.8 once in 10**8 pairs; sets that fit into their sketches are decided exactly."""
-    near = _likely(classes.select("c", "n", "sketch"), "c", _ends(pairs))
+    n = pairs.count()
+    near = _likely(classes.select("c", "n", "sketch"), "c", _ends(pairs), 2 * n)
     side = lambda x: near.select(F.col("c").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
-    both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+    half = pairs.join(side("b"), "b")
+    both = spread_join(half, side("a"), ["a"], "b", pairs.groupBy("a").count(), heavy_limit(n))
     union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, k)
     common = F.array_intersect("s_a", "s_b")
     in_union = F.size(F.array_intersect(union, common))
@@ -145,7 +193,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets satisfy 100 * |intersection| >= percent * |union|, as links (hi, lo)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, size=_SLICE):
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 a, b = (np.frombuffer(v.as_buffer(), np.int64) for v in (x, y))
@@ -153,112 +201,226 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(a) + len(b) - both))
             yield batch.select(["hi", "lo"]).filter(pa.array(keep, pa.bool_()))
 
-    joined = pairs.join(sets.select(F.col("c").alias("a"), F.col("own").alias("own_a")), "a").join(sets.select(F.col("c").alias("b"), F.col("own").alias("own_b")), "b")
+    side = lambda x: sets.select(F.col("c").alias(x), F.col("own").alias(f"own_{x}"))
+    joined = spread_join(pairs.join(side("b"), "b"), side("a"), ["a"], "b", pairs.groupBy("a").count(), heavy_limit(pairs.count()))
     return joined.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"), "own_a", "own_b").mapInArrow(run, "hi bigint, lo bigint")
 
 
-def _block_links(members: DataFrame, sets: DataFrame, percent: int, block: int = 256) -> DataFrame:
-    """Links (hi, lo) between members (p, c, n, label) of the same p with different labels.
+def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int, k: int) -> DataFrame:
+    """The links among candidate pairs (a, b), as a staged table (hi, lo)."""
+    pairs = staged(pairs.distinct(), "pairs")
+    near = staged(_estimated(pairs, classes, k, percent), "near")
+    sets = full_sets(docs, classes, _ends(near), width)
+    out = staged(_confirmed(near, sets, percent), "links")
+    unstage(pairs, near, sets)
+    return out
+
 
-    Members of a p are dealt by hash to as many blocks as their number asks for, and each two
-    blocks meet in a group of at most some 2 * block rows. Groups whose members all have one
-    label are left out beforehand.
+def _dealt(members: DataFrame, size: Column, room: int) -> DataFrame:
+    """members (p, c, n, label) dealt to blocks: those outside p's largest label to blocks of their
+    own, and each such block meets every block of the largest label, every other block and itself.
+
+    size is a member's weight and room a block's. Returns part (the meeting) and the members'
+    columns with minor and i (the member's block). Groups of one label are left out.
     """
-    sizes = members.groupBy("p").agg(F.count("*").alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("m > 1 and lo < hi").select("p", F.ceil(F.col("m") / block).cast("int").alias("g"))
-    dealt = members.join(sizes, "p").withColumn("i", F.pmod(F.xxhash64("c"), F.col("g")).cast("int"))
-    met = dealt.select("p", "c", "label", "i", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("j")).select("p", "c", "label", "i", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"))
+    by = members.groupBy("p", "label").agg(F.sum(size).alias("w"), F.count("*").alias("m"))
+    whole = by.groupBy("p").agg(F.max(F.struct("w", "label")).alias("big"), F.sum("w").alias("w"), F.sum("m").alias("count"), F.count("*").alias("labels")).where("labels > 1")
+    blocks = lambda w: F.greatest(F.lit(1), F.ceil(w / F.lit(float(room)))).cast("int")
+    groups = whole.select("p", "count", F.col("big.label").alias("largest"), blocks(F.col("w") - F.col("big.w")).alias("g"), blocks(F.col("big.w")).alias("h"))
+    rows = spread_join(members, groups.drop("count"), ["p"], "c", groups.select("p", "count"), heavy_limit(members.count()))
+    minor = F.col("label") != F.col("largest")
+    rows = rows.withColumn("minor", minor).withColumn("i", F.pmod(F.xxhash64("c", F.lit(3)), F.when(minor, F.col("g")).otherwise(F.col("h"))).cast("int"))
+    up_to = lambda x: F.sequence(F.lit(0), x - 1)
+    meet = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
+    i = F.col("i")
+    as_minor = F.concat(F.transform(up_to(F.col("h")), lambda j: meet(0, i, j)), F.transform(up_to(F.col("g")), lambda j: meet(1, F.least(i, j), F.greatest(i, j))))
+    met = rows.withColumn("part", F.explode(F.when(minor, as_minor).otherwise(F.transform(up_to(F.col("g")), lambda j: meet(0, j, i)))))
+    return met.select(F.struct("p", "part").alias("part"), "p", "c", "n", "label", "minor", "i")
+
+
+def _common(own: list[np.ndarray], step: int = 2048) -> np.ndarray:
+    """How many values each two of some sets share."""
+    size = np.array([len(x) for x in own])
+    out = np.zeros((len(own), len(own)), np.float32)
+    _, col, often = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
+    some = often[col] > 1
+    row = np.repeat(np.arange(len(own)), size)[some]
+    kept, col = np.unique(col[some], return_inverse=True)
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    for at in range(0, len(kept), step):  # columns of the incidence matrix at a time
+        a, b = np.searchsorted(col, [at, at + step])
+        hit = np.zeros((len(own), min(step, len(kept) - at)), np.float32)
+        hit[row[a:b], col[a:b] - at] = 1
+        out += hit @ hit.T
+    return out
+
+
+def _facing(table: pa.Table) -> np.ndarray:
+    """Which two rows of a meeting are to be compared: a member outside the largest label and one of another label."""
+    label, minor, i = (np.array(table.column(x)) for x in ("label", "minor", "i"))
+    kind = table.column("part")[0].as_py()["part"]
+    out = (label[:, None] != label[None, :]) & (minor[:, None] | minor[None, :])
+    if kind["kind"] == 0:
+        return out & (minor[:, None] != minor[None, :])
+    return out & (i[:, None] != i[None, :]) if kind["i"] != kind["j"] else out
+
+
+def _in_union(own: list[np.ndarray], a: np.ndarray, b: np.ndarray, k: int) -> np.ndarray:
+    """Of the k smallest values of each two sketches' union, the share that both hold."""
+    top = np.iinfo(np.int64).max
+    table = np.full((len(own), k), top)
+    for i, x in enumerate(own):
+        table[i, : len(x)] = x
+    s = np.sort(np.concatenate([table[a], table[b]], 1), 1)
+    real = s < top
+    new = np.concatenate([np.ones((len(s), 1), bool), s[:, 1:] != s[:, :-1]], 1) & real
+    nth = np.cumsum(new, 1)
+    both = (~new & real & (nth <= k)).sum(1)
+    return both / np.maximum(1, np.minimum(nth[:, -1], k))
+
+
+def _alive(members: DataFrame, classes: DataFrame, k: int, percent: int, room: int) -> DataFrame:
+    """The members (p, c, n, label) whose sketch may be that of a set like one of another label."""
+    rows = _dealt(members, F.lit(1), room)
+    least = max(1, k * (percent - 30) // 100)
+
+    def run(table: pa.Table) -> pa.Table:
+        own = [np.array(x, np.int64) for x in table.column("sketch").to_pylist()]
+        n = np.array(table.column("n"))
+        both, union = _common(own), n[:, None] + n[None, :]
+        exact = np.maximum(n[:, None], n[None, :]) <= k
+        ok = np.where(exact, 100 * both >= percent * (union - both), both >= least) & _facing(table)
+        ok &= 100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :])
+        there = (ok & (exact | (both >= k * 3 // 4))).any(1)
+        a, b = np.nonzero(np.triu(ok & ~exact, 1) & ~(there[:, None] & there[None, :]))
+        for at in range(0, len(a), 1 << 14):
+            x, y = a[at : at + (1 << 14)], b[at : at + (1 << 14)]
+            near = 100 * _in_union(own, x, y, k) >= percent - 30
+            there[x[near]] = there[y[near]] = True
+        return table.select(["p", "c", "n", "label"]).filter(pa.array(there))
+
+    sides = _likely(classes.select("c", "sketch"), "c", members.select("c"), members.count())
+    return rows.join(sides, "c").groupBy("part").applyInArrow(run, "p bigint, c bigint, n bigint, label bigint").distinct()
+
+
+def _block_links(members: DataFrame, sets: DataFrame, percent: int, room: int) -> DataFrame:
+    """Links (hi, lo) between members (p, c, n, label) of the same p with different labels: of those between two labels, one of each meeting."""
 
     def run(table: pa.Table) -> pa.Table:
-        ids, labels, blocks_ = (np.array(table.column(x)) for x in ("c", "label", "i"))
-        own = [np.frombuffer(x, np.int64) for x in table.column("own").to_pylist()]
-        size = np.array([len(x) for x in own])
-        _, col, often = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
-        row, common = np.repeat(np.arange(len(own)), size), often[col] > 1
-        both = np.zeros((len(own), len(own)))
-        kept, col = np.unique(col[common], return_inverse=True)
-        row = row[common]
-        for at in range(0, len(kept), 4096):  # columns of the incidence matrix at a time
-            some = (col >= at) & (col < at + 4096)
-            hit = np.zeros((len(own), min(4096, len(kept) - at)), np.float32)
-            hit[row[some], col[some] - at] = 1
-            both += hit @ hit.T
-        linked = 100 * both >= percent * (size[:, None] + size[None, :] - both)
-        same_block = bool((table.column("lo").to_numpy() == table.column("hi").to_numpy()).all())
-        linked &= (labels[:, None] != labels[None, :]) & (ids[:, None] > ids[None, :])
-        if not same_block:
-            linked &= blocks_[:, None] != blocks_[None, :]
-        hi, lo = np.nonzero(linked)
-        # of the links between two components one does
-        _, first = np.unique(np.stack([np.maximum(labels[hi], labels[lo]), np.minimum(labels[hi], labels[lo])]), axis=1, return_index=True)
-        return pa.table({"hi": pa.array(ids[hi[first]], pa.int64()), "lo": pa.array(ids[lo[first]], pa.int64())})
-
-    return met.join(sets, "c").groupBy("p", "lo", "hi").applyInArrow(run, "hi bigint, lo bigint")
-
-
-def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, k: int = K) -> DataFrame:
+        own = [np.frombuffer(x.as_buffer(), np.int64) for x in table.column("own").combine_chunks()]
+        ids, label, size = np.array(table.column("c")), np.array(table.column("label")), np.array([len(x) for x in own])
+        both = _common(own)
+        alike = np.triu(_facing(table) & (100 * both >= percent * (size[:, None] + size[None, :] - both)), 1)
+        x, y = np.nonzero(alike)
+        _, first = np.unique(np.stack([np.maximum(label[x], label[y]), np.minimum(label[x], label[y])]), axis=1, return_index=True)
+        x, y = ids[x[first]], ids[y[first]]
+        return pa.table({"hi": pa.array(np.maximum(x, y), pa.int64()), "lo": pa.array(np.minimum(x, y), pa.int64())})
+
+    return _dealt(members, 8 * F.col("n"), room).join(sets, "c").groupBy("part").applyInArrow(run, "hi bigint, lo bigint")
+
+
+def class_components(docs: DataFrame, width: int, percent: int, k: int, few: int = FEW, pivots: int = PIVOTS, members: int = MEMBERS, room: int = BYTES) -> DataFrame:
+    """One row for each row of docs, as a staged table: doc_id, n (shingles), c (the class),
+    component_id (the smallest doc_id of all rows that links reach) and keeper (the class of the
+    row of that id; of several, the smallest). Rows without shingles are linked with nothing; a
+    component without any doc_id has a null component_id."""
+    rows = staged(sketches(docs, width, k), "sketches")
+    classes = staged(rows.where("n > 0").groupBy("n", "s1", "s2", "c").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"), F.first("sketch").alias("sketch")), "classes")
+
+    index = staged(listed(classes, k, percent), "index")
+    # pairs have a member with the list's size, so the pivot is one of these
+    rank = F.struct((~F.col("small")).alias("other"), F.xxhash64("c", "v").alias("r"), "c", "n")
+    stats = index.groupBy("v", "m").agg(F.count("*").alias("count"), F.max("small").alias("pairs"), F.min(rank).alias("a"), F.min("c").alias("p")).where("count > 1 and pairs").select("v", "m", "count", F.col("a.c").alias("a"), F.col("a.n").alias("n_a"), "p")
+    limit = heavy_limit(index.count())
+    lists = staged(spread_join(index, stats, ["v", "m"], "c", stats.select("v", "m", "count"), limit), "lists")
+    unstage(index)
+    short = lists.where(F.col("count") <= few)
+    x, y = short.select("v", "m", "c", "n", "small").alias("x"), short.select("v", "m", "c", "n", "small").alias("y")
+    same = (F.col("x.v") == F.col("y.v")) & (F.col("x.m") == F.col("y.m")) & (F.col("x.c") < F.col("y.c")) & (F.col("x.small") | F.col("y.small"))
+    pairs = x.join(y, same).where(_sizes_fit("x.n", "y.n", percent)).select(F.col("x.c").alias("a"), F.col("y.c").alias("b"))
+    long_ = lists.where(F.col("count") > few)
+    pivoted = long_.where("c != a").where(_sizes_fit("n", "n_a", percent)).select("a", F.col("c").alias("b"))
+    found = [_linked(pairs.unionAll(pivoted), docs, classes, width, percent, k)]
+    roots = components(found[0])
+
+    def mixed(roots: DataFrame) -> DataFrame:
+        label = roots.select(F.col("node").alias("c"), "root")
+        rows = long_.join(label, "c", "left").select("v", "m", "c", "n", "small", "count", "p", F.coalesce("root", "c").alias("label"))
+        several = rows.groupBy("v", "m").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("count"), F.min(F.struct((~F.col("small")).alias("other"), F.xxhash64("c", "v", F.lit(1)).alias("r"), "c", "n", "label")).alias("a")).where("lo < hi")
+        more = several.select("v", "m", F.col("a.c").alias("a"), F.col("a.n").alias("n_a"), F.col("a.label").alias("l_a"))
+        return spread_join(rows.drop("count"), more, ["v", "m"], "c", several.select("v", "m", "count"), limit)
+
+    for _ in range(1, pivots):
+        again = mixed(roots).where("label != l_a").where(_sizes_fit("n", "n_a", percent)).select("a", F.col("c").alias("b"))
+        found.append(_linked(again, docs, classes, width, percent, k))
+        following = components(roots.select(F.col("node").alias("hi"), F.col("root").alias("lo")).unionAll(found[-1]))
+        unstage(roots)
+        roots = following
+    rest = staged(mixed(roots).select("p", "c", "n", "label").distinct(), "rest")
+    alive = staged(_alive(rest, classes, k, percent, members), "alive")
+    sets = full_sets(docs, classes, alive.select("c").distinct(), width)
+    found.append(staged(_block_links(alive, sets, percent, room), "links"))
+    final = components(roots.select(F.col("node").alias("hi"), F.col("root").alias("lo")).unionAll(found[-1]))
+
+    linked = final.select(F.col("node").alias("c"), "root").unionAll(final.select(F.col("root").alias("c"), "root").distinct())
+    named = classes.select("c", "first").join(linked, "c")
+    smallest = F.min(F.struct(F.col("first").isNull().alias("none"), "first", "c")).alias("s")
+    of_root = named.groupBy("root").agg(smallest, F.count("*").alias("count")).select("root", F.col("s.first").alias("component_id"), F.col("s.c").alias("keeper"), "count")
+    n = classes.count()
+    of_class = spread_join(linked, of_root.drop("count"), ["root"], "c", of_root.select("root", "count"), heavy_limit(n)).drop("root")
+    known = classes.select("c", "first", "copies").join(of_class, "c", "left").where("copies > 1 or keeper is not null")
+    known = staged(known.select("c", F.when(F.col("keeper").isNull(), F.col("first")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("keeper", "c").alias("keeper"), F.col("copies").alias("count")), "known")
+    small = rows.select("doc_id", "n", "c")
+    some = spread_join(small.where("n > 0"), known.drop("count").withColumn("known", F.lit(True)), ["c"], "doc_id", known.select("c", "count"), heavy_limit(n), "left")
+    out = some.select("doc_id", "n", "c", F.when(F.col("known"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.coalesce("keeper", "c").alias("keeper"))
+    out = staged(out.unionAll(small.where("n = 0").select("doc_id", "n", "c", F.col("doc_id").alias("component_id"), F.col("c").alias("keeper"))), "near")
+    unstage(rows, classes, lists, rest, alive, sets, roots, final, known, *found)
+    return out
+
+
+def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, k: int = K, **sizes: int) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id (the smallest doc_id that links
     reach, itself included) and kept (doc_id = component_id).
 
     Links are all pairs with 100 * |intersection| >= percent * |union|. Empty and null texts, and
     texts without words, have no shingles and no links. Rows with the same doc_id are one
-    document, for which the text with the most shingles stands (of equally many, the one with the
-    larger hash). Each row with a null doc_id is a document of its own without links: component_id
-    is null and kept is true. An empty table gives an empty result.
+    document: every text's links count, n_shingles is the largest and component_id the smallest
+    of its texts. Each row with a null doc_id is a document of its own; its component_id is null
+    if it is linked with no id. An empty table gives an empty result. Further columns of docs
+    aren't read. sizes: see class_components().
     """
-    rows = staged(sketches(docs, width, k), "sketches")
-    per_doc = rows.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.struct("n", "s1", "s2")).alias("p")).select("doc_id", "p.n", "p.s1", "p.s2")
-    firsts = per_doc.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("c"))
-    found = rows.withColumnRenamed("doc_id", "c").join(firsts, ["c", "n", "s1", "s2"], "left_semi")
-    classes = staged(found.dropDuplicates(["c"]), "classes")
-
-    postings = classes.select("c", F.explode("sketch").alias("v"))
-    often = postings.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
-    # up to percent of k, both sets of a pair fit into their sketches and the overlap has an exact bound; of larger
-    # ones, as in _estimated(), pairs are given up that share 30 % of k less than the threshold lets expect
-    need = F.when(F.col("n") * 100 <= k * percent, F.ceil(F.col("n") * percent / 100.0)).otherwise(F.lit(max(1, k * (percent - 30) // 100))).cast("int")
-    per_class = postings.join(often, "v").groupBy("c").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("shared"))
-    listed = per_class.where(F.size("shared") >= 1).join(classes.select("c", "n"), "c").withColumn("room", F.size("shared") - need + 1).where("room > 0")
-    index = staged(listed.select("c", "n", F.explode(F.slice("shared", F.lit(1), F.col("room"))).alias("x")).select(F.col("x.v").alias("v"), "c", "n"), "index")
-
-    pivots = index.groupBy("v").agg(F.min(F.struct("c", "n")).alias("p"), F.count("*").alias("m")).where("m > 1").select("v", F.col("p.c").alias("a"), F.col("p.n").alias("n_a"))
-    first = index.join(pivots, "v").where(F.col("c") != F.col("a")).where(_sizes_fit("n", "n_a", percent)).select("a", F.col("c").alias("b")).distinct()
-    first = staged(first, "pairs")
-    near = staged(_estimated(first, classes, k, percent), "near")
-    links = staged(_confirmed(near, full_sets(docs, classes, _ends(near), width), percent), "links")
-    roots = components(links)
-
-    label = roots.select(F.col("node").alias("c"), "root")
-    labelled = index.join(label, "c", "left").select("v", "c", "n", F.coalesce("root", "c").alias("label"))
-    mixed = labelled.groupBy("v").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m"), F.min("c").alias("p")).where("m > 2 and lo < hi").select("v", "p")
-    like = near.select(F.col("a").alias("p"), F.col("b").alias("c"))
-    here = labelled.join(mixed, "v").where("c != p").join(like.withColumn("like", F.lit(True)), ["p", "c"], "left").select("p", "v", "c", "n", "label", F.coalesce("like", F.lit(False)).alias("like"))
-    rest = staged(here, "rest")
-    # a pair comes out at the smallest list that it shares; where both are like that list's pivot, their blocks meet
-    lists = rest.groupBy("c").agg(F.collect_set("v").alias("mine"))
-    wide = rest.join(lists, "c")
-    x = wide.select("v", F.col("c").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("l_a"), F.col("like").alias("k_a"), F.col("mine").alias("m_a"))
-    y = wide.where("not like").select("v", F.col("c").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("l_b"), F.col("mine").alias("m_b"))
-    near_sized = (F.col("k_a") | (F.col("a") < F.col("b"))) & (F.col("l_a") != F.col("l_b")) & _sizes_fit("n_a", "n_b", percent)
-    second = x.join(y, (x["v"] == y["v"]) & near_sized & (F.array_min(F.array_intersect("m_a", "m_b")) == x["v"])).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    second = staged(second, "second")
-    other = staged(_estimated(second, classes, k, percent), "other")
-    blocks = staged(rest.where("like").select("p", "c", "n", "label").distinct(), "blocks")
-    own = staged(full_sets(docs, classes, _ends(other).unionAll(blocks.select("c")).distinct(), width), "sets")
-    more = _confirmed(other, own, percent).unionAll(_block_links(blocks, own, percent))
-    final = components(roots.select(F.col("node").alias("hi"), F.col("root").alias("lo")).unionAll(more))
-
-    of_class = classes.select("n", "s1", "s2", "c").join(final.select(F.col("node").alias("c"), "root"), "c", "left").select("n", "s1", "s2", F.coalesce("root", "c").alias("component_id"))
-    known = per_doc.select("doc_id", "n", "s1", "s2").join(of_class, ["n", "s1", "s2"], "left")
-    out = known.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
-    lone = rows.where("doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.lit(None).cast("bigint").alias("component_id"))
-    unstage(first, near, index, rest, second, other, blocks, own)
-    return out.unionAll(lone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    rows = class_components(docs, width, percent, k, **sizes)
+    per_doc = rows.where("doc_id is not null").groupBy("doc_id").agg(F.max("n").alias("n_shingles"), F.min("component_id").alias("component_id"))
+    lone = rows.where("doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return per_doc.unionAll(lone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def first_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, k: int = K) -> DataFrame:
-    """The rows of docs, all columns, without the documents whose component has a smaller doc_id.
+    """The rows of docs, all columns, of which one row of each component stays.
 
-    Rows that repeat a doc_id stay or go together; rows with a null doc_id stay.
+    It is the row with the smallest doc_id; of rows with that id, one of the keeper's class. Rows
+    without shingles all stay, and so does each text of a repeated id that is like no other; of
+    linked rows without an id, one stays if none has one. Only rows whose id isn't that of one
+    row that stays are looked at again and shuffled; the others pass as they are.
     """
-    gone = near_duplicates(docs, width, percent, k).where("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rows = class_components(docs, width, percent, k)
+    stays = (F.col("n") == 0) | (F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("c") == F.col("keeper")))
+    per_id = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min(stays).alias("all"), F.count("*").alias("rows"))
+    asked = staged(per_id.where("not all or rows > 1").select("doc_id"), "asked")
+    n = asked.count()
+
+    def sums(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            out = []
+            for part in slices([pa.RecordBatch.from_arrays([batch], ["text"])], size=_SLICE):
+                out += [{"n": len(x), "s1": s1, "s2": s2} for x in shingle_sets(part.column(0).to_pylist(), width) for s1, s2 in [_mark(x)]]
+            yield pa.array(out, pa.struct([("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64())]))
+
+    packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"))
+    looked = _marked(packed, "doc_id", asked, n).where("likely").select("row", "doc_id", F.arrow_udf(sums, "struct<n:bigint,s1:bigint,s2:bigint>")(F.coalesce(F.col("row")["text"], F.lit(""))).alias("x"))
+    keyed = looked.select("row", F.col("x.n").alias("n"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), _CLASS("x.n", "x.s1", "x.s2").alias("c"))
+    keep = _marked(rows.where(stays), "doc_id", asked, n).where("likely").select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "c").distinct()
+    one = keyed.where("n > 0").dropDuplicates(["id", "none", "c"]).join(keep, ["id", "none", "c"], "left_semi").select("row.*")
+    sure = _marked(packed, "doc_id", asked, n).where("not likely").select("row.*")
+    return sure.unionAll(one).unionAll(keyed.where("n = 0").select("row.*"))
