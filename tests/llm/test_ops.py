@@ -365,3 +365,69 @@ def test_components_of_a_star_and_nothing(spark):
     got = components.components(more).collect()
     assert len(got) == 2999 + 49 and {r.root for r in got} == {0}
     assert components.components(star.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("kind,most", [("together", 20), ("xor", 60)])
+def test_factors_learn_what_no_term_says_alone(kind, most):
+    """Two terms that are equally frequent in both classes: toxic is both together, or exactly one of them."""
+    rng = np.random.default_rng(6)
+
+    def draw(n):
+        out = []
+        for i in range(n):
+            a, b, y = int(rng.integers(2)), int(rng.integers(2)), i % 2
+            if kind == "together":
+                a, b = (a, a) if y else (a, 1 - a)
+            else:
+                y = int(a != b)
+            own = {k for k, there in ((1, a), (2, b)) if there} | set(rng.integers(100, 2000, 12).tolist())
+            out.append((y, i, np.array(sorted(own), np.uint64)))
+        return out
+
+    model, held = toxicity.factorize(draw(6000)), draw(1000)
+    assert sum((model.raw(toxicity.Sparse(model.keys).find(own)[1]) >= 0) != y for y, _, own in held) <= most
+
+
+def test_factor_sum_is_the_sum_over_pairs():
+    rng = np.random.default_rng(8)
+    model = toxicity.FactorModel(np.arange(1, 9).astype(np.uint64), rng.normal(size=8), rng.normal(size=(8, 3)), 0.3)
+    own = np.array([0, 2, 3, 7])
+    pairs = sum(float(model.factors[a] @ model.factors[b]) for a in own for b in own if a < b)
+    assert model.raw(own) == pytest.approx(0.3 + model.weights[own].sum() + pairs)
+
+
+def test_ftrl_step_by_step():
+    rng = np.random.default_rng(9)
+    sample = [(int(rng.integers(2)), i, np.array(sorted(set(rng.integers(1, 12, 4).tolist())), np.uint64)) for i in range(80)]
+    alpha, beta, l1, l2 = 0.1, 1.0, 0.5, 1.0
+    z, n = Counter(), Counter()
+
+    def weight(k):
+        free = 0.0 if k == "bias" else l1
+        return 0.0 if abs(z[k]) <= free else -(z[k] - math.copysign(free, z[k])) / ((beta + math.sqrt(n[k])) / alpha + l2)
+
+    for _ in range(2):
+        for y, _, own in sample:
+            keys = [*own.tolist(), "bias"]
+            w = {k: weight(k) for k in keys}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - y
+            for k in keys:
+                sigma = (math.sqrt(n[k] + g * g) - math.sqrt(n[k])) / alpha
+                z[k] += g - sigma * w[k]
+                n[k] += g * g
+    model = quality.ftrl(sample, alpha, beta, l1, l2, epochs=2, least=1)
+    want = {k: weight(k) for k in range(1, 12) if weight(k)}
+    assert dict(zip(model.keys.tolist(), model.weights, strict=True)) == pytest.approx(want) and model.bias == pytest.approx(weight("bias"))
+
+
+def test_classifiers_on_long_texts_ties_and_clashing_names(spark):
+    labels = spark.createDataFrame([(i, i % 2, (i + 1) % 2) for i in range(200)], "doc_id bigint, quality int, toxic int")
+    text = lambda i: ("good words here " if i % 2 else "bad slur group ") * (30000 if i in (0, 1) else 3)
+    rows = [(i, text(i), 1.0, "x") for i in range(200)] + [(7, text(8), 2.0, "y"), (None, None, 3.0, "z")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, score double, y string")
+    for module in (quality, toxicity):
+        model = module.fit(docs, labels)
+        got = module.score(docs, model).collect()
+        assert len(got) == 202 and len({r.score for r in got if r.doc_id is not None and r.doc_id > 1 and r.doc_id % 2 == 0}) == 1
+        kept = module.accepted(docs, model)
+        assert kept.columns == docs.columns and kept.count() == sum((r.score >= 0.3) if module is quality else (r.score < 0.5) for r in got)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._arrays import TERM_CLASS, Sparse, Tokens, U, mix, pair_hash
-from ._labelled import MAX_EACH, labelled_sample, score_rows
+from ._labelled import MAX_EACH, folded, labelled_sample, score_rows, scores
 from ._shared import remainder
 
 THRESHOLD = 0.3
@@ -37,7 +37,7 @@ def ngrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class LinearModel:
-    """Weights of the hashes that have one; all others weigh nothing."""
+    """Weights of the features that have one; all others weigh nothing."""
 
     keys: np.ndarray
     weights: np.ndarray
@@ -49,7 +49,7 @@ class LinearModel:
         def score(texts: list[str | None]) -> np.ndarray:
             flat, counts = ngrams(texts)
             doc = np.repeat(np.arange(len(texts)), counts)
-            at, row = sparse.find(flat)
+            at, row = sparse.find(folded(flat))
             seen = np.unique(doc[at] * len(self.keys) + row) if len(at) else np.zeros(0, np.int64)
             dot = np.bincount(seen // max(1, len(self.keys)), self.weights[seen % max(1, len(self.keys))], len(texts)) if len(seen) else np.zeros(len(texts))
             return 1 / (1 + np.exp(-np.clip(dot + self.bias, -40, 40)))
@@ -60,8 +60,8 @@ class LinearModel:
 def ftrl(sample: list[tuple[int, int, np.ndarray]], alpha: float = 0.1, beta: float = 1.0, l1: float = 2.0, l2: float = 1.0, epochs: int = 3, least: int = 3) -> LinearModel:
     """Per-coordinate FTRL-proximal over the sample, in its order; features are present or not.
 
-    Weights whose accumulated gradient stays within l1 are exactly 0 and aren't kept. Hashes that
-    fewer than `least` documents of the sample hold are left out. Without both classes the score
+    Weights whose accumulated gradient stays within l1 are exactly 0 and aren't kept. Features
+    that fewer than `least` documents of the sample hold are left out. Without both classes the score
     is the known class's, 0.5 without any.
     """
     classes = {y for y, *_ in sample}
@@ -105,4 +105,4 @@ def score(docs: DataFrame, model: LinearModel, threshold: float = THRESHOLD) ->
 
 def accepted(docs: DataFrame, model: LinearModel, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs, all columns, whose score is at least the threshold."""
-    return score_rows(docs, model.scorer, lambda s: s >= threshold)
+    return docs.where(scores(F.col("text"), model.scorer) >= threshold)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._arrays import TERM_CLASS, Sparse, Tokens
-from ._labelled import MAX_EACH, informative, labelled_sample, score_rows
+from ._labelled import MAX_EACH, folded, informative, labelled_sample, score_rows, scores
 from ._shared import remainder
 
 THRESHOLD = 0.5
@@ -50,7 +50,7 @@ class FactorModel:
         def score(texts: list[str | None]) -> np.ndarray:
             flat, counts = terms(texts)
             doc = np.repeat(np.arange(len(texts)), counts)
-            at, row = sparse.find(flat)
+            at, row = sparse.find(folded(flat))
             out = np.full(len(texts), self.bias)
             if len(at):
                 seen = np.unique(doc[at] * len(self.keys) + row)
@@ -123,4 +123,4 @@ def score(docs: DataFrame, model: FactorModel, threshold: float = THRESHOLD) ->
 
 def accepted(docs: DataFrame, model: FactorModel, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs, all columns, whose score is below the threshold."""
-    return score_rows(docs, model.scorer, lambda s: s < threshold)
+    return docs.where(scores(F.col("text"), model.scorer) < threshold)
