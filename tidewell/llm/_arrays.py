@@ -7,9 +7,11 @@ prefix sums of a polynomial over its bytes. No Python code runs per token.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 U = np.uint64
 #: Bytes of text handled at a time; a longer text is cut at white space.
@@ -30,6 +32,15 @@ for _c in (*range(48, 58), *range(65, 91), *range(97, 123), 95, *range(128, 256)
     TERM_CLASS[_c] = 1
 
 
+def release() -> None:
+    """Gives freed memory back to the system: a Python worker waits for further tasks with what it holds."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse modulo 2**64, at least n of each."""
     while len(_powers[0]) < n:

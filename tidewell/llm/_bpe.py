@@ -45,7 +45,7 @@ class FastBPE:
     with a marker, else byte-level pre-tokens that keep a leading space. A None text counts as empty.
     """
 
-    def __init__(self, path: str, table_bits: int = 21):
+    def __init__(self, path: str, table_bits: int = 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -62,7 +62,7 @@ class FastBPE:
 
     def _forget(self) -> None:
         self.table = Table(self.bits)
-        rows = (1 << self.bits) // 2 + (1 << 20)
+        rows = (1 << self.bits) // 2 + (1 << 18)
         self.at, self.len = np.zeros(rows, np.int64), np.zeros(rows, np.int32)
         self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
 
@@ -194,7 +194,7 @@ class CutBPE(FastBPE):
     cut at all such pairs, the fragments are encoded independently and the ids concatenated.
     """
 
-    def __init__(self, path: str, table_bits: int = 21):
+    def __init__(self, path: str, table_bits: int = 20):
         super().__init__(path, table_bits)
         back = {c: b for b, c in enumerate(self.chars)}
         self.inside = np.zeros((256, 256), bool)

@@ -81,8 +81,9 @@ def scores(text: Column, scorer: Callable[[], Callable[[list[str | None]], np.nd
         for batch in batches:
             parts = [score(part.column(0).to_pylist()) for part in slices([pa.RecordBatch.from_arrays([batch], ["text"])], _ROWS, _BYTES)]
             yield pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
+            del batch
 
-    return F.arrow_udf(run, "double")(text)
+    return F.arrow_udf(run, "double").asNondeterministic()(text)
 
 
 def score_rows(docs: DataFrame, scorer: Callable[[], Callable[[list[str | None]], np.ndarray]]) -> DataFrame:

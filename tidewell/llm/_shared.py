@@ -5,8 +5,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +48,12 @@ def heavy_limit(rows: int) -> int:
     return max(1000, rows // HEAVY)
 
 
+def _table(spark: SparkSession, found: list, like: DataFrame) -> DataFrame:
+    """Collected rows as a table, without a Python worker on the executors."""
+    columns = [pa.array([r[i] for r in found], to_arrow_type(f.dataType)) for i, f in enumerate(like.schema)]
+    return spark.createDataFrame(pa.table(columns, names=like.columns)).select(*[F.col(f.name).cast(f.dataType) for f in like.schema])
+
+
 def spread_join(rows: DataFrame, table: DataFrame, keys: Sequence[str], by: str, counts: DataFrame, limit: int, how: str = "inner") -> DataFrame:
     """rows joined with table, which has one row a key at most. counts (keys, count) tells how many rows each key has.
 
@@ -57,7 +65,7 @@ def spread_join(rows: DataFrame, table: DataFrame, keys: Sequence[str], by: str,
     found = heavy.collect()
     if not found:
         return rows.join(table, list(keys), how)
-    few = F.broadcast(rows.sparkSession.createDataFrame(found, heavy.schema))
+    few = F.broadcast(_table(rows.sparkSession, found, heavy))
     parts = F.coalesce("_parts", F.lit(1))
     dealt = rows.join(few, list(keys), "left").withColumn("_salt", F.pmod(F.xxhash64(by), parts).cast("int")).drop("_parts")
     copied = table.join(few, list(keys), "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")

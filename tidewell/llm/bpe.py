@@ -9,15 +9,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ._arrays import release
 from ._bpe import encoder
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Batches of at most so many rows, and about so many bytes, whatever the session's Arrow batch size is."""
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches of at most so many rows, and about so many bytes, whatever the session's Arrow batch
+    size is. Freed memory goes back to the system after each of the given batches."""
     for batch in batches:
         step = max(1, min(rows, batch.num_rows * size // max(1, batch.nbytes)))
         for at in range(0, batch.num_rows, step):
             yield batch.slice(at, step)
+        del batch
+        release()
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", ids: bool = True, digests: bool = True) -> DataFrame:

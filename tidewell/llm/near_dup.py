@@ -417,8 +417,10 @@ def first_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, k
                 out += [{"n": len(x), "s1": s1, "s2": s2} for x in shingle_sets(part.column(0).to_pylist(), width) for s1, s2 in [_mark(x)]]
             yield pa.array(out, pa.struct([("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64())]))
 
+    # not deterministic: so that Spark evaluates it in one place only, and each task has one Python worker
+    summed = F.arrow_udf(sums, "struct<n:bigint,s1:bigint,s2:bigint>").asNondeterministic()
     packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"))
-    looked = _marked(packed, "doc_id", asked, n).where("likely").select("row", "doc_id", F.arrow_udf(sums, "struct<n:bigint,s1:bigint,s2:bigint>")(F.coalesce(F.col("row")["text"], F.lit(""))).alias("x"))
+    looked = _marked(packed, "doc_id", asked, n).where("likely").select("row", "doc_id", summed(F.coalesce(F.col("row")["text"], F.lit(""))).alias("x"))
     keyed = looked.select("row", F.col("x.n").alias("n"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), _CLASS("x.n", "x.s1", "x.s2").alias("c"))
     keep = _marked(rows.where(stays), "doc_id", asked, n).where("likely").select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "c").distinct()
     one = keyed.where("n > 0").dropDuplicates(["id", "none", "c"]).join(keep, ["id", "none", "c"], "left_semi").select("row.*")
