@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewell.functions import coerce, dates, names
-from tidewell.operators import analytics, extract, relational, reshape, validate
+from tidewell.operators import analytics, extract, filters, relational, reshape, validate
 from tidewell.plans import registry
 from tidewell.sources import catalog, io
 
@@ -103,7 +103,8 @@ def test_scores(spark):
 
 
 def test_extract(spark):
-    assert column(spark, ["ab", "Page 3", "https://x", "----", "a||||b", "a good line", None], extract.is_noise) == [True, True, True, True, True, False, True]
+    lines = ["ab", "Page 3", "https://x", "----", "|1|2|3|4|5|", "a good line", None, "Page 3 summary of works", "12345", "Contents", "annual  report", "|1|2|3|4|5|a", "1|2|3|4"]
+    assert column(spark, lines, extract.is_noise) == [True, True, True, True, True, False, True, False, True, True, True, False, False]
     assert column(spark, ["Total: 1,234.5", "no"], extract.key_value) == [("Total", 1234.5), (None, None)]
     assert column(spark, ["12345.6 and 1,000"], extract.numbers) == [[12345.6, 1000.0]]
     assert column(spark, ['{"data":[{"a":1}]}', '[{"a":2}]', "{}"], lambda x: extract.json_records(x, "a:int")) == [[(1,)], [(2,)], None]
@@ -153,6 +154,122 @@ def test_unpivot_has_every_line(spark):
     assert one(got.agg(F.count("amount"), F.count("rate")), "*") == [(lines.count(), 2 * lines.count())]
 
 
+def test_rules_of_lines(spark):
+    assert column(spark, ["12. Bridges built   1,234.5", "Cost (2019) - Rs. 1,200 crore", "Length – 12 km", "no value: none", "Page 12"], extract.line_value) == [
+        ("numbered", "Bridges built", "1,234.5", 1234.5), ("labelled", "Cost (2019)", "Rs. 1,200 crore", 1200.0), ("labelled", "Length", "12", 12.0), (None,) * 4, (None,) * 4,
+    ]
+    pages = ["a 1 2\nb 3 4\n\nc  d e", "a 1 2\nb 3 4", "x | y | z\np | q | r\n1 2", None, "plain\ntext\nonly"]
+    assert column(spark, pages, extract.has_table_signal) == [True, False, True, False, False]
+    assert column(spark, ["3 State of x 12 7 1,234.5", "4 Total 1 2", "5 One 7"], extract.two_last_numbers) == [("State of x", 7.0, 1234.5), (None,) * 3, (None,) * 3]
+    assert column(spark, ["AG, Some  State 12,345", "AG, x", "Total 3"], extract.marked_row) == [("Some State", 12345.0), (None, None), (None, None)]
+    cells = spark.createDataFrame([(["a  b", None, "1,200", "7"],), ([None, "x 5"],), ([],)], "x array<string>")
+    assert [tuple(r[0]) for r in cells.select(extract.table_row(c("x"))).collect()] == [("a b", "a  b | 1,200 | 7", 1200.0, 1), ("table_row", "5", 5.0, 2), (None,) * 4]
+
+
+def test_rules_of_urls(spark):
+    urls = ["//a.org/x", "no url", " HTTPS://A.org ", "http://a.org/p/?ref=1&b=2&source=x&a=1&a=0&igshid=3&c", None]
+    assert column(spark, urls, names.normal_url) == ["https://a.org/x", "no url", "https://a.org/", "http://a.org/p?a=1&a=0&b=2&c=&igshid=3", ""]
+    hosts = ["https://a.org", "https://x.a.org", "https://b.net", "https://x.b.net", "https://xb.net", "http://100.64.0.1", "http://203.0.113.9", "http://8.8.8.8", "http://[2606:4700::1]/", "http://[fe80::1]/"]
+    assert column(spark, hosts, lambda x: names.is_public_url(x, ["a.org"], ["b.net"])) == [True, False, True, True, False, False, False, False, False, False]
+    assert column(spark, hosts, names.is_public_url) == [True, True, True, True, True, True, False, True, True, False]
+
+
+def test_scores_of_rows(spark):
+    one_row, lit = spark.range(1), F.lit
+    got = one_row.select(analytics.row_confidence(lit("ocr"), lit("ocr"), lit(False), lit(False), lit(True), lit(True), lit(True), True, False).alias("x")).first().x
+    assert (got.score, got.flag, got.notes) == (0.34, "low", ["ocr_fallback", "numeric_missing", "ocr_tool_unavailable"])
+    got = one_row.select(analytics.overall(lit(0.8496), lit(0.8496), lit(0.8496), lit(0.8496), lit("ok")).alias("x")).first().x
+    assert (got.score, got.badge, got.reasons) == (0.85, "Med", [])
+    assert one_row.select(analytics.overall(lit(0.1), lit(1.0), lit(1.0), lit(1.0), lit("ok")).alias("x")).first().x.reasons == ["low completeness"]
+    assert analytics.LOW_CAVEAT in one_row.select(analytics.overall(lit(0.1), lit(0.5), lit(0.5), lit(1.0), lit("ok")).alias("x")).first().x.reasons
+    titles = [("Annual Report of 2019-20", "https://x.org/annual-report/a.pdf"), ("Tender notice 2020", "https://x.org/t"), (None, None)]
+    df = spark.createDataFrame(titles, "t string, u string")
+    assert [r[0] for r in df.select(analytics.relevance(c("t"), c("u"))).collect()] == [0.85, 0.0, 0.0]
+
+
+def test_coverage_is_by_equal_names(spark):
+    sources = spark.createDataFrame([("s1", "Roads", None, ["State", "mileage"]), ("s2", None, "Age", None), ("s3", "x", "y", ["age"])], "source_id string, title string, dataset string, columns array<string>")
+    aliases = spark.createDataFrame([("person", "age"), ("place", "state"), ("place", "S2"), ("none", "zzz")], "entity string, alias string")
+    assert dict(one(analytics.coverage(sources, aliases), "entity", "n_sources")) == {"person": 2, "place": 2, "none": 0}
+    got = analytics.relation_evidence(sources, aliases, spark.createDataFrame([("person", "place"), ("place", "none")], "from_entity string, to_entity string"))
+    assert {r[0]: (r[2], r[3]) for r in got.collect()} == {"person": (1, ["s2"]), "place": (0, [])}
+
+
+def test_choices(spark):
+    df = spark.createDataFrame([("a", i, float(i % 4)) for i in range(13)] + [("b", 0, None), ("b", 1, 2.0)], "k string, i int, x double")
+    assert sorted(r.i for r in relational.every_nth(df.where("k = 'a'"), ["k"], 6, c("i")).collect()) == list(range(0, 13, 2))
+    assert one(relational.mode(df, ["k"], "x", "i").orderBy("k"), "k", "x", "n") == [("a", 0.0, 4), ("b", None, 1)]
+    assert sorted(one(relational.arg_max(df, ["k"], "x", "i"), "k", "i")) == [("a", 3), ("b", 1)]
+    assert filters.by_key(df, "k", "All").count() == 15 and filters.by_key(df, "k", " A!").count() == 13 and filters.by_source(df, col="k").count() == 0
+    assert validate.exit_code(spark.createDataFrame([("warning",)], "severity string")) == 0
+    assert validate.exit_code(spark.createDataFrame([("warning",)], "severity string"), strict=True) == 1
+    empty = df.limit(0)
+    assert relational.every_nth(empty, ["k"], 6, c("i")).count() == relational.mode(empty, ["k"], "x", "i").count() == 0
+
+
+PAGES = [f'{{"i": {i}}}' for i in range(23)]
+
+
+def some_pages(offset, limit):
+    return PAGES[offset : offset + limit]
+
+
+def test_sources(spark, tmp_path, monkeypatch):
+    root = tmp_path / "in"
+    root.mkdir()
+    (root / "s1.csv").write_bytes("Name,Größe\nJosé,1\n".encode("cp1252"))
+    (root / "s1_b.csv").write_text("\ufeffname\tsize\nx\t2\n")
+    (root / "s2.json").write_text('[{"A B": 1}, {"A B": 2}]')
+    (root / "s2_x.pdf").write_bytes(b"%PDF-1.4 x")
+    assert io.encoding_of(spark, str(root / "s1.csv")) == "windows-1252"
+    assert one(io.csv(spark, str(root / "s1.csv")), "name", "größe") == [("José", "1")]
+    assert one(io.csv(spark, str(root / "s1_b.csv")), "name", "size") == [("x", "2")]
+    both = io.manual(spark, str(root), "s2")
+    assert sorted(one(both, "a_b", "file_name"), key=str) == [(1, None), (2, None), (None, "s2_x.pdf")] and io.manual(spark, str(root), "s9") is None
+    out = str(tmp_path / "cat")
+    entries = spark.createDataFrame([("a", 1, None), ("b", 2, "x")], "source_id string, n int, t string")
+    catalog.write_catalog(spark, entries, out, "2026-01-01")
+    assert sorted(one(catalog.read_catalog(spark, out), "source_id", "n", "t"), key=str) == [("a", 1, None), ("b", 2, "x")]
+    (tmp_path / "bad.json").write_text('{"x": 1}')
+    with pytest.raises(ValueError):
+        catalog.read_catalog(spark, str(tmp_path / "bad.json"))
+    sources = [catalog.Source("a", theme="roads", columns=("x", "y"), extra={"url": "https://a.org"}), catalog.Source("b", official=False)]
+    catalog.write_inventory(spark, sources, str(tmp_path / "inv"), "2026-01-01")
+    assert catalog.read_inventory(spark, str(tmp_path / "inv")) == sources and catalog.read_inventory(spark, str(tmp_path / "none.json")) == []
+    assert catalog.sources_table(spark, sources).count() == 2
+    assert io.read_json(spark, str(tmp_path / "none.json"), "a int").count() == 0
+    catalog.write_manifests(entries, str(tmp_path / "man"))
+    assert (tmp_path / "man" / "source_id=a").is_dir()
+    at = io.snapshot(entries, str(tmp_path / "raw"), "20260101_000000")
+    assert io.merged(spark, str(tmp_path / "raw")).count() == 2 and at.endswith("raw_20260101_000000")
+    sums = io.checksums(spark, str(root))
+    assert sums.count() == 4 and validate.checksum_findings(sums, sums).count() == 0
+    assert column(spark, ["/old/a", "/older/a"], lambda x: io.rebased(x, "/old", "/new")) == ["/new/a", "/older/a"]
+    assert catalog.markdown(entries.orderBy("source_id"), 1).endswith("| a | 1 |  |\n1 further rows")
+    spark.dataSource.register(io.PagedSource)
+    read = lambda **o: spark.read.format("tidewell_pages").options(fetch="tests.test_engine.some_pages", limit="5", **o).load().count()
+    assert read(total="23") == read() == 23
+    with pytest.raises(Exception, match="pages"):
+        read(total="23", pages="2")
+
+
+def test_stream_again_and_late(spark, tmp_path):
+    from tidewell.streaming.events import current, upsert_stream, windowed
+
+    schema = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double"
+    at = lambda day, hour=1: datetime.datetime(2024, 1, day, hour)
+    first = [(1, at(1), 1, "a", 1.0), (2, at(1), 2, "a", 2.0)]
+    for name, rows in (("f1", first), ("f2", [(3, at(5), 1, "a", 5.0)]), ("f3", [(5, at(6), 3, "a", 1.0)]), ("f4", [(4, at(1, 2), 1, "a", 9.0)])):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in" / name))
+    stream = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    for _ in range(2):  # a second run finds nothing new, and changes nothing
+        upsert_stream(spark, stream(), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    assert sorted(one(current(spark, str(tmp_path / "out"), ["user_id"], "event_id"), "user_id", "event_id")) == [(1, 4), (2, 2), (3, 5)]
+    q = windowed(stream(), "1 day").writeStream.outputMode("append").format("memory").queryName("late").option("checkpointLocation", str(tmp_path / "cp2")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert one(spark.table("late"), "start", "n") == [(at(1, 0), 2)]  # the row that came after the watermark had passed its day isn't counted
+
+
 def test_stream(spark, tmp_path):
     from tidewell.streaming.events import upsert_stream, windowed
 

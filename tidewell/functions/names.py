@@ -1,4 +1,4 @@
-"""Headers, labels and keys."""
+"""Headers, labels, keys and URLs."""
 
 from __future__ import annotations
 
@@ -103,33 +103,79 @@ def document_key(*parts: Column) -> Column:
 
 
 def file_alias(path: str) -> str:
-    """A table alias for a path: its sanitised end and a stable number."""
+    """A table alias for a path: its sanitised beginning (45 characters at most) and a stable number."""
     number = 0
     for ch in path:
         number = (31 * number + ord(ch)) % ((1 << 31) - 1)
-    return f"{re.sub(r'[^A-Za-z0-9_]', '_', path)[-32:]}_{number}"
+    return f"{re.sub(r'[^A-Za-z0-9]+', '_', path).strip('_')[:45] or 'dataset'}_{number}"
 
 
-#: Query parameters that only track.
-TRACKING = ("fbclid", "gclid", "mc_cid", "mc_eid", "igshid")
+#: Query parameters that only track; besides these, all that begin with utm_.
+TRACKING = ("fbclid", "gclid", "mc_cid", "mc_eid", "ref", "source")
+_URL = r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]+)([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
 
 
 def normal_url(c: Column) -> Column:
-    """lower-case host, single slashes in the path, sorted query without tracking keys, no fragment."""
-    part = lambda name: F.try_parse_url(c, F.lit(name))
-    path = F.regexp_replace(F.coalesce(part("PATH"), F.lit("")), "/{2,}", "/")
-    pairs = F.filter(F.split(F.coalesce(part("QUERY"), F.lit("")), "&"), lambda p: (p != "") & ~p.startswith("utm_") & ~F.substring_index(p, "=", 1).isin(*TRACKING))
-    query = F.array_join(F.array_sort(pairs), "&")
-    return F.concat(F.lower(part("PROTOCOL")), F.lit("://"), F.lower(part("HOST")), path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
-
-
-def is_public_url(c: Column, allowed: Iterable[str] = ()) -> Column:
-    """http(s), no credentials, a host that isn't local, private, or a bare number, and, if
-    hosts are allowed by name, one of them or below one of them. Null and unparsable: false."""
-    host = F.lower(F.try_parse_url(c, F.lit("HOST")))
-    private = host.rlike(r"^(localhost|.*\.local|.*\.internal|0\..*|10\..*|127\..*|169\.254\..*|192\.168\..*|172\.(1[6-9]|2\d|3[01])\..*|100\.(6[4-9]|[7-9]\d|1[01]\d|12[0-7])\..*|\[.*\]|\d+|(22[4-9]|2[3-5]\d)\..*)$")
-    ok = F.lower(F.try_parse_url(c, F.lit("PROTOCOL"))).isin("http", "https") & F.try_parse_url(c, F.lit("USERINFO")).isNull() & host.contains(".") & ~private
-    names = [h.lower() for h in allowed]
-    if names:
-        ok = ok & F.array_contains(F.array(*[(host == h) | host.endswith("." + h) for h in names]), True)
+    """lower-case scheme and host, single slashes in the path and none at its end, the query by
+    key without tracking keys, no fragment. `//host` gets https; what has no scheme or host stays as
+    it is; null is empty. Percent codes stay as written."""
+    raw = F.regexp_replace(F.coalesce(c, F.lit("")), r"^\s+|\s+$", "")
+    part = lambda i: F.regexp_extract(raw, _URL, i)
+    path = F.regexp_replace(F.regexp_replace(part(3), "/{2,}", "/"), "/+$", "")
+    items = F.transform(F.filter(F.split(part(4), "&"), lambda p: p != ""), lambda p, i: F.struct(F.substring_index(p, "=", 1).alias("key"), i.alias("i"), F.when(p.contains("="), p).otherwise(F.concat(p, F.lit("="))).alias("item")))
+    kept = F.filter(items, lambda x: ~F.lower(x["key"]).startswith("utm_") & ~F.lower(x["key"]).isin(*TRACKING))
+    query = F.array_join(F.transform(F.array_sort(kept), lambda x: x["item"]), "&")
+    whole = F.concat(F.lower(part(1)), F.lit("://"), F.lower(part(2)), F.when(path == "", "/").otherwise(path), F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
+    return F.when(raw.startswith("//"), F.concat(F.lit("https:"), raw)).when(part(1) == "", raw).otherwise(whole)
+
+
+def file_url(c: Column) -> Column:
+    """trimmed, spaces as %20."""
+    return F.replace(F.trim(F.coalesce(c, F.lit(""))), F.lit(" "), F.lit("%20"))
+
+
+def unescaped(c: Column) -> Column:
+    """escaped slashes of a JSON payload as slashes."""
+    return F.regexp_replace(c, r"\\u002[Ff]|\\/", "/")
+
+
+def from_template(url: Column, resource_id: Column) -> Column:
+    """{resource_id} filled in; null where the id is missing or a placeholder."""
+    known = resource_id.isNotNull() & (resource_id != "") & ~resource_id.startswith("PLACEHOLDER_")
+    return F.when(~url.contains("{resource_id}"), url).when(known, F.replace(url, F.lit("{resource_id}"), resource_id))
+
+
+#: Addresses that aren't public (private, loopback, link-local, documentation, multicast, reserved).
+_CLOSED = r"^(0\.|10\.|127\.|169\.254\.|172\.(1[6-9]|2\d|3[01])\.|192\.168\.|192\.0\.[02]\.|198\.1[89]\.|198\.51\.100\.|203\.0\.113\.|22[4-9]\.|2[3-5]\d\.)"
+_QUAD = r"^(25[0-5]|2[0-4]\d|1?\d?\d)(\.(25[0-5]|2[0-4]\d|1?\d?\d)){3}$"
+
+
+def host_of(c: Column) -> Column:
+    """The host in lower case, without a dot at its end; empty where there is none."""
+    authority = F.regexp_extract(F.trim(c), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
+    host = F.regexp_replace(F.regexp_extract(authority, r"([^@]*)$", 1), r":\d*$", "")
+    return F.regexp_replace(F.lower(host), r"\.+$", "")
+
+
+def is_public_url(c: Column, hosts: Iterable[str] = (), suffixes: Iterable[str] = ()) -> Column:
+    """P25: http(s), no credentials, a host that is neither this machine nor a closed address, and,
+    if hosts or suffixes are given, one of the hosts, or a suffix or below one. Of addresses in
+    brackets only global ones (2000::/3) are public. Null and unparsable: false."""
+    host = host_of(c)
+    closed = (host == "localhost") | host.endswith(".localhost") | (host.rlike(_QUAD) & host.rlike(_CLOSED)) | (host.startswith("[") & ~host.rlike(r"^\[[23][0-9a-f]{3}:"))
+    authority = F.regexp_extract(F.trim(c), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
+    ok = F.trim(c).rlike(r"^(?i)https?://") & ~authority.contains("@") & (host != "") & ~closed
+    known, below = [h.lower().rstrip(".") for h in hosts], [h.lower().rstrip(".") for h in suffixes]
+    if known or below:
+        allowed = host.isin(*known) if known else F.lit(False)
+        for s in below:
+            allowed = allowed | (host == s) | host.endswith("." + s)
+        ok = ok & allowed
     return F.coalesce(ok, F.lit(False))
+
+
+def allowed_hosts(*fields: Column) -> Column:
+    """The distinct hosts of URL, host or array-of-URL columns of a descriptor, sorted."""
+    host = lambda u: host_of(F.when(u.contains("://"), u).otherwise(F.concat(F.lit("https://"), u)))
+    every = F.flatten(F.array(*[F.coalesce(f, F.array().cast("array<string>")) for f in fields]))
+    return F.array_sort(F.array_distinct(F.filter(F.transform(F.array_compact(every), host), lambda h: h != "")))

@@ -1,25 +1,42 @@
-"""Rows from text."""
+"""Rows from text."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NUMBER = r"-?\d+(?:,\d{3})*(?:\.\d+)?"  # T14
+#: Whole lines that say nothing, next to page numbers and addresses.
+RUNNING_TITLES = ("national highways authority of india", "annual report", "annual report of nhai", "content", "contents")
+#: The forms of a numbered line with a value, and of a label with a value.
+NUMBERED = r"^\s*(\d+\.?)\s+(.+?)\s{2,}(\d+[\d,]*\.?\d*)\s*$"
+LABELLED = r"(?i)([\p{L}\p{N}_/().,%&+\s-]{3,220})[:–—-]\s*(-?(?:Rs\.?|₹|INR)?\s*[\d,]+(?:\.\d+)?(?:\s*(?:crore|crores|lakh|lakhs|million|billion|bn|%|nos?|No\.?|N\.A\.?))?)"
+
+
+def stripped(c: Column) -> Column:
+    """White space off both ends; null is empty."""
+    return F.regexp_replace(F.coalesce(c, F.lit("")), r"^\s+|\s+$", "")
 
 
 def is_noise(line: Column) -> Column:
-    """Short lines, page numbers, addresses, lines without a letter or digit, rows of bars."""
-    t = F.trim(F.coalesce(line, F.lit("")))
-    return (F.length(t) < 4) | t.rlike(r"(?i)^page\s+\d+") | t.rlike(r"(?i)^(https?://|www\.)") | ~t.rlike(r"[\p{L}\p{N}]") | t.rlike(r"\|{3,}")
+    """Fewer than 4 characters, nothing but a page number, digits, an address or a running
+    title, no letter or digit, or six bars or more without a letter."""
+    t = F.regexp_replace(stripped(line), r"\s{2,}", " ")
+    bars = F.length(t) - F.length(F.replace(t, F.lit("|"), F.lit("")))
+    said = t.rlike(r"(?i)^(page\s+\d+|\d+|https?://\S+|www\.\S+)$") | F.lower(t).isin(*RUNNING_TITLES)
+    return (F.length(t) < 4) | said | ~t.rlike(r"[\p{L}\p{N}]") | ((bars >= 6) & ~t.rlike(r"\p{L}"))
 
 
 def has_table_signal(text: Column, head: int = 80, least: int = 3) -> Column:
-    """At least `least` of the first lines look tabular: bars, tabs, or two wide gaps."""
-    return F.size(F.filter(F.slice(F.split(F.coalesce(text, F.lit("")), "\n"), 1, head), lambda x: x.rlike(r"\|.*\||\t|\S {2,}\S.* {2,}\S"))) >= least
+    """Of the first lines that aren't blank, at least `least` look tabular: two numbers, a wide
+    gap and three words, or three cells between bars."""
+    lines = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"\r\n|\n|\r"), stripped), lambda x: x != "")
+    cells = lambda x: F.size(F.filter(F.split(x, r"\|"), lambda p: stripped(p) != ""))
+    tabular = lambda x: (F.regexp_count(x, F.lit(NUMBER)) >= 2) | (x.rlike(r"\s{2,}") & (F.size(F.split(x, r"\s+")) >= 3)) | (x.contains("|") & (cells(x) >= 3))
+    return F.size(F.filter(F.slice(lines, 1, head), tabular)) >= least
 
 
 def without_prefixes(lines: Column, markers: list[str]) -> Column:
@@ -27,17 +44,94 @@ def without_prefixes(lines: Column, markers: list[str]) -> Column:
     return F.filter(lines, lambda x: ~F.exists(F.array(*map(F.lit, markers)), lambda m: x.startswith(m)))
 
 
+def amount_of(c: Column) -> Column:
+    """F15 on a matched value: commas, brackets, currency and unit off, as a double."""
+    return F.regexp_replace(F.regexp_extract(c, r"(-?\s*[\d,]+(?:\.\d+)?)", 1), r"[,\s]", "").try_cast("double")
+
+
+def line_value(line: Column) -> Column:
+    """struct of kind (numbered, or labelled), label, value_text and value of lines like
+    `3. Bridges  1,234` and `label: Rs. 1,234.5 crore`; nulls where there is none, and for noise."""
+    t = stripped(line)
+    at = lambda p, i: F.nullif(F.regexp_extract(t, p, i), F.lit(""))
+    numbered, noise = at(NUMBERED, 2), is_noise(line)
+    # a numbered line is taken as such, whatever else it may look like
+    labelled = F.regexp_replace(stripped(at(LABELLED, 1)), r"\s{2,}", " ")
+    label = F.when(~noise, F.when(numbered.isNotNull(), stripped(numbered)).otherwise(labelled))
+    text = F.when(~noise, F.when(numbered.isNotNull(), at(NUMBERED, 3)).otherwise(stripped(at(LABELLED, 2))))
+    there = F.coalesce(label, F.lit("")) != ""
+    kind = F.when(there, F.when(numbered.isNotNull(), "numbered").otherwise("labelled"))
+    return F.struct(kind.alias("kind"), F.when(there, F.substring(label, 1, 220)).alias("label"), F.when(there, text).alias("value_text"), F.when(there, amount_of(text)).alias("value"))
+
+
 def key_value(line: Column) -> Column:
-    """struct of label and number of lines like 'label: 1,234.5'; nulls where there is none."""
-    p = rf"^\s*([\p{{L}}][^:=]{{0,80}}?)\s*[:=]\s*({NUMBER})"
-    return F.struct(F.nullif(F.regexp_extract(line, p, 1), F.lit("")).alias("label"), F.regexp_replace(F.regexp_extract(line, p, 2), ",", "").try_cast("double").alias("value"))
+    """struct of label and value of line_value()."""
+    x = line_value(line)
+    return F.struct(x["label"].alias("label"), x["value"].alias("value"))
 
 
 def numbers(text: Column) -> Column:
-    """All numbers of a text, commas dropped, in order."""
+    """All numbers of a text, commas dropped, in order."""
     return F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({NUMBER})"), F.lit(1)), lambda x: F.regexp_replace(x, ",", "").try_cast("double"))
 
 
+def table_row(cells: Column) -> Column:
+    """struct of name, text, value and col_no of a table's row: the value is the first number
+    that a cell begins to show, the name the first cell; nulls for a row without text."""
+    full = F.filter(cells, lambda x: F.coalesce(x, F.lit("")) != "")
+    whole = F.array_join(full, " | ")
+    shown = F.filter(F.transform(full, lambda x: F.regexp_extract(x, f"({NUMBER})", 1)), lambda x: x != "")
+    first = F.regexp_replace(stripped(F.try_element_at(cells, F.lit(1))), r"\s{2,}", " ")
+    some = F.size(shown) > 0
+    name = F.when(some & (first != ""), F.substring(first, 1, 220)).otherwise("table_row")
+    col_no = F.coalesce(F.array_position(F.transform(cells, lambda x: stripped(x) != ""), True), F.lit(0))
+    there = F.coalesce(whole, F.lit("")) != ""
+    fields = {"name": name, "text": F.when(F.size(shown) == 1, F.element_at(shown, 1)).otherwise(whole), "value": F.when(some, F.regexp_replace(F.try_element_at(shown, F.lit(1)), ",", "").try_cast("double")), "col_no": col_no.cast("int")}
+    return F.struct(*[F.when(there, x).alias(n) for n, x in fields.items()])
+
+
+def two_last_numbers(chunk: Column, renames: Mapping[str, str] | None = None) -> Column:
+    """struct of label, first and second of a numbered row's text: the label before its first
+    number, and its last two numbers; nulls for totals and rows with fewer than two numbers."""
+    body = F.regexp_extract(F.coalesce(chunk, F.lit("")), r"^\d+\s+(.+)$", 1)
+    found = numbers(F.regexp_replace(body, "-", " "))
+    label = F.regexp_replace(F.regexp_replace(stripped(F.regexp_extract(body, r"^([^\d]*)", 1)), r"\s+", " "), "-$", "")
+    named = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in renames.items() for x in kv]), label), label) if renames else label
+    good = (F.size(found) >= 2) & (label != "") & ~F.lower(label).startswith("total")
+    return F.struct(F.when(good, named).alias("label"), F.when(good, F.try_element_at(found, F.lit(-2))).alias("first"), F.when(good, F.try_element_at(found, F.lit(-1))).alias("second"))
+
+
+def marked_row(line: Column, mark: str = "AG,") -> Column:
+    """struct of label and value of lines like `AG, Label 1,234`; nulls otherwise."""
+    p = rf"^{mark}\s*(.+?)\s+([\d,]+)$"
+    t = F.regexp_replace(stripped(line), r"\s+", " ")
+    value = F.regexp_replace(F.regexp_extract(t, p, 2), ",", "").try_cast("double")
+    return F.struct(F.when(value.isNotNull(), F.regexp_extract(t, p, 1)).alias("label"), value.alias("value"))
+
+
+def year_candidates(spark, first: int, last: int, template: str) -> DataFrame:
+    """One candidate for each fiscal year from first to last: label (2019-20) and url, in which
+    {year} is the label."""
+    years = spark.range(first, last + 1).select(F.format_string("%d-%02d", "id", ((F.col("id") + 1) % 100)).alias("label"))
+    return years.withColumn("url", F.replace(F.lit(template), F.lit("{year}"), F.col("label")))
+
+
+def text_urls(df: DataFrame, key: str, *columns: str, pattern: str = r"https?://[^\s\"'<>\\]+") -> DataFrame:
+    """Key and url of every distinct URL in columns of any type, nested ones as their JSON, in order of first sight."""
+    flat = F.to_json(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)]))
+    found = F.array_distinct(F.regexp_extract_all(F.regexp_replace(flat, r"\\\\/", "/"), F.lit(f"({pattern})"), F.lit(1)))
+    return df.select(key, F.posexplode(found).alias("pos", "url"))
+
+
+def link_variants(url: Column, base: str) -> Column:
+    """An absolute URL for a link, followed by the variants under which sites also serve it:
+    without www., and with /sites/default/files/ for /system/files/; without repeats."""
+    absolute = F.when(url.rlike(r"(?i)^https?://"), url).when(url.startswith("/"), F.concat(F.lit(base), url)).otherwise(F.concat(F.lit(base + "/"), url))
+    bare = F.when(absolute.startswith("https://www."), F.concat(F.lit("https://"), F.substring(absolute, 13, 1 << 20)))
+    moved = F.when(absolute.contains("/system/files/") & ~absolute.contains("/sites/default/files/"), F.replace(absolute, F.lit("/system/files/"), F.lit("/sites/default/files/")))
+    return F.array_distinct(F.array_compact(F.array(absolute, bare, moved)))
+
+
 def links(df: DataFrame, key: str, html: str) -> DataFrame:
     """Href targets of a page, first seen first, without repeats."""
     found = F.array_distinct(F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")), F.lit(r"""(?i)href\s*=\s*["']([^"'\s>]+)"""), F.lit(1)))

@@ -1,4 +1,4 @@
-"""Row choice, merges, joins and set operations.
+"""Row choice, merges, joins and set operations.
 
 Where the row kept depends on an order, the order is an explicit argument and ties end in it;
 nothing relies on the physical order of rows (T7).
@@ -104,3 +104,59 @@ def scaled(value: Column, low: Column, high: Column, to: tuple[float, float]) ->
     """Min-max scaling; the middle where all values are equal."""
     a, b = to
     return F.when(high > low, a + (value - low) / (high - low) * (b - a)).otherwise((a + b) / 2)
+
+
+def every_nth(df: DataFrame, keys: Sequence[str], parts: int, *order: Column) -> DataFrame:
+    """Of each key's n rows in the given order, every floor(n / parts)-th, from the first (every one, if n < parts)."""
+    w = Window.partitionBy(*keys)
+    marked = df.withColumn("_i", F.row_number().over(w.orderBy(*order)) - 1).withColumn("_n", F.count("*").over(w))
+    return marked.where(F.col("_i") % F.greatest(F.lit(1), F.floor(F.col("_n") / parts)) == 0).drop("_i", "_n")
+
+
+def best_first(df: DataFrame, *measures: str, tie: str) -> DataFrame:
+    """Rows by descending sum of the measures, null as 0; equals by tie. A range-partitioned sort."""
+    total = sum((F.coalesce(F.col(m), F.lit(0)) for m in measures), F.lit(0))
+    return df.orderBy(total.desc(), F.col(tie).asc())
+
+
+def examples(df: DataFrame, n: int, *order: Column) -> DataFrame:
+    """The first n rows in the given order."""
+    return df.orderBy(*order).limit(n)
+
+
+def mode(df: DataFrame, keys: Sequence[str], value: str, seq: str) -> DataFrame:
+    """Each key's most frequent value, and how often it occurs; of equally frequent ones the one seen first by seq."""
+    counts = df.groupBy(*keys, value).agg(F.count("*").alias("n"), F.min(seq).alias("_first"))
+    return pick(counts, keys, F.col("n").desc(), F.col("_first").asc(), F.col(value).asc_nulls_last()).drop("_first")
+
+
+def remapped_sum(df: DataFrame, key: str, value: str, table: dict[str, str]) -> DataFrame:
+    """Sums by key, where keys of the table count for the key that it names."""
+    entries = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
+    return df.groupBy(F.coalesce(F.try_element_at(entries, F.col(key)), F.col(key)).alias(key)).agg(F.sum(value).alias(value))
+
+
+def arg_max(df: DataFrame, keys: Sequence[str], measure: str, tie: str) -> DataFrame:
+    """Each key's row with the largest measure (null last), of equals the smallest tie."""
+    return pick(df, keys, F.col(measure).desc_nulls_last(), F.col(tie).asc())
+
+
+def merged_counts(tables: Sequence[DataFrame], key: str, cols: Sequence[str]) -> DataFrame:
+    """The counts of several shards' reports, summed by key; null counts as 0."""
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    return every.groupBy(key).agg(*[F.sum(F.coalesce(F.col(c), F.lit(0))).alias(c) for c in cols])
+
+
+def first_wide(df: DataFrame, ids: Sequence[str], name: str, value: str, names: Sequence[str], seq: str) -> DataFrame:
+    """One column for each of names: the value of its first row by seq that has one."""
+    return df.groupBy(*ids).agg(*[F.min_by(F.when(F.col(name) == n, F.col(value)), F.when((F.col(name) == n) & F.col(value).isNotNull(), F.col(seq))).alias(n) for n in names])
+
+
+def remaining(total: Column, part: Column) -> Column:
+    """F32: what a part leaves of a total, 0 at least; null counts as 0."""
+    return F.greatest(F.lit(0.0), F.coalesce(total.cast("double"), F.lit(0.0)) - F.coalesce(part.cast("double"), F.lit(0.0)))
+
+
+def with_defaults(expected: DataFrame, found: DataFrame, key: str, col: str, default: str) -> DataFrame:
+    """Every expected key with its found value, or the default."""
+    return expected.select(key).join(found.select(key, col), key, "left").select(key, F.coalesce(col, F.lit(default)).alias(col))

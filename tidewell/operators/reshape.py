@@ -1,4 +1,4 @@
-"""Wide, long, nested and generated shapes."""
+"""Wide, long, nested and generated shapes."""
 
 from __future__ import annotations
 

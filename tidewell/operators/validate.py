@@ -1,4 +1,4 @@
-"""Declarative rules over tables (V01-V15, V17, J14, U10): each finding is a row."""
+"""Declarative rules over tables (V01-V12, V14-V17, J14, A27, A30): each finding is a row."""
 
 from __future__ import annotations
 
@@ -19,9 +19,29 @@ class Rule:
     severity: str = "error"
 
 
-def required(col: str) -> Rule:
-    """V01, V02."""
-    return Rule(f"{col}_required", F.col(col).isNull() | (F.trim(F.col(col).cast("string")) == ""))
+def required(col: str, severity: str = "error") -> Rule:
+    """There and not blank."""
+    return Rule(f"{col}_required", F.col(col).isNull() | (F.trim(F.col(col).cast("string")) == ""), severity)
+
+
+def prefixed(col: str, prefix: str, severity: str = "error") -> Rule:
+    """Begins with the prefix; null breaks it."""
+    return Rule(f"{col}_prefix", ~F.coalesce(F.col(col).startswith(prefix), F.lit(False)), severity)
+
+
+def whole(col: str, within: float = 0.001) -> Rule:
+    """A whole number, but for a rounding error."""
+    return Rule(f"{col}_whole", F.abs(F.col(col) - F.round(F.col(col))) > within)
+
+
+def between(col: str, low: float, high: float, severity: str = "error") -> Rule:
+    """Caps."""
+    return Rule(f"{col}_between", ~F.col(col).between(low, high), severity)
+
+
+def ratio_between(top: str, bottom: str, low: float, high: float, severity: str = "warning") -> Rule:
+    """A ratio's bounds; a denominator that isn't positive breaks it."""
+    return Rule(f"{top}_per_{bottom}", (F.col(bottom) <= 0) | ~F.try_divide(F.col(top), F.col(bottom)).between(low, high), severity)
 
 
 def one_of(col: str, values: Sequence) -> Rule:
@@ -67,6 +87,35 @@ def check_coverage(df: DataFrame, key: str, least: int, allowed_missing: DataFra
     return few.unionAll(lost.select(F.lit("missing_key"), F.lit("error"), F.col(key).cast("string")))
 
 
+def check_groups(df: DataFrame, single: Sequence[str] = (), at_most: Sequence[tuple[str, str, int]] = ()) -> DataFrame:
+    """rule_id, severity and n_bad: columns that must have one value, and (column, value,
+    most) values that at most so many rows may have. One pass."""
+    parts = [(f"{c}_single", (F.countDistinct(c) != 1).cast("bigint")) for c in single]
+    parts += [(f"{c}_{v}_at_most_{n}", F.greatest(F.lit(0).cast("bigint"), F.coalesce(F.sum((F.col(c) == v).cast("bigint")), F.lit(0)) - n)) for c, v, n in at_most]
+    one = df.agg(*[x.alias(str(i)) for i, (_, x) in enumerate(parts)])
+    rows = F.array(*[F.struct(F.lit(n).alias("rule_id"), F.lit("error").alias("severity"), F.col(str(i)).alias("n_bad")) for i, (n, _) in enumerate(parts)])
+    return one.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def distinct_gate(df: DataFrame, key: str, score: str, least: int = 10) -> DataFrame:
+    """One row: numbers of keys and of scores, and whether there are enough keys and more than one score."""
+    one = df.agg(F.countDistinct(key).alias("n_keys"), F.countDistinct(score).alias("n_scores"))
+    return one.withColumn("shown", (F.col("n_keys") >= least) & (F.col("n_scores") > 1))
+
+
+def checksum_findings(manifest: DataFrame, files: DataFrame, key: str = "path", digest: str = "sha256") -> DataFrame:
+    """Files of a manifest that are missing or differ from its digest, as findings."""
+    both = manifest.select(key, F.col(digest).alias("_want")).join(files.select(key, F.col(digest).alias("_is")), key, "left")
+    rule = F.when(F.col("_is").isNull(), "missing_file").when(F.col("_is") != F.col("_want"), "checksum_differs")
+    return both.select(rule.alias("rule_id"), F.lit("error").alias("severity"), F.col(key).alias("entity")).where("rule_id is not null")
+
+
+def marker_findings(texts: DataFrame, key: str, text: str, markers: Sequence[str]) -> DataFrame:
+    """Markers that a text should hold and doesn't; a null text holds none."""
+    rows = texts.select(F.col(key).alias("entity"), F.coalesce(text, F.lit("")).alias("_t"), F.explode(F.array(*map(F.lit, markers))).alias("marker"))
+    return rows.where(~F.contains("_t", "marker")).select(F.lit("missing_marker").alias("rule_id"), F.lit("error").alias("severity"), F.col("entity").cast("string").alias("entity"), "marker")
+
+
 def drift(current: DataFrame, reference: DataFrame, key: str, value: str, warn: float, error: float, share: float = 0.5) -> DataFrame:
     """Difference of shared keys and its severity: error beyond max(error, share of the reference)."""
     both = current.select(key, F.col(value).alias("now")).join(reference.select(key, F.col(value).alias("then")), key)
@@ -85,8 +134,12 @@ def shard_findings(shards: DataFrame, n: int) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
+def exit_code(findings: DataFrame, strict: bool = False) -> int:
+    """1 if there are errors, or, if strict, warnings; else 0."""
+    return int(not findings.where(F.col("severity").isin("error", *(["warning"] if strict else []))).isEmpty())
+
+
 def gate(findings: DataFrame, strict: bool = False) -> None:
-    """Raises if there are errors, or, if strict, warnings."""
-    bad = findings.where(F.col("severity").isin("error", *(["warning"] if strict else []))).count()
-    if bad:
-        raise ValueError(f"{bad} findings")
+    """Raises if there are errors, or, if strict, warnings."""
+    if exit_code(findings, strict):
+        raise ValueError(f"{findings.where(F.col('severity') != 'ok').count()} findings")

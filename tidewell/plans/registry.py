@@ -2,46 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import coerce, dates, names
-from ..operators import analytics, extract, relational, reshape, validate
+from ..operators import analytics, relational, reshape, validate
 from ..sources import catalog
+from .base import QUERIES, SQL, TABLES, Tables, query, r
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+__all__ = ["FLAGSHIP", "QUERIES", "SQL", "TABLES", "Tables"]
 FLAGSHIP = "ratio_panel"
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 c = F.col
 
 
-class Tables:
-    """T.orders is the scan of orders.parquet."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self._spark, self._dir = spark, sf_dir
-
-    def __getattr__(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = lambda spark, sf_dir: f(Tables(spark, sf_dir))
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def r(x, n: int = 4):
-    return F.round(x, n)
-
-
 @query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS n FROM {t}" for t in TABLES))
 def scan_row_counts(t):
     parts = [getattr(t, x).agg(F.count("*").alias("n")).select(F.lit(x).alias("table_name"), "n") for x in TABLES]
@@ -117,8 +89,10 @@ def norm_key_join(t):
 @query("""WITH y AS (SELECT max(year(l_shipdate)) AS y FROM lineitem), s AS (SELECT l_suppkey, sum(l_extendedprice*(1-l_discount)) AS revenue FROM lineitem, y WHERE year(l_shipdate)=y.y GROUP BY 1)
 SELECT s_suppkey, round(revenue,2) AS revenue, round(revenue*100/s_acctbal,4) AS per_100 FROM s JOIN supplier ON s_suppkey=l_suppkey WHERE s_acctbal>0""")
 def ratio_panel(t):
-    latest = t.lineitem.agg(F.max(F.year("l_shipdate")).alias("y"))
-    sums = t.lineitem.join(F.broadcast(latest), F.year("l_shipdate") == c("y")).groupBy("l_suppkey").agg(F.sum(c("l_extendedprice") * (1 - c("l_discount"))).alias("revenue"))
+    # the one date that bounds the scan comes first, so that the filter reaches the files
+    last = t.lineitem.agg(F.max("l_shipdate")).first()[0]
+    lines = t.lineitem.where(c("l_shipdate") >= F.make_date(F.lit(last.year if last else 1), F.lit(1), F.lit(1)).cast("timestamp"))
+    sums = lines.groupBy("l_suppkey").agg(F.sum(c("l_extendedprice") * (1 - c("l_discount"))).alias("revenue"))
     return sums.join(t.supplier, c("s_suppkey") == c("l_suppkey")).where("s_acctbal > 0").select("s_suppkey", r(c("revenue"), 2).alias("revenue"), r(coerce.per(c("revenue"), c("s_acctbal"), 100)).alias("per_100"))
 
 
@@ -203,8 +177,9 @@ UNION ALL SELECT strftime(l_shipdate,'%Y'), CAST(month(l_shipdate) AS INTEGER),
 SELECT x.metric AS metric_a, y.metric AS metric_b, round(corr(x.v,y.v),6) AS correlation, CAST(count(*) AS BIGINT) AS overlap_records, min(x.year) AS year_min, max(x.year) AS year_max
 FROM a x JOIN a y ON x.entity=y.entity AND x.year=y.year AND x.metric<y.metric GROUP BY 1,2 HAVING min(x.v)<max(x.v) AND min(y.v)<max(y.v) AND count(*)>=2""")
 def pairwise_corr(t):
-    o = t.orders.select(F.date_format("o_orderdate", "yyyy").alias("entity"), F.month("o_orderdate").alias("year"), F.lit("orders.price").alias("metric"), c("o_totalprice").alias("value"))
-    lines = t.lineitem.select(F.date_format("l_shipdate", "yyyy").alias("entity"), F.month("l_shipdate").alias("year"), c("l_quantity").alias("quantity"), c("l_tax").alias("tax"), F.lit(1.0).alias("constant"))
+    # means per entity and year first: what is made long is a row a cell, not a row a line
+    o = t.orders.groupBy(F.date_format("o_orderdate", "yyyy").alias("entity"), F.month("o_orderdate").alias("year")).agg(F.avg("o_totalprice").alias("value")).select("entity", "year", F.lit("orders.price").alias("metric"), "value")
+    lines = t.lineitem.groupBy(F.date_format("l_shipdate", "yyyy").alias("entity"), F.month("l_shipdate").alias("year")).agg(F.avg("l_quantity").alias("quantity"), F.avg("l_tax").alias("tax"), F.lit(1.0).alias("constant"))
     return analytics.pairwise_correlation(o.unionByName(reshape.to_long(lines, ["entity", "year"], ["quantity", "tax", "constant"], "lines")))
 
 
@@ -234,7 +209,7 @@ def status_factor_lookup(t):
     return t.events.select("event_id", analytics.looked_up(c("event_type"), {"view": 1.0, "click": 0.78}, 0.5).alias("factor"))
 
 
-@query("SELECT source, round(0.35*avg(quality)+0.65,3) AS score, CASE WHEN round(0.35*avg(quality)+0.65,3)>=0.85 THEN 'High' WHEN round(0.35*avg(quality)+0.65,3)>=0.65 THEN 'Medium' ELSE 'Low' END AS badge FROM documents JOIN labels USING (doc_id) GROUP BY 1")
+@query("SELECT source, round(0.35*avg(quality)+0.65,3) AS score, CASE WHEN 0.35*avg(quality)+0.65>=0.85 THEN 'High' WHEN 0.35*avg(quality)+0.65>=0.65 THEN 'Med' ELSE 'Low' END AS badge FROM documents JOIN labels USING (doc_id) GROUP BY 1")
 def score_badge(t):
     per = t.documents.select("doc_id", "source").join(t.labels, "doc_id").groupBy("source").agg(F.avg("quality").alias("q"))
     one = F.lit(1.0)
@@ -270,8 +245,10 @@ def metric_name_norm(t):
 
 @query("SELECT lang, n_chars, min(doc_id) AS doc_id FROM documents GROUP BY lang, n_chars, lower(trim(regexp_replace(text,'\\s+',' ','g')))")
 def dedupe_composite(t):
-    keyed = t.documents.withColumn("k", F.lower(names.squeezed(c("text"))))
-    return relational.first_wins(keyed, ["lang", "n_chars", "k"], "doc_id").select("lang", "n_chars", "doc_id")
+    # 128 bits of the text stand for it, and minima are combined before the shuffle
+    k = F.lower(names.squeezed(c("text")))
+    keys = [c("lang"), c("n_chars"), F.xxhash64(k).alias("a"), F.xxhash64(F.lit(1), k).alias("b"), k.isNull().alias("none")]
+    return t.documents.groupBy(*keys).agg(F.min("doc_id").alias("doc_id")).select("lang", "n_chars", "doc_id")
 
 
 @query("SELECT (SELECT count(DISTINCT c_custkey) FROM customer) AS n_a, (SELECT count(DISTINCT o_custkey) FROM orders) AS n_b, (SELECT count(*) FROM (SELECT c_custkey FROM customer INTERSECT SELECT o_custkey FROM orders)) AS n_both")
@@ -294,9 +271,9 @@ _SEED = "CAST('0x' || substr(sha256('2026|part|' || p_partkey || '|' || segment)
 
 
 @query(f"""WITH s AS (SELECT p_partkey, segment, {_SEED} AS seed FROM part, range(5) r(segment))
-SELECT p_partkey, CAST(segment AS INTEGER) AS segment, seed, CAST((segment + seed % 12) % 12 + 1 AS INTEGER) AS month, CAST(2021 + (seed // 12) % 6 AS INTEGER) AS year, round(0.5 + (seed % 180)/12, 6) AS access_hours FROM s""")
+SELECT p_partkey, CAST(segment AS INTEGER) AS segment, seed, CAST((segment + seed % 12) % 12 + 1 AS INTEGER) AS month, CAST(2021 + (seed // 12) % 6 AS INTEGER) AS year, round(0.5 + (seed % 180)/12, 2) AS access_hours FROM s""")
 def seeded_expand(t):
-    return analytics.expand(t.part.select("p_partkey"), ["p_partkey"], 5, 2026, "part").select("p_partkey", "segment", "seed", "month", "year", r(c("access_hours"), 6).alias("access_hours"))
+    return analytics.expand(t.part.select("p_partkey"), ["p_partkey"], 5, 2026, "part").select("p_partkey", "segment", "seed", "month", "year", "access_hours")
 
 
 @query("SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(sum(CASE WHEN length(trim(l))<4 THEN 1 ELSE 0 END) AS BIGINT) AS n_short FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents) GROUP BY 1")
@@ -304,55 +281,17 @@ def line_explode(t):
     return reshape.lines(t.documents, "doc_id", "text").groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.sum((F.length(F.trim("line")) < 4).cast("bigint")).alias("n_short"))
 
 
-@query()
-def noise_filter(t):
-    return reshape.lines(t.documents, "doc_id", "text").groupBy("doc_id").agg(F.sum(extract.is_noise(c("line")).cast("bigint")).alias("n_noise"))
-
-
-@query()
-def table_signal(t):
-    return t.documents.select("doc_id", extract.has_table_signal(c("text")).alias("tabular"))
-
-
-@query()
-def kv_extract(t):
-    return reshape.lines(t.documents, "doc_id", "text").select("doc_id", "line_no", extract.key_value(c("line")).alias("kv")).where("kv.value is not null").select("doc_id", "line_no", "kv.label", "kv.value")
-
-
 @query("""WITH n AS (SELECT *, sum(CASE WHEN role='user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS chunk FROM conversations)
 SELECT conv_id, CAST(chunk AS BIGINT) AS chunk, string_agg(coalesce(text,''), ' ' ORDER BY turn) AS text, CAST(count(*) AS BIGINT) AS n_rows FROM n GROUP BY 1,2""")
 def row_chunking(t):
     return reshape.chunks(t.conversations, "conv_id", "turn", "text", c("role") == "user")
 
 
-@query()
-def url_normalise(t):
-    return t.pages.select("page_id", names.normal_url(c("url")).alias("url"), names.is_public_url(c("url")).alias("public"))
-
-
-@query()
-def href_discovery(t):
-    return extract.links(t.pages, "page_id", "html")
-
-
 @query("SELECT doc_id, CASE WHEN lower(text) LIKE '%is%' THEN true ELSE false END AS hit FROM documents")
 def contains_filter(t):
     return t.documents.select("doc_id", F.lower("text").contains("is").alias("hit"))
 
 
-@query()
-def doc_relevance(t):
-    return t.documents.select("doc_id", analytics.relevance(c("text"), c("source")).alias("score")).where("score >= 0.4")
-
-
-@query("SELECT 'money' AS entity, CAST(3 AS BIGINT) AS n_sources UNION ALL SELECT 'place', 2 UNION ALL SELECT 'person', 0")
-def ontology_coverage(t):
-    spark = t._spark
-    cols = spark.createDataFrame([(x, y) for x in ("customer", "supplier", "orders", "nation", "region") for y in getattr(t, x).columns], "source_id string, column string")
-    aliases = spark.createDataFrame([("money", "acctbal"), ("money", "totalprice"), ("place", "regionkey"), ("person", "birth")], "entity string, alias string")
-    return analytics.coverage(cols, aliases)
-
-
 @query("SELECT theme, CAST(coalesce(n,0) AS BIGINT) AS n_sources, CASE WHEN n IS NULL THEN 'missing' WHEN o=0 THEN 'restricted' ELSE 'covered' END AS status FROM (VALUES ('src1'),('src2'),('none')) q(theme) LEFT JOIN (SELECT source, count(*) AS n, max(CASE WHEN source<>'src2' THEN 1 ELSE 0 END) AS o FROM documents GROUP BY 1) ON source=theme")
 def gap_report(t):
     need = t._spark.createDataFrame([("src1",), ("src2",), ("none",)], "theme string")
@@ -416,3 +355,6 @@ def windowed_events(t):
 @query("SELECT l_orderkey, l_partkey, l_suppkey, CAST(count(*) AS BIGINT) AS n FROM (SELECT DISTINCT l_orderkey, l_partkey, l_suppkey, l_linenumber FROM lineitem) GROUP BY 1,2,3")
 def exact_distinct(t):
     return t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").dropDuplicates().groupBy("l_orderkey", "l_partkey", "l_suppkey").agg(F.count("*").alias("n"))
+
+
+from . import choices, panels, texts  # noqa: E402, F401  they register their queries

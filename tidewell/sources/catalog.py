@@ -1,11 +1,12 @@
-"""Descriptors, connectors, manifests and the catalog."""
+"""Descriptors, connectors, manifests and the catalog."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.analytics import completeness
@@ -85,14 +86,76 @@ def eligible(catalog: DataFrame) -> DataFrame:
     return catalog.where(~F.col("status").isin("disabled", "stubs_disabled") & (F.coalesce("evidence_class", F.lit("official")) != "model") & (F.col("row_count") > 0))
 
 
+def scan_status(url: Column, public: Column, auth: Column, auto: Column) -> Column:
+    """why a source isn't fetched, in this order; null if it may be."""
+    unknown = url.isNull() | (url == "")
+    return (
+        F.when(unknown, "missing_or_unresolved_url").when(~F.coalesce(public, F.lit(False)), "invalid_or_unsafe_url")
+        .when(auth.isin("captcha", "restricted"), F.concat(F.lit("auto_fetch_skipped_auth="), auth)).when(~F.coalesce(auto, F.lit(False)), "auto_fetch_disabled_in_inventory")
+    )
+
+
+def write_catalog(spark: SparkSession, entries: DataFrame, path: str, generated_at: str) -> None:
+    """The catalog as one JSON document a part: generated_at and its datasets, in the
+    written table's parts, so that no entry passes through the driver."""
+    io.write_json(entries.select(F.lit(generated_at).alias("generated_at"), F.array(F.struct("*")).alias("datasets")), path)
+
+
+def read_catalog(spark: SparkSession, path: str, schema: str | None = None, lines: bool = True) -> DataFrame:
+    """The datasets of a catalog, a row each; an error if a document has no field of that name.
+    schema: the entries' columns as DDL (without it, they are found by a pass over the text).
+    lines: a document is a line, as write_catalog() writes them; otherwise it is a file."""
+    reader = spark.read.option("multiLine", not lines)
+    raw = reader.schema(f"generated_at string, datasets array<struct<{schema}>>").json(path) if schema else reader.json(path)
+    if "datasets" not in raw.columns:
+        raise ValueError(f"{path}: no datasets field")
+    return raw.select(F.explode("datasets").alias("d")).select("d.*")
+
+
+def sources_table(spark: SparkSession, sources: list[Source]) -> DataFrame:
+    """Descriptors as a table."""
+    schema = "source_id string, official boolean, theme string, access string, frequency string, grade string, columns array<string>, extra map<string,string>"
+    return spark.createDataFrame([(s.source_id, s.official, s.theme, s.access, s.frequency, s.grade, list(s.columns), {k: str(v) for k, v in s.extra.items()}) for s in sources], schema)
+
+
+def read_inventory(spark: SparkSession, path: str) -> list[Source]:
+    """The descriptors of an inventory, a JSON document (or YAML, where a YAML parser is
+    installed) with the fields version and sources; fields that a descriptor lacks are in extra.
+    A missing file is an empty inventory."""
+    found = spark.read.text(path, wholetext=True).first() if io.exists(spark, path) else None
+    payload = _parsed(found.value if found else "{}", path)
+    known = {"source_id", "official", "theme", "access", "frequency", "grade", "columns"}
+    return [Source(**{k: tuple(v) if k == "columns" else v for k, v in row.items() if k in known}, extra={k: v for k, v in row.items() if k not in known}) for row in payload.get("sources", [])]
+
+
+def _parsed(text: str, path: str) -> dict:
+    if path.endswith((".yaml", ".yml")):
+        import yaml  # optional
+
+        return yaml.safe_load(text) or {}
+    return json.loads(text)
+
+
+def write_inventory(spark: SparkSession, sources: list[Source], path: str, generated_at: str, version: int = 1) -> None:
+    """The descriptors as one JSON document; they are few, so the driver writes it."""
+    rows = [{**{k: v for k, v in asdict(s).items() if k != "extra"}, **s.extra} for s in sources]
+    io.write_json(spark.createDataFrame([(json.dumps({"generated_at": generated_at, "version": version, "sources": rows}),)], "value string"), path, text=True)
+
+
 def agreeing(reports: DataFrame, manifests: DataFrame) -> DataFrame:
     """Report rows whose manifest is there, names the same path and has a readable time."""
     joined = reports.join(manifests.select("source_id", F.col("path").alias("_path"), "generated_at"), "source_id")
     return joined.where((F.col("path") == F.col("_path")) & F.try_to_timestamp("generated_at").isNotNull()).drop("_path")
 
 
-def markdown(df: DataFrame, limit: int = 1000) -> str:
-    """A report of at most `limit` rows as a Markdown table."""
-    rows = df.limit(limit).collect()
-    line = lambda cells: "| " + " | ".join("" if c is None else str(c) for c in cells) + " |"
-    return "\n".join([line(df.columns), line(["---"] * len(df.columns)), *map(line, rows)])
+def write_manifests(manifests: DataFrame, path: str) -> None:
+    """The manifests as JSON lines, a folder a source."""
+    io.write_json(manifests, path, by=("source_id",))
+
+
+def markdown(df: DataFrame, limit: int | None = None) -> str:
+    """A report as a Markdown table, read row by row; with a limit, a last line says how many rows are left out."""
+    line = lambda cells: "| " + " | ".join("" if c is None else str(c).replace("|", "\\|") for c in cells) + " |"
+    rows = [line(r) for r in (df if limit is None else df.limit(limit)).toLocalIterator()]
+    left = 0 if limit is None or len(rows) < limit else df.count() - limit
+    return "\n".join([line(df.columns), line(["---"] * len(df.columns)), *rows, *([f"{left} further rows"] if left > 0 else [])])

@@ -1,4 +1,4 @@
-"""Scans and sinks."""
+"""Scans and sinks."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -54,21 +54,91 @@ def safe(spark: SparkSession, query: Callable[[], DataFrame], schema: str, evalu
         return spark.createDataFrame([], schema)
 
 
-def csv(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
-    """All text, headers in normal form, missing-value marks as null."""
-    df = normal_headers(spark.read.csv(path, header=True, sep=sep, encoding=encoding, multiLine=True, escape='"'))
+#: Encodings that a text is tried in, in this order.
+ENCODINGS = ("UTF-8", "windows-1252", "ISO-8859-1")
+#: What windows-1252 has in the places of Latin-1's control characters; Spark reads only the latter.
+_WINDOWS = {chr(b): bytes([b]).decode("cp1252") for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+
+
+def csv(spark: SparkSession, path: str, sep: str = ",", encoding: str | None = None) -> DataFrame:
+    """All text, headers in normal form, missing-value marks as null.
+
+    Without an encoding, the first that the first file's beginning is valid in; a byte order mark
+    goes. A table of one column whose header has tabs is read again as tab-separated.
+    """
+    encoding = encoding or encoding_of(spark, path)
+    windows = encoding.lower() == "windows-1252"
+    read = lambda s: spark.read.csv(path, header=True, sep=s, encoding="ISO-8859-1" if windows else encoding, multiLine=True, escape='"')
+    df = read(sep)
+    if sep == "," and len(df.columns) == 1 and "\t" in df.columns[0]:
+        df = read("\t")
+    if windows:
+        table = str.maketrans(_WINDOWS)
+        df = df.select(*[F.translate(F.col(f"`{c}`"), "".join(_WINDOWS), "".join(_WINDOWS.values())).alias(c.translate(table)) for c in df.columns])
+    df = normal_headers(df.toDF(*[c.lstrip("\ufeff") for c in df.columns]))
     return df.select(*[missing(F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
+def encoding_of(spark: SparkSession, path: str, sample: int = 1 << 16) -> str:
+    """The first of ENCODINGS that the beginning of a file is valid in."""
+    head = spark.read.format("binaryFile").load(path).select(F.substring("content", 1, sample).alias("head")).first()
+    data = bytes(head.head) if head else b""
+    for name in ENCODINGS:
+        try:
+            data.decode({"windows-1252": "cp1252"}.get(name, name))
+            return name
+        except UnicodeDecodeError as e:
+            if name == "UTF-8" and e.start >= len(data) - 3 and len(data) == sample:
+                return name  # a character that the sample cuts
+    return ENCODINGS[-1]
+
+
 def manual(spark: SparkSession, root: str, source_id: str) -> DataFrame | None:
-    """What lies in the drop folder for a source: <id>.csv, <id>.json, or all <id>_*.csv by name union."""
-    if exists(spark, f"{root}/{source_id}.csv"):
-        return csv(spark, f"{root}/{source_id}.csv")
-    if exists(spark, f"{root}/{source_id}.json"):
-        return normal_headers(spark.read.json(f"{root}/{source_id}.json", multiLine=True))
-    if exists(spark, f"{root}/{source_id}_*.csv"):
-        return csv(spark, f"{root}/{source_id}_*.csv")
-    return None
+    """What lies in the drop folder for a source: its csv, json, parquet, xlsx and pdf
+    files, <id>.ext before <id>_*.ext, all of them by name union; None without any. A pdf is one
+    row of metadata: its name, size and checksum."""
+    found: list[DataFrame] = []
+    for pattern in (f"{root}/{source_id}.{{}}", f"{root}/{source_id}_*.{{}}"):
+        for ext, read in READERS.items():
+            if exists(spark, pattern.format(ext)):
+                found.append(read(spark, pattern.format(ext)))
+    return union_by_name(found) if found else None
+
+
+def _spreadsheet(spark: SparkSession, path: str) -> DataFrame:
+    """The first sheet of each workbook, all text; needs pandas' reader for the format."""
+    import io as _io
+
+    import pandas as pd
+
+    sheets = [pd.read_excel(_io.BytesIO(bytes(r.content)), dtype=str) for r in spark.read.format("binaryFile").load(path).select("content").toLocalIterator()]
+    return normal_headers(spark.createDataFrame(pd.concat(sheets).astype(object).where(lambda x: x.notna(), None)))
+
+
+def _pdf(spark: SparkSession, path: str) -> DataFrame:
+    files = spark.read.format("binaryFile").load(path)
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), F.col("length").cast("string").alias("size_bytes"), F.sha2("content", 256).alias("sha256"), F.lit("metadata_only").alias("status"))
+
+
+#: The readers by extension, in the order in which they are tried.
+READERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "csv": csv,
+    "json": lambda spark, path: normal_headers(spark.read.json(path, multiLine=True)),
+    "parquet": lambda spark, path: normal_headers(spark.read.parquet(path)),
+    "xlsx": _spreadsheet,
+    "pdf": _pdf,
+}
+
+
+def payload_kind(content_type: Column, url: Column) -> Column:
+    """How a payload is to be read: json by its content type; else by the URL's ending; csv for anything else."""
+    ending = F.lower(F.regexp_extract(F.regexp_replace(F.coalesce(url, F.lit("")), r"[?#].*$", ""), r"(\.[A-Za-z0-9]+)$", 1))
+    return F.when(F.lower(F.coalesce(content_type, F.lit(""))).contains("json") | (ending == ".json"), "json").when(ending.isin(".xls", ".xlsx"), "sheet").when(ending.isin(".txt", ".tsv"), "tsv").otherwise("csv")
+
+
+def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A JSON document's rows; a missing file has none."""
+    return spark.read.schema(schema).option("multiLine", True).json(path) if exists(spark, path) else spark.createDataFrame([], schema)
 
 
 def placeholder(spark: SparkSession, source_id: str, status: str) -> DataFrame:
@@ -105,6 +175,31 @@ def write(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "overwri
     df.write.mode(mode).partitionBy(*by).parquet(path)
 
 
+def write_json(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "overwrite", text: bool = False) -> None:
+    """A JSON document a line, nulls kept; with text, df's one column is the JSON itself."""
+    if text:
+        df.coalesce(1).write.mode(mode).text(path)
+    else:
+        df.write.mode(mode).option("ignoreNullFields", False).partitionBy(*by).json(path)
+
+
+def snapshot(df: DataFrame, path: str, at: str) -> str:
+    """A raw table as it was at a time, next to earlier ones; the folder."""
+    out = f"{path}/raw_{at}"
+    write(df, out, mode="errorifexists")
+    return out
+
+
+def merged(spark: SparkSession, path: str) -> DataFrame:
+    """All files below a path, with the columns of all of them."""
+    return spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(path)
+
+
+def rebased(path: Column, old_root: str, new_root: str) -> Column:
+    """Paths below old_root as paths below new_root; others stay."""
+    return F.when(path.startswith(old_root + "/"), F.concat(F.lit(new_root), F.substring(path, len(old_root) + 1, 1 << 20))).otherwise(path)
+
+
 def checksums(spark: SparkSession, path: str) -> DataFrame:
     """Path, size and SHA-256 of every file below a path."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
@@ -118,21 +213,33 @@ class _Page(InputPartition):
 
 class _Pages(DataSourceReader):
     def __init__(self, options: dict):
-        self.fetch = options["fetch"]
-        self.total, self.limit = int(options["total"]), int(options["limit"])
+        module, _, name = options["fetch"].rpartition(".")
+        self.fetch, self.limit = getattr(__import__(module, fromlist=[name]), name), int(options["limit"])
+        self.most, self.last = int(options.get("pages", 200)), int(options.get("last_offset", 200_000))
+        self.total = int(options["total"]) if "total" in options else None
 
     def partitions(self) -> list[InputPartition]:
-        return [_Page(i, self.limit) for i in range(0, min(self.total, 200_000), self.limit)][:200]
+        ends = self.last + 1 if self.total is None else min(self.total, self.last + 1)
+        offsets = list(range(0, ends, self.limit))
+        if self.total is None:  # a page that isn't full is the last: found by halving, in few requests
+            low, high = 0, min(len(offsets), self.most) + 1
+            while low + 1 < high:
+                mid = (low + high) // 2
+                low, high = (mid, high) if len(list(self.fetch(offsets[mid - 1], self.limit))) == self.limit else (low, mid)
+            offsets = offsets[: low + 1]
+        if len(offsets) > self.most:
+            raise ValueError(f"{len(offsets)} pages of {self.limit} rows; the option pages allows {self.most}")
+        return [_Page(i, self.limit) for i in offsets]
 
     def read(self, page: InputPartition) -> Iterator[tuple]:
-        module, _, name = self.fetch.rpartition(".")
-        for row in getattr(__import__(module, fromlist=[name]), name)(page.offset, page.limit):
+        for row in self.fetch(page.offset, page.limit):
             yield (row,)
 
 
 class PagedSource(DataSource):
-    """A paged endpoint, a task a page, at most 200 pages. Options: fetch (an importable
-    function (offset, limit) -> JSON texts), total, limit."""
+    """A paged endpoint, a task a page. Options: fetch (an importable function (offset, limit)
+    -> JSON texts), limit, and total where it is known; without it, pages are read until one isn't
+    full. Offsets go up to last_offset (200,000, included); more than `pages` pages (200) are an error."""
 
     @classmethod
     def name(cls) -> str:
@@ -143,3 +250,9 @@ class PagedSource(DataSource):
 
     def reader(self, schema) -> DataSourceReader:
         return _Pages(self.options)
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A folder that driver and executors share: spark.checkpoint.dir, or where unset one in the warehouse."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/tidewell-scratch"

@@ -2,22 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.relational import pick
+
 
 def windowed(events: DataFrame, late: str = "10 minutes", size: str = "1 day") -> DataFrame:
     """Count and sum per window and type; the same for a batch and for a stream."""
     out = events.withWatermark("ts", late) if events.isStreaming else events
-    return out.groupBy(F.window("ts", size).start.alias("start"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    per = out.groupBy(F.window("ts", size).alias("window"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    return per.select(F.col("window.start").alias("start"), "event_type", "n", "total")
 
 
 def upsert_stream(spark: SparkSession, events: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Writes each micro-batch as a snapshot of its own; latest(out) gives the last row of each
-    key. A batch that is run again overwrites its own snapshot, so a restart changes nothing."""
+    """Writes each micro-batch as a snapshot of its own; current() gives the last row of each key.
+    A batch that is run again overwrites its own snapshot, so a restart changes nothing."""
 
     def put(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/load={epoch:08d}")
 
-    return events.drop("load").writeStream.foreachBatch(lambda b, i: put(b, i)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return events.drop("load").writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def current(spark: SparkSession, out: str, keys: Sequence[str], seq: str) -> DataFrame:
+    """The last row of each key over all snapshots: of the latest load, and within it by seq."""
+    return pick(spark.read.parquet(out), keys, F.col("load").desc(), F.col(seq).desc())
