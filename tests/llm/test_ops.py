@@ -431,3 +431,51 @@ def test_classifiers_on_long_texts_ties_and_clashing_names(spark):
         assert len(got) == 202 and len({r.score for r in got if r.doc_id is not None and r.doc_id > 1 and r.doc_id % 2 == 0}) == 1
         kept = module.accepted(docs, model)
         assert kept.columns == docs.columns and kept.count() == sum((r.score >= 0.3) if module is quality else (r.score < 0.5) for r in got)
+
+
+def test_sorted_lists_are_read_until_outsiders_cannot_qualify():
+    rng = np.random.default_rng(11)
+    x = np.floor(1024 * rng.normal(size=(500, 6)) * np.array([8, 4, 2, 1, 0.5, 0.1])).astype(np.int64)
+    x[7] = x[6]  # a tie
+    lists = topk.SortedLists(x)
+    assert not any(np.array_equal(v, x) for v in vars(lists).values())  # there is nothing to look a vector up in
+    q = x[:20]
+    k = np.full(20, 5)
+    rows, scores, (stopped, read) = lists.top(q, k)
+    want = q @ x.T
+    for j in range(20):
+        assert set(np.argsort(-want[j], kind="stable")[:5].tolist()) <= set(rows[j].tolist())
+        assert scores[j].tolist() == want[j, rows[j]].tolist()
+    assert stopped < 1 and stopped <= read
+    # until shortly before the stop, more than k vectors could still qualify
+    for j in range(3):
+        d = [d for d in lists.depths() if d / 500 < stopped][-1]
+        best, worst = np.empty(500), np.empty(500)
+        rank = np.argsort(np.argsort(x, 0, kind="stable"), 0, kind="stable")
+        for i in range(500):
+            seen = np.where(q[j] >= 0, rank[i] >= 500 - d, rank[i] < d)
+            last = np.where(q[j] >= 0, lists.values[500 - d], lists.values[d - 1])
+            low = np.where(q[j] >= 0, lists.values[0], lists.values[-1])
+            best[i], worst[i] = (np.where(seen, x[i], last) * q[j]).sum(), (np.where(seen, x[i], low) * q[j]).sum()
+        if (best >= np.sort(worst)[-5]).sum() > 5:
+            break
+    else:
+        raise AssertionError("reading went on for nothing")
+
+
+def test_topk_beyond_doubles(spark):
+    big = [(0, [1e6, 1.0]), (1, [1e6, 2.0]), (2, [9e5, 5e5]), (3, [float("inf"), 0.0]), (100, [-1e6, 7.0])]
+    df = spark.createDataFrame(big, "vec_id bigint, embedding array<double>").withColumn("v", F.lit(1)).withColumn("block", F.lit(0))
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in topk.search(df).collect()}
+    q = {i: [int(math.floor(1024 * x)) for x in v] for i, v in big if i != 3}
+    for i in (0, 100):
+        best = sorted(((sum(a * b for a, b in zip(q[i], q[j], strict=True)), -j) for j in q if j != i), reverse=True)
+        assert [got[i, n + 1] for n in range(3)] == [(-j, s) for s, j in best]
+    with pytest.raises(Exception, match="64 bits"):
+        topk.search(spark.createDataFrame([(0, [1e12]), (1, [1e12])], "vec_id bigint, embedding array<double>")).collect()
+
+
+def test_topk_of_repeated_ids(spark):
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (0, [0.5, 0.0]), (1, [1.0, 1.0]), (1, [1.0, 1.0])], "vec_id bigint, embedding array<double>")
+    got = [(r.query_id, r.rank, r.vec_id, r.score) for r in topk.search(df).orderBy("rank").collect()]
+    assert got == [(0, 1, 1, 512 * 1024), (0, 2, 1, 512 * 1024)]  # the smallest vector of the id asks; both rows of 1 answer

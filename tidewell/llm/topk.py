@@ -1,10 +1,12 @@
 """Exact top-k by inner product with no random access (operator 7).
 
-Every dimension of a block of vectors is a list sorted by contribution. The lists are read
-from their best ends in parallel; after each stretch, what a vector can still reach lies between
-the sum of its read contributions plus the worst of the unread ones and that sum plus the
-lists' last read values. A vector whose upper bound is below the k-th best lower bound is out.
-Reading stops when nothing outside the candidates can qualify; their final scores are then read.
+Every dimension of a block of vectors is a list of (vector, value) sorted by value. For a query,
+the lists are read in parallel from their best ends, in stretches: what a read entry adds goes to
+its vector's sum. A vector's score lies between its sum plus the worst of its unread lists and
+its sum plus the values at which their reading stands. A vector whose upper bound is below the
+k-th best lower bound is out; when no more than k are left, outsiders can't qualify and reading
+stops. Then the lists are read on, for those that are left only, until every one of their
+entries has come by: their sums are the final scores. No vector is ever looked up by its number.
 """
 
 from __future__ import annotations
@@ -14,58 +16,83 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Vectors of a block and queries of a block.
-BLOCK, QUERIES = 4096, 1024
+#: Vectors of a block, queries of a block, and queries that are answered at a time.
+BLOCK, QUERIES, AT_ONCE = 4096, 8192, 128
 
 
 class SortedLists:
-    """One block: its dimensions' lists, sorted by value, read from either end.
+    """One block: its dimensions' lists, sorted by value, which can be read from either end.
 
-    A stretch of reading is the same for all queries that read a list from the same end, so the
-    bounds of all vectors for all queries of a block are four matrix products of what has been
-    read. Integers below 2**53 are exact in them.
+    Sums are exact: doubles while every score is below 2**53, else 64-bit integers; scores that
+    may not fit into these are an error.
     """
 
     def __init__(self, x: np.ndarray):
-        self.x = x.astype(np.float64)
-        order = np.argsort(x, axis=0, kind="stable")
-        self.lists = np.take_along_axis(self.x, order, 0)
-        self.rank = np.empty(x.shape, np.int32)
-        np.put_along_axis(self.rank, order, np.broadcast_to(np.arange(len(x), dtype=np.int32)[:, None], x.shape), 0)
-
-    def bounds(self, q: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """Lowest and highest possible scores (vectors by queries) once `depth` entries of each list are read."""
-        n = len(self.x)
-        up, down = np.maximum(q, 0).T, np.minimum(q, 0).T
-        top, bottom = self.rank >= n - depth, self.rank < depth
-        known = (self.x * top) @ up + (self.x * bottom) @ down
-        low, high, last_up, last_down = self.lists[0][:, None], self.lists[-1][:, None], self.lists[n - depth][:, None], self.lists[depth - 1][:, None]
-        unread_up, unread_down = ~top, ~bottom
-        lower = known + unread_up @ (low * up) + unread_down @ (high * down)
-        upper = known + unread_up @ (last_up * up) + unread_down @ (last_down * down)
-        return lower, upper
-
-    def top(self, q: np.ndarray, k: np.ndarray, share: tuple[float, ...] = (0.4, 0.7)) -> tuple[list[np.ndarray], list[np.ndarray], float]:
+        x = x.astype(np.int64)
+        self.n, self.dims = x.shape
+        self.ids = np.argsort(x, axis=0, kind="stable")
+        self.values = np.take_along_axis(x, self.ids, 0)
+        self.largest = float(np.abs(x.astype(float)).max(initial=0))
+
+    def depths(self) -> list[int]:
+        """How far the lists are read by the end of each stretch."""
+        out = sorted({min(self.n, max(1, round(self.n * (1 - 0.62**i)))) for i in range(1, 12)} | {self.n})
+        return [d for d in out if d]
+
+    def top(self, q: np.ndarray, k: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray], list[float]]:
         """For each query (row of q), the vectors that can be among its k best or tie with the
-        k-th, and their final scores; and the share of the lists that was read sequentially."""
-        n, m = len(self.x), len(q)
-        alive, done = np.ones((n, m), bool), 0.0
-        for part in share:
-            depth = min(n, max(1, int(np.ceil(n * part))))
-            lower, upper = self.bounds(q, depth)
-            done = depth / n
-            for kk in np.unique(k[k <= n]).tolist():
+        k-th, and their final scores; and the share of the lists that was read when reading
+        stopped, and when the last score was complete."""
+        most = self.dims * self.largest * float(np.abs(q.astype(float)).max(initial=0))
+        if most >= 2.0**62:
+            raise OverflowError("scores don't fit into 64 bits")
+        kind = np.float64 if most < 2.0**53 else np.int64
+        up, down = np.maximum(q, 0).T.astype(kind), np.minimum(q, 0).T.astype(kind)  # dims by queries
+        lists = self.values.astype(kind)
+        known = np.zeros((self.n, len(q)), kind)
+        unread = [np.ones((self.n, self.dims), kind) for _ in range(2)]  # from the top, from the bottom
+        alive = np.ones((self.n, len(q)), bool)
+        some = np.ones(self.n, bool)
+
+        def read(start: int, end: int) -> None:
+            for j in range(self.dims):
+                for side, weights in enumerate((up[j], down[j])):
+                    if not weights.any():
+                        continue
+                    s = slice(self.n - end, self.n - start) if side == 0 else slice(start, end)
+                    ids = self.ids[s, j]
+                    wanted = some[ids]
+                    ids = ids[wanted]
+                    known[ids] += lists[s, j][wanted][:, None] * weights
+                    unread[side][ids, j] = 0
+
+        at, stopped = 0, 1.0
+        for depth in self.depths():
+            read(at, depth)
+            at = depth
+            rows = np.flatnonzero(some)
+            top, bottom = unread[0][rows], unread[1][rows]
+            low, high = lists[0][:, None], lists[-1][:, None]
+            lower = known[rows] + top @ (low * up) + bottom @ (high * down)
+            upper = known[rows] + top @ (lists[self.n - depth][:, None] * up) + bottom @ (lists[depth - 1][:, None] * down)
+            lower[~alive[rows]] = -(2**62)
+            for kk in np.unique(k).tolist():
                 col = np.flatnonzero(k == kk)
-                bar = np.partition(lower[:, col], n - kk, axis=0)[n - kk]
-                alive[:, col] &= upper[:, col] >= bar
-            if alive.sum() <= 4 * k.sum():
+                if kk <= len(rows):
+                    bar = np.partition(lower[:, col], len(rows) - kk, axis=0)[len(rows) - kk]
+                    alive[np.ix_(rows, col)] &= upper[:, col] >= bar
+            some = alive.any(1)
+            stopped = depth / self.n
+            if (alive.sum(0) <= k).all():
                 break
-        rows, scores = [], []
-        for j in range(m):
-            own = np.flatnonzero(alive[:, j])
-            rows.append(own)
-            scores.append((self.x[own] @ q[j]).astype(np.int64))
-        return rows, scores, done
+        for depth in [d for d in self.depths() if d > at]:
+            rows = np.flatnonzero(some)
+            if not ((unread[0][rows] @ (up != 0)).any() or (unread[1][rows] @ (down != 0)).any()):
+                break
+            read(at, depth)
+            at = depth
+        rows = [np.flatnonzero(alive[:, j]) for j in range(len(q))]
+        return rows, [known[r, j].astype(np.int64) for j, r in enumerate(rows)], [stopped, at / self.n]
 
 
 def best_of(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -115,10 +142,10 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, block: int = BLOCK
             lists = SortedLists(flat[at[own][:, None] + np.arange(dims)])
             every_id = ids[own]
             asking = np.flatnonzero(asks & (size == dims))
-            for some in np.array_split(asking, -(-len(asking) // 256)):
+            for some in np.array_split(asking, -(-len(asking) // AT_ONCE)):
                 # the query's own rows may be among the best: room for them, then out
                 mine = np.array([int((every_id == i).sum()) for i in ids[some]])
-                rows_, scores, _ = lists.top(flat[at[some][:, None] + np.arange(dims)].astype(np.float64), k + mine)
+                rows_, scores, _ = lists.top(flat[at[some][:, None] + np.arange(dims)], k + mine)
                 for i, r, s in zip(ids[some].tolist(), rows_, scores, strict=True):
                     keep = every_id[r] != i
                     got, best = best_of(every_id[r[keep]], s[keep], k)
