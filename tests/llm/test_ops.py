@@ -112,39 +112,77 @@ def test_tokens():
     assert len(set(t.hash.tolist())) == 5
 
 
-def test_katz(spark, docs, odd):
-    rows = {r.doc_id: r for r in katz.score(docs, chunk_tokens=5000, parts=4).collect()}
-    texts = {r.doc_id: (r.text or "").encode().lower().split() + [None] for r in docs.collect()}
-    one, two, after = Counter(), Counter(), Counter()
+def katz_by_brute_force(texts, order):
+    """texts: id -> words and an end. The recursion as it is written, over counters."""
+    counts = [Counter() for _ in range(order)]
     for i, w in texts.items():
         if zlib.crc32(str(i).encode()) % 10:
-            one.update(w)
-            two.update(zip(["<s>", *w[:-1]], w, strict=True))
-    for (h, _), n in two.items():
-        after[h] += n
-    total = sum(one.values())
-    of = lambda c: katz.discounts([sum(v == k for v in c.values()) for k in range(1, 7)])
-    d1, d2 = of(one), of(two)
-    unknown = 1 - sum(d1[min(n, 6)] * n / total for n in one.values())
-    single = lambda w: d1[min(one[w], 6)] * one[w] / total if one[w] else unknown
-    freed, taken = Counter(), Counter()
-    for (h, w), n in two.items():
-        freed[h] += (1 - d2[min(n, 6)]) * n
-        taken[h] += single(w)
+            padded = ["<s>"] * (order - 1) + w
+            for j in range(order - 1, len(padded)):
+                for n in range(order):
+                    counts[n][tuple(padded[j - n : j + 1])] += 1
+    d = [katz.discounts([sum(v == k for v in c.values()) for k in range(1, 7)]) for c in counts]
+    kept = lambda n, c: c - 0.5 if c > 5 else d[n][c] * c
+    total = sum(counts[0].values())
+    after, freed = [Counter() for _ in range(order)], [Counter() for _ in range(order)]
+    for n in range(order):
+        for g, c in counts[n].items():
+            after[n][g[:-1]] += c
+            freed[n][g[:-1]] += c - kept(n, c)
+    taken = [None] * order
 
     def prob(h, w):
-        n, none = two.get((h, w), 0), freed[h] <= 0
-        if n:
-            return d2[min(n, 6)] * n / (after[h] + none)
-        return single(w) * ((1 / (after[h] + 1) if none else freed[h] / after[h]) / (1 - taken[h]) if after[h] else 1)
-
+        n = len(h)
+        c = counts[n].get((*h, w), 0)
+        if n == 0:
+            return (kept(0, c) if c else freed[0][()]) / total
+        if c:
+            return kept(n, c) / after[n][h]
+        lower = prob(h[1:], w)
+        return lower * freed[n][h] / after[n][h] / (1 - taken[n][h]) if after[n][h] else lower
+
+    for n in range(1, order):
+        taken[n] = Counter()
+        for g in counts[n]:
+            taken[n][g[:-1]] += prob(g[1:-1], g[-1])
+    return counts, total, after, prob
+
+
+@pytest.mark.parametrize("order,parts", [(1, 1), (2, 4), (3, 16), (4, 1)])
+def test_katz(spark, docs, order, parts):
+    rows = {r.doc_id: r for r in katz.score(docs, order=order, chunk_tokens=5000, parts=parts).collect()}
+    texts = {r.doc_id: (r.text or "").encode().lower().split() + [None] for r in docs.collect()}
+    counts, total, after, prob = katz_by_brute_force(texts, order)
+    one = {g[0]: c for g, c in counts[0].items()}
     for i, w in texts.items():
-        assert rows[i].score == pytest.approx(sum(math.log10(prob(h, x)) for h, x in zip(["<s>", *w[:-1]], w, strict=True)), rel=1e-9)
-        assert rows[i].base_score == pytest.approx(sum(math.log10((one[x] + 0.1) / (total + 0.1 * (len(one) + 1))) for x in w), rel=1e-9)
-        assert (rows[i].n_tokens, rows[i].n_known, rows[i].train_tokens) == (len(w), sum(one[x] > 0 for x in w), total)
-    for h in ("<s>", *list(after)[:5]):
+        padded = ["<s>"] * (order - 1) + w
+        want = sum(math.log10(prob(tuple(padded[j : j + order - 1]), x)) for j, x in enumerate(w))
+        assert rows[i].score == pytest.approx(want, rel=1e-9)
+        assert rows[i].base_score == pytest.approx(sum(math.log10((one.get(x, 0) + 0.1) / (total + 0.1 * (len(one) + 1))) for x in w), rel=1e-9)
+        assert (rows[i].n_tokens, rows[i].n_known, rows[i].train_tokens) == (len(w), sum(x in one for x in w), total)
+    for h in list(after[order - 1])[:4]:  # the probabilities after a history sum to 1
         assert sum(prob(h, w) for w in one) + prob(h, "unheard") == pytest.approx(1)
-    assert katz.score(odd).count() == odd.count() and katz.score(odd.limit(0)).count() == 0
+
+
+def test_katz_on_odd_rows(spark, odd):
+    rows = katz.score(odd.withColumn("chunk", F.lit(1)).withColumn("held", F.lit("x")), order=3).collect()
+    assert len(rows) == odd.count() and katz.score(odd.limit(0)).count() == 0
+    by = {r.doc_id: r for r in rows if r.doc_id not in (3, None)}
+    assert by[0].n_tokens == by[1].n_tokens == by[2].n_tokens == 1 and by[0].score == by[1].score
+    assert by[9].score == by[10].score  # repeats
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 10 == 0]
+    lone = katz.score(spark.createDataFrame([(i, "a b") for i in held], "doc_id bigint, text string")).collect()
+    assert len(lone) == len(held) and all((r.score, r.base_score, r.train_tokens, r.n_known, r.held_out) == (0, 0, 0, 0, True) for r in lone)
+
+
+def test_katz_chunk_numbers_of_late_partitions(spark):
+    rows = katz.chunks(spark.createDataFrame([(1, "a b a"), (2, "b c")], "doc_id bigint, text string").coalesce(1), 10, 100)
+    late = rows.withColumn("chunk", F.col("chunk") + F.lit(5000 << 32))
+    answers = katz.counted(katz.requests(late, 2, 2))
+    model = katz.Model([[7, 4, 2, 1, 1, 0, 0, 0], [7, 6, 5, 1, 0, 0, 0, 0]])
+    scored = katz.evaluated(late, answers, model, 2, 2)
+    assert {r.chunk for r in scored.collect()} == {5000 << 32}
+    assert katz.backed_off(scored).schema.simpleString() == "struct<chunk:bigint,row:int,extra:double>"
 
 
 def test_order_minhash(spark, docs, odd):

@@ -1,17 +1,23 @@
-"""Katz backoff language model over hashed word bigrams (operator 2).
+"""Katz backoff language model over hashed word n-grams (operator 2).
 
-    P(w | h) = d(c(h w)) c(h w) / c(h)   if c(h w) > 0,   else   a(h) P(w)
+    P(w | h) = d(c(h w)) c(h w) / c(h)   if c(h w) > 0
+             = a(h) P(w | h')            if c(h) > 0, where h' is h without its first word
+             = P(w | h')                 else
     P(w)     = d(c(w)) c(w) / N          if c(w) > 0,     else   what the discounts leave
 
-d are Good-Turing discounts of the counts 1 to 5, and a(h) is such that the probabilities after
-h sum to 1 over the known words and the unknown one. A history without small counts, which
-leaves nothing, gets 1 / (c(h) + 1) of its probability free instead.
-
-Texts become chunks of local word numbers. For every chunk, its distinct words and bigrams go
-as sorted hashes to the partition of the count table that holds them, and the totals come
-back, so a frequent n-gram travels once for each chunk and no key is ever hot; then every token
-of the chunk is evaluated. Backoff weights are summed the same way from the chunks that own a
-bigram (of all that hold it, the first), and only tokens that back off ask for them.
+d are, for each length of n-gram, Good-Turing discounts of the counts 1 to 5; larger counts lose
+half a count, so that every history leaves something. a(h) is such that the probabilities after h
+sum to 1 over the known words and the unknown one. Texts begin with as many marks as a history
+is long, and end with one token.
+
+Texts become chunks of local word numbers. For every chunk, its distinct n-grams go as sorted
+hashes to the partition of the count table that holds them, and the totals come back, so a
+frequent n-gram travels once for each chunk and no key is ever hot; then every token of the chunk
+is evaluated, from the longest n-gram down. Backoff weights are summed the same way from the
+chunks that own an n-gram (of all that hold it, the first), and only tokens that back off ask for
+them. Messages are a row for each chunk and partition that has something to say to it: as many as
+both numbers' product while a message holds several n-grams, and never more than there are
+distinct n-grams in the chunks.
 """
 
 from __future__ import annotations
@@ -25,17 +31,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._arrays import Tokens, U, pair_hash
-from ._shared import remainder, staged
+from ._arrays import Tokens, U, pair_hash, release
+from ._shared import remainder, staged, unstage
 from .bpe import slices
 
 END, BEGIN = U(0x1F3D5B79A2C4E688), U(0x2E4C6A8897B5D3F1)
-SMALL = 5  # counts up to this are discounted
+SMALL = 5  # counts up to this have a Good-Turing discount
+HALF = 0.5  # what larger counts lose
+ORDER = 2
 CHUNK_TOKENS = 1 << 19
+PART_BYTES = 16 << 20  # of text for each partition of the count tables
 CHUNK = "chunk bigint, doc_ids array<bigint>, held array<boolean>, sizes array<int>, words binary, ids binary"
 REQUEST = "part int, chunk bigint, keys binary, counts binary"
 ANSWER = "part int, chunk bigint, keys binary, counts binary, stats array<bigint>"
-SCORED = "kind int, rid bigint, doc_id bigint, held boolean, n_tokens bigint, n_known bigint, base double, score double, part int, keys binary, vals binary"
+SCORED = "kind int, chunk bigint, row int, doc_id bigint, held boolean, n_tokens bigint, n_known bigint, base double, score double, part int, keys binary, vals binary"
 
 
 def squeeze(x: np.ndarray) -> bytes:
@@ -81,7 +90,7 @@ def chunks(docs: DataFrame, fold: int, tokens: int) -> DataFrame:
             base, n, held_, ids_, sizes_, hashes = base + 1, 0, [], [], [], []
             return out
 
-        for batch in slices(batches, size=4 << 20):
+        for batch in slices(batches):
             words = Tokens([(t or "").encode().lower() for t in batch.column(1).to_pylist()])
             hashes.append(words.hash)
             sizes_.append(np.diff(words.offsets))
@@ -101,23 +110,35 @@ def chunks(docs: DataFrame, fold: int, tokens: int) -> DataFrame:
 
 
 class _Chunk:
-    """A chunk's tokens (each document's words, then its end) and what stands before each."""
+    """A chunk's tokens (each document's words, then its end), and its distinct n-grams of each length.
+
+    levels[n - 1] has, for n-grams of n words, their ascending hashes, where the first of each
+    stands, and the n-gram that ends at each token. starts are the hashes of the histories of n
+    words at a document's beginning.
+    """
 
-    def __init__(self, row: dict):
+    def __init__(self, row: dict, order: int):
         self.words = expand_sorted(row["words"])
         word_ids = expand(row["ids"], np.uint32).astype(np.int64)
         sizes = np.array(row["sizes"], np.int64)
         self.doc_ids, self.held = row["doc_ids"], np.array(row["held"], bool)
         end = int(np.searchsorted(self.words, END))
-        self.ids = np.insert(word_ids, np.cumsum(sizes), end)
+        ids = np.insert(word_ids, np.cumsum(sizes), end)
         self.sizes = sizes + 1
         self.doc = np.repeat(np.arange(len(sizes)), self.sizes)
         self.first = np.cumsum(self.sizes) - self.sizes
-        self.before = np.append(-1, self.ids[:-1])
-        self.before[self.first] = -1
-        known = self.words[self.ids]
-        history = np.where(self.before < 0, BEGIN, self.words[self.before])
-        self.keys, self.at, self.key_of = np.unique(pair_hash(history, known), return_index=True, return_inverse=True)
+        at = np.zeros(len(self.words), np.int64)
+        at[ids[::-1]] = np.arange(len(ids))[::-1]
+        self.levels = [(self.words, at, ids)]
+        self.starts = [BEGIN]
+        word = self.words[ids]
+        gram = word
+        for _ in range(1, order):
+            history = np.append(U(0), gram[:-1])
+            history[self.first] = self.starts[-1]
+            gram = pair_hash(history, word)
+            self.levels.append(np.unique(gram, return_index=True, return_inverse=True))
+            self.starts.append(pair_hash(np.array([self.starts[-1]]), np.array([BEGIN]))[0])
 
 
 def _spread(keys: np.ndarray, parts: int) -> np.ndarray:
@@ -127,15 +148,15 @@ def _spread(keys: np.ndarray, parts: int) -> np.ndarray:
     return np.append(np.searchsorted(keys, edges), len(keys))
 
 
-def requests(chunk_rows: DataFrame, parts: int) -> DataFrame:
-    """Each chunk's distinct words (parts 0 and up) and bigrams (parts `parts` and up) with their training counts."""
+def requests(chunk_rows: DataFrame, parts: int, order: int = ORDER) -> DataFrame:
+    """Each chunk's distinct n-grams of n words (parts (n - 1) * parts and up) with their training counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                c = _Chunk(row)
+                c = _Chunk(row, order)
                 train = ~c.held[c.doc]
-                for level, keys, inverse in ((0, c.words, c.ids), (1, c.keys, c.key_of)):
+                for level, (keys, _, inverse) in enumerate(c.levels):
                     counts = np.bincount(inverse[train], minlength=len(keys)).astype(np.uint32)
                     edge = _spread(keys, parts)
                     some = [p for p in range(parts) if edge[p] < edge[p + 1]]
@@ -147,6 +168,8 @@ def requests(chunk_rows: DataFrame, parts: int) -> DataFrame:
                             "counts": pa.array([squeeze(counts[edge[p] : edge[p + 1]]) for p in some], pa.binary()),
                         }
                     )
+                del c, row
+            release()
 
     return chunk_rows.mapInArrow(run, REQUEST)
 
@@ -184,159 +207,168 @@ def counted(asked: DataFrame) -> DataFrame:
 
 
 def discounts(n: list[int]) -> np.ndarray:
-    """d(0..5) and, at 6, the 1 of all larger counts. n: how many n-grams occur 1 to 6 times.
+    """d(0..5). n: how many n-grams occur 1 to 6 times.
 
     Where the counts of counts give no discount between 0 and 1, d(r) is (r - 0.5) / r.
     """
-    out = np.ones(SMALL + 2)
+    out = np.ones(SMALL + 1)
     cut = (SMALL + 1) * n[SMALL] / n[0] if n[0] else 1.0
     for r in range(1, SMALL + 1):
         d = 0.0
         if n[r - 1] and n[r] and cut < 1:
             d = ((r + 1) * n[r] / (r * n[r - 1]) - cut) / (1 - cut)
-        out[r] = d if 0 < d < 1 else (r - 0.5) / r
+        out[r] = d if 0 < d < 1 else (r - HALF) / r
     return out
 
 
+def kept(count: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """What the discounts leave of counts; 0 of 0."""
+    return np.where(count > SMALL, count - HALF, d[np.minimum(count, SMALL)] * count)
+
+
 class Model:
-    """Totals and discounts; what a chunk's counts mean."""
+    """Totals and discounts of each length of n-gram; stats: for each, the sum of counts, how many there are, and how many occur 1 to 6 times."""
 
-    def __init__(self, one: list[int], two: list[int]):
-        self.n, self.v = one[0], one[1]
-        self.d1, self.d2 = discounts(one[2:]), discounts(two[2:])
+    def __init__(self, stats: list[list[int]]):
+        self.n, self.v = stats[0][0], stats[0][1]
+        self.d = [discounts(x[2:]) for x in stats]
+        few = np.array(stats[0][2 : 2 + SMALL])
         r = np.arange(1, SMALL + 1)
-        left = float(((1 - self.d1[1 : SMALL + 1]) * r * np.array(one[2 : 2 + SMALL])).sum())
-        # without small counts one further token is thought of, the unknown word
-        self.n1 = float(self.n) if left > 0 else self.n + 1.0
-        self.unknown = max(left, 0.0) / self.n1 if left > 0 else 1 / self.n1
+        left = float(((1 - self.d[0][1:]) * r * few).sum()) + HALF * (self.v - int(few.sum()))
+        self.unknown = left / self.n if self.n else 1.0
 
     def single(self, c: np.ndarray) -> np.ndarray:
         """P(w) by the word's count."""
-        return np.where(c > 0, self.d1[np.minimum(c, SMALL + 1)] * c / self.n1, self.unknown)
+        return np.where(c > 0, kept(c, self.d[0]) / max(self.n, 1), self.unknown)
 
 
-def evaluated(chunk_rows: DataFrame, answers: DataFrame, model: Model, parts: int) -> DataFrame:
+def evaluated(chunk_rows: DataFrame, answers: DataFrame, model: Model, parts: int, order: int = ORDER) -> DataFrame:
     """Every token of every chunk: kind 0, a row a document, without its backoff weights; kind 1,
-    for each part of the histories what the chunk's own bigrams take and leave; kind 2, which
-    documents back off from which histories, and how often."""
+    for each part of the histories what the n-grams that the chunk owns take and leave; kind 2,
+    which documents back off from which histories, and how often. Histories of n words are in the
+    parts from (n - 1) * parts on."""
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return pa.table({n: pa.array([], t) for n, t in kinds})
-        c = _Chunk(left.to_pylist()[0])
-        rows = sorted(right.to_pylist(), key=lambda r: r["part"])
-        one = np.concatenate([expand(r["counts"], U) for r in rows if r["part"] < parts]) >> U(1)
-        two = np.concatenate([expand(r["counts"], U) for r in rows if r["part"] >= parts])
-        owned, two = (two & U(1)).astype(bool), (two >> U(1)).astype(np.int64)
-        one = one.astype(np.int64)
-        ends = int(one[np.searchsorted(c.words, END)])
+        chunk = key[0].as_py()
+        c = _Chunk(left.to_pylist()[0], order)
+        answer: list[list[np.ndarray]] = [[] for _ in range(order)]
+        for r in sorted(right.to_pylist(), key=lambda r: r["part"]):
+            answer[r["part"] // parts].append(expand(r["counts"], U))
+        both = [np.concatenate(a) for a in answer]
+        count, owned = [(x >> U(1)).astype(np.int64) for x in both], [(x & U(1)).astype(bool) for x in both]
+        del both, answer
         docs = len(c.doc_ids)
-        c1, c2 = one[c.ids], two[c.key_of]
-        history = np.where(c.before < 0, ends, one[c.before])
+        ends = int(count[0][np.searchsorted(c.words, END)])  # as many as there are training texts
+        ids = c.levels[0][2]
+        c1 = count[0][ids]
         base = np.log10((c1 + 0.1) / (model.n + 0.1 * (model.v + 1)))
-        single = model.single(one)
-        seen = c2 > 0
-        with np.errstate(divide="ignore", invalid="ignore"):
-            token = np.where(seen, np.log10(model.d2[np.minimum(c2, SMALL + 1)] * c2 / history), np.log10(single[c.ids]))
-        rid = key[0].as_py() * (1 << 21) + np.arange(docs)
-        out = [
+        lower = model.single(count[0])[ids]  # what the n-gram that is a word shorter gives each token, where it was seen
+        token, found = lower, np.zeros(len(ids), np.int64)
+        out, misses = [], []
+        for level in range(1, order):
+            keys, at, key_of = c.levels[level]
+            below = c.levels[level - 1]
+            total = np.append(0, count[level - 1][below[2]][:-1])  # of the history before each token
+            total[c.first] = ends
+            here = count[level][key_of]
+            seen = here > 0
+            with np.errstate(divide="ignore", invalid="ignore"):
+                chance = kept(here, model.d[level]) / total
+            token = np.where(seen, chance, token)
+            found = np.where(seen, level, found)
+            history = np.append(U(0), below[0][below[2]][:-1])
+            history[c.first] = c.starts[level - 1]
+            own = np.flatnonzero(owned[level])
+            first = at[own]
+            h, place = np.unique(history[first], return_inverse=True)
+            taken = np.bincount(place, lower[first], len(h))
+            freed = np.bincount(place, count[level][own] - kept(count[level][own], model.d[level]), len(h))
+            whole = np.zeros(len(h), np.int64)
+            whole[place] = total[first]
+            out.append((1, level, h, (freed, taken, whole)))
+            misses.append((level, history, total))
+            lower = chance
+        for level, history, total in misses:
+            asks = np.flatnonzero((found < level) & (total > 0))
+            h, place = np.unique(history[asks], return_inverse=True)
+            pair, times = np.unique(place * docs + c.doc[asks], return_counts=True)
+            out.append((2, level, h[pair // docs], ((pair % docs).astype(np.uint32), times.astype(np.uint32))))
+        rows = [
             {
-                "kind": np.zeros(docs, np.int32), "rid": rid, "doc_id": c.doc_ids, "held": c.held, "n_tokens": c.sizes,
-                "n_known": np.bincount(c.doc, c1 > 0, docs).astype(np.int64), "base": np.bincount(c.doc, base, docs), "score": np.bincount(c.doc, token, docs),
+                "kind": np.zeros(docs, np.int32), "chunk": np.full(docs, chunk), "row": np.arange(docs), "doc_id": c.doc_ids, "held": c.held, "n_tokens": c.sizes,
+                "n_known": np.bincount(c.doc, c1 > 0, docs).astype(np.int64), "base": np.bincount(c.doc, base, docs), "score": np.bincount(c.doc, np.log10(token), docs),
             }
         ]
-        # histories in ascending order of their hashes: the words, and the beginning at its place
-        place = int(np.searchsorted(c.words, BEGIN))
-        hashes = np.insert(c.words, place, BEGIN)
-        rank = np.insert(np.arange(len(c.words)) + (np.arange(len(c.words)) >= place), 0, place)  # of word -1, 0, 1, ...
-        held_by = rank[c.before[c.at] + 1]
-        n = len(hashes)
-        own = np.flatnonzero(owned)
-        small = np.minimum(two, SMALL + 1)
-        taken = np.bincount(held_by[own], single[c.ids[c.at[own]]], n)
-        freed = np.bincount(held_by[own], (1 - model.d2[small[own]]) * two[own], n)
-        total = np.insert(one, place, ends)
-        some = np.flatnonzero(np.bincount(held_by[own], minlength=n))
-        # a history may leave nothing only if no bigram with a small count is seen after it here
-        tight = (np.bincount(held_by, (two > 0) & (two <= SMALL), n) == 0) & (total > 0)
-        now = rank[c.before + 1]
-        asks = (~seen & (history > 0)) | (seen & tight[now])
-        pair, at = np.unique(now[asks] * docs + c.doc[asks], return_inverse=True)
-        misses = np.bincount(at, ~seen[asks], len(pair)).astype(np.uint32)
-        hits = np.bincount(at, seen[asks], len(pair)).astype(np.uint32)
-        for kind, which in ((1, some), (2, pair // docs)):
-            edge = _spread(hashes[which], parts)
-            for p in range(parts):
+        for kind, level, hashes, values in out:
+            edge = _spread(hashes, parts)
+            for p in np.flatnonzero(edge[1:] > edge[:-1]).tolist():
                 s = slice(edge[p], edge[p + 1])
-                if edge[p] < edge[p + 1]:
-                    w = which[s]
-                    if kind == 1:
-                        vals = [squeeze(freed[w]), squeeze(taken[w]), squeeze(total[w])]
-                    else:
-                        vals = [squeeze((pair[s] % docs).astype(np.uint32)), squeeze(misses[s]), squeeze(hits[s])]
-                    raw = np.array([len(v) for v in vals], "<u4").tobytes() + b"".join(vals)
-                    out.append({"kind": [kind], "rid": [int(rid[0])], "part": [p], "keys": [squeeze_sorted(hashes[w])], "vals": [raw]})
-        return pa.concat_tables([pa.table({n: pa.array(x[n], t) if n in x else pa.nulls(len(x["kind"]), t) for n, t in kinds}) for x in out])
-
-    kinds = [("kind", pa.int32()), ("rid", pa.int64()), ("doc_id", pa.int64()), ("held", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("part", pa.int32()), ("keys", pa.binary()), ("vals", pa.binary())]
+                vals = [squeeze(v[s]) for v in values]
+                raw = np.array([len(v) for v in vals], "<u4").tobytes() + b"".join(vals)
+                rows.append({"kind": [kind], "chunk": [chunk], "part": [(level - 1) * parts + p], "keys": [squeeze_sorted(hashes[s])], "vals": [raw]})
+        release()
+        return pa.concat_tables([pa.table({n: pa.array(x[n], t) if n in x else pa.nulls(len(x["kind"]), t) for n, t in kinds}) for x in rows])
+
+    kinds = [("kind", pa.int32()), ("chunk", pa.int64()), ("row", pa.int32()), ("doc_id", pa.int64()), ("held", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("part", pa.int32()), ("keys", pa.binary()), ("vals", pa.binary())]
     return chunk_rows.groupBy("chunk").cogroup(answers.where("chunk is not null").select("part", "chunk", "counts").groupBy("chunk")).applyInArrow(run, SCORED)
 
 
 def _fields(raw: bytes, types: tuple) -> list[np.ndarray]:
-    size = np.frombuffer(raw[:12], "<u4")
-    at = np.append(12, 12 + np.cumsum(size, dtype=np.int64)).tolist()
+    size = np.frombuffer(raw[: 4 * len(types)], "<u4")
+    at = (4 * len(types) + np.append(0, np.cumsum(size, dtype=np.int64))).tolist()
     return [expand(raw[a:b], t) for a, b, t in zip(at, at[1:], types, strict=False)]
 
 
 def backed_off(scored: DataFrame) -> DataFrame:
-    """rid and what backoff weights add to the document's score, once for each part that holds one of its histories."""
+    """chunk, row and what backoff weights add to the document's score, once for each part that holds one of its histories."""
 
     def run(table: pa.Table) -> pa.Table:
-        rows = sorted(table.to_pylist(), key=lambda r: (r["kind"], r["rid"]))
-        keys = [expand_sorted(r["keys"]) for r in rows]
-        given = [_fields(r["vals"], (np.float64, np.float64, np.int64)) for r in rows if r["kind"] == 1]
-        asked = [(r["rid"], k, *_fields(r["vals"], (np.uint32, np.uint32, np.uint32))) for r, k in zip(rows, keys, strict=True) if r["kind"] == 2]
-        hashes = [k for r, k in zip(rows, keys, strict=True) if r["kind"] == 1]
-        out = {"rid": [np.zeros(0, np.int64)], "extra": [np.zeros(0)]}
-        if hashes and asked:
-            h, at = np.unique(np.concatenate(hashes), return_inverse=True)
-            freed = np.bincount(at, np.concatenate([g[0] for g in given]), len(h))
-            taken = np.bincount(at, np.concatenate([g[1] for g in given]), len(h))
+        rows = sorted(table.to_pylist(), key=lambda r: (r["kind"], r["chunk"]))
+        given = [(expand_sorted(r["keys"]), *_fields(r["vals"], (np.float64, np.float64, np.int64))) for r in rows if r["kind"] == 1]
+        out = {"chunk": [np.zeros(0, np.int64)], "row": [np.zeros(0, np.int64)], "extra": [np.zeros(0)]}
+        asked = [r for r in rows if r["kind"] == 2]
+        if given and asked:
+            h, at = np.unique(np.concatenate([g[0] for g in given]), return_inverse=True)
+            freed = np.bincount(at, np.concatenate([g[1] for g in given]), len(h))
+            taken = np.bincount(at, np.concatenate([g[2] for g in given]), len(h))
             total = np.zeros(len(h))
-            total[at] = np.concatenate([g[2] for g in given])
-            none = freed <= 0
-            free = np.where(none, 1 / (total + 1), freed / total)
-            weight = np.log10(free / np.maximum(1 - taken, 1e-300))
-            shrink = np.where(none, np.log10(total / (total + 1)), 0.0)
-            for rid, k, doc, misses, hits in asked:
-                i = np.searchsorted(h, k)
-                extra = np.bincount(doc, misses * weight[i] + hits * shrink[i])
+            total[at] = np.concatenate([g[3] for g in given])
+            weight = np.log10(freed / total / np.maximum(1 - taken, 1e-300))
+            for r in asked:
+                doc, times = _fields(r["vals"], (np.uint32, np.uint32))
+                extra = np.bincount(doc, times * weight[np.searchsorted(h, expand_sorted(r["keys"]))])
                 some = np.unique(doc)
-                out["rid"].append(rid + some.astype(np.int64))
+                out["chunk"].append(np.full(len(some), r["chunk"]))
+                out["row"].append(some.astype(np.int64))
                 out["extra"].append(extra[some])
-        return pa.table({"rid": pa.array(np.concatenate(out["rid"]), pa.int64()), "extra": pa.array(np.concatenate(out["extra"]), pa.float64())})
+        release()
+        return pa.table({n: pa.array(np.concatenate(x), t) for (n, x), t in zip(out.items(), (pa.int64(), pa.int32(), pa.float64()), strict=True)})
 
-    return scored.where("kind > 0").groupBy("part").applyInArrow(run, "rid bigint, extra double")
+    return scored.where("kind > 0").groupBy("part").applyInArrow(run, "chunk bigint, row int, extra double")
 
 
-def score(docs: DataFrame, fold: int = 10, chunk_tokens: int = CHUNK_TOKENS, parts: int | None = None) -> DataFrame:
+def score(docs: DataFrame, fold: int = 10, order: int = ORDER, chunk_tokens: int = CHUNK_TOKENS, parts: int | None = None) -> DataFrame:
     """Scores every whole text by the model of the texts whose crc32(doc_id as text) mod fold isn't 0.
 
-    Returns doc_id, held_out, n_tokens (words and the end), n_known, train_tokens, base_score (of
-    add-0.1 unigrams) and score (log10 probability by the model). A-Z are lower-cased; null text
-    is empty: only the end. Rows that repeat an id are texts of their own; rows with a null id are
-    training texts. Without training texts all counts are 0, and the score is 0 for every token.
+    order: the words of the longest n-grams (1: no backoff). Returns doc_id, held_out, n_tokens
+    (words and the end), n_known, train_tokens, base_score (of add-0.1 unigrams) and score (log10
+    probability by the model). A-Z are lower-cased; null text is empty: only the end. Rows that
+    repeat an id are texts of their own; rows with a null id are training texts. Without training
+    texts all counts are 0, and the score is 0 for every token. No rows give no rows.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = parts or 1 << max(6, int(np.ceil(np.log2(max(1, size / 8e6)))))
+    parts = parts or 1 << max(6, int(np.ceil(np.log2(max(1, size / PART_BYTES)))))
     rows = chunks(docs, fold, chunk_tokens)
-    answers = staged(counted(requests(rows, parts)), "counts")
-    totals = answers.where("chunk is null").select((F.col("part") >= parts).alias("two"), *(F.col("stats")[i].alias(f"s{i}") for i in range(SMALL + 3))).groupBy("two").agg(*(F.sum(f"s{i}").alias(f"s{i}") for i in range(SMALL + 3)))
-    got = {r.two: [int(x) for x in r[1:]] for r in totals.collect()}
-    empty = [0] * (SMALL + 3)
-    model = Model(got.get(False, empty), got.get(True, empty))
-    scored = staged(evaluated(rows, answers, model, parts), "scored")
-    extra = backed_off(scored).groupBy("rid").agg(F.sum("extra").alias("extra"))
-    out = scored.where("kind = 0").select("rid", "doc_id", "held", "n_tokens", "n_known", "base", "score")
+    answers = staged(counted(requests(rows, parts, order)), "counts")
+    level = F.floor(F.col("part") / parts).cast("int").alias("level")
+    totals = answers.where("chunk is null").select(level, *(F.col("stats")[i].alias(f"s{i}") for i in range(SMALL + 3))).groupBy("level").agg(*(F.sum(f"s{i}").alias(f"s{i}") for i in range(SMALL + 3)))
+    got = {r.level: [int(x) for x in r[1:]] for r in totals.collect()}
+    model = Model([got.get(i, [0] * (SMALL + 3)) for i in range(order)])
+    scored = staged(evaluated(rows, answers, model, parts, order), "scored")
+    unstage(answers)
+    extra = backed_off(scored).groupBy("chunk", "row").agg(F.sum("extra").alias("extra"))
+    out = scored.where("kind = 0").select("chunk", "row", "doc_id", "held", "n_tokens", "n_known", "base", "score")
     total = F.col("score") + F.coalesce("extra", F.lit(0.0)) if model.n else F.lit(0.0)
-    return out.join(extra, "rid", "left").select("doc_id", F.col("held").alias("held_out"), "n_tokens", "n_known", F.lit(model.n).cast("bigint").alias("train_tokens"), F.col("base").alias("base_score") if model.n else F.lit(0.0).alias("base_score"), total.alias("score"))
+    return out.join(extra, ["chunk", "row"], "left").select("doc_id", F.col("held").alias("held_out"), "n_tokens", "n_known", F.lit(model.n).cast("bigint").alias("train_tokens"), F.col("base").alias("base_score") if model.n else F.lit(0.0).alias("base_score"), total.alias("score"))
