@@ -517,3 +517,83 @@ def test_topk_of_repeated_ids(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (0, [0.5, 0.0]), (1, [1.0, 1.0]), (1, [1.0, 1.0])], "vec_id bigint, embedding array<double>")
     got = [(r.query_id, r.rank, r.vec_id, r.score) for r in topk.search(df).orderBy("rank").collect()]
     assert got == [(0, 1, 1, 512 * 1024), (0, 2, 1, 512 * 1024)]  # the smallest vector of the id asks; both rows of 1 answer
+
+
+def test_order_minhash_by_brute_force(spark):
+    """Tuples of the l smallest numbered k-mers of each hash function, in the order of the text."""
+    rng = np.random.default_rng(13)
+    words = ["alpha", "beta", "gamma", "delta", "ab", "a"]
+    texts = {i: " ".join(rng.choice(words, int(rng.integers(0, 40)))) for i in range(30)} | {40: "short", 41: "", 42: "aaaaaaaaaaaaaaaa", 43: "日本" * 9}
+
+    def tuples(text):
+        x = order_minhash.code_points(text)
+        k = min(6, len(x))
+        if not k:
+            return np.zeros(64, np.uint32)
+        numbered, seen = [], Counter()
+        for i in range(len(x) - k + 1):
+            gram = tuple(x[i : i + k].tolist())
+            numbered.append((gram, seen[gram]))
+            seen[gram] += 1
+        hashes = order_minhash.numbered_kmers(x)
+        by = {}
+        for key, h in zip(numbered, hashes.tolist(), strict=True):
+            assert by.setdefault(key, h) == h  # one hash a numbered k-mer
+        assert len(set(hashes.tolist())) == len(by)
+        low = (hashes >> np.uint64(32)).astype(np.uint32)
+        out = []
+        for m in range(64):
+            rank = low * order_minhash._ODD[m] + order_minhash._ADD[m]
+            picked = sorted(np.argsort(rank, kind="stable")[: min(2, len(rank))].tolist())
+            value = np.zeros(1, np.uint64)
+            for i in picked:
+                value = order_minhash.mix(value * np.uint64(0x9E3779B97F4A7C15) + hashes[i : i + 1])
+            out.append(max(int(value[0] >> np.uint64(32)), 1))
+        return np.array(out, np.uint32)
+
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    got = {r.doc_id: r for r in order_minhash.fingerprints(df, ranges=4).collect()}
+    ring = sorted(texts, reverse=True)
+    for i, j in zip(ring, ring[1:] + ring[:1], strict=True):
+        a, b = texts[i], texts[j]
+        half = len(a) // 2
+        own, edited, following = tuples(a), tuples(a[: len(a) - half] + b[:half]), tuples(b)
+        assert got[i].fingerprint == own.astype(">u4").tobytes().hex() and got[i].edited_fingerprint == edited.astype(">u4").tobytes().hex()
+        assert got[i].near_edited == (own == edited).mean() and got[i].near_next == (own == following).mean()
+
+
+def test_langid_by_brute_force(spark):
+    """Smoothed TF-IDF over all training texts, cosine to the nearest centroid, rejection far from all."""
+    rng = np.random.default_rng(14)
+    kinds = {"aa": "abcde", "bb": "vwxyz", "日": "日本語中文"}
+    rows = [(i, " ".join("".join(rng.choice(list(kinds[k]), 4)) for _ in range(12)), k) for i, k in enumerate(list(kinds) * 40)]
+    rows += [(1000, "日本 abc" * 20000, None), (1001, "qqqq kkkk qkqk " * 9, None), (1002, "12 !", None), (1003, None, "aa"), (1004, "", "aa")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").withColumn("key", F.lit(1)).withColumn("share", F.lit(0))
+    model = langid.fit(docs)
+    train = [t for i, t, k in rows if k and t and zlib.crc32(str(i).encode()) % 4 != 2]
+    table = np.stack([langid.profile(t)[0] for t in train])
+    idf = np.log((1 + len(train)) / (1 + (table > 0).sum(0))) + 1
+    assert model.idf == pytest.approx(idf, rel=1e-5)
+    got = {r.doc_id: r for r in langid.predict(docs, model).collect()}
+    assert len(got) == len(rows)
+    for i, t, k in rows:
+        x = np.log1p(langid.profile(t)[0]) * idf if t else np.zeros(4096)
+        if not x.any():
+            assert (got[i].lang_pred, got[i].score, got[i].rejected) == ("und", 0, True)
+            continue
+        cosine = (model.centres / np.linalg.norm(model.centres, axis=1, keepdims=True)) @ (x / np.linalg.norm(x))
+        assert got[i].score == pytest.approx(max(cosine.max(), 0), abs=1e-4) and got[i].lang_pred == model.langs[int(cosine.argmax())]
+        if k:
+            assert got[i].lang_pred == k
+    assert got[1001].rejected and sum(got[i].rejected for i, _, k in rows if k) <= 3
+    many = spark.createDataFrame([(i, chr(0x4E00 + i % 450) * 5, f"l{i % 450:03d}") for i in range(1800)], "doc_id bigint, text string, lang string")
+    assert len(set(langid.fit(many, clusters=1).langs)) == 450  # no language is left out
+    few = langid.fit(many, clusters=1, max_all=100)
+    assert len(set(few.langs)) == 450
+    assert langid.fit(spark.createDataFrame([(None, "same text", "x")] * 500, "doc_id bigint, text string, lang string"), max_each=5).langs
+
+
+def test_profile_counts_letters():
+    counts, n = langid.profile("Ab b")
+    assert n == 3 and counts.sum() == 3 + 5 + 4  # letters, then pairs and triples with the spaces around
+    assert langid.profile("a" * 10)[1] == 10 and langid.profile("日本")[1] == 2 and langid.profile("1 !")[1] == 0

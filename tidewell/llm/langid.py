@@ -8,20 +8,21 @@ as rejected.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._arrays import U, mix
 from ._shared import remainder
 from .bpe import slices
 
-#: Letters of the n-grams, hash buckets, clusters and training texts of a language at most.
-SIZES, BUCKETS, CLUSTERS, MAX_EACH = (1, 2, 3), 4096, 3, 1500
+#: Letters of the n-grams, hash buckets, clusters of a language, and training texts of a language and of all languages at most.
+SIZES, BUCKETS, CLUSTERS, MAX_EACH, MAX_ALL = (1, 2, 3), 4096, 3, 1500, 24_000
 
 
 def profile(text: str | None) -> tuple[np.ndarray, int]:
@@ -31,10 +32,7 @@ def profile(text: str | None) -> tuple[np.ndarray, int]:
         return np.zeros(BUCKETS, np.float32), 0
     low = text.lower()
     x = np.frombuffer(low.encode("utf-32-le"), np.uint32)
-    if len(x) and x.max() < 0x250:
-        letter = _LETTERS[x]
-    else:
-        letter = np.fromiter((c.isalpha() for c in low), bool, len(low))
+    letter = letters(int(x.max()) >= 0x250)[x]
     n = int(letter.sum())
     if not n:
         return np.zeros(BUCKETS, np.float32), 0
@@ -54,7 +52,10 @@ def profile(text: str | None) -> tuple[np.ndarray, int]:
     return out.astype(np.float32), n
 
 
-_LETTERS = np.array([chr(c).isalpha() for c in range(0x250)])
+@functools.cache
+def letters(every: bool) -> np.ndarray:
+    """Which code points are letters: the Latin ones, or every one."""
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000 if every else 0x250)), bool)
 
 
 def vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -97,50 +98,67 @@ def cluster(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
 
 
-def fit(docs: DataFrame, max_each: int = MAX_EACH, clusters: int = CLUSTERS, max_langs: int = 400) -> Centroids:
+def document_frequencies(train: DataFrame) -> tuple[int, np.ndarray]:
+    """How many texts there are, and how many hold each bucket: sums of a task first, then of all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = np.zeros(BUCKETS + 1, np.int64), 0
+        for batch in slices(batches):
+            for text in batch.column(0).to_pylist():
+                total[:-1] += profile(text)[0] > 0
+            total[-1] += batch.num_rows
+            n += batch.num_rows
+        if n:
+            yield pa.RecordBatch.from_pydict({"bucket": pa.array(np.arange(BUCKETS + 1), pa.int64()), "n": pa.array(total, pa.int64())})
+
+    out = np.zeros(BUCKETS + 1)
+    for r in train.select("text").mapInArrow(run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+        out[r.bucket] = r.n
+    return int(out[-1]), out[:-1]
+
+
+def fit(docs: DataFrame, max_each: int = MAX_EACH, clusters: int = CLUSTERS, max_all: int = MAX_ALL) -> Centroids:
     """Learns from text and lang of documents whose crc32(doc_id as text) mod 4 isn't 2.
 
-    The bound: of each language the max_each documents with the smallest hash of doc_id, of at
-    most max_langs languages, those with the most rows. Only their n-gram counts come to the driver.
-    Texts without a letter and null languages teach nothing; a null id counts as training.
+    Document frequencies are those of all training texts. The centroids' bound: of each language
+    the max_each documents with the smallest hash of doc_id, or max_all / languages, if that is
+    less, but one at least. Only their n-gram counts, and numbers a language, come to the driver.
+    Texts without a letter and null languages teach nothing; a null id counts as training; of
+    rows that repeat an id or have none, no more than the bound are taken, smallest profile first.
     """
     train = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & F.coalesce(remainder(F.col("doc_id"), 4) != 2, F.lit(True)))
-    langs = [(r.lang, r.n) for r in train.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()]
-    # a hash range that holds about 1.5 * max_each rows of a language: no sort, and the same rows each time
-    share = F.lit(1.0)
-    for lang, n in langs:
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, 1.5 * max_each / n))).otherwise(share)
-    key = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
-    some = train.where(F.col("lang").isin([x for x, _ in langs]) & (key < share)) if langs else train.where("false")
+    langs = {r.lang: r.n for r in train.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not langs:
+        return Centroids([], np.ones(BUCKETS, np.float32), np.zeros((0, BUCKETS), np.float32), np.zeros(0))
+    n, df = document_frequencies(train)
+    idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
+    each = max(1, min(max_each, max_all // len(langs)))
+    # a hash range that holds about twice as many rows of a language: the same rows each time
+    shares = train.sparkSession.createDataFrame(pa.table({"lang": list(langs), "share": [min(1.0, (2 * each + 20) / x) for x in langs.values()]}))
+    key = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40), F.lit(0.0))
+    some = train.withColumn("key", key).join(F.broadcast(shares), "lang").where("key < share")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            rows = [profile(t)[0] for t in batch.column(2).to_pylist()]
             packed = []
-            for x in rows:
+            for text in batch.column(2).to_pylist():
+                x = profile(text)[0]
                 at = np.flatnonzero(x)
                 packed.append(np.stack([at.astype(np.float32), x[at]]).tobytes())
             yield pa.RecordBatch.from_pydict({"lang": batch.column(0), "key": batch.column(1), "x": pa.array(packed, pa.binary())})
 
-    got: dict[str, list] = {}
-    for r in some.select("lang", F.coalesce(key, F.lit(0.0)).alias("key"), "text").mapInArrow(run, "lang string, key double, x binary").collect():
-        got.setdefault(r.lang, []).append((r.key, bytes(r.x)))
-    counts, names = [], []
-    for lang in sorted(got):
-        for _, raw in sorted(got[lang])[:max_each]:
-            at, n = np.frombuffer(raw, np.float32).reshape(2, -1)
-            row = np.zeros(BUCKETS, np.float32)
-            row[at.astype(np.int64)] = n
-            counts.append(row)
-            names.append(lang)
-    if not counts:
-        return Centroids([], np.ones(BUCKETS, np.float32), np.zeros((0, BUCKETS), np.float32), np.zeros(0))
-    table, who = np.stack(counts), np.array(names)
-    idf = (np.log((1 + len(table)) / (1 + (table > 0).sum(0))) + 1).astype(np.float32)
-    x = vectors(table, idf).astype(np.float32)
+    profiles = some.select("lang", "key", "text").mapInArrow(run, "lang string, key double, x binary")
+    first = Window.partitionBy("lang").orderBy("key", "x")
+    got: dict[str, list[bytes]] = {}
+    for r in profiles.withColumn("i", F.row_number().over(first)).where(F.col("i") <= each).collect():
+        got.setdefault(r.lang, []).append((r.i, r.x))
     langs_of, centres, least = [], [], []
     for lang in sorted(got):
-        own = x[who == lang]
+        own = np.zeros((len(got[lang]), BUCKETS), np.float32)
+        for row, (_, raw) in zip(own, sorted(got.pop(lang)), strict=True):
+            at, count = np.frombuffer(raw, np.float32).reshape(2, -1)
+            row[at.astype(np.int64)] = count
+        own = vectors(own, idf)
         c = cluster(own, clusters)
         near = own @ c.T
         best = near.argmax(1)

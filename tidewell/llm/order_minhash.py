@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._arrays import U, mix, powers
@@ -90,36 +90,48 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), np.uint32)
 
 
+#: Bytes of text that a range of the ring should hold about.
+RANGE_BYTES = 16 << 20
+
+
+def _range_of(key: Column, bounds: list[int], low: int, high: int) -> Column:
+    """Which of bounds (descending) is the smallest that is at least key: a tree of comparisons."""
+    if low == high:
+        return F.lit(low)
+    mid = (low + high + 1) // 2
+    return F.when(key <= bounds[mid], _range_of(key, bounds, mid, high)).otherwise(_range_of(key, bounds, low, mid - 1))
+
+
 def in_ring(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """docs (doc_id, text) as rows (part, ghost, doc_id, text), hash-partitioned by part and
     sorted within it, where each part is a range of doc_id in descending order and its ghost row
     repeats the first document of the following part; the last part's is the first of all.
 
-    Range bounds come from a quantile sketch over doc_id alone, so texts are shuffled once and no
-    task sees more than a range. Rows with the same doc_id stand in one range, ordered by text.
+    Range bounds come from a quantile sketch over doc_id alone, as many as the texts' bytes ask
+    for, so texts are shuffled once and no task sees more than a few ranges. Rows with the same
+    doc_id stand in one range, ordered by text.
     """
     spark = docs.sparkSession
-    n = ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if ranges is None:
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        ranges = max(4 * tasks, -(-size // RANGE_BYTES))
     text = F.coalesce("text", F.lit("")).alias("text")
-    ids = docs.agg(F.max("doc_id"), F.percentile_approx("doc_id", [i / n for i in range(n)], 20 * n), F.count(F.when(F.col("doc_id").isNull(), 1))).first()
+    ids = docs.agg(F.max("doc_id"), F.percentile_approx("doc_id", [i / ranges for i in range(ranges)], 20 * ranges)).first()
     # a bound is the largest id of its range; ids above a bound belong to the range before
-    bounds = sorted({ids[0], *(ids[1] or [])} - {None})
-    if not bounds:
-        bounds = []
-    literal = F.array(*[F.lit(int(b)) for b in bounds]) if bounds else None
-    if literal is None:
-        part, firsts = F.lit(0), F.lit(False)
-    else:
-        # number of bounds that are at least doc_id, less one: 0 for the highest ids; null ids come last
-        part = F.when(F.col("doc_id").isNull(), F.lit(len(bounds) - 1)).otherwise(F.size(F.filter(literal, lambda b: b >= F.col("doc_id"))) - 1)
-        firsts = F.array_contains(literal, F.col("doc_id"))
+    bounds = sorted({ids[0], *(ids[1] or [])} - {None}, reverse=True)
     last = max(0, len(bounds) - 1)
-    placed = docs.select("doc_id", text).withColumn("part", part).withColumn("opens", F.coalesce(firsts, F.lit(not bounds)))
-    # without any id, the first row of the ring is the first of the only range: all rows are ghosts too
+    if bounds:  # null ids come last
+        part = F.when(F.col("doc_id").isNull(), F.lit(last)).otherwise(_range_of(F.col("doc_id"), bounds, 0, last))
+        largest = F.element_at(F.array(*map(F.lit, bounds)), F.col("part") + 1)
+        opens = F.coalesce(F.col("doc_id") == largest, F.lit(False))
+    else:  # without any id, the first row of the ring is the first of the only range: all rows are ghosts too
+        part, opens = F.lit(0), F.lit(True)
+    placed = docs.select("doc_id", text, part.alias("part")).withColumn("opens", opens)
     ghost_of = F.when(F.col("opens"), F.when(F.col("part") == 0, F.lit(last)).otherwise(F.col("part") - 1))
     spots = F.array_compact(F.array(F.struct(F.col("part").alias("part"), F.lit(0).alias("ghost")), F.when(ghost_of.isNotNull(), F.struct(ghost_of.alias("part"), F.lit(1).alias("ghost")))))
     out = placed.select(F.explode(spots).alias("at"), "doc_id", "text").select("at.part", "at.ghost", "doc_id", "text")
-    return out.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "part").sortWithinPartitions("part", "ghost", F.col("doc_id").desc_nulls_last(), "text")
+    return out.repartition(max(tasks, len(bounds) // 4), "part").sortWithinPartitions("part", "ghost", F.col("doc_id").desc_nulls_last(), "text")
 
 
 def fingerprints(docs: DataFrame, k: int = K, size: int = TUPLE, hashes: int = HASHES, ranges: int | None = None) -> DataFrame:
