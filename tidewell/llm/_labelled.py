@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import remainder
+from ._shared import remainder, small_batches
 from .bpe import slices
 
 #: The classifiers' bound: labelled documents of each class that are learned from at most.
@@ -35,6 +35,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, features: Fe
     features are largest as bytes. Only the sample's ids (bounded) are broadcast; the features,
     not the texts, come to the driver.
     """
+    small_batches(docs.sparkSession)
     known = labels.select("doc_id", F.col(label).cast("int").alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & (remainder(F.col("doc_id"), folds) != fold))
     known = known.groupBy("doc_id").agg(F.max("y").alias("y"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
@@ -49,7 +50,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, features: Fe
             yield pa.RecordBatch.from_pydict({"y": batch.column(0), "doc_id": batch.column(1).cast(pa.int64()), "own": pa.array(own, pa.binary())})
 
     rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("y", "doc_id", "text").mapInArrow(run, "y int, doc_id bigint, own binary")
-    out = [(r.y, r.doc_id, np.frombuffer(r.own, "<u4").astype(np.uint64)) for r in rows.groupBy("doc_id").agg(F.max("y").alias("y"), F.max("own").alias("own")).collect()]
+    out = [(r.y, r.doc_id, np.frombuffer(r.own, "<u4")) for r in rows.groupBy("doc_id").agg(F.max("y").alias("y"), F.max("own").alias("own")).collect()]
     return sorted(out, key=lambda x: (x[1] * 0x9E3779B97F4A7C15 % (1 << 64), x[1]))
 
 
@@ -60,7 +61,7 @@ def informative(sample: list[tuple[int, int, np.ndarray]], least: int, most: int
     if not sample:
         return np.zeros(0, np.uint64)
     keys = np.concatenate([x[2] for x in sample])
-    y = np.repeat([x[0] for x in sample], [len(x[2]) for x in sample])
+    y = np.repeat(np.array([x[0] for x in sample], np.int8), [len(x[2]) for x in sample])
     keys, row = np.unique(keys, return_inverse=True)
     n = np.array([sum(x[0] == c for x in sample) for c in (0, 1)]) + 1.0
     count = np.stack([np.bincount(row[y == c], minlength=len(keys)) for c in (0, 1)])
@@ -81,7 +82,6 @@ def scores(text: Column, scorer: Callable[[], Callable[[list[str | None]], np.nd
         for batch in batches:
             parts = [score(part.column(0).to_pylist()) for part in slices([pa.RecordBatch.from_arrays([batch], ["text"])], _ROWS, _BYTES)]
             yield pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
-            del batch
 
     return F.arrow_udf(run, "double").asNondeterministic()(text)
 

@@ -72,6 +72,14 @@ def spread_join(rows: DataFrame, table: DataFrame, keys: Sequence[str], by: str,
     return dealt.join(copied, [*keys, "_salt"], how).drop("_salt")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 1,000 rows, where the session has Spark's default of 10,000: so many
+    whole texts, in the JVM's buffers and in a Python worker's, take too much of an executor."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, "1000")
+
+
 def remainder(doc_id: Column, n: int) -> Column:
     """crc32(doc_id as text) mod n."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(n)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 
 from ._arrays import release
 from ._bpe import encoder
+from ._shared import small_batches
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
@@ -33,6 +34,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id",
     library. Rows are independent: repeated keys, null keys and ties stay as they are; further
     columns of docs are not read. An empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, cut=True)

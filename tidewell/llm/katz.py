@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._arrays import Tokens, U, pair_hash, release
-from ._shared import remainder, staged, unstage
+from ._shared import remainder, small_batches, staged, unstage
 from .bpe import slices
 
 END, BEGIN = U(0x1F3D5B79A2C4E688), U(0x2E4C6A8897B5D3F1)
@@ -358,6 +358,7 @@ def score(docs: DataFrame, fold: int = 10, order: int = ORDER, chunk_tokens: int
     repeat an id are texts of their own; rows with a null id are training texts. Without training
     texts all counts are 0, and the score is 0 for every token. No rows give no rows.
     """
+    small_batches(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = parts or 1 << max(6, int(np.ceil(np.log2(max(1, size / PART_BYTES)))))
     rows = chunks(docs, fold, chunk_tokens)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._arrays import U, mix
-from ._shared import remainder
+from ._shared import remainder, small_batches
 from .bpe import slices
 
 #: Letters of the n-grams, hash buckets, clusters of a language, and training texts of a language and of all languages at most.
@@ -126,6 +126,7 @@ def fit(docs: DataFrame, max_each: int = MAX_EACH, clusters: int = CLUSTERS, max
     Texts without a letter and null languages teach nothing; a null id counts as training; of
     rows that repeat an id or have none, no more than the bound are taken, smallest profile first.
     """
+    small_batches(docs.sparkSession)
     train = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & F.coalesce(remainder(F.col("doc_id"), 4) != 2, F.lit(True)))
     langs = {r.lang: r.n for r in train.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not langs:

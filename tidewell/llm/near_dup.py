@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._arrays import Tokens, U, mix, pair_hash
-from ._shared import heavy_limit, spread_join, staged, unstage
+from ._shared import heavy_limit, small_batches, spread_join, staged, unstage
 from .bpe import slices
 from .components import components
 
@@ -325,6 +325,7 @@ def class_components(docs: DataFrame, width: int, percent: int, k: int, few: int
     component_id (the smallest doc_id of all rows that links reach) and keeper (the class of the
     row of that id; of several, the smallest). Rows without shingles are linked with nothing; a
     component without any doc_id has a null component_id."""
+    small_batches(docs.sparkSession)
     rows = staged(sketches(docs, width, k), "sketches")
     classes = staged(rows.where("n > 0").groupBy("n", "s1", "s2", "c").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"), F.first("sketch").alias("sketch")), "classes")
 

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._arrays import U, mix, powers
+from ._shared import small_batches
 from .bpe import slices
 
 K, TUPLE, HASHES = 6, 2, 64
@@ -112,6 +113,7 @@ def in_ring(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     doc_id stand in one range, ordered by text.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if ranges is None:
         size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0

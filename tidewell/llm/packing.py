@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._bpe import encoder
+from ._shared import small_batches
 from .bpe import slices
 
 #: Cost, in tokens of padding, of a sequence that ends inside a document at the end of a
@@ -21,7 +22,7 @@ SENTENCE, INSIDE, SEQUENCE = 8, 64, 16
 #: Shortest power of two that is taken as a whole sequence.
 SHORTEST = 256
 #: Ids that are packed at a time.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 
 
 def best_cuts(at: np.ndarray, cost: np.ndarray, window: int, shortest: int = SHORTEST, each: int = SEQUENCE) -> list[int]:
@@ -145,6 +146,8 @@ def pack(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1, text:
     table gives no piece.
     """
 
+    small_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         ends = sentence_ends(enc.vocab, max(*enc.vocab.values(), *enc.special.values(), end_id) + 1)

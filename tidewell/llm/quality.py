@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._arrays import TERM_CLASS, Sparse, Tokens, U, mix, pair_hash
+from ._arrays import TERM_CLASS, Sparse, Tokens, U, mix, pair_hash, release
 from ._labelled import MAX_EACH, folded, labelled_sample, score_rows, scores
 from ._shared import remainder
 
@@ -68,7 +68,7 @@ def ftrl(sample: list[tuple[int, int, np.ndarray]], alpha: float = 0.1, beta: fl
     if len(classes) < 2:
         return LinearModel(np.zeros(0, np.uint64), np.zeros(0), {frozenset(): 0.0, frozenset({1}): 3.0, frozenset({0}): -3.0}[frozenset(classes)])
     keys, count = np.unique(np.concatenate([x[2] for x in sample]), return_counts=True)
-    keys = keys[count >= least]
+    keys = keys[count >= least].astype(np.uint64)
     sparse = Sparse(keys)
     rows = [(y, sparse.find(own)[1]) for y, _, own in sample]
     z, n = np.zeros(len(keys) + 1), np.zeros(len(keys) + 1)  # the last is the bias, which l1 spares
@@ -93,7 +93,9 @@ def ftrl(sample: list[tuple[int, int, np.ndarray]], alpha: float = 0.1, beta: fl
 
 def fit(docs: DataFrame, labels: DataFrame, max_each: int = MAX_EACH) -> LinearModel:
     """Learns labels.quality from at most max_each training documents of each class."""
-    return ftrl(labelled_sample(docs, labels, "quality", ngrams, max_each))
+    model = ftrl(labelled_sample(docs, labels, "quality", ngrams, max_each))
+    release()
+    return model
 
 
 def score(docs: DataFrame, model: LinearModel, threshold: float = THRESHOLD) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._bpe import encoder
+from ._shared import small_batches
 from .bpe import slices
 
 
@@ -28,6 +29,7 @@ def write_tokens(docs: DataFrame, out: str, path: str, text: str = "text", key:
     empty. Null keys come first; rows that repeat a key stand in the order of their texts. An
     empty table writes an empty table.
     """
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, row = encoder(path), TaskContext.get().partitionId(), 0

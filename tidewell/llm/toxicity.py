@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._arrays import TERM_CLASS, Sparse, Tokens
+from ._arrays import TERM_CLASS, Sparse, Tokens, release
 from ._labelled import MAX_EACH, folded, informative, labelled_sample, score_rows, scores
 from ._shared import remainder
 
@@ -78,8 +78,8 @@ def factorize(sample: list[tuple[int, int, np.ndarray]], most: int = TERMS, fact
     soft-thresholded by l1. Without both classes the score is constant.
     """
     classes = {y for y, *_ in sample}
-    keys, count = np.unique(np.concatenate([np.zeros(0, np.uint64), *(x[2] for x in sample)]), return_counts=True)
-    keys = keys[count >= least]
+    keys, count = np.unique(np.concatenate([x[2] for x in sample]) if sample else np.zeros(0), return_counts=True)
+    keys = keys[count >= least].astype(np.uint64)
     if len(classes) < 2 or not len(keys):
         return FactorModel(np.zeros(0, np.uint64), np.zeros(0), np.zeros((0, factors)), 3.0 if classes == {1} else -3.0)
     sparse = Sparse(keys)
@@ -111,7 +111,9 @@ def factorize(sample: list[tuple[int, int, np.ndarray]], most: int = TERMS, fact
 
 def fit(docs: DataFrame, labels: DataFrame, max_each: int = MAX_EACH) -> FactorModel:
     """Learns labels.toxic from at most max_each training documents of each class."""
-    return factorize(labelled_sample(docs, labels, "toxic", terms, max_each))
+    model = factorize(labelled_sample(docs, labels, "toxic", terms, max_each))
+    release()
+    return model
 
 
 def score(docs: DataFrame, model: FactorModel, threshold: float = THRESHOLD) -> DataFrame:
