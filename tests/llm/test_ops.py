@@ -597,3 +597,116 @@ def test_profile_counts_letters():
     counts, n = langid.profile("Ab b")
     assert n == 3 and counts.sum() == 3 + 5 + 4  # letters, then pairs and triples with the spaces around
     assert langid.profile("a" * 10)[1] == 10 and langid.profile("日本")[1] == 2 and langid.profile("1 !")[1] == 0
+
+
+def test_long_texts_are_cut_before_lone_spaces():
+    from tidewell.llm import _arrays, _bpe
+
+    rng = np.random.default_rng(15)
+    texts = [b"".join(rng.choice([b"word", b" ", b"  ", b"\n", b" x", b"\n\n "], 400)) for _ in range(20)] + [b" " * 300, b"y" * 300, b"a \n b" * 60]
+    for lone in (False, True):
+        parts: dict[int, list[bytes]] = {}
+        for docs, held in _arrays.pieces(texts, 50, lone):
+            for d, x in zip(docs.tolist(), held, strict=True):
+                parts.setdefault(d, []).append(x)
+        for i, text in enumerate(texts):
+            assert b"".join(parts[i]) == text
+            for x, y in zip(parts[i], parts[i][1:], strict=False):
+                assert y[:1] in (b" ", b"\n") and (not lone or (y[:1] == b" " and x[-1:] not in b" \n" and y[1:2] not in b" \n"))
+    lib, enc = library(BYTE), _bpe.CutBPE(BYTE)
+    long = ["one  two\n\n three   four " * 40 + " end", "z" * 700, "\n \n" * 300 + "x"]
+    whole = _bpe._byte_pieces
+    try:
+        _bpe._byte_pieces = lambda t: whole(t, 64)
+        flat, counts = enc.encode(long)
+    finally:
+        _bpe._byte_pieces = whole
+    assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == [lib.encode(t, add_special_tokens=False).ids for t in long]
+
+
+def test_decode_of_nulls_and_unknown_ids(spark):
+    rows = spark.createDataFrame([(1, None), (2, []), (3, [72, None, -1, 10**8])], "doc_id bigint, ids array<int>")
+    got = {r.doc_id: r.text for r in bpe.decode(rows, BYTE).collect()}
+    assert got[1] is None and got[2] == "" and got[3] == library(BYTE).decode([72], skip_special_tokens=False)
+
+
+def test_pack_null_and_repeated_keys(spark, odd):
+    """Null keys come first, rows of one key in the order of their texts; nothing is lost or joined."""
+    lib = library(WORD)
+    rows = packing.pack(odd.coalesce(1).withColumn("start", F.lit(1)), WORD, window=64).collect()
+    by_seq, want = {}, sorted([(r.doc_id, r.text) for r in odd.collect()], key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        by_seq.setdefault(r.sequence_id, []).append(r)
+    pieces = [r for own in by_seq.values() for r in own]
+    texts, at = [], 0
+    for doc_id, text in want:
+        ids = [*lib.encode(text or "", add_special_tokens=False).ids, 1]
+        got = []
+        while len(got) < len(ids):
+            r = pieces[at]
+            assert (r.doc_id, r.start, r.doc_tokens) == (doc_id, len(got), len(ids))
+            got += r.ids
+            at += 1
+        texts.append(got == ids)
+    assert all(texts) and at == len(pieces)
+
+
+def scanned(df):
+    rows = df.collect()
+    return len(rows), df._jdf.queryExecution().executedPlan().collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+
+
+def test_token_orc_stripes_index_and_bloom_filter(spark, tmp_path):
+    import glob
+
+    import pyarrow.orc as orc
+
+    out = str(tmp_path / "orc")
+    docs = spark.range(0, 12000).select((F.col("id") * 2).alias("doc_id"), F.concat(F.lit("text number "), F.col("id").cast("string"), F.lit(" and more words")).alias("text")).coalesce(1)
+    token_orc.write_tokens(docs, out, WORD, stripe_bytes=1 << 16)
+    files = glob.glob(out + "/*.orc")
+    assert sum(orc.ORCFile(f).nstripes for f in files) > len(files) and all(orc.ORCFile(f).row_index_stride == 1000 for f in files)
+    tokens = token_orc.read_tokens(spark, out)
+    n, seen = scanned(tokens.where("doc_id = 8000"))
+    assert n == 1 and seen <= 1000  # the row index skips other strides
+    n, seen = scanned(tokens.where("doc_id = 8001"))
+    assert n == 0 and seen == 0  # between a stride's ends, but not in its Bloom filter
+
+
+def test_pipeline_by_brute_force(spark, tmp_path, labels):
+    """The stages on nulls, repeats, clashing names and a table without rows."""
+    import corpus_pipeline
+
+    sf = str(tmp_path)
+    base = spark.read.parquet(f"{SF}/documents.parquet").limit(120)
+    extra = spark.createDataFrame([(5000, None, None, None, None), (None, "no id here at all today", "en", "s", 3), (5001, "twin text of some six words", "en", "s", 1), (5001, "twin text of some six words", "en", "s", 1), (5002, "twin text of some six words", "en", "s", 1), (5003, "", "en", "s", 0)], base.schema)
+    docs = base.unionAll(extra).withColumn("score", F.lit(7)).withColumn("c", F.col("n_chars"))
+    docs.write.parquet(f"{sf}/documents.parquet")
+    labels.write.parquet(f"{sf}/labels.parquet")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = lambda df: Counter(tuple(r) for r in df.collect())
+    kept = docs
+    for (_, stage), module, keep in zip(corpus_pipeline.STAGES[:2], (toxicity, quality), (lambda s: s < 0.5, lambda s: s >= 0.3), strict=True):
+        score = module.fit(kept, spark.read.parquet(f"{sf}/labels.parquet")).scorer()
+        want = Counter(tuple(r) for r in kept.collect() if keep(score([r.text])[0]))
+        after = stage(spark, kept, sf)
+        assert rows(after) == want and after.columns == docs.columns
+        kept = after
+    single = stage(spark, kept, sf)
+    first: dict = {}
+    listed = sorted(kept.collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0))
+    find = components_by_brute_force([(i, (r.text or "").lower()) for i, r in enumerate(listed)], 5)
+    for i, r in enumerate(listed):
+        first.setdefault(find[i], r)
+    deduped = corpus_pipeline.STAGES[2][1](spark, single, sf)
+    assert rows(deduped) == Counter(tuple(r) for r in first.values())
+    packed = corpus_pipeline.run(spark, sf)
+    lib = library(WORD)
+    want = Counter((r.doc_id, len(lib.encode(r.text or "", add_special_tokens=False).ids) + 1) for r in first.values())
+    got: dict = Counter()
+    for r in packed.collect():
+        got[r.doc_id, r.doc_tokens] += r.length
+    assert got == {k: k[1] * n for k, n in want.items()}
+    empty = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, sf).count() == 0

@@ -79,20 +79,36 @@ def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(U) * U(0xA24BAED4963EE407))
 
 
-def pieces(texts: list[bytes], limit: int = GROUP_BYTES) -> Iterator[tuple[np.ndarray, list[bytes]]]:
-    """Groups of (document index of each piece, pieces); a long text is cut at white space."""
+_BLANK = b" \t\n\r"
+
+
+def _cut(text: bytes, low: int, high: int, lone: bool) -> int:
+    """Where a piece that begins at low may end, at most at high: before white space, or, if lone,
+    before a single space between visible characters; where there is none, after high."""
+    at = high
+    while (at := max(text.rfind(b" ", low + 1, at), -1 if lone else text.rfind(b"\n", low + 1, at))) >= 0:
+        if not lone or _alone(text, at):
+            return at
+    at = high - 1
+    while (at := min((c for c in (text.find(b" ", at + 1), -1 if lone else text.find(b"\n", at + 1)) if c >= 0), default=len(text))) < len(text):
+        if not lone or _alone(text, at):
+            return at
+    return len(text)
+
+
+def _alone(text: bytes, at: int) -> bool:
+    return at + 1 < len(text) and text[at - 1] not in _BLANK and text[at + 1] not in _BLANK
+
+
+def pieces(texts: list[bytes], limit: int = GROUP_BYTES, lone: bool = False) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """Groups of (document index of each piece, pieces); a long text is cut at white space (lone: see _cut())."""
     docs: list[int] = []
     held: list[bytes] = []
     size = 0
     for i, text in enumerate(texts):
         at = 0
         while True:
-            end = len(text)
-            if end - at > limit:
-                cut = max(text.rfind(b" ", at + 1, at + limit), text.rfind(b"\n", at + 1, at + limit))
-                if cut < 0:
-                    cut = min((c for c in (text.find(b" ", at + limit), text.find(b"\n", at + limit)) if c >= 0), default=end)
-                end = cut
+            end = len(text) if len(text) - at <= limit else _cut(text, at, at + limit, lone)
             if held and size + end - at > limit:
                 yield np.array(docs), held
                 docs, held, size = [], [], 0

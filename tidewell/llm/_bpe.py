@@ -15,7 +15,7 @@ import os
 
 import numpy as np
 
-from ._arrays import Table, U, gather, pieces, prefix_sums, span_hash
+from ._arrays import GROUP_BYTES, Table, U, gather, pieces, prefix_sums, span_hash
 
 SPACE, BREAK, LETTER, DIGIT, OTHER, STOP, BAD = range(7)
 _LATIN = np.full(256, BAD, np.uint8)
@@ -174,9 +174,10 @@ class FastBPE:
 _PLAIN = bytes(c for c in range(1, 256) if _LATIN[c] != BAD)
 
 
-def _byte_pieces(texts: list[bytes]):
-    """As pieces(), but cuts are before a single space between visible characters, where a pre-token always begins."""
-    for docs, held in pieces(texts):
+def _byte_pieces(texts: list[bytes], limit: int = GROUP_BYTES):
+    """As pieces(), but cuts are before a single space between visible characters, where a
+    pre-token always begins; pieces of a text that stand in one group are joined again."""
+    for docs, held in pieces(texts, limit, lone=True):
         fixed_docs, fixed = [], []
         for d, x in zip(docs.tolist(), held, strict=True):
             if fixed_docs and fixed_docs[-1] == d:
