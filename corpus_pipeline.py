@@ -8,13 +8,12 @@ the documents that it is given.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.llm import near_dup, packing, quality, toxicity
-from tidewell.llm._shared import read_table, shared_dir
+from tidewell.llm._shared import read_table, staged, unstage
 from tidewell.llm.queries import tokenizer_path
 
 
@@ -45,17 +44,19 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", pack_sequences),
 ]
 
-#: The classifiers and the tokenizer can't be expressed in SQL; the tests compare the stages with brute force.
+#: The classifiers and the tokenizer can't be expressed in SQL; tests/llm compares the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to documents, each written as Parquet in the shared folder and read again."""
-    docs = read_table(spark, sf_dir, "documents")
+    """Applies the stages to documents, each written as Parquet in the shared folder and read again;
+    what a stage has read is deleted when its result is written."""
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
-            path = f"{shared_dir(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
-            docs.write.parquet(path)
-            docs = spark.read.schema(docs.schema).parquet(path)
+            docs = staged(docs, f"pipeline-{name}")
+            if before is not None:
+                unstage(before)
+            before = docs
     return docs

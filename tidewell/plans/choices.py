@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import coerce, names
-from ..operators import analytics, filters, relational, reshape, validate
+from ..operators import analytics, display, filters, relational, reshape, validate
 from .base import query, r, rows
 
 c = F.col
@@ -280,3 +280,39 @@ SELECT d.conv_id, d.turn FROM conversations d JOIN y ON y.conv_id=d.conv_id WHER
 def between_markers(t):
     """From the last turn of the user up to the first one after it that isn't the user's."""
     return reshape.between_markers(t.conversations.select("conv_id", "turn", "role"), "conv_id", "turn", c("role") == "user", c("role") != "user").select("conv_id", "turn")
+
+
+@query("""WITH p AS (SELECT s_nationkey AS panel, s_suppkey AS id, s_suppkey % 97 AS x, s_acctbal / 100 AS y FROM supplier), d AS (SELECT n_nationkey AS panel, 40.0 AS px, 50.0 AS py FROM nation),
+j AS (SELECT d.panel, id, (x - px) * (x - px) + (y - py) * (y - py) AS far FROM d LEFT JOIN p ON p.panel=d.panel), r AS (SELECT panel, arg_min(id, struct_pack(a := far, b := id)) AS id, min(far) AS far FROM j WHERE far <= 300 GROUP BY 1)
+SELECT d.panel, r.id, round(CAST(r.far AS DOUBLE), 6) AS distance FROM d LEFT JOIN r ON r.panel=d.panel""")
+def nearest_point(t):
+    """O10."""
+    points = t.supplier.select(c("s_nationkey").alias("panel"), c("s_suppkey").alias("id"), (c("s_suppkey") % 97).alias("x"), (c("s_acctbal") / 100).alias("y"))
+    pointers = t.nation.select(c("n_nationkey").alias("panel"), F.lit(40.0).alias("px"), F.lit(50.0).alias("py"))
+    return display.nearest(points, pointers, "panel", 300).select("panel", "id", r(c("distance"), 6).alias("distance"))
+
+
+@query("""SELECT n_nationkey, CAST(CASE n_nationkey % 3 WHEN 2 THEN n_nationkey ELSE 0 END AS DOUBLE) AS low, CAST(CASE n_nationkey % 3 WHEN 0 THEN 1 WHEN 1 THEN n_nationkey * 2 ELSE n_nationkey + 4 END AS DOUBLE) AS high, CAST(CASE n_nationkey % 3 WHEN 0 THEN 0.5 WHEN 1 THEN n_nationkey ELSE n_nationkey + 2 END AS DOUBLE) AS middle FROM nation""")
+def axis_ranges(t):
+    """ranges that aren't finite, empty, and plain."""
+    n = c("n_nationkey").cast("double")
+    low = F.when(c("n_nationkey") % 3 == 0, F.lit(float("nan"))).otherwise(n)
+    high = F.when(c("n_nationkey") % 3 == 2, n + 4).otherwise(n)
+    x = display.finite_range(low, high)
+    return t.nation.select("n_nationkey", x["low"].alias("low"), x["high"].alias("high"), display.ticks(x["low"], x["high"], 5)[2].alias("middle"))
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'N/A' WHEN 1 THEN CASE WHEN o_orderkey >= 1000 THEN 'large' ELSE printf('%d', o_orderkey) || 'Cr' END
+ELSE CASE WHEN v >= 100000 THEN printf('%d,%02d,%03d', v // 100000, v // 1000 % 100, v % 1000) WHEN v >= 1000 THEN printf('%d,%03d', v // 1000, v % 1000) ELSE printf('%d', v) END || CASE WHEN o_orderkey % 5 = 3 THEN '.5' ELSE '' END END AS text FROM (SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) AS v FROM orders)""")
+def number_texts(t):
+    """F42."""
+    kind, whole = c("o_orderkey") % 5, F.floor("o_totalprice").cast("double")
+    value = F.when(kind == 0, F.lit(float("nan"))).when(kind == 1, c("o_orderkey") * 1e7).when(kind == 3, whole + 0.5).otherwise(whole)
+    return t.orders.select("o_orderkey", F.when((kind == 1) & (c("o_orderkey") >= 1000), "large").otherwise(display.number_text(value)).alias("text"))
+
+
+@query("SELECT page_id, url, 'https://a.org/my%20file%20' || page_id || '.csv' AS file FROM pages")
+def unescaped_urls(t):
+    """F18, F19."""
+    escaped = F.replace("url", F.lit("/"), F.lit("\\u002F"))
+    return t.pages.select("page_id", names.unescaped(escaped).alias("url"), names.file_url(F.concat(F.lit(" https://a.org/my file "), c("page_id").cast("string"), F.lit(".csv "))).alias("file"))
