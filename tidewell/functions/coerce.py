@@ -1,4 +1,4 @@
-"""Numbers from dirty cells (P06, P10-P12, F01, F02, F14-F16, F26, F31-F33). Nothing here raises on bad text."""
+"""Numbers from dirty cells (P06, P10, P11, P29, F01, F02, F14-F16, F31, F33, T2-T4). Nothing here raises on bad text."""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""Correlation, scores, panels and coverage."""
+"""Correlation, scores, panels and coverage."""
 
 from __future__ import annotations
 

@@ -1,4 +1,4 @@
-"""Descriptors, connectors, manifests and the catalog."""
+"""Descriptors, connectors, manifests and the catalog."""
 
 from __future__ import annotations
 
