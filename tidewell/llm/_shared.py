@@ -39,6 +39,13 @@ def unstage(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def in_key_order(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """key and text, range-partitioned and sorted by both, nulls first. Rows that share a key are
+    dealt by the first characters of their texts, so that one key may hold any number of them."""
+    order = [F.col(key).asc_nulls_first(), F.col(text).asc_nulls_first()]
+    return docs.select(key, text).repartitionByRange(order[0], F.substring(text, 1, 64).asc_nulls_first()).sortWithinPartitions(*order)
+
+
 #: A key with more than this share of a table's rows is dealt to several tasks; at most as many keys are.
 HEAVY = 256
 

@@ -10,10 +10,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ._bpe import encoder
-from ._shared import small_batches
+from ._shared import in_key_order, small_batches
 from .bpe import slices
 
 #: Cost, in tokens of padding, of a sequence that ends inside a document at the end of a
@@ -176,4 +175,4 @@ def pack(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1, text:
 
     to_arrow = to_arrow_type(kind)
     schema = f"`{key}` {kind.simpleString()}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint" + ", ids array<int>" * ids
-    return docs.select(key, text).repartitionByRange(F.col(key).asc_nulls_first()).sortWithinPartitions(F.col(key).asc_nulls_first(), F.col(text).asc_nulls_first()).mapInArrow(run, schema)
+    return in_key_order(docs, key, text).mapInArrow(run, schema)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._bpe import encoder
-from ._shared import small_batches
+from ._shared import in_key_order, small_batches
 from .bpe import slices
 
 
@@ -53,9 +53,7 @@ def write_tokens(docs: DataFrame, out: str, path: str, text: str = "text", key:
 
     kind = docs.schema[key].dataType.simpleString()
     (
-        docs.select(key, text)
-        .repartitionByRange(F.col(key).asc_nulls_first())
-        .sortWithinPartitions(F.col(key).asc_nulls_first(), F.col(text).asc_nulls_first())
+        in_key_order(docs, key, text)
         .mapInArrow(run, f"part int, row bigint, `{key}` {kind}, n_tokens bigint, ids array<int>")
         .write.option("orc.compress", "ZSTD")
         .option("orc.stripe.size", stripe_bytes)
