@@ -173,6 +173,9 @@ def per_document(df: DataFrame, key: str, text: str, parse: Callable[[str], list
                     out += [{key: k, **{n: r.get(n) for n in names}, "error": None} for r in parse(t or "")]
                 except Exception as e:  # noqa: BLE001  the error is the row
                     out.append({key: k, **dict.fromkeys(names), "error": f"{type(e).__name__}: {e}"})
+                if len(out) >= 10_000:
+                    yield pd.DataFrame(out, columns=[key, *names, "error"])
+                    out = []
             yield pd.DataFrame(out, columns=[key, *names, "error"])
 
     return df.select(key, text).mapInPandas(run, f"{key} {df.schema[key].dataType.simpleString()}, {fields}, error string")
