@@ -40,6 +40,7 @@ def test_numbers(spark):
     assert column(spark, [5.0, None, -1.0, 300.0], lambda x: coerce.clamp(x, 0, 100), "double") == [5, 0, 0, 100]
     assert one(spark.createDataFrame([(0.0, None, 3.0)], "a double, b double, c double"), coerce.first_truthy(c("a"), c("b"), c("c"))) == [(3.0,)]
     assert column(spark, ["Rs. 1,200", "12.5 crore"], coerce.amount) == [(1200.0, None), (12.5, "crore")]
+    assert column(spark, ["3 bn", "7 Nos.", "8 percent", "2 lakhs", "x"], coerce.amount) == [(3.0, "billion"), (7.0, "count"), (8.0, "%"), (2.0, "lakh"), (None, None)]
 
 
 def test_dates(spark):

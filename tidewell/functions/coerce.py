@@ -41,9 +41,11 @@ def clamp(c: Column, low: float, high: float) -> Column:
 
 
 def amount(c: Column) -> Column:
-    """struct of value and unit of texts like 'Rs. 1,200 crore' (T11: the unit is recognised)."""
+    """struct of value and unit of texts like 'Rs. 1,200 crore' (T11: the unit is recognised;
+    numbers of things are a count)."""
     text = F.lower(F.trim(c))
-    unit = F.nullif(F.regexp_extract(text, r"(crore|lakh|million|billion|km|%|percent)s?\s*$", 1), F.lit(""))
+    found = F.nullif(F.regexp_extract(text, r"(crore|lakh|million|billion|bn|km|%|percent|nos?\.?|count|n\.a\.)s?\s*$", 1), F.lit(""))
+    unit = F.when(found == "bn", "billion").when(found == "percent", "%").when(found.rlike(r"^(nos?\.?|count|n\.a\.)$"), "count").otherwise(found)
     return F.struct(number(F.regexp_extract(text, r"(-?\d[\d,]*\.?\d*)", 1)).alias("value"), unit.alias("unit"))
 
 
