@@ -14,8 +14,8 @@ from .bpe import slices
 
 #: The classifiers' bound: labelled documents of each class that are learned from at most.
 MAX_EACH = 3000
-#: Bits of a feature's hash: a document has at most 2**FEATURE_BITS features, however long it is.
-FEATURE_BITS = 22
+#: Bits of a feature's hash: of a million features, some hundred share theirs with another.
+FEATURE_BITS = 32
 #: Rows and bytes of text that are worked on at a time.
 _ROWS, _BYTES = 500, 1 << 20
 Featurizer = Callable[[list[str | None]], tuple[np.ndarray, np.ndarray]]

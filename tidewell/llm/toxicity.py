@@ -74,8 +74,9 @@ def factorize(sample: list[tuple[int, int, np.ndarray]], most: int = TERMS, fact
     Every term that at least `least` documents of the sample hold has a weight and a vector. The
     first `epochs` passes learn the `most` terms that tell the classes apart best on their own,
     the next as many all terms: what the first explain leaves little to learn, so that the many
-    others only move, by smaller first steps, where their pairs are needed. Weights are
-    soft-thresholded by l1. Without both classes the score is constant.
+    others only move, by smaller first steps, where their pairs are needed. Of these passes, as
+    many count as the loss on a tenth of the sample, which isn't learned from, asks for. Weights
+    are soft-thresholded by l1. Without both classes the score is constant.
     """
     classes = {y for y, *_ in sample}
     keys, count = np.unique(np.concatenate([x[2] for x in sample]) if sample else np.zeros(0), return_counts=True)
@@ -85,13 +86,26 @@ def factorize(sample: list[tuple[int, int, np.ndarray]], most: int = TERMS, fact
     sparse = Sparse(keys)
     rows = [(y, sparse.find(own)[1]) for y, _, own in sample]
     strong = np.isin(keys, informative(sample, least, most))
-    n = [sum(y == c for y, _ in rows) for c in (0, 1)]
+    tenth, rows = (rows[::10], [r for i, r in enumerate(rows) if i % 10]) if len(rows) >= 200 else ([], rows)
+    n = [max(1, sum(y == c for y, _ in rows)) for c in (0, 1)]
     heft = [len(rows) / (2 * x) for x in n]
     rng = np.random.Generator(np.random.PCG64(11))
     w, v, b = np.zeros(len(keys)), rng.normal(0, 0.01, (len(keys), factors)), 0.0
     gw, gb = np.where(strong, 1e-6, 10.0), 1e-6
     gv = np.repeat(np.where(strong, 1e-4, 1.0)[:, None], factors, 1)
-    for some in epochs * [[(y, own[strong[own]]) for y, own in rows]] + epochs * [rows]:
+    flat, size = np.concatenate([np.zeros(0, np.int64), *(own for _, own in tenth)]), np.array([len(own) for _, own in tenth], int)
+    doc, truth = np.repeat(np.arange(len(tenth)), size), np.array([y for y, _ in tenth])
+
+    def loss() -> float:
+        f = v[flat]
+        total = np.stack([np.bincount(doc, f[:, j], len(tenth)) for j in range(factors)], 1)
+        raw = b + np.bincount(doc, w[flat] - 0.5 * (f * f).sum(1), len(tenth)) + 0.5 * (total * total).sum(1)
+        return float((np.logaddexp(0, np.where(truth == 1, -raw, raw)) * np.array(heft)[truth]).sum())
+
+    best = None
+    for turn, some in enumerate(epochs * [[(y, own[strong[own]]) for y, own in rows]] + epochs * [rows]):
+        if turn >= epochs and tenth and (best is None or loss() < best[0]):
+            best = (loss(), w.copy(), v.copy(), b)
         for y, own in some:
             f = v[own]
             total = f.sum(0)
@@ -106,6 +120,8 @@ def factorize(sample: list[tuple[int, int, np.ndarray]], most: int = TERMS, fact
             dv = g * (total - f) + l2 * f
             gv[own] += dv * dv
             v[own] = f - 0.25 * rate * dv / np.sqrt(gv[own] + 1e-2)
+    if best and best[0] <= loss():
+        _, w, v, b = best
     return FactorModel(keys, w, v, float(b))
 
 
