@@ -304,3 +304,11 @@ def test_query(spark, con, name):
         ref = con.sql(registry.SQL[name])
         assert sorted(ref.columns) == cols
         assert got == sorted(repr([plain(r[ref.columns.index(x)]) for x in cols]) for r in ref.fetchall())
+
+
+def test_entry():
+    """Every query of the engine has SQL; names don't clash; the flagship is one of them."""
+    import __spark_entry__
+
+    queries, sql = __spark_entry__.queries(), __spark_entry__.oracle_sql()
+    assert set(registry.SQL) == set(registry.QUERIES) and set(sql) <= set(queries) and registry.FLAGSHIP in queries
