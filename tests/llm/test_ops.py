@@ -148,9 +148,12 @@ def katz_by_brute_force(texts, order):
     return counts, total, after, prob
 
 
-@pytest.mark.parametrize("order,parts", [(1, 1), (2, 4), (3, 16), (4, 1)])
-def test_katz(spark, docs, order, parts):
-    rows = {r.doc_id: r for r in katz.score(docs, order=order, chunk_tokens=5000, parts=parts).collect()}
+@pytest.mark.parametrize("order,parts,more", [(1, 1, {}), (2, 4, {}), (3, 16, {}), (4, 1, {}), (2, 8, {"direct": 0, "coarse": 2}), (3, 4, {"direct": 0, "coarse": 4})])
+def test_katz(spark, docs, order, parts, more, monkeypatch):
+    if more:  # several chunks and bundles
+        monkeypatch.setattr(katz, "BUNDLE", 4)
+        docs = docs.repartition(3)
+    rows = {r.doc_id: r for r in katz.score(docs, order=order, chunk_tokens=5000 - 4000 * bool(more), parts=parts, **more).collect()}
     texts = {r.doc_id: (r.text or "").encode().lower().split() + [None] for r in docs.collect()}
     counts, total, after, prob = katz_by_brute_force(texts, order)
     one = {g[0]: c for g, c in counts[0].items()}

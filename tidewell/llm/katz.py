@@ -15,9 +15,9 @@ hashes to the partition of the count table that holds them, and the totals come
 frequent n-gram travels once for each chunk and no key is ever hot; then every token of the chunk
 is evaluated, from the longest n-gram down. Backoff weights are summed the same way from the
 chunks that own an n-gram (of all that hold it, the first), and only tokens that back off ask for
-them. Messages are a row for each chunk and partition that has something to say to it: as many as
-both numbers' product while a message holds several n-grams, and never more than there are
-distinct n-grams in the chunks.
+them. Messages are a row for each chunk and partition, so their number is the product of both. Where
+that grows large, chunks send to a fixed number of coarse partitions, in which bundles of chunks
+are merged; only the bundles, a sixty-fourth as many, send to the count table.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._arrays import Tokens, U, pair_hash, release
@@ -40,7 +40,8 @@ SMALL = 5  # counts up to this have a Good-Turing discount
 HALF = 0.5  # what larger counts lose
 ORDER = 2
 CHUNK_TOKENS = 1 << 19
-PART_BYTES = 16 << 20  # of text for each partition of the count tables
+PART_BYTES = 32 << 20  # of text for each partition of the count tables
+BUNDLE, COARSE, DIRECT = 64, 256, 1 << 26  # chunks of a bundle, coarse partitions, messages that need no bundles
 CHUNK = "chunk bigint, doc_ids array<bigint>, held array<boolean>, sizes array<int>, words binary, ids binary"
 REQUEST = "part int, chunk bigint, keys binary, counts binary"
 ANSWER = "part int, chunk bigint, keys binary, counts binary, stats array<bigint>"
@@ -206,6 +207,60 @@ def counted(asked: DataFrame) -> DataFrame:
     return asked.groupBy("part").applyInArrow(run, ANSWER)
 
 
+def _merged(table: pa.Table) -> tuple[list[dict], np.ndarray, np.ndarray, np.ndarray, list[int]]:
+    """A bundle's requests by chunk; their distinct keys; which of these, and the count, each request's keys have; and how many these are."""
+    rows = sorted(table.to_pylist(), key=lambda r: r["chunk"])
+    keys = [expand_sorted(r["keys"]) for r in rows]
+    counts = np.concatenate([expand(r["counts"], np.uint32) for r in rows]).astype(np.int64)
+    distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+    return rows, distinct, inverse, counts, [len(k) for k in keys]
+
+
+def _of_bundle(bundles: int) -> Column:
+    return F.pmod(F.xxhash64("chunk"), F.lit(bundles)).alias("bundle")
+
+
+def bundled(asked: DataFrame, bundles: int, coarse: int, parts: int, order: int) -> DataFrame:
+    """The requests of bundles of chunks: what their chunks ask of a coarse part, merged, goes to the
+    parts that make it up. A bundle's part is a chunk of its own, with the number bundle * order * coarse + part."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        bundle, part = (k.as_py() for k in key)
+        _, distinct, inverse, counts, _ = _merged(table)
+        total = np.bincount(inverse, counts, len(distinct)).astype(np.uint32)
+        edge = _spread(distinct, parts)
+        some = np.flatnonzero(edge[1:] > edge[:-1]).tolist()
+        return pa.table(
+            {
+                "part": pa.array([part // coarse * parts + p for p in some], pa.int32()),
+                "chunk": pa.array([bundle * order * coarse + part] * len(some), pa.int64()),
+                "keys": pa.array([squeeze_sorted(distinct[edge[p] : edge[p + 1]]) for p in some], pa.binary()),
+                "counts": pa.array([squeeze(total[edge[p] : edge[p + 1]]) for p in some], pa.binary()),
+            }
+        )
+
+    return asked.withColumn("bundle", _of_bundle(bundles)).groupBy("bundle", "part").applyInArrow(run, REQUEST)
+
+
+def unbundled(asked: DataFrame, answers: DataFrame, bundles: int, coarse: int, order: int) -> DataFrame:
+    """For each request of a chunk, the totals from the answer to its bundle; of a bundle's chunks, the first that has a key owns it."""
+
+    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        rows, distinct, inverse, counts, sizes = _merged(left)
+        got = np.concatenate([expand(r["counts"], U) for r in sorted(right.to_pylist(), key=lambda r: r["part"])])
+        own = np.flatnonzero(counts)
+        owner = np.zeros(len(counts), U)
+        first = own[np.unique(inverse[own], return_index=True)[1]]
+        owner[first] = got[inverse[first]] & U(1)
+        parts = np.split((got[inverse] & ~U(1)) | owner, np.cumsum(sizes)[:-1])
+        none = [None] * len(rows)
+        return pa.table({"part": pa.array([r["part"] for r in rows], pa.int32()), "chunk": pa.array([r["chunk"] for r in rows], pa.int64()), "keys": pa.array(none, pa.binary()), "counts": pa.array([squeeze(x) for x in parts], pa.binary()), "stats": pa.array(none, pa.list_(pa.int64()))})
+
+    wide = F.lit(order * coarse)
+    there = answers.where("chunk is not null").select(F.floor(F.col("chunk") / wide).alias("bundle"), F.pmod("chunk", wide).cast("int").alias("coarse"), "part", "counts")
+    return asked.withColumn("bundle", _of_bundle(bundles)).groupBy("bundle", "part").cogroup(there.groupBy("bundle", "coarse")).applyInArrow(run, ANSWER)
+
+
 def discounts(n: list[int]) -> np.ndarray:
     """d(0..5). n: how many n-grams occur 1 to 6 times.
 
@@ -349,10 +404,11 @@ def backed_off(scored: DataFrame) -> DataFrame:
     return scored.where("kind > 0").groupBy("part").applyInArrow(run, "chunk bigint, row int, extra double")
 
 
-def score(docs: DataFrame, fold: int = 10, order: int = ORDER, chunk_tokens: int = CHUNK_TOKENS, parts: int | None = None) -> DataFrame:
+def score(docs: DataFrame, fold: int = 10, order: int = ORDER, chunk_tokens: int = CHUNK_TOKENS, parts: int | None = None, direct: int = DIRECT, coarse: int = COARSE) -> DataFrame:
     """Scores every whole text by the model of the texts whose crc32(doc_id as text) mod fold isn't 0.
 
-    order: the words of the longest n-grams (1: no backoff). Returns doc_id, held_out, n_tokens
+    order: the words of the longest n-grams (1: no backoff). parts, direct and coarse: see the
+    module; the results don't depend on them. Returns doc_id, held_out, n_tokens
     (words and the end), n_known, train_tokens, base_score (of add-0.1 unigrams) and score (log10
     probability by the model). A-Z are lower-cased; null text is empty: only the end. Rows that
     repeat an id are texts of their own; rows with a null id are training texts. Without training
@@ -362,13 +418,21 @@ def score(docs: DataFrame, fold: int = 10, order: int = ORDER, chunk_tokens: int
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = parts or 1 << max(6, int(np.ceil(np.log2(max(1, size / PART_BYTES)))))
     rows = chunks(docs, fold, chunk_tokens)
-    answers = staged(counted(requests(rows, parts, order)), "counts")
+    bundles = int(size / (5 * chunk_tokens) / BUNDLE) + 1  # a chunk has some five bytes a token
+    if bundles * BUNDLE * parts * order <= direct:
+        answers = counts = staged(counted(requests(rows, parts, order)), "counts")
+        sent = parts
+    else:
+        sent = min(coarse, parts)
+        asked = requests(rows, sent, order)
+        counts = staged(counted(bundled(asked, bundles, sent, parts, order)), "counts")
+        answers = staged(unbundled(asked, counts, bundles, sent, order), "answers")
     level = F.floor(F.col("part") / parts).cast("int").alias("level")
-    totals = answers.where("chunk is null").select(level, *(F.col("stats")[i].alias(f"s{i}") for i in range(SMALL + 3))).groupBy("level").agg(*(F.sum(f"s{i}").alias(f"s{i}") for i in range(SMALL + 3)))
+    totals = counts.where("chunk is null").select(level, *(F.col("stats")[i].alias(f"s{i}") for i in range(SMALL + 3))).groupBy("level").agg(*(F.sum(f"s{i}").alias(f"s{i}") for i in range(SMALL + 3)))
     got = {r.level: [int(x) for x in r[1:]] for r in totals.collect()}
     model = Model([got.get(i, [0] * (SMALL + 3)) for i in range(order)])
-    scored = staged(evaluated(rows, answers, model, parts, order), "scored")
-    unstage(answers)
+    scored = staged(evaluated(rows, answers, model, sent, order), "scored")
+    unstage(counts, *([answers] if answers is not counts else []))
     extra = backed_off(scored).groupBy("chunk", "row").agg(F.sum("extra").alias("extra"))
     out = scored.where("kind = 0").select("chunk", "row", "doc_id", "held", "n_tokens", "n_known", "base", "score")
     total = F.col("score") + F.coalesce("extra", F.lit(0.0)) if model.n else F.lit(0.0)
