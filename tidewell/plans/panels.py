@@ -225,3 +225,45 @@ def two_column_zip(t):
     text = F.concat_ws(" ", *[F.format_number(c("p_size") * 10 + i, 0) for i in range(6)])
     parts = t.part.select("p_partkey", extract.numbers(text).alias("all")).select("p_partkey", F.slice("all", 1, 3).alias("x"), F.slice("all", 4, 3).alias("y"))
     return zip_explode(parts, ["p_partkey"], allocation="x", release="y")
+
+
+def numbered_page(offset: int, limit: int) -> list[str]:
+    """A page of a source of 1,234 records."""
+    return [f'{{"i": {i}, "name": "n{i % 7}"}}' for i in range(offset, min(offset + limit, 1234))]
+
+
+@query("SELECT CAST(i AS BIGINT) AS i, 'n' || i % 7 AS name FROM range(1234) r(i)")
+def paged_source(t):
+    """A paged endpoint whose length isn't known, a task a page."""
+    t._spark.dataSource.register(io.PagedSource)
+    pages = t._spark.read.format("tidewell_pages").options(fetch=f"{__name__}.numbered_page", limit="100").load()
+    return pages.select(F.from_json("record", "i bigint, name string").alias("x")).select("x.*")
+
+
+@query("SELECT user_id, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn=1")
+def stream_snapshots(t):
+    """K03, K05 as a stream: each micro-batch is a snapshot; the last row of each key over all of them."""
+    from ..streaming.events import current, upsert_stream
+
+    out = f"{io.scratch_dir(t._spark)}/stream-{uuid.uuid4().hex}"
+    # a pattern, as a stream's path has to be a folder or a pattern
+    stream = t._spark.readStream.schema(t.events.schema).parquet(f"{t._dir}/[e]vents.parquet")
+    upsert_stream(t._spark, stream, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+    return current(t._spark, f"{out}/rows", ["user_id"], "event_id").select("user_id", "event_id", "value")
+
+
+@query("SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS start, event_type, CAST(count(*) AS BIGINT) AS n, round(sum(value),4) AS total FROM events GROUP BY 1,2")
+def stream_windows(t):
+    """Windowed counts of a stream, late rows within the watermark included, as of a batch."""
+    from ..streaming.events import windowed
+
+    name = f"windows_{uuid.uuid4().hex}"
+    out = f"{io.scratch_dir(t._spark)}/{name}"
+    stream = windowed(t._spark.readStream.schema(t.events.schema).parquet(f"{t._dir}/[e]vents.parquet"), "1 day")
+
+    def put(batch, epoch):
+        batch.write.mode("overwrite").parquet(f"{out}/rows")  # complete mode: a batch holds all windows
+
+    stream.writeStream.outputMode("complete").foreachBatch(put).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    rows_ = t._spark.read.parquet(f"{out}/rows")
+    return rows_.select(c("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))

@@ -13,7 +13,7 @@ from ..operators.relational import pick
 
 def windowed(events: DataFrame, late: str = "10 minutes", size: str = "1 day") -> DataFrame:
     """Count and sum per window and type; the same for a batch and for a stream."""
-    out = events.withWatermark("ts", late) if events.isStreaming else events
+    out = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late) if events.isStreaming else events
     per = out.groupBy(F.window("ts", size).alias("window"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
     return per.select(F.col("window.start").alias("start"), "event_type", "n", "total")
 
