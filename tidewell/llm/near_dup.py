@@ -147,14 +147,14 @@ def _overlap(n: Column, m: Column, percent: int) -> Column:
 
 
 def listed(classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """The inverted lists: v (the value), m (the size of the smaller set of a pair that the list is
+    """The inverted lists, a staged table: v (the value), m (the size of the smaller set of a pair that the list is
     for, 0 for sets of which one may not fit into its sketch), c, n, and small (n is m, or m is 0).
 
     A set as the smaller of a pair has the need of a pair with its own size, or, as equal sets are
     one class, with the next; as the larger, that of a pair with m.
     """
     postings = classes.select("c", F.explode("sketch").alias("v"))
-    often = postings.groupBy("v").agg(F.count("*").alias("count")).where("count > 1")
+    often = staged(postings.groupBy("v").agg(F.count("*").alias("count")).where("count > 1"), "often")
     limit = heavy_limit(classes.count())
     shared = spread_join(postings, often, ["v"], "c", often, limit).groupBy("c").agg(F.array_sort(F.collect_list(F.struct("count", "v"))).alias("shared"))
     full = k * percent // 100
@@ -169,7 +169,9 @@ def listed(classes: DataFrame, k: int, percent: int) -> DataFrame:
     own = F.when(n <= full, entry(n, F.lit(True), small)).otherwise(entry(F.lit(0), F.lit(True), wide))
     rooms = F.filter(F.concat(F.array(own), below), lambda x: x["room"] > 0)
     rows = shared.join(classes.select("c", "n"), "c").select("c", "n", "shared", F.explode(rooms).alias("x"))
-    return rows.select("c", "n", "x.m", "x.small", F.explode(F.slice("shared", F.lit(1), F.col("x.room"))).alias("s")).select(F.col("s.v").alias("v"), "m", "c", "n", "small")
+    out = staged(rows.select("c", "n", "x.m", "x.small", F.explode(F.slice("shared", F.lit(1), F.col("x.room"))).alias("s")).select(F.col("s.v").alias("v"), "m", "c", "n", "small"), "index")
+    unstage(often)
+    return out
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
@@ -329,13 +331,14 @@ def class_components(docs: DataFrame, width: int, percent: int, k: int, few: int
     rows = staged(sketches(docs, width, k), "sketches")
     classes = staged(rows.where("n > 0").groupBy("n", "s1", "s2", "c").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"), F.first("sketch").alias("sketch")), "classes")
 
-    index = staged(listed(classes, k, percent), "index")
+    index = listed(classes, k, percent)
     # pairs have a member with the list's size, so the pivot is one of these
     rank = F.struct((~F.col("small")).alias("other"), F.xxhash64("c", "v").alias("r"), "c", "n")
     stats = index.groupBy("v", "m").agg(F.count("*").alias("count"), F.max("small").alias("pairs"), F.min(rank).alias("a"), F.min("c").alias("p")).where("count > 1 and pairs").select("v", "m", "count", F.col("a.c").alias("a"), F.col("a.n").alias("n_a"), "p")
+    stats = staged(stats, "stats")
     limit = heavy_limit(index.count())
     lists = staged(spread_join(index, stats, ["v", "m"], "c", stats.select("v", "m", "count"), limit), "lists")
-    unstage(index)
+    unstage(index, stats)
     short = lists.where(F.col("count") <= few)
     x, y = short.select("v", "m", "c", "n", "small").alias("x"), short.select("v", "m", "c", "n", "small").alias("y")
     same = (F.col("x.v") == F.col("y.v")) & (F.col("x.m") == F.col("y.m")) & (F.col("x.c") < F.col("y.c")) & (F.col("x.small") | F.col("y.small"))
@@ -345,12 +348,16 @@ def class_components(docs: DataFrame, width: int, percent: int, k: int, few: int
     found = [_linked(pairs.unionAll(pivoted), docs, classes, width, percent, k)]
     roots = components(found[0])
 
+    tables: list[DataFrame] = []
+
     def mixed(roots: DataFrame) -> DataFrame:
         label = roots.select(F.col("node").alias("c"), "root")
-        rows = long_.join(label, "c", "left").select("v", "m", "c", "n", "small", "count", "p", F.coalesce("root", "c").alias("label"))
+        rows = staged(long_.join(label, "c", "left").select("v", "m", "c", "n", "small", "p", F.coalesce("root", "c").alias("label")), "labelled")
         several = rows.groupBy("v", "m").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("count"), F.min(F.struct((~F.col("small")).alias("other"), F.xxhash64("c", "v", F.lit(1)).alias("r"), "c", "n", "label")).alias("a")).where("lo < hi")
+        several = staged(several, "several")
+        tables.extend([rows, several])
         more = several.select("v", "m", F.col("a.c").alias("a"), F.col("a.n").alias("n_a"), F.col("a.label").alias("l_a"))
-        return spread_join(rows.drop("count"), more, ["v", "m"], "c", several.select("v", "m", "count"), limit)
+        return spread_join(rows, more, ["v", "m"], "c", several.select("v", "m", "count"), limit)
 
     for _ in range(1, pivots):
         again = mixed(roots).where("label != l_a").where(_sizes_fit("n", "n_a", percent)).select("a", F.col("c").alias("b"))
@@ -376,7 +383,7 @@ def class_components(docs: DataFrame, width: int, percent: int, k: int, few: int
     some = spread_join(small.where("n > 0"), known.drop("count").withColumn("known", F.lit(True)), ["c"], "doc_id", known.select("c", "count"), heavy_limit(n), "left")
     out = some.select("doc_id", "n", "c", F.when(F.col("known"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.coalesce("keeper", "c").alias("keeper"))
     out = staged(out.unionAll(small.where("n = 0").select("doc_id", "n", "c", F.col("doc_id").alias("component_id"), F.col("c").alias("keeper"))), "near")
-    unstage(rows, classes, lists, rest, alive, sets, roots, final, known, *found)
+    unstage(rows, classes, lists, rest, alive, sets, roots, final, known, *found, *tables)
     return out
 
 
