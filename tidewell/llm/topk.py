@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Vectors of a block, queries of a block, and queries that are answered at a time.
-BLOCK, QUERIES, AT_ONCE = 4096, 8192, 128
+BLOCK, QUERIES, AT_ONCE = 4096, 8192, 256
+#: Shares of the lists by which bounds are looked at.
+STRETCHES = (0.05, 0.25, 0.55, 0.8, 0.92, 0.97, 0.99, 1.0)
 
 
 class SortedLists:
@@ -36,63 +38,65 @@ class SortedLists:
 
     def depths(self) -> list[int]:
         """How far the lists are read by the end of each stretch."""
-        out = sorted({min(self.n, max(1, round(self.n * (1 - 0.62**i)))) for i in range(1, 12)} | {self.n})
-        return [d for d in out if d]
+        return sorted({min(self.n, max(1, round(self.n * x))) for x in STRETCHES if self.n})
 
     def top(self, q: np.ndarray, k: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray], list[float]]:
         """For each query (row of q), the vectors that can be among its k best or tie with the
         k-th, and their final scores; and the share of the lists that was read when reading
-        stopped, and when the last score was complete."""
+        stopped, and when the last score was complete.
+
+        Every entry counts as its list's worst value until it is read, which adds the difference:
+        the sums are the lower bounds, and the scores once all of a vector's entries were read.
+        """
         most = self.dims * self.largest * float(np.abs(q.astype(float)).max(initial=0))
-        if most >= 2.0**62:
+        if most >= 2.0**61:
             raise OverflowError("scores don't fit into 64 bits")
-        kind = np.float64 if most < 2.0**53 else np.int64
-        up, down = np.maximum(q, 0).T.astype(kind), np.minimum(q, 0).T.astype(kind)  # dims by queries
+        kind = np.float64 if most < 2.0**52 else np.int64
         lists = self.values.astype(kind)
-        known = np.zeros((self.n, len(q)), kind)
-        unread = [np.ones((self.n, self.dims), kind) for _ in range(2)]  # from the top, from the bottom
-        alive = np.ones((self.n, len(q)), bool)
-        some = np.ones(self.n, bool)
-
-        def read(start: int, end: int) -> None:
-            for j in range(self.dims):
-                for side, weights in enumerate((up[j], down[j])):
-                    if not weights.any():
-                        continue
-                    s = slice(self.n - end, self.n - start) if side == 0 else slice(start, end)
-                    ids = self.ids[s, j]
-                    wanted = some[ids]
-                    ids = ids[wanted]
-                    known[ids] += lists[s, j][wanted][:, None] * weights
-                    unread[side][ids, j] = 0
-
-        at, stopped = 0, 1.0
-        for depth in self.depths():
-            read(at, depth)
-            at = depth
+        sides = [np.maximum(q, 0).T.astype(kind), np.minimum(q, 0).T.astype(kind)]  # dims by queries: read from the top, from the bottom
+        worst = [lists[0], lists[-1]]
+        lower = np.tile(worst[0] @ sides[0] + worst[1] @ sides[1], (self.n, 1))
+        unread = [np.ones((self.n, self.dims), kind) for _ in sides]
+        alive, some = np.ones((self.n, len(q)), bool), np.ones(self.n, bool)
+        column = np.broadcast_to(np.arange(self.dims), self.ids.shape)
+
+        def read(start: int, end: int, rows: np.ndarray) -> None:
+            place = np.zeros(self.n, np.int64)
+            place[rows] = np.arange(len(rows))
+            for side, weights in enumerate(sides):
+                s = slice(self.n - end, self.n - start) if side == 0 else slice(start, end)
+                wanted = some[self.ids[s]]
+                ids, dims = self.ids[s][wanted], column[s][wanted]
+                gain = np.zeros((len(rows), self.dims), kind)
+                gain[place[ids], dims] = (lists[s] - worst[side])[wanted]
+                unread[side][ids, dims] = 0
+                lower[rows] += gain @ weights
+
+        at, stopped, depths = 0, 1.0, self.depths()
+        for depth in depths:
             rows = np.flatnonzero(some)
-            top, bottom = unread[0][rows], unread[1][rows]
-            low, high = lists[0][:, None], lists[-1][:, None]
-            lower = known[rows] + top @ (low * up) + bottom @ (high * down)
-            upper = known[rows] + top @ (lists[self.n - depth][:, None] * up) + bottom @ (lists[depth - 1][:, None] * down)
-            lower[~alive[rows]] = -(2**62)
+            read(at, depth, rows)
+            at, stopped = depth, depth / self.n
+            reach = [lists[self.n - depth], lists[depth - 1]]
+            low = lower[rows]
+            upper = low + sum(unread[i][rows] @ ((reach[i] - worst[i])[:, None] * sides[i]) for i in (0, 1))
+            low[~alive[rows]] = -(2**61)
             for kk in np.unique(k).tolist():
-                col = np.flatnonzero(k == kk)
                 if kk <= len(rows):
-                    bar = np.partition(lower[:, col], len(rows) - kk, axis=0)[len(rows) - kk]
+                    col = np.flatnonzero(k == kk)
+                    bar = np.partition(low[:, col], len(rows) - kk, axis=0)[len(rows) - kk]
                     alive[np.ix_(rows, col)] &= upper[:, col] >= bar
             some = alive.any(1)
-            stopped = depth / self.n
             if (alive.sum(0) <= k).all():
                 break
-        for depth in [d for d in self.depths() if d > at]:
+        for depth in depths[depths.index(at) + 1 :] if at else []:
             rows = np.flatnonzero(some)
-            if not ((unread[0][rows] @ (up != 0)).any() or (unread[1][rows] @ (down != 0)).any()):
+            if not any((unread[i][rows] @ (sides[i] != 0)).any() for i in (0, 1)):
                 break
-            read(at, depth)
+            read(at, depth, rows)
             at = depth
         rows = [np.flatnonzero(alive[:, j]) for j in range(len(q))]
-        return rows, [known[r, j].astype(np.int64) for j, r in enumerate(rows)], [stopped, at / self.n]
+        return rows, [lower[r, j].astype(np.int64) for j, r in enumerate(rows)], [stopped, at / max(self.n, 1)]
 
 
 def best_of(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
