@@ -713,3 +713,14 @@ def test_pipeline_by_brute_force(spark, tmp_path, labels):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, sf).count() == 0
+
+
+def test_near_dup_where_one_set_fits_its_sketch(spark):
+    """A set that fits into its sketch, within one that doesn't: the larger's sketch lacks common values."""
+    rows = []
+    for i in range(60):
+        own = [f"p{i}x{j}" for j in range(80)]
+        size = 64 + i % 3
+        rows += [(2 * i, " ".join(own[:size])), (2 * i + 1, " ".join(own[: size * 5 // 4]))]
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), width=1).collect()
+    assert {r.doc_id: r.component_id for r in got} == components_by_brute_force(rows, 1) == {d: d - d % 2 for d in range(120)}

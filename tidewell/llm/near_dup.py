@@ -162,7 +162,7 @@ def listed(classes: DataFrame, k: int, percent: int) -> DataFrame:
     alike = _overlap(n, n, percent)
     small = F.when(alike < n, alike).when((100 * n >= percent * (n + 1)) & (_overlap(n, n + 1, percent) <= n), _overlap(n, n + 1, percent)).otherwise(F.lit(k + 1))
     # of larger ones, as in _estimated(), pairs are given up that share 30 % of k less than the threshold lets expect
-    wide = F.when(n <= k, F.ceil(n * percent / 100.0)).otherwise(F.lit(max(1, k * (percent - 30) // 100)))
+    wide = F.lit(max(1, k * (percent - 30) // 100))
     entry = lambda m, small, need: F.struct(m.cast("int").alias("m"), small.alias("small"), (has - need + 1).cast("int").alias("room"))
     low, high = F.ceil(n * percent / 100.0).cast("int"), F.least(n - 1, F.lit(full)).cast("int")
     below = F.when((low <= high) & (low > 0), F.transform(F.sequence(low, high), lambda m: entry(m, F.lit(False), _overlap(n, m, percent)))).otherwise(F.array().cast("array<struct<m:int,small:boolean,room:int>>"))
