@@ -724,3 +724,19 @@ def test_near_dup_where_one_set_fits_its_sketch(spark):
         rows += [(2 * i, " ".join(own[:size])), (2 * i + 1, " ".join(own[: size * 5 // 4]))]
     got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), width=1).collect()
     assert {r.doc_id: r.component_id for r in got} == components_by_brute_force(rows, 1) == {d: d - d % 2 for d in range(120)}
+
+
+@pytest.mark.parametrize("sizes", [{}, {"few": 2, "pivots": 1, "members": 16, "room": 3000}])
+def test_near_dup_of_random_groups(spark, sizes):
+    """Copies, cut, edited and lengthened, of texts around the sketch's size, with words that many share."""
+    r, rows = np.random.default_rng(21), []
+    for c in range(30):
+        base = [f"c{c}w{j}" for j in range(int(r.choice([3, 5, 9, 12, 30, 48, 51, 52, 55, 63, 64, 65, 66, 75, 80, 120])))]
+        for _ in range(int(r.integers(2, 15))):
+            p = r.choice([0.0, 0.03, 0.08, 0.12, 0.2])
+            w = [f"z{r.integers(0, 40)}" if r.random() < p else x for x in base]
+            w = w[: int(len(w) * r.uniform(0.7, 1))] if r.random() < 0.4 else w
+            w += [f"tail{r.integers(0, 30)}" for _ in range(int(r.integers(0, max(1, len(base) // 4))))] if r.random() < 0.3 else []
+            rows.append((3 * len(rows) + 1, " ".join(w)))
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 1, **sizes).collect()
+    assert {x.doc_id: x.component_id for x in got} == components_by_brute_force(rows, 1)
