@@ -36,7 +36,7 @@ from .components import components
 
 K, PERCENT, WIDTH = 64, 80, 5
 #: Members of a list of which all pairs are compared; pivots of a longer one; members and bytes of a block.
-FEW, PIVOTS, MEMBERS, BYTES = 8, 2, 1024, 2 << 20
+FEW, PIVOTS, MEMBERS, BYTES = 8, 2, 512, 2 << 20
 _SLICE = 2 << 20
 
 
@@ -296,8 +296,8 @@ def _alive(members: DataFrame, classes: DataFrame, k: int, percent: int, room: i
         ok &= 100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :])
         there = (ok & (exact | (both >= k * 3 // 4))).any(1)
         a, b = np.nonzero(np.triu(ok & ~exact, 1) & ~(there[:, None] & there[None, :]))
-        for at in range(0, len(a), 1 << 14):
-            x, y = a[at : at + (1 << 14)], b[at : at + (1 << 14)]
+        for at in range(0, len(a), 1 << 12):
+            x, y = a[at : at + (1 << 12)], b[at : at + (1 << 12)]
             near = 100 * _in_union(own, x, y, k) >= percent - 30
             there[x[near]] = there[y[near]] = True
         return table.select(["p", "c", "n", "label"]).filter(pa.array(there))
@@ -312,14 +312,16 @@ def _block_links(members: DataFrame, sets: DataFrame, percent: int, room: int) -
     def run(table: pa.Table) -> pa.Table:
         own = [np.frombuffer(x.as_buffer(), np.int64) for x in table.column("own").combine_chunks()]
         ids, label, size = np.array(table.column("c")), np.array(table.column("label")), np.array([len(x) for x in own])
-        both = _common(own)
+        both = _common(own).astype(float)
         alike = np.triu(_facing(table) & (100 * both >= percent * (size[:, None] + size[None, :] - both)), 1)
         x, y = np.nonzero(alike)
         _, first = np.unique(np.stack([np.maximum(label[x], label[y]), np.minimum(label[x], label[y])]), axis=1, return_index=True)
         x, y = ids[x[first]], ids[y[first]]
         return pa.table({"hi": pa.array(np.maximum(x, y), pa.int64()), "lo": pa.array(np.minimum(x, y), pa.int64())})
 
-    return _dealt(members, 8 * F.col("n"), room).join(sets, "c").groupBy("part").applyInArrow(run, "hi bigint, lo bigint")
+    # a block has no more than MEMBERS members either, however small their sets are
+    weight = F.greatest(8 * F.col("n"), F.lit(-(-room // MEMBERS)))
+    return _dealt(members, weight, room).join(sets, "c").groupBy("part").applyInArrow(run, "hi bigint, lo bigint")
 
 
 def class_components(docs: DataFrame, width: int, percent: int, k: int, few: int = FEW, pivots: int = PIVOTS, members: int = MEMBERS, room: int = BYTES) -> DataFrame:
