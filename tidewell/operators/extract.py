@@ -15,6 +15,9 @@ RUNNING_TITLES = ("national highways authority of india", "annual report", "annu
 NUMBERED = r"^\s*(\d+\.?)\s+(.+?)\s{2,}(\d+[\d,]*\.?\d*)\s*$"
 LABELLED = r"(?i)([\p{L}\p{N}_/().,%&+\s-]{3,220})[:–—-]\s*(-?(?:Rs\.?|₹|INR)?\s*[\d,]+(?:\.\d+)?(?:\s*(?:crore|crores|lakh|lakhs|million|billion|bn|%|nos?|No\.?|N\.A\.?))?)"
 
+#: The end of a label and the beginning of its value, which every labelled value has.
+VALUE_AHEAD = r"(?i)[\p{L}\p{N}_/().,%&+\s-]{3}[:–—-]\s*-?(?:Rs\.?|₹|INR)?\s*[\d,]"
+
 
 def stripped(c: Column) -> Column:
     """White space off both ends; null is empty."""
@@ -55,10 +58,14 @@ def line_value(line: Column) -> Column:
     t = stripped(line)
     at = lambda p, i: F.nullif(F.regexp_extract(t, p, i), F.lit(""))
     numbered, noise = at(NUMBERED, 2), is_noise(line)
+    # a label has 220 characters at most: nothing before the first end of one needs to be tried
+    place = F.regexp_instr(t, F.lit(VALUE_AHEAD))
+    may, near = place > 0, F.substring(t, F.greatest(F.lit(1), place - 217), F.lit(1 << 30))
+    nearby = lambda i: F.regexp_extract(near, LABELLED, i)
     # a numbered line is taken as such, whatever else it may look like
-    labelled = F.regexp_replace(stripped(at(LABELLED, 1)), r"\s{2,}", " ")
+    labelled = F.when(may, F.regexp_replace(stripped(nearby(1)), r"\s{2,}", " "))
     label = F.when(~noise, F.when(numbered.isNotNull(), stripped(numbered)).otherwise(labelled))
-    text = F.when(~noise, F.when(numbered.isNotNull(), at(NUMBERED, 3)).otherwise(stripped(at(LABELLED, 2))))
+    text = F.when(~noise, F.when(numbered.isNotNull(), at(NUMBERED, 3)).otherwise(F.when(may, stripped(nearby(2)))))
     there = F.coalesce(label, F.lit("")) != ""
     kind = F.when(there, F.when(numbered.isNotNull(), "numbered").otherwise("labelled"))
     return F.struct(kind.alias("kind"), F.when(there, F.substring(label, 1, 220)).alias("label"), F.when(there, text).alias("value_text"), F.when(there, amount_of(text)).alias("value"))
