@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, katz, langid, near_dup, order_minhash, packing, quality, token_orc, topk, toxicity
+from . import _sql, bpe, katz, langid, lloyd, near_dup, order_minhash, packing, quality, run_index, spelling, token_orc, topk, toxicity
 from ._shared import read_table, shared_dir
 
 
@@ -63,7 +63,22 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_pack, op2_katz, op3_order_minhash, op4_quality, op5_near_dup, op6_langid, op7_topk, op8_token_orc, op9_toxicity, op10_bpe)}
+def op11_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lloyd.cluster(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf_dir, "documents"))
+
+
+def op13_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_index.dedup(read_table(spark, sf_dir, "documents"), texts=False)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_pack, op2_katz, op3_order_minhash, op4_quality, op5_near_dup, op6_langid, op7_topk, op8_token_orc, op9_toxicity, op10_bpe, op11_lloyd, op12_spelling, op13_run_index)
+}
 
 _TOPK_SQL = r"""
 WITH v AS (
@@ -109,4 +124,4 @@ WITH RECURSIVE w AS (
 SELECT n.doc_id, n.n AS n_shingles, c.component_id, n.doc_id = c.component_id AS kept FROM n JOIN c ON c.doc_id = n.doc_id
 """
 
-SQL = {"op5_near_dup": _NEAR_DUP_SQL, "op7_topk": _TOPK_SQL}
+SQL = {"op5_near_dup": _NEAR_DUP_SQL, "op7_topk": _TOPK_SQL, "op11_lloyd": _sql.LLOYD, "op12_spelling": _sql.SPELLING}
