@@ -5,7 +5,7 @@ inserted or deleted code point flips one bit, one replaced code point two or non
 bands of the mask at least one stays as it is. Words with an equal band and lengths that differ
 by one at most are joined and verified. An edit also leaves either the first or the second half
 of the shorter word as it is; that half is part of the join's key, which keeps groups small
-where many words have a band in common, and loses nothing.
+where many words have a band in common, and loses nothing. Letters share the mask's thirty bits.
 
 Everything is a column expression: words are counted with partial sums before they are shuffled,
 and only the counted vocabulary is joined.
@@ -24,9 +24,10 @@ from ._shared import heavy_limit, spread_join, staged, unstage
 RUN = "[A-Za-zÀ-ÿ]+"
 LEAST_CHARS, LEAST_COUNT, TIMES, DELETE_EVERY = 7, 2, 10, 31
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: The letters of a lower-cased run; letter i is bit i // BANDS of band i % BANDS, so a band has 30 bits.
+#: The letters of a lower-cased run. Letter i is one of the ten bits of band i % BANDS; where two
+#: letters share a bit, an edit still flips two bits at most.
 LETTERS = _LOWER + "".join(map(chr, range(0xC0, 0x100)))
-BANDS = 3
+BANDS, BITS = 3, 10
 
 
 def runs(docs: DataFrame, every: int = DELETE_EVERY) -> DataFrame:
@@ -45,39 +46,46 @@ def vocabulary(docs: DataFrame, every: int = DELETE_EVERY, least_chars: int = LE
     return long_.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= least)
 
 
-def bands(word: str) -> list[Column]:
-    """The three bands of a word's letter-parity mask, as integers."""
+def mask(word: str) -> Column:
+    """A word's letter-parity mask: an integer of BANDS bands of BITS bits."""
     place = f"(instr('{LETTERS}', c) - 1)"
-    return [F.expr(f"aggregate(split({word}, ''), 0, (m, c) -> m ^ if(c <> '' and {place} % {BANDS} = {b}, shiftleft(1, cast({place} / {BANDS} as int)), 0))") for b in range(BANDS)]
+    bit = f"cast({place} % {BANDS} * {BITS} + ({place} div {BANDS}) % {BITS} as int)"
+    return F.expr(f"aggregate(split({word}, ''), 0, (m, c) -> m ^ if(c <> '', shiftleft(1, {bit}), 0))")
+
+
+def _band(mask_: Column, i: int | Column) -> Column:
+    return F.call_function("shiftright", mask_, i * BITS if isinstance(i, Column) else F.lit(i * BITS)).bitwiseAND(F.lit((1 << BITS) - 1))
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """(a, n_a, b, n_b): every two words that differ by exactly one inserted, deleted or replaced code point, once.
 
-    In class s stand the words of s and of s + 1 code points, and a word of s code points looks for
-    both. A pair is made by the first band that its masks have in common and by its first half, if
-    that is equal, only.
+    In class s stand the words of s code points (own) and those of s + 1; pairs of a class have an
+    own word. A pair is made by the first band that its masks have in common and by its first half,
+    if that is equal, only. Rows are narrow, as each word makes twelve: what they are joined by is
+    one hash, and the join's condition looks at everything again.
     """
-    masked = words.select("word", "n", F.length("word").alias("size"), F.array(*bands("word")).alias("mask"))
+    size = F.length("word")
+    classes = F.explode(F.array(F.struct(size.alias("s"), F.lit(1).alias("own")), F.struct((size - 1).alias("s"), F.lit(0).alias("own"))))
+    rows = words.select("word", "n", mask("word").alias("mask"), classes.alias("c")).select("word", "n", "mask", "c.s", "c.own")
     half = F.floor(F.col("s") / 2).cast("int")
-    first, rest = F.substring(F.col("word"), F.lit(1), half), lambda size: F.substring(F.col("word"), size - F.col("s") + half + 1, F.col("s") - half)
-
-    def keyed(rows: DataFrame) -> DataFrame:
-        sides = F.explode(F.array(F.struct(F.lit(0).alias("side"), first.alias("part"), first.alias("head")), F.struct(F.lit(1).alias("side"), rest(F.col("size")).alias("part"), first.alias("head"))))
-        rows = rows.select("word", "n", "size", "mask", "s", sides.alias("x")).select("word", "n", "size", "mask", "s", "x.side", "x.part", "x.head")
-        return rows.select("*", F.posexplode("mask").alias("band", "bits"))
-
-    own = keyed(masked.withColumn("s", F.col("size")))
-    other = keyed(masked.withColumn("s", F.explode(F.array("size", F.col("size") - 1))))
-    key = ["s", "band", "bits", "side", "part"]
-    x, y = own.alias("x"), other.alias("y")
-    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in key]
-    earlier = lambda b: (F.col("x.band") > b) & (F.col("x.mask")[b] == F.col("y.mask")[b])
-    again = earlier(0) | earlier(1) | ((F.col("x.side") == 1) & (F.col("x.head") == F.col("y.head")))
-    flipped = sum((F.bit_count(F.col("x.mask")[b].bitwiseXOR(F.col("y.mask")[b])) for b in range(BANDS)), F.lit(0))
-    once = (F.col("y.size") > F.col("x.size")) | (F.col("x.word") < F.col("y.word"))
+    sides = F.array(F.substring(F.col("word"), F.lit(1), half), F.substring(F.col("word"), F.length("word") - F.col("s") + half + 1, F.col("s") - half))
+    rows = rows.select("word", "n", "mask", "s", "own", F.posexplode(sides).alias("side", "part"))
+    rows = rows.select("word", "n", "mask", "s", "own", "side", "part", F.explode(F.array(*[F.lit(b) for b in range(BANDS)])).alias("band"))
+    place = (F.col("band") * 2 + F.col("side")).cast("byte")
+    rows = rows.select(F.xxhash64("s", "band", _band(F.col("mask"), F.col("band")), "side", "part").alias("key"), "word", "n", "mask", F.col("own").cast("byte").alias("own"), place.alias("place"))
+    x, y = rows.alias("x"), rows.alias("y")
+    band, side = F.floor(F.col("x.place") / 2).cast("int"), F.col("x.place") % 2
+    own = F.col("x.own") * 2 + F.col("y.own")  # of both sides, so that both sides' rows are the same and shuffled once
+    once = (own == 2) | ((own == 3) & (F.col("x.word") < F.col("y.word")))
+    equal = lambda b: _band(F.col("x.mask"), b) == _band(F.col("y.mask"), b)
+    half = F.floor(F.length("x.word") / 2).cast("int")
+    head = F.substring(F.col("x.word"), F.lit(1), half) == F.substring(F.col("y.word"), F.lit(1), half)
+    again = ((band > 0) & equal(0)) | ((band > 1) & equal(1)) | ((side == 1) & head)
+    fits = (F.col("x.place") == F.col("y.place")) & (F.length("y.word") == F.length("x.word") + 1 - F.col("y.own"))
+    flipped = F.bit_count(F.col("x.mask").bitwiseXOR(F.col("y.mask"))) <= 2
     edit = F.levenshtein("x.word", "y.word", 1) == 1
-    joined = x.join(y, [*same, once, ~again, flipped <= 2, edit])
+    joined = x.join(y, [F.col("x.key") == F.col("y.key"), fits & once & equal(band) & flipped & ~again & edit])
     return joined.select(F.col("x.word").alias("a"), F.col("x.n").alias("n_a"), F.col("y.word").alias("b"), F.col("y.n").alias("n_b"))
 
 
@@ -110,8 +118,9 @@ def variants(docs: DataFrame, every: int = DELETE_EVERY, least_chars: int = LEAS
     """
     words = staged(vocabulary(docs, every, least_chars, least), "words")
     pairs = near_pairs(words)
-    side = lambda a, b: pairs.select(F.col(a).alias("word"), F.struct((-F.col(f"n_{b}")).alias("n"), F.col(b).alias("w")).alias("near"))
-    best = staged(side("a", "b").unionAll(side("b", "a")).groupBy("word").agg(F.min("near").alias("best"), F.count("*").alias("n_near")), "near-words")
+    side = lambda a, b: F.struct(F.col(a).alias("word"), F.struct((-F.col(f"n_{b}")).alias("n"), F.col(b).alias("w")).alias("near"))
+    both = pairs.select(F.explode(F.array(side("a", "b"), side("b", "a"))).alias("x")).select("x.*")
+    best = staged(both.groupBy("word").agg(F.min("near").alias("best"), F.count("*").alias("n_near")), "near-words")
     known = words.join(best, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"), F.when(-F.col("best.n") >= times * F.col("n"), F.col("best")).alias("best"))
     known = staged(known.select("word", F.col("best.w").alias("form"), "n", "n_near", (-F.col("best.n")).alias("form_n")), "known")
     unstage(words, best)
