@@ -36,7 +36,7 @@ from ._shared import small_batches, staged, unstage
 from .bpe import slices
 from .near_dup import _marked
 
-WINDOW, GRAM = 100, 16
+WINDOW, GRAM = 100, 32
 #: Bytes of passages of a shard; passages of an anchor beyond which its windows are counted one by one.
 SHARD_BYTES, HEAVY = 1 << 20, 4096
 #: Bytes of a batch, and windows that are hashed at a time.
@@ -62,10 +62,11 @@ def _smallest(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def passages(buf: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def passages(buf: np.ndarray, offsets: np.ndarray, window: int, gram: int, digests: bool = False) -> tuple[np.ndarray, ...]:
     """Runs of windows with the same anchor in documents that stand in buf one after the other: the
-    first window's place, how many windows, the anchor's hash, and the hash of the bytes that they
-    cover. Windows lie inside one document. Long texts are read in chunks; a run may end with one."""
+    first window's place, how many windows, the anchor's hash, and with digests the hash of the
+    bytes that they cover. Windows lie inside one document. Long texts are read in chunks; a run
+    may end with one."""
     size = np.diff(offsets)
     fits = size >= window
     edge = np.zeros(len(buf) + 1, np.int32)
@@ -86,9 +87,9 @@ def passages(buf: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> tu
         first = np.flatnonzero(np.append(True, x[1:] != x[:-1]))
         count = np.diff(np.append(first, len(x)))
         start = here[first]
-        out.append((start + at, count, h[x[first]], span_hash(sums, start, start + count + window - 1)))
+        out.append((start + at, count, h[x[first]], *([span_hash(sums, start, start + count + window - 1)] if digests else [])))
     if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, U)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), *[np.zeros(0, U)] * (1 + digests)
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
@@ -132,8 +133,11 @@ class RunIndex:
 
     @staticmethod
     def _suffixes(word: np.ndarray, end: np.ndarray, longest: int) -> np.ndarray:
-        """The suffix array, by doubling the letters that are compared; equal suffixes in text order."""
+        """The suffix array; equal suffixes in text order. The ranks by so many letters, at each position
+        and those many letters on, give the ranks by two or three times as many."""
         place, known = np.arange(len(word)), 7
+        bits = max(1, len(word).bit_length())
+        times = 3 if 3 * bits <= 63 else 2
 
         def ranks(key: np.ndarray) -> np.ndarray:
             order = np.argsort(key)
@@ -144,9 +148,12 @@ class RunIndex:
 
         rank = ranks(word)
         while known < longest and rank.max(initial=0) < len(word) - 1:
-            rank = ranks(rank * len(word) + rank[np.minimum(place + known, end)])
-            known *= 2
-        return np.argsort(rank, kind="stable")
+            key = rank
+            for i in range(1, times):
+                key = (key << bits) | rank[np.minimum(place + i * known, end)]
+            rank = ranks(key)
+            known *= times
+        return np.sort((rank << bits) | place) & ((1 << bits) - 1)
 
     def _common(self, text: np.ndarray, word: np.ndarray, end: np.ndarray) -> np.ndarray:
         """How many letters the suffixes at first and at last have in common, word by word and then letter by letter."""
@@ -231,7 +238,7 @@ def _anchors(rows: DataFrame, window: int, gram: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, size=_SLICE):
-            _, _, anchor, digest = passages(*_flat(batch.column(0)), window, gram)
+            _, _, anchor, digest = passages(*_flat(batch.column(0)), window, gram, digests=True)
             _, first, n = np.unique(mix(anchor) + digest, return_index=True, return_counts=True)
             yield pa.RecordBatch.from_pydict({"anchor": pa.array(anchor[first].view(np.int64)), "digest": pa.array(digest[first].view(np.int64)), "n": pa.array(n.astype(np.int64))})
 
@@ -248,7 +255,7 @@ def _classes(rows: DataFrame, shared: Broadcast, window: int, gram: int) -> Data
         often, several = shared.value
         for batch in slices(batches, size=_SLICE):
             buf, offsets = _flat(batch.column(3))
-            start, count, anchor, _ = passages(buf, offsets, window, gram)
+            start, count, anchor = passages(buf, offsets, window, gram)
             some = _held(often, anchor)
             start, count, anchor = start[some], count[some], anchor[some]
             text = _held(several, anchor)
@@ -332,7 +339,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, texts: bool =
         often = shared.value[0]
         for batch in slices(batches, size=_SLICE):
             buf, offsets = _flat(batch.column(3))
-            start, count, anchor, _ = passages(buf, offsets, window, gram)
+            start, count, anchor = passages(buf, offsets, window, gram)
             some = _held(often, anchor)
             change = np.zeros(len(buf) + 1, np.int32)
             np.add.at(change, start[some], 1)
