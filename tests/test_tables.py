@@ -186,3 +186,16 @@ def test_documents(spark, tmp_path):
         f.write("{}\n")
     with pytest.raises(ValueError):
         documents.read(spark, path, schema, verify=True)
+
+
+def test_manifest_of_a_write(spark, tmp_path):
+    from tidewell.sources import catalog, io
+
+    df = spark.createDataFrame([(i, None if i % 3 else f"v{i:02d}", {"a": i}) for i in range(40)], "k int, v string, m map<string,int>").repartition(3).dropDuplicates(["k"])
+    source, path = catalog.Source("s", theme="t"), str(tmp_path / "s")
+    got = catalog.written(df, path, source, "ok", stats=True).collect()
+    want = catalog.manifest(io.table(spark, path), source, "ok").collect()
+    assert [tuple(r)[:-1] for r in got] == [tuple(r) for r in want]
+    assert [tuple(s) for s in got[0].stats] == [("k", 0, "0", "39"), ("v", 26, "v00", "v39"), ("m", 0, None, None)]
+    empty = catalog.written(df.limit(0), str(tmp_path / "e"), source, "ok", stats=True).first()
+    assert (empty.row_count, empty.completeness) == (0, 0.0) and empty.stats[1].nulls == 0 and empty.stats[1].min is None

@@ -42,11 +42,14 @@ def clamp(c: Column, low: float, high: float) -> Column:
 
 def amount(c: Column) -> Column:
     """struct of value and unit of texts like 'Rs. 1,200 crore' (T11: the unit is recognised;
-    numbers of things are a count)."""
+    numbers of things are a count). Of several numbers, the one before the unit; without a unit, the first."""
     text = F.lower(F.trim(c))
-    found = F.nullif(F.regexp_extract(text, r"(crore|lakh|million|billion|bn|km|%|percent|nos?\.?|count|n\.a\.)s?\s*$", 1), F.lit(""))
+    ending = r"(crore|lakh|million|billion|bn|km|%|percent|nos?\.?|count|n\.a\.)s?\s*$"
+    found = F.nullif(F.regexp_extract(text, ending, 1), F.lit(""))
     unit = F.when(found == "bn", "billion").when(found == "percent", "%").when(found.rlike(r"^(nos?\.?|count|n\.a\.)$"), "count").otherwise(found)
-    return F.struct(number(F.regexp_extract(text, r"(-?\d[\d,]*\.?\d*)", 1)).alias("value"), unit.alias("unit"))
+    digits = r"(-?\d[\d,]*\.?\d*)"
+    before = F.regexp_extract(text, digits + r"[\s(]*" + ending, 1)
+    return F.struct(number(F.when(before != "", before).otherwise(F.regexp_extract(text, digits, 1))).alias("value"), unit.alias("unit"))
 
 
 def per(top: Column, bottom: Column, scale: float) -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -115,18 +115,81 @@ TRACKING = ("fbclid", "gclid", "mc_cid", "mc_eid", "ref", "source")
 _URL = r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]+)([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once a row, however often f names it: Spark would write an expression out at each place."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
+def form_decoded(c: Column) -> Column:
+    """a key or value of a query string: + is a space, percent codes are bytes of UTF-8. A % without
+    two hexadecimal digits stays; bytes that aren't UTF-8 become the replacement character."""
+    return F.try_url_decode(F.regexp_replace(c, "%(?![0-9A-Fa-f]{2})", "%25"))
+
+
+def form_encoded(c: Column) -> Column:
+    """a text as a key or value of a query string: letters, digits and _.-~ as they are, a space as +, other bytes as percent codes."""
+    return F.replace(F.replace(F.url_encode(c), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+
+#: Fixed value: the parts of a URI reference (scheme, //authority, path, ?query, #fragment).
+_REFERENCE = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$"
+
+
+def without_dots(path: Column) -> Column:
+    """A path without its segments . and .., a fold over its segments: .. takes back the
+    segment before, but never the root; one of them at the end leaves a slash."""
+    parts = F.split(path, "/")
+    rooted = path.startswith("/")
+    segments = F.when(rooted, F.slice(parts, 2, F.size(parts))).otherwise(parts)
+    step = lambda held, x: F.when(x == ".", held).when(x == "..", F.slice(held, 1, F.greatest(F.size(held) - 1, F.lit(0)))).otherwise(F.concat(held, F.array(x)))
+    kept = F.aggregate(segments, F.array().cast("array<string>"), step)
+    ends = F.element_at(parts, -1).isin(".", "..")
+    joined = F.concat(F.when(rooted, "/").otherwise(""), F.array_join(kept, "/"))
+    return F.when(ends & ~joined.endswith("/"), F.concat(joined, F.lit("/"))).otherwise(joined)
+
+
+def resolved(base: Column, reference: Column) -> Column:
+    """What a reference on a page means, by RFC 3986 (5.2): references with a scheme as they
+    are, but for dots in their path; `//host` with the base's scheme; paths from the base's host or
+    from the base's folder; ?query and #fragment of the base's page. White space around both goes.
+    Null is empty, and an empty reference is the base without its fragment; without a base with a
+    scheme, the reference itself."""
+    trim = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), r"^\s+|\s+$", "")
+    names = ("scheme", "host", "path", "query", "fragment")
+    of = lambda c: let(trim(c), lambda r: F.struct(r.alias("all"), *[F.regexp_extract(r, _REFERENCE, i).alias(n) for i, n in enumerate(names, 1)]))
+
+    def together(x: Column) -> Column:
+        b, r = x["b"], x["r"]
+        folder = F.when((b["host"] != "") & (b["path"] == ""), "/").otherwise(F.regexp_replace(b["path"], "[^/]*$", ""))
+        # what loses its dots: an own path from the root, or one below the base's folder
+        path = let(F.when((r["scheme"] != "") | (r["host"] != "") | r["path"].startswith("/"), r["path"]).otherwise(F.concat(folder, r["path"])), without_dots)
+        own = F.when(r["path"] == "", b["path"]).otherwise(path)
+        asked = F.when((r["path"] == "") & (r["query"] == ""), b["query"]).otherwise(r["query"])
+        opaque = (r["host"] == "") & ~r["path"].startswith("/")
+        absolute = F.concat(r["scheme"], F.lit(":"), r["host"], F.when(opaque, r["path"]).otherwise(path), r["query"], r["fragment"])
+        there = F.when(r["host"] != "", F.concat(r["host"], path, r["query"])).otherwise(F.concat(b["host"], own, asked))
+        return F.when(r["scheme"] != "", absolute).when(b["scheme"] == "", r["all"]).otherwise(F.concat(b["scheme"], F.lit(":"), there, r["fragment"]))
+
+    return let(F.struct(of(base).alias("b"), of(reference).alias("r")), together)
+
+
 def normal_url(c: Column) -> Column:
-    """lower-case scheme and host, single slashes in the path and none at its end, the query by
-    key without tracking keys, no fragment. `//host` gets https; what has no scheme or host stays as
-    it is; null is empty. Percent codes stay as written."""
-    raw = F.regexp_replace(F.coalesce(c, F.lit("")), r"^\s+|\s+$", "")
-    part = lambda i: F.regexp_extract(raw, _URL, i)
-    path = F.regexp_replace(F.regexp_replace(part(3), "/{2,}", "/"), "/+$", "")
-    items = F.transform(F.filter(F.split(part(4), "&"), lambda p: p != ""), lambda p, i: F.struct(F.substring_index(p, "=", 1).alias("key"), i.alias("i"), F.when(p.contains("="), p).otherwise(F.concat(p, F.lit("="))).alias("item")))
-    kept = F.filter(items, lambda x: ~F.lower(x["key"]).startswith("utm_") & ~F.lower(x["key"]).isin(*TRACKING))
-    query = F.array_join(F.transform(F.array_sort(kept), lambda x: x["item"]), "&")
-    whole = F.concat(F.lower(part(1)), F.lit("://"), F.lower(part(2)), F.when(path == "", "/").otherwise(path), F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
-    return F.when(raw.startswith("//"), F.concat(F.lit("https:"), raw)).when(part(1) == "", raw).otherwise(whole)
+    """lower-case scheme and host, single slashes in the path and none at its end, the query
+    without tracking keys, no fragment. The query's keys and values are decoded, sorted by key (values
+    of a key stay in their order), and encoded again. `//host` gets https; what has no scheme or host
+    stays as it is; null is empty. Percent codes of the path stay as written."""
+    after = lambda p: F.when(p.contains("="), F.substring(p, F.instr(p, "=") + 1, F.length(p))).otherwise("")
+
+    def of(raw: Column) -> Column:
+        part = lambda i: F.regexp_extract(raw, _URL, i)
+        path = F.regexp_replace(F.regexp_replace(part(3), "/{2,}", "/"), "/+$", "")
+        items = F.transform(F.filter(F.split(part(4), "&"), lambda p: p != ""), lambda p, i: F.struct(form_decoded(F.substring_index(p, "=", 1)).alias("key"), i.alias("i"), form_decoded(after(p)).alias("value")))
+        kept = F.filter(items, lambda x: ~F.lower(x["key"]).startswith("utm_") & ~F.lower(x["key"]).isin(*TRACKING))
+        query = F.array_join(F.transform(F.array_sort(kept), lambda x: F.concat(form_encoded(x["key"]), F.lit("="), form_encoded(x["value"]))), "&")
+        whole = let(F.struct(path.alias("p"), query.alias("q")), lambda x: F.concat(F.lower(part(1)), F.lit("://"), F.lower(part(2)), F.when(x["p"] == "", "/").otherwise(x["p"]), F.when(x["q"] != "", F.concat(F.lit("?"), x["q"])).otherwise("")))
+        return F.when(raw.startswith("//"), F.concat(F.lit("https:"), raw)).when(part(1) == "", raw).otherwise(whole)
+
+    return let(F.regexp_replace(F.coalesce(c, F.lit("")), r"^\s+|\s+$", ""), of)
 
 
 def file_url(c: Column) -> Column:

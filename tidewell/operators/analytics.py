@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.coerce import clamp
-from ..functions.names import normal_url
+from ..functions.names import let, normal_url
 
 
 def pairwise_correlation(long: DataFrame, entity: str = "entity", year: str = "year", metric: str = "metric", value: str = "value", min_overlap: int = 2) -> DataFrame:
@@ -41,7 +42,12 @@ def looked_up(c: Column, table: dict, default: float) -> Column:
 def completeness(df: DataFrame) -> DataFrame:
     """Share of non-null cells, to three places; 0 for an empty table. One pass."""
     nulls = sum((F.coalesce(F.sum(F.col(f"`{c}`").isNull().cast("bigint")), F.lit(0)) for c in df.columns), F.lit(0))
-    return df.agg(F.count("*").alias("n"), nulls.alias("nulls")).select("n", F.when(F.col("n") == 0, 0.0).otherwise(F.round(F.greatest(F.lit(0.0), 1 - F.col("nulls") / (F.col("n") * len(df.columns))), 3)).alias("completeness"))
+    return df.agg(F.count("*").alias("n"), nulls.alias("nulls")).select("n", completeness_of(F.col("n"), F.col("nulls"), len(df.columns)).alias("completeness"))
+
+
+def completeness_of(n: Column, nulls: Column, columns: int) -> Column:
+    """Completeness of n rows with so many null cells."""
+    return F.when(n == 0, 0.0).otherwise(F.round(F.greatest(F.lit(0.0), 1 - nulls / (n * columns)), 3))
 
 
 def recency(age_days: Column, frequency: Column) -> Column:
@@ -79,9 +85,9 @@ LOW_CAVEAT = "fit for trends and rankings, not for exact decisions"
 
 
 def overall(c: Column, r: Column, p: Column, k: Column, status: Column, extraction: Column | None = None) -> Column:
-    """struct of overall score, badge and reasons; the status' factor caps each part. The
-    badge goes by the score before it is rounded to three places."""
-    s = looked_up(status, STATUS, 0.5)
+    """struct of overall score, badge and reasons; the status' factor (in any case; 0.5 where
+    it is unknown or null) caps each part. The badge goes by the score before it is rounded to three places."""
+    s = looked_up(F.lower(status), STATUS, 0.5)
     c, r, p, k = F.least(c, s), F.least(r, F.greatest(F.lit(0.2), s)), p * F.greatest(F.lit(0.25), s), F.least(k, F.greatest(F.lit(0.2), s))
     if extraction is None:
         score = 0.35 * c + 0.25 * r + 0.2 * p + 0.2 * k
@@ -233,9 +239,11 @@ def relation_evidence(sources: DataFrame, aliases: DataFrame, relations: DataFra
     return relations.join(both, ["from_entity", "to_entity"], "left").select("from_entity", "to_entity", F.coalesce("n", F.lit(0)).alias("n_sources"), F.coalesce("ids", F.array().cast("array<string>")).alias("source_ids"))
 
 
-def gap_report(required: DataFrame, sources: DataFrame) -> DataFrame:
-    """Each required theme: covered, restricted (no open source) or missing."""
-    have = sources.groupBy("theme").agg(F.count("*").alias("n"), F.max(F.col("open").cast("int")).alias("open"))
+def gap_report(required: DataFrame, sources: DataFrame, seq: str | None = None) -> DataFrame:
+    """Each required theme: covered, restricted or missing. A theme is restricted if the last of its
+    sources by seq isn't open; without seq, if none of them is."""
+    is_open = F.col("open").cast("int")
+    have = sources.groupBy("theme").agg(F.count("*").alias("n"), (F.max_by(is_open, F.col(seq)) if seq else F.max(is_open)).alias("open"))
     return required.join(have, "theme", "left").select("theme", F.coalesce("n", F.lit(0)).alias("n_sources"), F.when(F.col("n").isNull(), "missing").when(F.col("open") == 0, "restricted").otherwise("covered").alias("status"))
 
 
@@ -251,15 +259,18 @@ def relevance(title: Column, url: Column, text: Column | None = None, hint: Colu
     text, hint = text if text is not None else F.lit(""), hint if hint is not None else F.lit("")
     low = lambda c: F.lower(F.trim(F.coalesce(c, F.lit(""))))
     parts = F.filter(F.array(low(title), F.lower(normal_url(url)), low(hint), F.lower(F.substring(F.trim(F.coalesce(text, F.lit(""))), 1, 2000))), lambda p: p != "")
-    t = F.array_join(parts, " ")
-    any_of = lambda words: F.coalesce(*[F.when(t.contains(w), True) for w in words], F.lit(False))
-    report = F.when(any_of(REPORT_TERMS), 0.45).when(t.contains("annual") & t.contains("report"), 0.3).otherwise(0.0)
-    styled = F.when(any_of(("annual-reports", "annual_report", "annual-report")), 0.2).otherwise(0.0)
-    fiscal = t.rlike(r"\b20\d{2}[-/]\d{2}\b") | t.rlike(r"\b(19|20)\d{2}\s*-\s*(?:19|20)?\d{2}\b")
-    year = F.when(fiscal, 0.2).when(t.rlike(r"\b(19|20)\d{2}\b"), 0.1).otherwise(0.0)
-    body = F.when((F.coalesce(text, F.lit("")) != "") & any_of(BODY_TERMS), 0.15).otherwise(0.0)
-    less = F.when(any_of(OTHER_TERMS), 0.35).otherwise(0.0) + F.when(t.contains("green cover index"), 0.25).otherwise(0.0)
-    return F.round(clamp(report + styled + year + body - less, 0, 1), 3)
+
+    def score(t: Column) -> Column:
+        any_of = lambda words: t.rlike("|".join(map(re.escape, words)))
+        report = F.when(any_of(REPORT_TERMS), 0.45).when(t.contains("annual") & t.contains("report"), 0.3).otherwise(0.0)
+        styled = F.when(any_of(("annual-reports", "annual_report", "annual-report")), 0.2).otherwise(0.0)
+        fiscal = t.rlike(r"\b20\d{2}[-/]\d{2}\b|\b(19|20)\d{2}\s*-\s*(?:19|20)?\d{2}\b")
+        year = F.when(fiscal, 0.2).when(t.rlike(r"\b(19|20)\d{2}\b"), 0.1).otherwise(0.0)
+        body = F.when((F.coalesce(text, F.lit("")) != "") & any_of(BODY_TERMS), 0.15).otherwise(0.0)
+        less = F.when(any_of(OTHER_TERMS), 0.35).otherwise(0.0) + F.when(t.contains("green cover index"), 0.25).otherwise(0.0)
+        return F.round(clamp(report + styled + year + body - less, 0, 1), 3)
+
+    return let(F.array_join(parts, " "), score)
 
 
 def bands(c: Column) -> Column:

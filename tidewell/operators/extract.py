@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.names import let, normal_url, resolved
+
 NUMBER = r"-?\d+(?:,\d{3})*(?:\.\d+)?"  # T14
 #: Whole lines that say nothing, next to page numbers and addresses.
 RUNNING_TITLES = ("national highways authority of india", "annual report", "annual report of nhai", "content", "contents")
@@ -27,7 +29,10 @@ def stripped(c: Column) -> Column:
 def is_noise(line: Column) -> Column:
     """Fewer than 4 characters, nothing but a page number, digits, an address or a running
     title, no letter or digit, or six bars or more without a letter."""
-    t = F.regexp_replace(stripped(line), r"\s{2,}", " ")
+    return let(F.regexp_replace(stripped(line), r"\s{2,}", " "), _says_nothing)
+
+
+def _says_nothing(t: Column) -> Column:
     bars = F.length(t) - F.length(F.replace(t, F.lit("|"), F.lit("")))
     said = t.rlike(r"(?i)^(page\s+\d+|\d+|https?://\S+|www\.\S+)$") | F.lower(t).isin(*RUNNING_TITLES)
     return (F.length(t) < 4) | said | ~t.rlike(r"[\p{L}\p{N}]") | ((bars >= 6) & ~t.rlike(r"\p{L}"))
@@ -54,21 +59,27 @@ def amount_of(c: Column) -> Column:
 
 def line_value(line: Column) -> Column:
     """struct of kind (numbered, or labelled), label, value_text and value of lines like
-    `3. Bridges  1,234` and `label: Rs. 1,234.5 crore`; nulls where there is none, and for noise."""
-    t = stripped(line)
-    at = lambda p, i: F.nullif(F.regexp_extract(t, p, i), F.lit(""))
-    numbered, noise = at(NUMBERED, 2), is_noise(line)
-    # a label has 220 characters at most: nothing before the first end of one needs to be tried
-    place = F.regexp_instr(t, F.lit(VALUE_AHEAD))
-    may, near = place > 0, F.substring(t, F.greatest(F.lit(1), place - 217), F.lit(1 << 30))
-    nearby = lambda i: F.regexp_extract(near, LABELLED, i)
-    # a numbered line is taken as such, whatever else it may look like
-    labelled = F.when(may, F.regexp_replace(stripped(nearby(1)), r"\s{2,}", " "))
-    label = F.when(~noise, F.when(numbered.isNotNull(), stripped(numbered)).otherwise(labelled))
-    text = F.when(~noise, F.when(numbered.isNotNull(), at(NUMBERED, 3)).otherwise(F.when(may, stripped(nearby(2)))))
-    there = F.coalesce(label, F.lit("")) != ""
-    kind = F.when(there, F.when(numbered.isNotNull(), "numbered").otherwise("labelled"))
-    return F.struct(kind.alias("kind"), F.when(there, F.substring(label, 1, 220)).alias("label"), F.when(there, text).alias("value_text"), F.when(there, amount_of(text)).alias("value"))
+    `3. Bridges  1,234` and `label: Rs. 1,234.5 crore`; nulls where there is none, and for noise.
+    Only lines with a digit or comma, and a dash, colon or wide gap, are looked at closely."""
+
+    def of(t: Column) -> Column:
+        numbered = F.when(t.rlike(r"^\d"), F.struct(F.regexp_extract(t, NUMBERED, 2).alias("label"), F.regexp_extract(t, NUMBERED, 3).alias("text")))
+        # a label has 220 characters at most: nothing before the first end of one needs to be tried
+        near = let(F.regexp_instr(t, F.lit(VALUE_AHEAD)), lambda at: F.when(at > 0, F.substring(t, F.greatest(F.lit(1), at - 217), F.lit(1 << 30))))
+        labelled = let(near, lambda n: F.struct(F.regexp_replace(stripped(F.regexp_extract(n, LABELLED, 1)), r"\s{2,}", " ").alias("label"), stripped(F.regexp_extract(n, LABELLED, 2)).alias("text")))
+        # a numbered line is taken as such, whatever else it may look like
+        row = lambda kind, x: F.struct(F.lit(kind).alias("kind"), F.substring(x["label"], 1, 220).alias("label"), x["text"].alias("value_text"), amount_of(x["text"]).alias("value"))
+        other = let(labelled, lambda x: F.when(x["label"] != "", row("labelled", x)))
+        return let(numbered, lambda x: F.when(F.coalesce(x["label"], F.lit("")) == "", other).when(stripped(x["label"]) != "", row("numbered", F.struct(stripped(x["label"]).alias("label"), x["text"].alias("text")))))
+
+    none = F.struct(*[F.lit(None).cast(kind).alias(name) for name, kind in (("kind", "string"), ("label", "string"), ("value_text", "string"), ("value", "double"))])
+    return F.coalesce(let(stripped(line), lambda t: F.when(t.rlike(r"[\d,]") & t.rlike(r"[:–—-]|\s{2}") & ~is_noise(t), of(t))), none)
+
+
+def key_values(df: DataFrame, line: str) -> DataFrame:
+    """df with the columns of line_value() for the rows whose line has a value: each line is looked at once."""
+    found = F.filter(F.array(line_value(F.col(line))), lambda x: x["label"].isNotNull())
+    return df.withColumn("_kv", F.explode(found)).select(*df.columns, "_kv.*")
 
 
 def key_value(line: Column) -> Column:
@@ -131,9 +142,9 @@ def text_urls(df: DataFrame, key: str, *columns: str, pattern: str = r"https?://
 
 
 def link_variants(url: Column, base: str) -> Column:
-    """An absolute URL for a link, followed by the variants under which sites also serve it:
+    """A link resolved against the page's address, followed by the variants under which sites also serve it:
     without www., and with /sites/default/files/ for /system/files/; without repeats."""
-    absolute = F.when(url.rlike(r"(?i)^https?://"), url).when(url.startswith("/"), F.concat(F.lit(base), url)).otherwise(F.concat(F.lit(base + "/"), url))
+    absolute = resolved(F.lit(base), url)
     bare = F.when(absolute.startswith("https://www."), F.concat(F.lit("https://"), F.substring(absolute, 13, 1 << 20)))
     moved = F.when(absolute.contains("/system/files/") & ~absolute.contains("/sites/default/files/"), F.replace(absolute, F.lit("/system/files/"), F.lit("/sites/default/files/")))
     return F.array_distinct(F.array_compact(F.array(absolute, bare, moved)))
@@ -145,6 +156,19 @@ def links(df: DataFrame, key: str, html: str) -> DataFrame:
     return df.select(key, F.posexplode(found).alias("pos", "url"))
 
 
+def resolved_links(df: DataFrame, key: str, html: str, url: str) -> DataFrame:
+    """The distinct targets of a page's links, resolved against the page's address (or its
+    first <base href>, itself resolved) and in normal form, in order of first sight. Targets that
+    aren't http(s) are left out, and so is the page itself."""
+    own = F.regexp_extract(F.coalesce(F.col(html), F.lit("")), r"""(?i)<base\b[^>]*?\bhref\s*=\s*["']([^"'>]+)""", 1)
+    pages = df.select(key, html, F.col(url).alias("_page"), F.when(own == "", F.col(url)).otherwise(resolved(F.col(url), own)).alias("_base"))
+    bare = pages.withColumn(html, F.regexp_replace(html, r"(?i)<base\b[^>]*>", ""))
+    found = links(bare, key, html).join(pages.select(key, "_page", "_base"), key)
+    target = found.select(key, "pos", normal_url(F.col("_page")).alias("_page"), resolved(F.col("_base"), F.regexp_replace("url", "(?i)&amp;", "&")).alias("url")).withColumn("url", normal_url(F.col("url")))
+    other = target.where(F.col("url").rlike("^https?://") & (F.col("url") != F.col("_page")))
+    return other.groupBy(key, "url").agg(F.min("pos").alias("pos")).select(key, "pos", "url")
+
+
 def json_records(payload: Column, schema: str) -> Column:
     """Rows of a payload that is a bare list or has them under records, data or result."""
     array = f"array<struct<{schema}>>"

@@ -68,7 +68,7 @@ SELECT doc_id, kind, substr(label,1,220) AS label, value_text, TRY_CAST(regexp_r
 @query(_KV)
 def kv_extract(t):
     """F37, F15."""
-    return _lines(t).select("doc_id", extract.line_value(c("line")).alias("kv")).where("kv.label is not null").select("doc_id", "kv.*")
+    return extract.key_values(_lines(t), "line").drop("line")
 
 
 @query("""SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN 'table_row' ELSE p_name END AS name, CASE WHEN p_size % 3 = 0 THEN '' ELSE p_name || ' | ' END || p_brand || ' | ' || p_size || ',000' AS text, CAST(regexp_extract(p_brand,'\\d+') AS DOUBLE) AS value, CAST(CASE WHEN p_size % 3 = 0 THEN 2 ELSE 1 END AS INTEGER) AS col_no FROM part""")

@@ -6,10 +6,10 @@ import json
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.analytics import completeness
+from ..operators.analytics import completeness, completeness_of
 from ..operators.relational import last_wins
 from . import io
 
@@ -48,15 +48,45 @@ def connector_for(connectors: list[Connector], source_id: str) -> Connector | No
 
 def manifest(df: DataFrame, source: Source, status: str) -> DataFrame:
     """One row: the source, number of rows, column names, status and completeness; one pass over the table."""
-    return completeness(df).select(
+    return _manifest_row(completeness(df), df.columns, source, status)
+
+
+def _manifest_row(counts: DataFrame, columns: list[str], source: Source, status: str) -> DataFrame:
+    return counts.select(
         F.lit(source.source_id).alias("source_id"), F.lit(source.theme).alias("theme"), F.lit(source.official).alias("official"),
-        F.lit(status).alias("status"), F.col("n").alias("row_count"), F.array(*map(F.lit, df.columns)).alias("columns"), "completeness",
+        F.lit(status).alias("status"), F.col("n").alias("row_count"), F.array(*map(F.lit, columns)).alias("columns"), "completeness",
     )
 
 
+def written(df: DataFrame, path: str, source: Source, status: str, by: tuple[str, ...] = (), stats: bool = False) -> DataFrame:
+    """Writes a table and gives its manifest() from what was counted while it was written: the
+    table isn't read again, and what it is made from isn't computed twice. Metrics are observed in
+    the last stage, whose tasks count once however often they are tried.
+
+    stats: a further column of structs, one a column of the table: name, nulls, and least and
+    greatest value as text (null for columns without an order, and without values).
+    """
+    quoted = [F.col(f"`{c}`") for c in df.columns]
+    ordered = [f.dataType.typeName() not in ("map", "struct", "array", "binary", "variant") for f in df.schema.fields]
+    metrics = [F.count(F.lit(1)).alias("n"), *[F.count_if(c.isNull()).alias(f"nulls_{i}") for i, c in enumerate(quoted)]]
+    if stats:
+        metrics += [f(c).cast("string").alias(f"{name}_{i}") for i, (c, o) in enumerate(zip(quoted, ordered, strict=True)) if o for name, f in (("min", F.min), ("max", F.max))]
+    seen = Observation()
+    io.write(df.observe(seen, *metrics), path, by=by)
+    found = seen.get
+    nulls = [found[f"nulls_{i}"] for i in range(len(df.columns))]
+    counts = df.sparkSession.createDataFrame([(found["n"], sum(nulls))], "n bigint, nulls bigint")
+    row = counts.select("n", completeness_of(F.col("n"), F.col("nulls"), len(df.columns)).alias("completeness"))
+    out = _manifest_row(row, df.columns, source, status)
+    if stats:
+        entries = [F.struct(F.lit(c).alias("name"), F.lit(n).cast("bigint").alias("nulls"), *[F.lit(found.get(f"{k}_{i}")).cast("string").alias(k) for k in ("min", "max")]) for i, (c, n) in enumerate(zip(df.columns, nulls, strict=True))]
+        out = out.withColumn("stats", F.array(*entries))
+    return out
+
+
 def ingest(spark: SparkSession, sources: list[Source], connectors: list[Connector], out: str, retrieved_at: str, selected: list[str] | None = None) -> DataFrame:
-    """Reads each source in turn, writes its table, and returns the manifests. A source without
-    connector or input gets a status row and no table."""
+    """Reads each source in turn, writes its table, and returns the manifests, which are counted during
+    the write. A source without connector or input gets a status row and no table."""
     rows = []
     for s in [s for s in sources if selected is None or s.source_id in selected]:
         c = connector_for(connectors, s.source_id)
@@ -66,8 +96,7 @@ def ingest(spark: SparkSession, sources: list[Source], connectors: list[Connecto
             rows.append(manifest(empty, s, "not_mapped" if c is None else "stubbed_manual_gap"))
             continue
         df = io.provenance(df.dropDuplicates(), retrieved_at, source_type="official" if s.official else "proxy", source_id=s.source_id, metric_category=s.theme, dataset_source=c.name)
-        io.write(df, f"{out}/{s.source_id}")
-        rows.append(manifest(spark.read.parquet(f"{out}/{s.source_id}"), s, "manual_ingest"))
+        rows.append(written(df, f"{out}/{s.source_id}", s, "manual_ingest"))
     return io.union_by_name(rows) if rows else spark.createDataFrame([], "source_id string, theme string, official boolean, status string, row_count bigint, columns array<string>, completeness double")
 
 
@@ -97,7 +126,8 @@ def scan_status(url: Column, public: Column, auth: Column, auto: Column) -> Colu
 
 def write_catalog(spark: SparkSession, entries: DataFrame, path: str, generated_at: str) -> None:
     """The catalog as one JSON document a part: generated_at and its datasets, in the
-    written table's parts, so that no entry passes through the driver."""
+    written table's parts, so that no entry passes through the driver. documents.write() publishes
+    a catalog as a whole."""
     io.write_json(entries.select(F.lit(generated_at).alias("generated_at"), F.array(F.struct("*")).alias("datasets")), path)
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import time
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -57,12 +58,16 @@ class _Document(DataSourceWriter):
         store.create_dir(path, recursive=True)
         name = f"part-{self.run}-{uuid.uuid4().hex}.json"
         digest, n, size = hashlib.sha256(), 0, 0
-        with store.open_output_stream(f"{path}/_{name}") as out:
-            for row in rows:
-                line = (row[0] + "\n").encode()
-                out.write(line)
-                digest.update(line)
-                n, size = n + 1, size + len(line)
+        try:
+            with store.open_output_stream(f"{path}/_{name}") as out:
+                for row in rows:
+                    line = (row[0] + "\n").encode()
+                    out.write(line)
+                    digest.update(line)
+                    n, size = n + 1, size + len(line)
+        except BaseException:  # also of a task that is stopped: its part goes with it
+            store.delete_file(f"{path}/_{name}")
+            raise
         return _Part(name, n, size, digest.hexdigest())
 
     def commit(self, messages: list) -> None:
@@ -78,18 +83,31 @@ class _Document(DataSourceWriter):
         self._clean(keep={m.name for m in parts})
 
     def abort(self, messages: list) -> None:
-        """Drops everything that this write has made; the document stays as it was."""
-        self._clean(keep=None)
-
-    def _clean(self, keep: set[str] | None) -> None:
+        """Drops everything that this write has made; the document stays as it was. Tasks that are being
+        stopped are waited for a little; a part that one still leaves has a name that no reader looks
+        at, and goes with the next commit."""
+        quiet = 0
+        for _ in range(20):
+            quiet = 0 if self._clean(keep=None) else quiet + 1
+            if quiet == 4:
+                break
+            time.sleep(0.25)
+
+    def _clean(self, keep: set[str] | None) -> int:
+        """Drops this run's files, or, given the names that count, all other parts; how many there were."""
         from pyarrow import fs
 
         store, path = _store(self.path)
+        dropped = 0
         for info in store.get_file_info(fs.FileSelector(path, allow_not_found=True)):
-            own = self.run in info.base_name
-            part = info.base_name.lstrip("_").startswith("part-")
-            if own and (keep is None or info.base_name not in keep) or keep is not None and part and info.base_name not in keep:
-                store.delete_file(info.path)
+            own, part = self.run in info.base_name, info.base_name.lstrip("_").startswith("part-")
+            if own and keep is None or keep is not None and (own or part) and info.base_name not in keep:
+                try:
+                    store.delete_file(info.path)
+                except FileNotFoundError:  # its task was quicker
+                    continue
+                dropped += 1
+        return dropped
 
 
 class DocumentSink(DataSource):

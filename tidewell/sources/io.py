@@ -253,6 +253,12 @@ class PagedSource(DataSource):
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A folder that driver and executors share: spark.checkpoint.dir, or where unset one in the warehouse."""
+    """A folder that driver and executors share: spark.checkpoint.dir. Where that is unset, one in the
+    warehouse, if all machines see it: on a cluster, a warehouse in a local folder is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/tidewell-scratch"
+    if named:
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not spark.conf.get("spark.master", "local").startswith("local") and (warehouse.startswith(("file:", "/")) or "://" not in warehouse):
+        raise ValueError("spark.checkpoint.dir is unset, and the warehouse is a local folder: set it to a folder that driver and executors share")
+    return warehouse + "/tidewell-scratch"
