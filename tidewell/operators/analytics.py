@@ -162,15 +162,24 @@ def segments_each(projects: int, requested: int = 2500, target: int = 220_000) -
     return max(requested, target // projects) if projects else requested
 
 
-def expand(df: DataFrame, keys: Sequence[str], segments: int, seed: int, source: str, length: str | None = None, cost: str | None = None, progress: str | None = None, project_no: str | None = None, budget: float | None = None, priors: DataFrame | None = None) -> DataFrame:
+def segments_of(projects: Column, requested: int = 2500, target: int = 220_000) -> Column:
+    """segments_each() for a number of projects in a column."""
+    least = F.lit(requested if requested > 0 else 2500).cast("bigint")
+    return F.when(projects > 0, F.greatest(least, F.floor(F.lit(max(target, 20_000)) / projects))).otherwise(least)
+
+
+def expand(df: DataFrame, keys: Sequence[str], segments: int | None, seed: int, source: str, length: str | None = None, cost: str | None = None, progress: str | None = None, project_no: str | None = None, budget: float | None = None, priors: DataFrame | None = None, requested: int = 2500, target: int = 220_000) -> DataFrame:
     """`segments` rows for each row of df with figures derived from a stable seed; rows
-    are generated where the input lies, with no shuffle and no driver loop.
+    are generated where the input lies, with no shuffle and no driver loop. Without segments, there
+    are as many as segments_each() gives for the number of rows (which are counted first),
+    requested and target.
 
     length, cost, progress and project_no name columns of df (0.1, 0.1, 35 and 1 where they aren't
     given or null; length and cost are 0.1 at least). priors (state, prior) are the states that
     segments are assigned to, by name, with their risk; a fixed, small table. Without it the
     state is "National Average", with a risk of 50.
     """
+    segments = segments or segments_each(df.count(), requested, target)
     h, segment = F.col("seed"), F.col("segment")
     out = df.withColumn("segment", F.explode(F.sequence(F.lit(0), F.lit(segments - 1))))
     out = out.withColumn("seed", stable_seed(F.lit(seed), F.lit(source), *map(F.col, keys), segment))

@@ -127,11 +127,12 @@ def marked_row(line: Column, mark: str = "AG,") -> Column:
     return F.struct(F.when(value.isNotNull(), F.regexp_extract(t, p, 1)).alias("label"), value.alias("value"))
 
 
-def year_candidates(spark, first: int, last: int, template: str) -> DataFrame:
-    """One candidate for each fiscal year from first to last: label (2019-20) and url, in which
-    {year} is the label."""
-    years = spark.range(first, last + 1).select(F.format_string("%d-%02d", "id", ((F.col("id") + 1) % 100)).alias("label"))
-    return years.withColumn("url", F.replace(F.lit(template), F.lit("{year}"), F.col("label")))
+def year_candidates(df: DataFrame, first: Column, last: Column, template: Column) -> DataFrame:
+    """Df with one row for each fiscal year from first to last: label (2019-20) and url, the template
+    in which {year} is the label. Rows without a first or last year, or with none between them, have no candidates."""
+    years = F.when(first <= last, F.sequence(first, last))
+    out = df.withColumn("_year", F.explode(years)).withColumn("label", F.format_string("%d-%02d", "_year", (F.col("_year") + 1) % 100))
+    return out.withColumn("url", F.replace(template, F.lit("{year}"), F.col("label"))).drop("_year")
 
 
 def text_urls(df: DataFrame, key: str, *columns: str, pattern: str = r"https?://[^\s\"'<>\\]+") -> DataFrame:

@@ -44,11 +44,17 @@ def seeded_panel(t):
     return out.select("p_partkey", "segment", "project_id", "segment_id", "state", "terrain", "month", "year", "sea_level_m", "progress_pct", "access_hours", "quality_index", "safety_risk", "revenue", "land_cost", "maintenance_cost", "delay_risk", "duration_months", "distance_hours", "budget_share", "risk_flag")
 
 
-@query("SELECT 110 AS a, 2500 AS b, 2500 AS c, 20000 AS d")
+@query("SELECT o_custkey, count(*) AS projects, CAST(greatest(100, 20000 // count(*)) AS BIGINT) AS each, CAST(greatest(2500, 220000 // count(*)) AS BIGINT) AS usual FROM orders GROUP BY 1")
 def segment_rule(t):
-    """The number of segments that the target asks for."""
-    each = analytics.segments_each
-    return rows(t, [(each(2000, 100, 220_000), each(42, 2500, 5), each(0, 0), each(1, 3, 20_000))], "a int, b int, c int, d int")
+    """The number of segments that the target asks for, by the number of projects of each customer."""
+    per = t.orders.groupBy("o_custkey").agg(F.count("*").alias("projects"))
+    return per.select("o_custkey", "projects", analytics.segments_of(c("projects"), 100, 5).alias("each"), analytics.segments_of(c("projects"), 0).alias("usual"))
+
+
+@query("WITH n AS (SELECT greatest(3, 20000 // count(*)) AS each FROM part) SELECT p_partkey, CAST(unnest(range(each)) AS INTEGER) AS segment FROM part, n")
+def seeded_target(t):
+    """As many segments as the target asks for, found from the number of projects."""
+    return analytics.expand(t.part.select("p_partkey"), ["p_partkey"], None, 2026, "part", requested=3, target=20_000).select("p_partkey", "segment")
 
 
 _AGE = "date_diff('day', CAST(o_orderdate AS DATE), DATE '2001-06-01')"
@@ -227,17 +233,18 @@ def two_column_zip(t):
     return zip_explode(parts, ["p_partkey"], allocation="x", release="y")
 
 
-def numbered_page(offset: int, limit: int) -> list[str]:
-    """A page of a source of 1,234 records."""
-    return [f'{{"i": {i}, "name": "n{i % 7}"}}' for i in range(offset, min(offset + limit, 1234))]
-
-
-@query("SELECT CAST(i AS BIGINT) AS i, 'n' || i % 7 AS name FROM range(1234) r(i)")
+@query("SELECT c_custkey, c_name, c_mktsegment FROM customer")
 def paged_source(t):
-    """A paged endpoint whose length isn't known, a task a page."""
+    """A paged endpoint whose length isn't known, a task a page. Its pages are files of customers, which Spark has numbered and written."""
+    from ..operators.ordering import global_index
+
+    endpoint = f"{io.scratch_dir(t._spark)}/endpoint-{uuid.uuid4().hex}"
+    rows_ = global_index(t.customer.select("c_custkey", "c_name", "c_mktsegment"), c("c_custkey"), name="at")
+    record = F.to_json(F.struct("c_custkey", "c_name", "c_mktsegment"))
+    rows_.select(F.floor(c("at") / 100).alias("page"), record.alias("value")).repartition("page").write.partitionBy("page").text(endpoint)
     t._spark.dataSource.register(io.PagedSource)
-    pages = t._spark.read.format("tidewell_pages").options(fetch=f"{__name__}.numbered_page", limit="100").load()
-    return pages.select(F.from_json("record", "i bigint, name string").alias("x")).select("x.*")
+    pages = t._spark.read.format("tidewell_pages").options(fetch="tidewell.sources.io.stored_page", limit="100", endpoint=endpoint).load()
+    return pages.select(F.from_json("record", "c_custkey bigint, c_name string, c_mktsegment string").alias("x")).select("x.*")
 
 
 @query("SELECT user_id, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn=1")

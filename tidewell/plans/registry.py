@@ -50,10 +50,11 @@ def dynamic_unpivot(t):
     return reshape.to_long(t.lineitem, ["l_orderkey"], ["l_quantity", "l_discount", "l_tax"], "lineitem").groupBy("metric").agg(F.count("value").alias("n"), r(F.sum("value"), 2).alias("total"))
 
 
-@query("SELECT 1 AS year, l_orderkey, l_quantity AS killed, CAST(NULL AS DOUBLE) AS injured FROM lineitem WHERE l_linenumber = 1 UNION ALL SELECT 2, l_orderkey, l_quantity, l_tax FROM lineitem WHERE l_linenumber = 2")
+@query("SELECT 1 AS year, l_orderkey, l_linenumber, l_quantity AS killed, CAST(NULL AS DOUBLE) AS injured FROM lineitem UNION ALL SELECT 2, l_orderkey, l_linenumber, l_quantity, l_tax FROM lineitem")
 def union_all_unpivot(t):
-    one = t.lineitem.where("l_linenumber = 1").select(F.lit(1).alias("year"), "l_orderkey", c("l_quantity").alias("killed"), F.lit(None).cast("double").alias("injured"))
-    return one.unionAll(t.lineitem.where("l_linenumber = 2").select(F.lit(2), "l_orderkey", "l_quantity", "l_tax"))
+    """A branch a year over all lines, with a typed null where a year lacks a measure."""
+    one = t.lineitem.select(F.lit(1).alias("year"), "l_orderkey", "l_linenumber", c("l_quantity").alias("killed"), F.lit(None).cast("double").alias("injured"))
+    return one.unionAll(t.lineitem.select(F.lit(2), "l_orderkey", "l_linenumber", "l_quantity", "l_tax"))
 
 
 @query("""SELECT 'quantity' AS metric, l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS amount, CAST(NULL AS DOUBLE) AS rate FROM lineitem

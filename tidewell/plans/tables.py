@@ -1,4 +1,4 @@
-"""Queries of whole-table positions, moments, stored tables, documents and links."""
+"""Queries of whole-table positions, moments, stored tables, documents, links, files, table functions and rules."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import names
-from ..operators import analytics, extract, moments, ordering
-from ..sources import buckets, catalog, documents, io
+from ..operators import analytics, extract, moments, ordering, rulebook, tablefunctions
+from ..sources import buckets, catalog, documents, files, io
 from .base import query
 
 c = F.col
@@ -167,3 +167,88 @@ def query_codec(t):
     """a query string is decoded, sorted by decoded key, and encoded again."""
     items = F.concat(F.lit("b=1+2&A%2fB=x%20y&b=%7E*&a=%26%3D&%C3%A9="), c("page_id").cast("string"), F.lit("&ref=q&UTM%5Fid=3&c&c=%zz"))
     return t.pages.select("page_id", names.normal_url(F.concat(F.lit("HTTPS://H.org//p/?"), items, F.lit("#f"))).alias("url"))
+
+
+@query("SELECT CAST(s_suppkey AS VARCHAR) AS key, s_name || ' é' AS name, CASE WHEN s_suppkey % 3 <> 2 THEN CAST(s_nationkey AS VARCHAR) END AS nation, CASE WHEN s_suppkey % 3 = 2 THEN 'x; \"' || s_suppkey || '\"' END AS note FROM supplier")
+def mixed_text_tables(t):
+    """Files of three encodings, two separators and different columns in one read."""
+    path = _folder(t, "texts")
+    key, name = c("s_suppkey").cast("string").alias("Key"), F.concat("s_name", F.lit(" é")).alias("Name ")
+    third = lambda i: t.supplier.where(c("s_suppkey") % 3 == i)
+    third(0).select(key, name, c("s_nationkey").alias("Nation")).write.option("header", True).option("encoding", "UTF-8").csv(f"{path}/a")
+    third(1).select(c("s_nationkey").alias("nation"), key, name).write.option("header", True).option("encoding", "ISO-8859-1").option("sep", "\t").csv(f"{path}/b")
+    note = F.concat(F.lit('x; "'), c("s_suppkey").cast("string"), F.lit('"')).alias("note")
+    third(2).select(name, note, key).write.option("header", True).option("encoding", "UTF-16").option("escape", '"').csv(f"{path}/c")
+    return files.text_tables(t._spark, f"{path}/*/*.csv").select("key", "name", "nation", "note")
+
+
+def _measured(text: str) -> list[dict]:
+    """Words by their number of letters, up to three; a text that begins with E is an error after its first row."""
+    counts: dict[int, int] = {}
+    for w in text.split(" "):
+        counts[min(len(w), 3)] = counts.get(min(len(w), 3), 0) + 1
+    for i, n in enumerate(sorted(counts.items())):
+        if i == 1 and text.startswith("E"):
+            raise ValueError("begins with E")
+        yield {"size": n[0], "n": n[1]}
+
+
+@query("""WITH w AS (SELECT doc_id, starts_with(coalesce(text,''), 'E') AS e, least(length(unnest(string_split(coalesce(text,''), ' '))), 3) AS size FROM documents),
+k AS (SELECT doc_id, e, size, count(*) AS n, row_number() OVER (PARTITION BY doc_id ORDER BY size) AS i, count(*) OVER (PARTITION BY doc_id) AS kinds FROM w GROUP BY 1, 2, 3)
+SELECT doc_id, CAST(size AS INTEGER) AS size, n, CAST(NULL AS VARCHAR) AS error FROM k WHERE NOT e OR i = 1 UNION ALL SELECT doc_id, NULL, NULL, 'ValueError: begins with E' FROM k WHERE e AND i = 1 AND kinds > 1""")
+def table_function(t):
+    """A parser called from SQL for each document, its errors as rows."""
+    tablefunctions.register(t._spark, "tidewell_measured", _measured, "size int, n bigint")
+    return t._spark.sql("SELECT d.doc_id, m.size, m.n, m.error FROM {d} d, LATERAL tidewell_measured(d.text) m", d=t.documents)
+
+
+def _turns(rows: list[dict]) -> list[dict]:
+    """Who speaks first and last, and the turns of each speaker, in order of their first turn."""
+    said: dict[str, int] = {}
+    for r in rows:
+        said[r["role"]] = said.get(r["role"], 0) + 1
+    return [{"role": role, "n": n, "opens": role == rows[0]["role"], "ends": role == rows[-1]["role"]} for role, n in said.items()]
+
+
+@query("""SELECT conv_id, role, count(*) AS n, role = (SELECT min_by(x.role, x.turn) FROM conversations x WHERE x.conv_id = c.conv_id) AS opens, role = (SELECT max_by(x.role, x.turn) FROM conversations x WHERE x.conv_id = c.conv_id) AS ends, CAST(NULL AS VARCHAR) AS error FROM conversations c GROUP BY 1, 2""")
+def grouped_table_function(t):
+    """A parser of whole conversations, which asks for its partitioning and order itself."""
+    tablefunctions.register_grouped(t._spark, "tidewell_turns", _turns, "role string, n bigint, opens boolean, ends boolean", "conv_id", "turn")
+    return t._spark.sql("SELECT * FROM tidewell_turns(TABLE(SELECT conv_id, turn, role FROM {c}))", c=t.conversations)
+
+
+#: A snapshot of pairs: of each nation its suppliers and their balance, some rows missing, double, or with another date.
+_PAIR_ROWS = """WITH n AS (SELECT n_name AS entity, n_nationkey AS k, count(s_suppkey) AS c, sum(s_acctbal) AS b FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY 1, 2),
+p AS (SELECT CASE WHEN k = 5 THEN 'nowhere' ELSE entity END AS entity, 'count' AS metric, CAST(c AS DOUBLE) + CASE WHEN k % 7 = 1 THEN 0.5 ELSE 0 END AS value, '2026-01-01' AS as_of, k FROM n WHERE k <> 9
+UNION ALL SELECT CASE WHEN k = 5 THEN 'nowhere' ELSE entity END, 'length', CASE WHEN k % 5 = 2 THEN NULL ELSE CAST(coalesce(b, 0) AS DOUBLE) END, CASE WHEN k = 3 THEN '2025-01-01' ELSE '2026-01-01' END, k FROM n WHERE k <> 9 AND k <> 11
+UNION ALL SELECT entity, 'count', 1.0, '', k FROM n WHERE k = 12),
+w AS (SELECT p.entity, max(CASE WHEN metric = 'count' THEN value END) AS c, max(CASE WHEN metric = 'length' THEN value END) AS l, count(*) FILTER (WHERE metric = 'count') AS nc, count(*) FILTER (WHERE metric = 'length') AS nl FROM p GROUP BY 1),
+x AS (SELECT 'pair_rows' AS rule_id, count(*) AS n_bad, min(entity || '::' || metric) AS first FROM (SELECT entity, metric FROM p GROUP BY 1, 2 HAVING count(*) <> 1)
+UNION ALL SELECT 'expected_missing', count(*), min(n_name) FROM nation WHERE n_name NOT IN (SELECT entity FROM p)
+UNION ALL SELECT 'unexpected', count(*), min(entity) FROM w WHERE entity NOT IN (SELECT n_name FROM nation)
+UNION ALL SELECT 'coverage', count(*), min(entity) FROM w WHERE nc = 0 OR nl = 0
+UNION ALL SELECT 'single_as_of', CASE WHEN count(DISTINCT nullif(as_of, '')) <> 1 THEN 1 ELSE 0 END, NULL FROM p
+UNION ALL SELECT 'paired_values', count(*), min(entity) FROM w WHERE c IS NULL OR l IS NULL
+UNION ALL SELECT 'positive', count(*), min(entity) FROM w WHERE c <= 0 OR l <= 0
+UNION ALL SELECT 'whole_count', count(*), min(entity) FROM w WHERE abs(c - round(c)) > 0.001
+UNION ALL SELECT 'count_cap', count(*), min(entity) FROM w WHERE c > 150
+UNION ALL SELECT 'length_cap', count(*), min(entity) FROM w WHERE l > 25000
+UNION ALL SELECT 'ratio', count(*), min(entity) FROM w WHERE c > 0 AND l > 0 AND NOT (l / greatest(c, 1.0) BETWEEN 5 AND 5000))
+SELECT rule_id, CAST(n_bad AS BIGINT) AS n_bad, first FROM x"""
+
+
+@query(_PAIR_ROWS)
+def pair_rules(t):
+    """The whole rule set of pairs, read from a table of rules, over suppliers and nations."""
+    per = t.nation.join(t.supplier, c("s_nationkey") == c("n_nationkey"), "left").groupBy(c("n_name").alias("entity"), c("n_nationkey").alias("k")).agg(F.count("s_suppkey").alias("c"), F.sum("s_acctbal").alias("b"))
+    of = lambda metric, value, as_of, when: F.when(when, F.struct(F.lit(metric).alias("metric"), value.cast("double").alias("value"), as_of.alias("as_of")))
+    k, now = c("k"), F.lit("2026-01-01")
+    entries = F.array_compact(F.array(
+        of("count", c("c") + F.when(k % 7 == 1, 0.5).otherwise(0.0), now, k != 9),
+        of("length", F.when(k % 5 != 2, F.coalesce("b", F.lit(0.0))), F.when(k == 3, "2025-01-01").otherwise(now), ~k.isin(9, 11)),
+        of("count", F.lit(1.0), F.lit(""), k == 12),
+    ))
+    snapshot = per.select(F.when(k == 5, "nowhere").otherwise(c("entity")).alias("entity"), F.explode(entries).alias("x")).select("entity", "x.*")
+    rules = rulebook.load(rulebook.table_of(t._spark, rulebook.pair_rules("count", "length")))
+    both = rulebook.with_references(snapshot, {"expected": t.nation.select(c("n_name").alias("entity"))}, "entity")
+    return rulebook.check(both, rules).select("rule_id", "n_bad", "first")

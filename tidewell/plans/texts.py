@@ -158,10 +158,12 @@ def nested_urls(t):
     return extract.text_urls(nested, "page_id", "x", "y")
 
 
-@query("SELECT printf('%d-%02d', y, (y + 1) % 100) AS label, 'https://a.org/' || printf('%d-%02d', y, (y + 1) % 100) || '.pdf' AS url FROM range(1995, 2026) r(y)")
+@query("SELECT o_custkey, printf('%d-%02d', y, (y + 1) % 100) AS label, 'https://a.org/' || o_custkey || '/' || printf('%d-%02d', y, (y + 1) % 100) || '.pdf' AS url FROM (SELECT o_custkey, unnest(range(min(year(o_orderdate)), max(year(o_orderdate)) + 1)) AS y FROM orders GROUP BY 1)")
 def year_candidates(t):
-    """S18."""
-    return extract.year_candidates(t._spark, 1995, 2025, "https://a.org/{year}.pdf")
+    """For each customer's first to last year."""
+    per = t.orders.groupBy("o_custkey").agg(F.min(F.year("o_orderdate")).alias("first"), F.max(F.year("o_orderdate")).alias("last"))
+    template = F.concat(F.lit("https://a.org/"), c("o_custkey").cast("string"), F.lit("/{year}.pdf"))
+    return extract.year_candidates(per, c("first"), c("last"), template).select("o_custkey", "label", "url")
 
 
 _TITLE = "CASE doc_id % 5 WHEN 0 THEN 'Annual Report 2019-20' WHEN 1 THEN 'Tender notice 2021' WHEN 2 THEN 'Report, annual, 1998 - 99' WHEN 3 THEN 'Green Cover Index annual_report' ELSE '' END"

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,10 +63,12 @@ _WINDOWS = {chr(b): bytes([b]).decode("cp1252") for b in range(0x80, 0xA0) if b
 def csv(spark: SparkSession, path: str, sep: str = ",", encoding: str | None = None) -> DataFrame:
     """All text, headers in normal form, missing-value marks as null.
 
-    Without an encoding, the first that the first file's beginning is valid in; a byte order mark
-    goes. A table of one column whose header has tabs is read again as tab-separated.
+    Without an encoding, each file is read by its own: see files.text_tables(). With one, by
+    Spark's reader, also files that one task can't hold; a byte order mark goes, and a table of
+    one column whose header has tabs is read again as tab-separated.
     """
-    encoding = encoding or encoding_of(spark, path)
+    if encoding is None:
+        return _files().text_tables(spark, path, sep)
     windows = encoding.lower() == "windows-1252"
     read = lambda s: spark.read.csv(path, header=True, sep=s, encoding="ISO-8859-1" if windows else encoding, multiLine=True, escape='"')
     df = read(sep)
@@ -105,27 +107,23 @@ def manual(spark: SparkSession, root: str, source_id: str) -> DataFrame | None:
     return union_by_name(found) if found else None
 
 
-def _spreadsheet(spark: SparkSession, path: str) -> DataFrame:
-    """The first sheet of each workbook, all text; needs pandas' reader for the format."""
-    import io as _io
-
-    import pandas as pd
-
-    sheets = [pd.read_excel(_io.BytesIO(bytes(r.content)), dtype=str) for r in spark.read.format("binaryFile").load(path).select("content").toLocalIterator()]
-    return normal_headers(spark.createDataFrame(pd.concat(sheets).astype(object).where(lambda x: x.notna(), None)))
-
-
 def _pdf(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").load(path)
     return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), F.col("length").cast("string").alias("size_bytes"), F.sha2("content", 256).alias("sha256"), F.lit("metadata_only").alias("status"))
 
 
+def _files():
+    from . import files
+
+    return files
+
+
 #: The readers by extension, in the order in which they are tried.
 READERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv": csv,
     "json": lambda spark, path: normal_headers(spark.read.json(path, multiLine=True)),
     "parquet": lambda spark, path: normal_headers(spark.read.parquet(path)),
-    "xlsx": _spreadsheet,
+    "xlsx": lambda spark, path: _files().workbooks(spark, path),
     "pdf": _pdf,
 }
 
@@ -214,7 +212,8 @@ class _Page(InputPartition):
 class _Pages(DataSourceReader):
     def __init__(self, options: dict):
         module, _, name = options["fetch"].rpartition(".")
-        self.fetch, self.limit = getattr(__import__(module, fromlist=[name]), name), int(options["limit"])
+        fetch, self.limit = getattr(__import__(module, fromlist=[name]), name), int(options["limit"])
+        self.fetch = partial(fetch, options["endpoint"]) if "endpoint" in options else fetch
         self.most, self.last = int(options.get("pages", 200)), int(options.get("last_offset", 200_000))
         self.total = int(options["total"]) if "total" in options else None
 
@@ -238,7 +237,7 @@ class _Pages(DataSourceReader):
 
 class PagedSource(DataSource):
     """A paged endpoint, a task a page. Options: fetch (an importable function (offset, limit)
-    -> JSON texts), limit, and total where it is known; without it, pages are read until one isn't
+    -> JSON texts, or with the option endpoint, (endpoint, offset, limit)), limit, and total where it is known; without it, pages are read until one isn't
     full. Offsets go up to last_offset (200,000, included); more than `pages` pages (200) are an error."""
 
     @classmethod
@@ -252,6 +251,19 @@ class PagedSource(DataSource):
         return _Pages(self.options)
 
 
+def stored_page(endpoint: str, offset: int, limit: int) -> list[str]:
+    """A page of an endpoint that is a folder: the lines of page=<number>/, none where there is no such page."""
+    from pyarrow import fs
+
+    store, root = fs.FileSystem.from_uri(endpoint) if "://" in endpoint or endpoint.startswith("file:") else (fs.LocalFileSystem(), endpoint)
+    lines: list[str] = []
+    for info in store.get_file_info(fs.FileSelector(f"{root}/page={offset // limit}", allow_not_found=True)):
+        if not info.base_name.startswith(("_", ".")):
+            with store.open_input_stream(info.path) as f:
+                lines += f.read().decode().splitlines()
+    return lines
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A folder that driver and executors share: spark.checkpoint.dir. Where that is unset, one in the
     warehouse, if all machines see it: on a cluster, a warehouse in a local folder is an error."""
