@@ -740,3 +740,45 @@ def test_near_dup_of_random_groups(spark, sizes):
             rows.append((3 * len(rows) + 1, " ".join(w)))
     got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 1, **sizes).collect()
     assert {x.doc_id: x.component_id for x in got} == components_by_brute_force(rows, 1)
+
+
+def wide_template_texts(n, copies):
+    """Texts of 260 shared and 140 own words; the first `copies` have a near copy each (20 words of 400 differ)."""
+    shared = [f"t{j}" for j in range(260)]
+    text = lambda i, k=0: " ".join(shared + [f"w{i}x{j}" + ("y" if k and j < 20 else "") for j in range(140)])
+    return [(i, text(i)) for i in range(n)] + [(10_000 + i, text(i, 1)) for i in range(copies)]
+
+
+def test_near_dup_wide_templates_are_not_dealt(spark, monkeypatch):
+    """Of texts that share a template of 65 %, only near copies are dealt to blocks, however many texts there are."""
+    dealt, original = [], near_dup._dealt
+
+    def counted(members, size, room):
+        out = original(members, size, room)
+        dealt.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dup, "_dealt", counted)
+    for n in (150, 300):
+        rows = spark.createDataFrame(wide_template_texts(n, 25), "doc_id bigint, text string").repartition(4)
+        dealt.clear()
+        got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(rows, 1, few=2, pivots=1).collect()}
+        assert got == {i: i for i in range(n)} | {10_000 + i: i for i in range(25)}
+        assert len(dealt) == 2 and max(dealt) <= 400  # a pair that pivots have not joined makes a few rows, a text that is like no other none
+
+
+def test_near_dup_larger_sketches_lose_no_link(spark):
+    """Sets beyond the larger sketch, and pairs around the threshold, with labels of their own."""
+    r, rows = np.random.default_rng(8), []
+    for i in range(40):
+        base = [f"b{i}x{j}" for j in range(int(r.integers(60, 900)))]
+        rows += [(2 * i, base), (2 * i + 1, base[: int(len(base) * r.uniform(0.8, 0.9))] if i % 2 else [*base, *[f"z{i}y{j}" for j in range(int(len(base) * 0.2))]])]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id bigint, text string")
+    classes = near_dup.staged(near_dup.sketches(docs, 1, 64).groupBy("n", "s1", "s2", "c").agg(F.min("doc_id").alias("first")), "classes")
+    for wide in (256, 1024):
+        again = near_dup._listed_again(classes.select("c", "n", F.col("c").alias("label")), docs, classes, 1, 80, wide)
+        met = {(x, y) for members in again.join(classes, "c").groupBy("p").agg(F.collect_list("first").alias("m")).collect() for x in members.m for y in members.m}
+        sets = dict(rows)
+        need = [(2 * i, 2 * i + 1) for i in range(40) if 100 * len(set(sets[2 * i]) & set(sets[2 * i + 1])) >= 80 * len(set(sets[2 * i]) | set(sets[2 * i + 1]))]
+        assert len(need) > 20 and (wide < 1024 or set(need) <= met)
+        assert not {(x, y) for x, y in met if x // 2 != y // 2}

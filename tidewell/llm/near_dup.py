@@ -12,11 +12,14 @@ for the two sizes, and lists are kept apart by the smaller size: sets that share
 not enough of it stand in no common list.
 
 Of a list with few members, all pairs are compared. Of a longer one, every member is compared
-with one of them, the pivot; links merge labels, and a second pivot takes the rest. Members of a
-list that then still has several labels meet in blocks, where only those outside the list's
-largest label are compared with others. First their sketches meet, and only members that may be
-like one of another label go on; then full sets meet, in blocks bounded by bytes. Of a block
-come members and links, never pairs of a list.
+with one of them, the pivot; links merge labels, and a second pivot takes the rest. If then a list
+of sets that don't fit into their sketches still has several labels, its members may have no more
+in common than a template. They are listed once more by larger sketches, in which a similar pair
+shares a greater part for sure: sets that only share a template stand in no common list again.
+Members of a list that then still has several labels meet in blocks, where only those outside
+the list's largest label are compared with others. First their sketches meet, and only members
+that may be like one of another label go on; then full sets meet, in blocks bounded by bytes. Of
+a block come members and links, never pairs of a list.
 """
 
 from __future__ import annotations
@@ -37,6 +40,9 @@ from .components import components
 K, PERCENT, WIDTH = 64, 80, 5
 #: Members of a list of which all pairs are compared; pivots of a longer one; members and bytes of a block.
 FEW, PIVOTS, MEMBERS, BYTES = 8, 2, 512, 2 << 20
+#: Values of a larger sketch, and by how many percent of them a similar pair may fall below the
+#: threshold: at 0.8, more than 6 standard deviations, once in 10**9 pairs.
+WIDE, SLACK = 1024, 8
 _SLICE = 2 << 20
 
 
@@ -174,6 +180,38 @@ def listed(classes: DataFrame, k: int, percent: int) -> DataFrame:
     return out
 
 
+def _listed_again(members: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int, wide: int) -> DataFrame:
+    """p, c, n and label of the members (c, n, label; one row a class) that share a value of their larger
+    sketches with one of another label, where p names the shared lists; a staged table.
+
+    A set lists its rarest values, all but need - 1 of those that others have too. A similar pair
+    shares at least percent of the values of each of its sets where both fit into the larger
+    sketch, and SLACK less otherwise.
+    """
+    sets = full_sets(docs, classes, members.select("c"), width)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, size=_SLICE):
+            low = [np.frombuffer(x.as_buffer(), np.int64)[:wide] for x in batch.column(1)]
+            values = pa.array(np.concatenate(low) if low else np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_pydict({"c": batch.column(0), "sketch": pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, low)]), pa.int32()), values)})
+
+    postings = sets.mapInArrow(run, "c bigint, sketch array<bigint>").select("c", F.explode("sketch").alias("v"))
+    postings = staged(postings, "wide")
+    often = staged(postings.groupBy("v").agg(F.count("*").alias("count")).where("count > 1"), "often")
+    limit = heavy_limit(members.count())
+    shared = spread_join(postings, often, ["v"], "c", often, limit).groupBy("c").agg(F.array_sort(F.collect_list(F.struct("count", "v"))).alias("shared"))
+    n = F.col("n")
+    need = F.when(n <= wide * percent // 100, F.ceil(n * percent / 100.0)).otherwise(F.floor(F.least(n, F.lit(wide)) * (percent - SLACK) / 100.0))
+    room = (F.size("shared") - need + 1).cast("int")
+    rows = shared.join(members, "c").where(room > 0).select("c", "n", "label", F.explode(F.slice("shared", F.lit(1), room)).alias("s")).select("c", "n", "label", F.col("s.v").alias("v"))
+    rows = staged(rows, "listed-again")
+    several = staged(rows.groupBy("v").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("c").alias("p"), F.count("*").alias("count")).where("lo < hi"), "several")
+    out = staged(spread_join(rows, several.select("v", "p"), ["v"], "c", several.select("v", "count"), limit).select("p", "c", "n", "label").distinct(), "again")
+    unstage(sets, postings, often, rows, several)
+    return out
+
+
 def _estimated(pairs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose similarity, estimated from the k smallest hashes of the union, may
     reach the threshold: at least percent - 30. For k = 64 the estimate falls that far below a
@@ -324,7 +362,7 @@ def _block_links(members: DataFrame, sets: DataFrame, percent: int, room: int) -
     return _dealt(members, weight, room).join(sets, "c").groupBy("part").applyInArrow(run, "hi bigint, lo bigint")
 
 
-def class_components(docs: DataFrame, width: int, percent: int, k: int, few: int = FEW, pivots: int = PIVOTS, members: int = MEMBERS, room: int = BYTES) -> DataFrame:
+def class_components(docs: DataFrame, width: int, percent: int, k: int, few: int = FEW, pivots: int = PIVOTS, members: int = MEMBERS, room: int = BYTES, wide: int = WIDE) -> DataFrame:
     """One row for each row of docs, as a staged table: doc_id, n (shingles), c (the class),
     component_id (the smallest doc_id of all rows that links reach) and keeper (the class of the
     row of that id; of several, the smallest). Rows without shingles are linked with nothing; a
@@ -367,7 +405,9 @@ def class_components(docs: DataFrame, width: int, percent: int, k: int, few: int
         following = components(roots.select(F.col("node").alias("hi"), F.col("root").alias("lo")).unionAll(found[-1]))
         unstage(roots)
         roots = following
-    rest = staged(mixed(roots).select("p", "c", "n", "label").distinct(), "rest")
+    left = staged(mixed(roots).select("m", "p", "c", "n", "label").distinct(), "left")
+    again = _listed_again(left.where("m = 0").select("c", "n", "label").distinct(), docs, classes, width, percent, wide)
+    rest = staged(left.where("m > 0").select("p", "c", "n", "label").distinct().unionAll(again), "rest")
     alive = staged(_alive(rest, classes, k, percent, members), "alive")
     sets = full_sets(docs, classes, alive.select("c").distinct(), width)
     found.append(staged(_block_links(alive, sets, percent, room), "links"))
@@ -385,7 +425,7 @@ def class_components(docs: DataFrame, width: int, percent: int, k: int, few: int
     some = spread_join(small.where("n > 0"), known.drop("count").withColumn("known", F.lit(True)), ["c"], "doc_id", known.select("c", "count"), heavy_limit(n), "left")
     out = some.select("doc_id", "n", "c", F.when(F.col("known"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.coalesce("keeper", "c").alias("keeper"))
     out = staged(out.unionAll(small.where("n = 0").select("doc_id", "n", "c", F.col("doc_id").alias("component_id"), F.col("c").alias("keeper"))), "near")
-    unstage(rows, classes, lists, rest, alive, sets, roots, final, known, *found, *tables)
+    unstage(rows, classes, lists, left, again, rest, alive, sets, roots, final, known, *found, *tables)
     return out
 
 
