@@ -782,3 +782,26 @@ def test_near_dup_larger_sketches_lose_no_link(spark):
         need = [(2 * i, 2 * i + 1) for i in range(40) if 100 * len(set(sets[2 * i]) & set(sets[2 * i + 1])) >= 80 * len(set(sets[2 * i]) | set(sets[2 * i + 1]))]
         assert len(need) > 20 and (wide < 1024 or set(need) <= met)
         assert not {(x, y) for x, y in met if x // 2 != y // 2}
+
+
+def test_ring_of_many_ranges(spark):
+    """Thousands of ranges make no larger plan, and every document meets the next one."""
+    ids = np.random.default_rng(3).permutation(6000) * 7
+    rows = [(int(i), f"t{i}") for i in ids] + [(700, "a"), (700, "b"), (None, "n1"), (None, "n0")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    sizes = []
+    for ranges in (8, 5000):
+        ring = order_minhash.in_ring(df, ranges)
+        sizes.append(len(ring._jdf.queryExecution().optimizedPlan().toString()))
+        got = [tuple(r) for r in ring.collect()]
+        parts = {}
+        for part, ghost, doc_id, text in got:
+            parts.setdefault(part, ([], []))[ghost].append((doc_id, text))
+        key = lambda r: (r[0] is None, -(r[0] or 0), r[1])
+        whole = sorted(rows, key=key)
+        assert [r for p in sorted(parts) for r in sorted(parts[p][0], key=key)] == whole and len(parts) >= 0.6 * ranges
+        for p in parts:
+            following = sorted(parts[(p + 1) if p + 1 in parts else 0][0], key=key)[0]
+            assert following in parts[p][1] and {r[0] for r in parts[p][1]} == {following[0]}
+    assert abs(sizes[0] - sizes[1]) < 50
+    assert order_minhash.fingerprints(df, ranges=5000).count() == len(rows)

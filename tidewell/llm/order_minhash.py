@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._arrays import U, mix, powers
@@ -91,16 +91,21 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), np.uint32)
 
 
-#: Bytes of text that a range of the ring should hold about.
-RANGE_BYTES = 16 << 20
+#: Bytes of text that a range of the ring should hold about; ranges at most; sampled ids for each range.
+RANGE_BYTES, RANGES, SAMPLED = 16 << 20, 1 << 16, 20
 
 
-def _range_of(key: Column, bounds: list[int], low: int, high: int) -> Column:
-    """Which of bounds (descending) is the smallest that is at least key: a tree of comparisons."""
-    if low == high:
-        return F.lit(low)
-    mid = (low + high + 1) // 2
-    return F.when(key <= bounds[mid], _range_of(key, bounds, mid, high)).otherwise(_range_of(key, bounds, low, mid - 1))
+def ring_bounds(docs: DataFrame, ranges: int) -> np.ndarray:
+    """The largest id of each of about so many ranges of doc_id, descending: ids of a sample, and the
+    largest of all. SAMPLED ids a range come to the driver, as Spark takes for its own range exchanges."""
+    known = docs.select("doc_id").where("doc_id is not null")
+    total = known.agg(F.count("*").alias("n"), F.max("doc_id").alias("last")).first()
+    if not total.n:
+        return np.zeros(0, np.int64)
+    share = min(1.0, SAMPLED * ranges / total.n)
+    sample = np.array([total.last, *(r[0] for r in (known.sample(share, 7) if share < 1 else known).toLocalIterator())], np.int64)
+    sample.sort()
+    return np.unique(sample[np.linspace(0, len(sample) - 1, ranges + 1).round().astype(np.int64)[1:]])[::-1]
 
 
 def in_ring(docs: DataFrame, ranges: int | None = None) -> DataFrame:
@@ -108,28 +113,38 @@ def in_ring(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     sorted within it, where each part is a range of doc_id in descending order and its ghost row
     repeats the first document of the following part; the last part's is the first of all.
 
-    Range bounds come from a quantile sketch over doc_id alone, as many as the texts' bytes ask
-    for, so texts are shuffled once and no task sees more than a few ranges. Rows with the same
-    doc_id stand in one range, ordered by text.
+    There are as many ranges as the texts' bytes ask for, up to RANGES: a range is streamed, so it
+    may hold more than a task's memory. Their bounds are data, half a megabyte at most, which is
+    broadcast; the plan is the same whatever their number, texts are shuffled once, and no task
+    sees more than a few ranges. Rows with the same doc_id stand in one range, ordered by text,
+    and so do rows without one, at the end: ids should tell most rows apart.
     """
     spark = docs.sparkSession
     small_batches(spark)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if ranges is None:
         size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        ranges = max(4 * tasks, -(-size // RANGE_BYTES))
-    text = F.coalesce("text", F.lit("")).alias("text")
-    ids = docs.agg(F.max("doc_id"), F.percentile_approx("doc_id", [i / ranges for i in range(ranges)], 20 * ranges)).first()
-    # a bound is the largest id of its range; ids above a bound belong to the range before
-    bounds = sorted({ids[0], *(ids[1] or [])} - {None}, reverse=True)
+        ranges = min(RANGES, max(4 * tasks, -(-size // RANGE_BYTES)))
+    bounds = ring_bounds(docs, ranges)
     last = max(0, len(bounds) - 1)
-    if bounds:  # null ids come last
-        part = F.when(F.col("doc_id").isNull(), F.lit(last)).otherwise(_range_of(F.col("doc_id"), bounds, 0, last))
-        largest = F.element_at(F.array(*map(F.lit, bounds)), F.col("part") + 1)
-        opens = F.coalesce(F.col("doc_id") == largest, F.lit(False))
-    else:  # without any id, the first row of the ring is the first of the only range: all rows are ghosts too
-        part, opens = F.lit(0), F.lit(True)
-    placed = docs.select("doc_id", text, part.alias("part")).withColumn("opens", opens)
+    shared = spark.sparkContext.broadcast(bounds[::-1].copy())
+
+    def place(ids: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        """The range of each id, and whether it is the largest of its range; null ids come last. Without
+        any id, the first row of the ring is the first of the only range: all rows are ghosts too."""
+        up = shared.value
+        for batch in ids:
+            id_ = batch.fill_null(0).to_numpy(zero_copy_only=False)
+            none = batch.is_null().to_numpy(zero_copy_only=False)
+            at = np.searchsorted(up, id_)
+            part = np.where(none, last, last - at)
+            opens = (up[np.minimum(at, last)] == id_) & ~none if len(up) else np.ones(len(id_), bool)
+            yield pa.StructArray.from_arrays([pa.array(part.astype(np.int32)), pa.array(opens)], ["part", "opens"])
+
+    # not deterministic: so that Spark evaluates it in one place only
+    placing = F.arrow_udf(place, "struct<part:int,opens:boolean>").asNondeterministic()
+    text = F.coalesce("text", F.lit("")).alias("text")
+    placed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text).select("doc_id", "text", placing("doc_id").alias("x")).select("doc_id", "text", "x.part", "x.opens")
     ghost_of = F.when(F.col("opens"), F.when(F.col("part") == 0, F.lit(last)).otherwise(F.col("part") - 1))
     spots = F.array_compact(F.array(F.struct(F.col("part").alias("part"), F.lit(0).alias("ghost")), F.when(ghost_of.isNotNull(), F.struct(ghost_of.alias("part"), F.lit(1).alias("ghost")))))
     out = placed.select(F.explode(spots).alias("at"), "doc_id", "text").select("at.part", "at.ghost", "doc_id", "text")
