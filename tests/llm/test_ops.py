@@ -805,3 +805,40 @@ def test_ring_of_many_ranges(spark):
             assert following in parts[p][1] and {r[0] for r in parts[p][1]} == {following[0]}
     assert abs(sizes[0] - sizes[1]) < 50
     assert order_minhash.fingerprints(df, ranges=5000).count() == len(rows)
+
+
+def test_factorization_step_by_step():
+    """The training against its formulas, term by term and factor by factor, in plain Python."""
+    r = np.random.default_rng(9)
+    names = np.sort(r.integers(1, 1 << 60, 7).astype(np.uint64))
+    sample = [(int(y), 0, np.sort(r.choice(names, int(n), replace=False))) for y, n in zip(r.integers(0, 2, 14), r.integers(1, 7, 14), strict=True)]
+    sample[0], sample[1] = (0, *sample[0][1:]), (1, *sample[1][1:])
+    model = toxicity.factorize(sample, most=3, factors=2, least=2, epochs=3)
+    held = [k for k in names.tolist() if sum(k in own.tolist() for _, _, own in sample) >= 2]
+    assert model.keys.tolist() == held
+    strong = set(toxicity.informative(sample, 2, 3).tolist())
+    first = np.random.Generator(np.random.PCG64(11)).normal(0, 0.01, (len(held), 2))
+    w, v, b = dict.fromkeys(held, 0.0), {k: first[i].tolist() for i, k in enumerate(held)}, 0.0
+    gw, gv, gb = {k: 1e-6 if k in strong else 10.0 for k in held}, {k: [1e-4 if k in strong else 1.0] * 2 for k in held}, 1e-6
+    heft = [len(sample) / (2 * sum(y == c for y, *_ in sample)) for c in (0, 1)]
+    for turn in range(6):
+        for y, _, own in sample:
+            terms = [k for k in own.tolist() if k in w and (turn >= 3 or k in strong)]
+            pairs = sum(sum(v[i][f] * v[j][f] for f in range(2)) for a, i in enumerate(terms) for j in terms[:a])
+            g = (1 / (1 + math.exp(-(b + sum(w[k] for k in terms) + pairs))) - y) * heft[y]
+            gb += g * g
+            b -= 0.2 * g / math.sqrt(gb)
+            total = [sum(v[k][f] for k in terms) for f in range(2)]
+            for k in terms:
+                gw[k] += g * g
+                step = 0.2 / math.sqrt(gw[k])
+                x = w[k] - step * g
+                w[k] = math.copysign(max(abs(x) - step * 1e-3, 0), x)
+                for f in range(2):
+                    dv = g * (total[f] - v[k][f]) + 1e-3 * v[k][f]
+                    gv[k][f] += dv * dv
+                    v[k][f] -= 0.25 * 0.2 * dv / math.sqrt(gv[k][f] + 1e-2)
+    assert np.allclose(model.weights, [w[k] for k in held]) and np.allclose(model.factors, [v[k] for k in held]) and abs(model.bias - b) < 1e-9
+    own = np.array([0, 2, len(held) - 1])
+    pair = sum(float(model.factors[i] @ model.factors[j]) for a, i in enumerate(own) for j in own[:a])
+    assert abs(model.raw(own) - (model.bias + model.weights[own].sum() + pair)) < 1e-12

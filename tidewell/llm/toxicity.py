@@ -75,8 +75,9 @@ def factorize(sample: list[tuple[int, int, np.ndarray]], most: int = TERMS, fact
     first `epochs` passes learn the `most` terms that tell the classes apart best on their own,
     the next as many all terms: what the first explain leaves little to learn, so that the many
     others only move, by smaller first steps, where their pairs are needed. Of these passes, as
-    many count as the loss on a tenth of the sample, which isn't learned from, asks for. Weights
-    are soft-thresholded by l1. Without both classes the score is constant.
+    many count as the loss on a tenth of the sample, which isn't learned from, asks for; after two
+    that don't lower it, no more are made. Weights are soft-thresholded by l1. Without both
+    classes the score is constant.
     """
     classes = {y for y, *_ in sample}
     keys, count = np.unique(np.concatenate([x[2] for x in sample]) if sample else np.zeros(0), return_counts=True)
@@ -102,10 +103,22 @@ def factorize(sample: list[tuple[int, int, np.ndarray]], most: int = TERMS, fact
         raw = b + np.bincount(doc, w[flat] - 0.5 * (f * f).sum(1), len(tenth)) + 0.5 * (total * total).sum(1)
         return float((np.logaddexp(0, np.where(truth == 1, -raw, raw)) * np.array(heft)[truth]).sum())
 
-    best = None
+    best, in_vain = None, 0
+
+    def kept() -> int:
+        """Keeps the model if it is the best so far; how many in a row were not."""
+        nonlocal best
+        now = loss()
+        if best is None or now < best[0]:
+            best = (now, w.copy(), v.copy(), b)
+            return 0
+        return in_vain + 1
+
     for turn, some in enumerate(epochs * [[(y, own[strong[own]]) for y, own in rows]] + epochs * [rows]):
-        if turn >= epochs and tenth and (best is None or loss() < best[0]):
-            best = (loss(), w.copy(), v.copy(), b)
+        if turn >= epochs and tenth:
+            in_vain = kept()
+            if in_vain == 2:
+                break
         for y, own in some:
             f = v[own]
             total = f.sum(0)
@@ -120,7 +133,8 @@ def factorize(sample: list[tuple[int, int, np.ndarray]], most: int = TERMS, fact
             dv = g * (total - f) + l2 * f
             gv[own] += dv * dv
             v[own] = f - 0.25 * rate * dv / np.sqrt(gv[own] + 1e-2)
-    if best and best[0] <= loss():
+    if tenth:
+        kept()
         _, w, v, b = best
     return FactorModel(keys, w, v, float(b))
 
