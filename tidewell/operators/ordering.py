@@ -1,4 +1,4 @@
-"""Positions in a whole table (W05, W09, W10, W11, R14, V15): numbering rows without a window over all of them.
+"""Positions in a whole table (W05, W09, W10, W11, R14, V15, O09): numbering rows without a window over all of them.
 
 A window without keys is one task. Here rows are range-partitioned by Spark's sampled exchange,
 sorted, and written once with their place in their partition; the partitions' sizes give what is

@@ -1,4 +1,4 @@
-"""Row choice, merges, joins and set operations.
+"""Row choice, merges, joins and set operations.
 
 Where the row kept depends on an order, the order is an explicit argument and ties end in it;
 nothing relies on the physical order of rows (T7).

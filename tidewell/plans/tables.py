@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import names
-from ..operators import analytics, extract, moments, ordering, rulebook, tablefunctions
+from ..operators import analytics, extract, harvest, moments, ordering, rulebook, tablefunctions
 from ..sources import buckets, catalog, documents, files, io
 from .base import query
 
@@ -252,3 +252,56 @@ def pair_rules(t):
     rules = rulebook.load(rulebook.table_of(t._spark, rulebook.pair_rules("count", "length")))
     both = rulebook.with_references(snapshot, {"expected": t.nation.select(c("n_name").alias("entity"))}, "entity")
     return rulebook.check(both, rules).select("rule_id", "n_bad", "first")
+
+
+@query(r"""WITH r AS (SELECT page_id % 25 AS seed_id, page_id // 25 // 2 AS page_no, page_id // 25 % 2 AS record_no, page_id % 4 AS kind, page_id AS id FROM pages WHERE page_id % 7 <> 3),
+f AS (SELECT seed_id, page_no FROM r GROUP BY 1, 2 HAVING count(*) >= 2),
+l AS (SELECT n_nationkey AS seed_id, least(2, (SELECT min(k) FROM range(0, 4) q(k) WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.seed_id = n_nationkey AND f.page_no = k))) AS last FROM nation),
+a AS (SELECT r.*, CASE kind WHEN 0 THEN 'Annual Report 2019-20' WHEN 1 THEN 'Tender notice 2021' WHEN 2 THEN 'Report of the year' ELSE '' END AS title FROM r JOIN l ON l.seed_id = r.seed_id AND page_no <= last),
+b AS (SELECT a.*, n_name AS seed_title, n_nationkey % 2 = 0 AS even FROM a JOIN nation ON n_nationkey = seed_id),
+u AS (SELECT seed_id, page_no, record_no, 0 AS pos, CASE WHEN title = '' THEN seed_title ELSE title END AS title, CASE WHEN kind = 3 THEN 'https://other.net/annual-reports/' || id || '.pdf' ELSE 'https://docs.example.org/annual-reports/' || id % 60 || '.pdf' END AS url, kind, even FROM b
+UNION ALL SELECT seed_id, page_no, record_no, 1, CASE WHEN title = '' THEN seed_title ELSE title END, 'https://docs.example.org/plain/' || id || '.html', kind, even FROM b),
+c AS (SELECT *, CASE kind WHEN 0 THEN 0.85 WHEN 1 THEN 0.4 ELSE 0.65 END AS score FROM u WHERE pos = 0 AND kind <> 3 AND (even OR kind <> 0)),
+e AS (SELECT seed_id, page_no, record_no, pos, title, url, 'endpoint' AS hint, CAST(score AS DOUBLE) AS score FROM c
+UNION ALL SELECT n_nationkey, 0, 0, y, n_name || ' ' || printf('%d-%02d', y, (y + 1) % 100), 'https://files.example.org/' || n_nationkey || '/' || printf('%d-%02d', y, (y + 1) % 100) || '.pdf', 'financial_year_pattern', NULL FROM nation, range(2018, 2021) q(y) WHERE n_nationkey NOT IN (SELECT seed_id FROM c))
+SELECT seed_id, title, url, hint, score FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY seed_id, page_no, record_no, pos) AS rn FROM e) WHERE rn = 1""")
+def harvested(t):
+    """Candidates of 25 seeds: pages until one isn't full, terms, allowed hosts, scores, addresses by fiscal year where nothing is found."""
+    i, n = c("page_id"), c("n_nationkey")
+    kind = (i % 4 + 1).cast("int")
+    title = F.element_at(F.array(*map(F.lit, ("Annual Report 2019-20", "Tender notice 2021", "Report of the year", ""))), kind)
+    main = F.when(kind == 4, F.concat(F.lit("https://other.net/annual-reports/"), i.cast("string"), F.lit(".pdf"))).otherwise(F.concat(F.lit("https://docs.example.org//annual-reports/"), (i % 60).cast("string"), F.lit(".pdf")))
+    payload = F.to_json(F.struct(main.alias("file_url"), F.concat(F.lit("see https://docs.example.org/plain/"), i.cast("string"), F.lit(".html")).alias("note")))
+    records = t.pages.where(i % 7 != 3).select((i % 25).cast("int").alias("seed_id"), F.floor(i / 50).cast("int").alias("page_no"), (F.floor(i / 25) % 2).cast("int").alias("record_no"), title.alias("title"), payload.alias("payload"))
+    terms = F.when(n % 2 == 0, F.array(F.lit("ANNUAL"))).otherwise(F.array(F.lit("tender"), F.lit("Of the Year")))
+    seeds = t.nation.select(n.cast("int").alias("seed_id"), n.alias("seq"), c("n_name").alias("title"), terms.alias("terms"), F.lit(3).alias("pages"), F.lit(2).alias("page_size"), F.lit("example.org").alias("suffix"), F.lit(2018).alias("first_year"), F.lit(2020).alias("last_year"), F.concat(F.lit("https://files.example.org/"), n.cast("string"), F.lit("/{year}.pdf")).alias("template"))
+    return harvest.candidates(records, seeds).withColumn("seed_id", c("seed_id").cast("long"))
+
+
+@query(r"""WITH RECURSIVE o AS (SELECT o_orderkey AS doc_id, l_linenumber AS n, l_quantity AS q FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_linenumber <= 7),
+d AS (SELECT doc_id, n, max(q) AS q FROM o GROUP BY 1, 2),
+k AS (SELECT doc_id, (n - 1) // 3 AS page_no, n AS line_no, CASE WHEN doc_id % 3 = 0 AND n < 4 THEN 'plain words ' || n WHEN n % 3 = 1 THEN n || '. Bridges built   ' || CAST(q AS INTEGER) WHEN n % 3 = 2 THEN 'Cost of part: Rs. ' || CAST(q AS INTEGER) || ' crore' ELSE 'TOTAL of all' END AS line FROM d),
+x AS (SELECT *, CASE WHEN line LIKE '%. Bridges%' THEN 'numbered' WHEN line LIKE 'Cost%' THEN 'labelled' END AS kind, line NOT LIKE 'TOTAL%' AS is_text FROM k),
+p AS (SELECT doc_id, page_no, count(kind) AS n_kv, count(*) FILTER (WHERE is_text) AS n_text, row_number() OVER (PARTITION BY doc_id ORDER BY page_no) AS i FROM x WHERE kind IS NOT NULL OR is_text GROUP BY 1, 2),
+f AS (SELECT doc_id, i, page_no, n_kv, 0 AS begins, CASE WHEN n_kv > 0 THEN n_kv ELSE least(n_text, 5) END AS taken FROM p WHERE i = 1 UNION ALL
+SELECT p.doc_id, p.i, p.page_no, p.n_kv, f.begins + f.taken, CASE WHEN p.n_kv > 0 THEN p.n_kv ELSE least(p.n_text, greatest(1, 5 - f.begins - f.taken)) END FROM f JOIN p ON p.doc_id = f.doc_id AND p.i = f.i + 1),
+y AS (SELECT x.*, f.begins, f.taken, f.n_kv, row_number() OVER (PARTITION BY x.doc_id, x.page_no ORDER BY line_no) - 1 AS j FROM x JOIN f ON f.doc_id = x.doc_id AND f.page_no = x.page_no WHERE CASE WHEN n_kv > 0 THEN kind IS NOT NULL ELSE is_text END)
+SELECT doc_id, CAST(page_no AS INTEGER) AS page_no, begins + j AS row_no, printf('p%04d:', page_no) || CASE WHEN n_kv > 0 THEN 'kv' ELSE 'text' END AS table_id, CASE WHEN n_kv = 0 THEN 'text_line' WHEN kind = 'numbered' THEN 'Bridges built' ELSE 'Cost of part' END AS metric_name,
+CASE WHEN n_kv > 0 THEN CAST(regexp_extract(line, '(\d+)( crore)?$', 1) AS DOUBLE) END AS value, CAST(CASE WHEN n_kv = 0 THEN 0.35 WHEN kind = 'numbered' THEN 0.84 ELSE 0.78 END AS DOUBLE) AS confidence, CASE WHEN n_kv > 0 THEN 'medium' ELSE 'low' END AS quality FROM y WHERE j < taken""")
+def page_rows(t):
+    """rows of pages with table ids, confidences and running numbers; an order is a document, three of its lines a page."""
+    lines = t.orders.join(t.lineitem, c("l_orderkey") == c("o_orderkey")).where("l_linenumber <= 7").groupBy(c("o_orderkey").alias("doc_id"), c("l_linenumber").alias("n")).agg(F.max("l_quantity").cast("int").cast("string").alias("q"))
+    n = c("n")
+    line = (
+        F.when((c("doc_id") % 3 == 0) & (n < 4), F.concat(F.lit(" plain words "), n.cast("string"))).when(n % 3 == 1, F.concat(n.cast("string"), F.lit(". Bridges built   "), "q"))
+        .when(n % 3 == 2, F.concat(F.lit("Cost of part: Rs. "), "q", F.lit(" crore"))).otherwise("TOTAL of all")
+    )
+    out = harvest.page_rows(lines.select("doc_id", F.floor((n - 1) / 3).cast("int").alias("page_no"), n.alias("line_no"), line.alias("line")))
+    return out.select("doc_id", "page_no", "row_no", "table_id", "metric_name", "value", "confidence", "quality")
+
+
+@query("SELECT page_id, page_id % 5 AS doc_index, CAST(2000 + page_id % 7 AS INTEGER) AS year, url, row_number() OVER (ORDER BY page_id % 5, 2000 + page_id % 7, url, page_id) - 1 AS position FROM pages")
+def ordered_results(t):
+    """Results of a parallel run in the order of document, year and address."""
+    rows = t.pages.select("page_id", (c("page_id") % 5).alias("doc_index"), (c("page_id") % 7 + 2000).cast("int").alias("year"), "url")
+    return ordering.global_index(rows, c("doc_index"), c("year"), c("url"), c("page_id"), name="position")
