@@ -199,3 +199,23 @@ def test_manifest_of_a_write(spark, tmp_path):
     assert [tuple(s) for s in got[0].stats] == [("k", 0, "0", "39"), ("v", 26, "v00", "v39"), ("m", 0, None, None)]
     empty = catalog.written(df.limit(0), str(tmp_path / "e"), source, "ok", stats=True).first()
     assert (empty.row_count, empty.completeness) == (0, 0.0) and empty.stats[1].nulls == 0 and empty.stats[1].min is None
+
+
+def test_best_rows_in_any_order(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "k bigint, at int"
+    put = lambda rows: buckets.upsert(spark, path, spark.createDataFrame(rows, schema), ["k"], c("at").desc(), buckets=4, best=True)
+    for rows in ([(1, 5), (2, 1)], [(1, 3), (2, 7), (3, 0)], [(1, 5), (2, 1)]):
+        put(rows)
+    assert sorted(tuple(r) for r in buckets.read(spark, path, schema).collect()) == [(1, 5), (2, 7), (3, 0)]
+
+
+def test_stream_into_buckets(spark, tmp_path):
+    from tidewell.streaming.events import upsert_buckets
+
+    schema = "k bigint, at int"
+    given, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for i, rows in enumerate(([(1, 9), (2, 2)], [(1, 1), (3, 3)], [(2, 8)])):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(given)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(given)
+        upsert_buckets(stream, f"{out}/rows", f"{out}/checkpoint", ["k"], c("at").desc(), buckets=2).awaitTermination()
+    assert sorted(tuple(r) for r in buckets.read(spark, f"{out}/rows", schema).collect()) == [(1, 9), (2, 8), (3, 3)]

@@ -35,7 +35,7 @@ CAST(quality < 60 OR safety > 70 OR access > 10 AS INTEGER) AS risk_flag FROM d"
 def seeded_panel(t):
     """The whole panel, with states and their risks from another table."""
     nation = t.nation.select(c("n_nationkey").alias("s_nationkey"), c("n_name").alias("state"))
-    accidents = t.supplier.join(F.broadcast(nation), "s_nationkey").select("state", (c("s_acctbal") / 100).alias("killed"), (c("s_suppkey") % 7).alias("fatal"))
+    accidents = t.supplier.join(nation, "s_nationkey").select("state", (c("s_acctbal") / 100).alias("killed"), (c("s_suppkey") % 7).alias("fatal"))
     budget = t.part.agg(F.sum("p_retailprice")).first()[0]
     base = t.part.select("p_partkey", (c("p_partkey") + 1).alias("no"), "p_size", "p_retailprice", (c("p_size") % 120).alias("done"))
     out = analytics.expand(base, ["p_partkey"], 5, 2026, "part", "p_size", "p_retailprice", "done", "no", budget, analytics.risk_priors(accidents, "state", "killed", "fatal"))
@@ -140,7 +140,7 @@ def relation_evidence(t):
 def panel_badges(t):
     """The roll-up of each panel over the sources that it uses."""
     panels = rows(t, [("safety", "src1"), ("safety", "src2"), ("growth", "src3")], "panel string, source string")
-    d = t.documents.select("doc_id", "source").join(t.labels, "doc_id").join(F.broadcast(panels), "source").withColumn("why", F.array("source"))
+    d = t.documents.select("doc_id", "source").join(t.labels, "doc_id").join(panels, "source").withColumn("why", F.array("source"))
     return analytics.badge_floor(d.groupBy("panel", "why").agg(F.min("quality").alias("quality")), "panel", "quality", "why").select("panel", "score", "badge", "reasons")
 
 
@@ -220,7 +220,7 @@ def latest_loads(t):
     """K03 as a log, P27: the last load of each selected source."""
     log = t.orders.select("o_orderkey", F.concat(F.lit("c"), (c("o_orderkey") % 3).cast("string")).alias("source_id"), "o_totalprice", "o_orderdate")
     picked = rows(t, [("c0",), ("c1",), ("c2",)], "source_id string")
-    return relational.latest(log.join(F.broadcast(picked), "source_id", "left_semi"), ["source_id"], "o_orderdate", "o_orderkey").drop("o_orderdate")
+    return relational.latest(log.join(picked, "source_id", "left_semi"), ["source_id"], "o_orderdate", "o_orderkey").drop("o_orderdate")
 
 
 @query("SELECT p_partkey, CAST(y AS INTEGER) AS i, CAST(p_size * 10 + y AS DOUBLE) AS allocation, CAST(p_size * 10 + 3 + y AS DOUBLE) AS release FROM part, range(3) r(y)")
@@ -261,7 +261,7 @@ def stream_snapshots(t):
 
 @query("SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS start, event_type, CAST(count(*) AS BIGINT) AS n, round(sum(value),4) AS total FROM events GROUP BY 1,2")
 def stream_windows(t):
-    """Windowed counts of a stream, late rows within the watermark included, as of a batch."""
+    """Windowed counts of a stream, late rows included, as of a batch: in complete mode a watermark drops nothing."""
     from ..streaming.events import windowed
 
     name = f"windows_{uuid.uuid4().hex}"

@@ -100,7 +100,7 @@ def bucketed_upsert(t):
     e, path = t.events.select("user_id", "event_id", "event_type", "value"), _folder(t, "upserts")
     for load in (1, 2, 2):
         buckets.upsert(t._spark, path, e.where(c("event_id") % 3 == load), ["user_id"], c("event_id").desc(), buckets=16)
-    return buckets.read(t._spark, path, e.select("user_id", "event_id", "event_type", "value").schema.simpleString()[7:-1].replace(":", " "))
+    return buckets.read(t._spark, path, "user_id bigint, event_id bigint, event_type string, value double")
 
 
 @query("SELECT CAST(c_custkey AS VARCHAR) AS source_id, c_name AS title, CASE WHEN c_custkey % 4 <> 0 THEN c_mktsegment END AS theme, CAST(length(c_name) AS BIGINT) AS row_count, (SELECT count(*) FROM customer) AS entries, '2026-01-01T00:00:00Z' AS generated_at FROM customer")
@@ -305,3 +305,16 @@ def ordered_results(t):
     """Results of a parallel run in the order of document, year and address."""
     rows = t.pages.select("page_id", (c("page_id") % 5).alias("doc_index"), (c("page_id") % 7 + 2000).cast("int").alias("year"), "url")
     return ordering.global_index(rows, c("doc_index"), c("year"), c("url"), c("page_id"), name="position")
+
+
+@query("SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1")
+def stream_upserts(t):
+    """A stream in several batches, later events first, kept in a bucketed table: the last event of each user."""
+    from ..streaming.events import upsert_buckets
+
+    out = _folder(t, "stream")
+    e = t.events.select("user_id", "event_id", "event_type", "value")
+    e.repartitionByRange(4, c("event_id").desc()).write.parquet(f"{out}/in")
+    stream = t._spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 2).parquet(f"{out}/in")
+    upsert_buckets(stream, f"{out}/rows", f"{out}/checkpoint", ["user_id"], c("event_id").desc()).awaitTermination()
+    return buckets.read(t._spark, f"{out}/rows", "user_id bigint, event_id bigint, event_type string, value double")

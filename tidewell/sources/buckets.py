@@ -63,20 +63,24 @@ def _aside(rows: DataFrame, path: str) -> None:
     rows.repartition(BUCKET).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").partitionBy(BUCKET).parquet(f"{path}/{_PENDING}/{uuid.uuid4().hex}")
 
 
-def merged(old: DataFrame, entries: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
-    """Entries in place of old rows with their key; of several entries with a key, the first in the given order (which must tell them apart)."""
+def merged(old: DataFrame, entries: DataFrame, keys: Sequence[str], *order: Column, best: bool = False) -> DataFrame:
+    """Entries in place of old rows with their key; of several entries with a key, the first in the
+    given order (which must tell them apart). best: of old rows and entries alike, the first in that order."""
+    if best:
+        return pick(old.unionByName(entries, allowMissingColumns=True), keys, *order)
     new = pick(entries, keys, *order) if order else entries.dropDuplicates(list(keys))
     same = [old[k].eqNullSafe(new[k]) for k in keys]
     return old.join(new, same, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
-def upsert(spark: SparkSession, path: str, entries: DataFrame, keys: Sequence[str], *order: Column, buckets: int = 64) -> list[int]:
+def upsert(spark: SparkSession, path: str, entries: DataFrame, keys: Sequence[str], *order: Column, buckets: int = 64, best: bool = False) -> list[int]:
     """Puts entries into the table at path, in place of rows with their key; the buckets that were rewritten.
 
     buckets is fixed by the first upsert. Rows that no entry of the bucket names stay, and so do
     the files of other buckets. New columns are null in old rows, and columns that entries lack
     in new ones. The same entries twice change nothing more; no entries change nothing. Null
-    keys are keys. One upsert at a time: there is no lock.
+    keys are keys. With best, an entry replaces a row only if it comes first in the given order, so
+    entries may arrive in any order, late or again. One upsert at a time: there is no lock.
     """
     if BUCKET in entries.columns:
         raise ValueError(f"the column {BUCKET} names the table's folders")
@@ -87,7 +91,7 @@ def upsert(spark: SparkSession, path: str, entries: DataFrame, keys: Sequence[st
         return []
     if io.exists(spark, f"{path}/{BUCKET}=*"):
         old = spark.read.option("mergeSchema", True).parquet(path).where(F.col(BUCKET).isin(touched))
-        rows = merged(old, dealt, [BUCKET, *keys], *order)
+        rows = merged(old, dealt, [BUCKET, *keys], *order, best=best)
     else:
         rows = merged(dealt.limit(0), dealt, [BUCKET, *keys], *order)
     _aside(rows, path)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.relational import pick
+from ..sources import buckets as table
 
 
 def windowed(events: DataFrame, late: str = "10 minutes", size: str = "1 day") -> DataFrame:
@@ -31,3 +32,16 @@ def upsert_stream(spark: SparkSession, events: DataFrame, out: str, checkpoint:
 def current(spark: SparkSession, out: str, keys: Sequence[str], seq: str) -> DataFrame:
     """The last row of each key over all snapshots: of the latest load, and within it by seq."""
     return pick(spark.read.parquet(out), keys, F.col("load").desc(), F.col(seq).desc())
+
+
+def upsert_buckets(stream: DataFrame, out: str, checkpoint: str, keys: Sequence[str], *order: Column, buckets: int = 16) -> StreamingQuery:
+    """Keeps the first row of each key in the given order, over all batches so far, in a table of hash
+    buckets: a batch rewrites the buckets that it touches, so reading costs the same however many
+    batches there were. A batch that is run again changes nothing; late rows take their place."""
+
+    def put(batch: DataFrame, epoch: int) -> None:
+        batch.persist()
+        table.upsert(batch.sparkSession, out, batch, keys, *order, buckets=buckets, best=True)
+        batch.unpersist()
+
+    return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
