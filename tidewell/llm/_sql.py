@@ -1,4 +1,4 @@
-"""DuckDB SQL of the operators 11 and 12."""
+"""DuckDB SQL of the operators 11 to 13."""
 
 _ROUND = """, d{0} AS (
   SELECT rid, min({{'d': CAST(list_sum(list_transform(range(1, 65), lambda i: (v.e[i] - c.e[i]) * (v.e[i] - c.e[i]))) AS BIGINT), 'k': c.k}}) AS m
@@ -72,3 +72,24 @@ WITH RECURSIVE crc AS (
 )
 SELECT f.word, f.form, c.root, f.n, f.n_near, CAST(f.form_n AS BIGINT) AS form_n FROM formed f JOIN chain c ON c.word = f.word AND c.following IS NULL
 """.replace("ONE_BYTE", _ONE_BYTE)
+
+#: Bytes are pairs of hexadecimal digits here; windows are told apart by md5.
+RUN_INDEX = r"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), w AS (
+  SELECT doc_id, p, md5(substr(hx, 2 * p + 1, 200)) AS k FROM (SELECT doc_id, hx, unnest(range(greatest(n - 99, 0))) AS p FROM d)
+), r AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) AS i FROM w) WHERE i > 1
+), g AS (
+  SELECT doc_id, p, sum(opens) OVER (PARTITION BY doc_id ORDER BY p) AS g
+  FROM (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 0 ELSE 1 END AS opens FROM r)
+), s AS (
+  SELECT doc_id, min(p) AS a, max(p) + 100 AS b, lag(max(p) + 100, 1, 0) OVER (PARTITION BY doc_id ORDER BY g) AS before FROM g GROUP BY doc_id, g
+), k AS (
+  SELECT s.doc_id, sum(b - a) AS removed, count(*) AS spans, max(b) AS last, string_agg(substr(hx, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept FROM s JOIN d ON d.doc_id = s.doc_id GROUP BY s.doc_id
+)
+SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(hx, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+"""

@@ -124,4 +124,4 @@ WITH RECURSIVE w AS (
 SELECT n.doc_id, n.n AS n_shingles, c.component_id, n.doc_id = c.component_id AS kept FROM n JOIN c ON c.doc_id = n.doc_id
 """
 
-SQL = {"op5_near_dup": _NEAR_DUP_SQL, "op7_topk": _TOPK_SQL, "op11_lloyd": _sql.LLOYD, "op12_spelling": _sql.SPELLING}
+SQL = {"op5_near_dup": _NEAR_DUP_SQL, "op7_topk": _TOPK_SQL, "op11_lloyd": _sql.LLOYD, "op12_spelling": _sql.SPELLING, "op13_run_index": _sql.RUN_INDEX}
