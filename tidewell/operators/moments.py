@@ -2,7 +2,7 @@
 
 A table of moments has a row for each metric and each block of partners, with one array for each
 moment: over the entity-years that have both, their number, both means, both sums of squared
-deviations and that of products, both ranges and the range of years. Rows of two tables merge
+deviations and that of products, whether a side is constant, and the range of years. Rows of two tables merge
 entry by entry, so a year's cells can be added to what is stored without the old cells. No row
 is made for a pair until correlations() reads the arrays.
 
@@ -50,10 +50,26 @@ def _merged(a: dict[str, np.ndarray], b: dict[str, np.ndarray]) -> dict[str, np.
     return out
 
 
+def _constant(z: np.ndarray, there: np.ndarray, other: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """lo and hi of each column of z over the rows that it has in common with each column of other: the
+    value twice where it is the only one, -inf and inf where there are several. Values are
+    numbered within their column, so that sums of products decide exactly."""
+    codes, values = np.zeros(z.shape), np.zeros(z.shape)
+    for i in range(z.shape[1]):
+        own, at = np.unique(z[there[:, i] > 0, i], return_inverse=True)
+        codes[there[:, i] > 0, i], values[: len(own), i] = at, own
+    total, squares = codes.T @ other, (codes * codes).T @ other
+    same = (n * squares == total * total) & (n > 0)
+    value = np.take_along_axis(values.T, (total / np.maximum(n, 1)).astype(np.int64) % len(z), 1)
+    lo = np.where(same, value, np.where(n > 0, -np.inf, np.inf))
+    return lo, np.where(same, value, -lo)
+
+
 def block_moments(x: np.ndarray, y: np.ndarray, years: np.ndarray) -> dict[str, np.ndarray]:
     """Moments of each column of x with each column of y over the rows where both are numbers.
 
     Sums are taken about each column's own mean, and then about the mean over the common rows.
+    lo and hi only tell whether a side is constant: see _constant().
     """
     in_x, in_y = ~np.isnan(x), ~np.isnan(y)
     centre = lambda z, there: np.where(there, z, 0).sum(0) / np.maximum(there.sum(0), 1)
@@ -64,13 +80,15 @@ def block_moments(x: np.ndarray, y: np.ndarray, years: np.ndarray) -> dict[str,
     sx, sy = dx.T @ fy, fx.T @ dy
     out = {"n": n.astype(np.int64), "mx": np.where(n > 0, cx[:, None] + sx / some, 0), "my": np.where(n > 0, cy[None, :] + sy / some, 0)}
     out |= {"vx": np.maximum((dx * dx).T @ fy - sx * sx / some, 0), "vy": np.maximum(fx.T @ (dy * dy) - sy * sy / some, 0), "xy": dx.T @ dy - sx * sy / some}
-    for c in ("lo_x", "hi_x", "lo_y", "hi_y", "year_min", "year_max"):
-        out[c] = np.full(n.shape, _NONE[c], np.int64 if "year" in c else float)
-    for i in range(len(x)):  # a row's common columns only
-        at = np.ix_(np.flatnonzero(in_x[i]), np.flatnonzero(in_y[i]))
-        a, b = x[i][in_x[i]][:, None], y[i][in_y[i]][None, :]
-        for c, v, least in (("lo_x", a, True), ("hi_x", a, False), ("lo_y", b, True), ("hi_y", b, False), ("year_min", years[i], True), ("year_max", years[i], False)):
-            out[c][at] = (np.minimum if least else np.maximum)(out[c][at], v)
+    out["lo_x"], out["hi_x"] = _constant(x, fx, fy, n)
+    out["lo_y"], out["hi_y"] = (m.T for m in _constant(y, fy, fx, n.T))
+    for c in ("year_min", "year_max"):
+        out[c] = np.full(n.shape, _NONE[c], np.int64)
+    for year in np.unique(years)[::-1]:  # from the last: what an earlier one has in common takes its place
+        of = years == year
+        both = (fx[of].T @ fy[of]) > 0
+        out["year_min"][both] = year
+        out["year_max"][both & (out["year_max"] == _NONE["year_max"])] = year
     return out
 
 
@@ -101,19 +119,28 @@ class _State:
             old[c][: v.shape[0], : v.shape[1]] = v
         self.m = _merged(old, grown)
 
-    def rows(self, block: int) -> pa.RecordBatch:
-        """A row a metric, with the partners that come after it in lexical order (T9) and have cells in common with it."""
-        partners, out = np.array(list(self.b), object), {"metric": [], "block": [], "partner": [], **{c: [] for c in _FIELDS}}
-        for name, i in self.a.items():
-            some = np.flatnonzero((self.m["n"][i] > 0) & np.array([p > name for p in partners], bool))
-            if len(some):
-                out["metric"].append(name)
-                out["block"].append(block)
-                out["partner"].append(partners[some].tolist())
-                for c in _FIELDS:
-                    out[c].append(self.m[c][i, some])
-        kinds = {"metric": pa.string(), "block": pa.int32(), "partner": pa.list_(pa.string()), "n": pa.list_(pa.int64()), "year_min": pa.list_(pa.int32()), "year_max": pa.list_(pa.int32())}
-        return pa.RecordBatch.from_pydict({c: pa.array(v, kinds.get(c, pa.list_(pa.float64()))) for c, v in out.items()})
+    def rows(self, block_a: int, block_b: int) -> Iterator[pa.RecordBatch]:
+        """A row a metric and block of partners, with the partners that come after it in lexical order
+        and have cells in common with it. Moments of two blocks are those of the second with the first too."""
+        yield _batch(self.a, self.b, self.m, block_b)
+        if block_a != block_b:
+            turned = {"x": "y", "y": "x"}
+            other = {c: self.m[c[:-1] + turned[c[-1]] if c[-2:] in ("mx", "my", "vx", "vy", "_x", "_y") else c].T for c in _FIELDS}
+            yield _batch(self.b, self.a, other, block_a)
+
+
+def _batch(own: dict[str, int], others: dict[str, int], m: dict[str, np.ndarray], block: int) -> pa.RecordBatch:
+    partners, out = np.array(list(others), object), {"metric": [], "block": [], "partner": [], **{c: [] for c in _FIELDS}}
+    for name, i in own.items():
+        some = np.flatnonzero((m["n"][i] > 0) & np.array([p > name for p in partners], bool))
+        if len(some):
+            out["metric"].append(name)
+            out["block"].append(block)
+            out["partner"].append(partners[some].tolist())
+            for c in _FIELDS:
+                out[c].append(m[c][i, some])
+    kinds = {"metric": pa.string(), "block": pa.int32(), "partner": pa.list_(pa.string()), "n": pa.list_(pa.int64()), "year_min": pa.list_(pa.int32()), "year_max": pa.list_(pa.int32())}
+    return pa.RecordBatch.from_pydict({c: pa.array(v, kinds.get(c, pa.list_(pa.float64()))) for c, v in out.items()})
 
 
 def moments(found: DataFrame, blocks: int = 1, at_once: int = 512) -> DataFrame:
@@ -127,7 +154,7 @@ def moments(found: DataFrame, blocks: int = 1, at_once: int = 512) -> DataFrame:
     block = F.pmod(F.xxhash64("metric"), F.lit(blocks)).cast("int")
     vectors = found.groupBy("entity", "year").agg(F.collect_list(F.struct(block.alias("b"), F.col("metric").alias("m"), "v")).alias("cells"))
     has = F.array_sort(F.array_distinct(F.transform("cells", lambda c: c["b"])))
-    meets = F.flatten(F.transform(has, lambda i: F.transform(has, lambda j: F.struct(i.alias("i"), j.alias("j")))))
+    meets = F.flatten(F.transform(has, lambda i: F.transform(F.filter(has, lambda j: j >= i), lambda j: F.struct(i.alias("i"), j.alias("j")))))
     of = lambda k: F.filter("cells", lambda c: c["b"] == F.col("at")[k])
     rows = vectors.select("year", "cells", F.explode(meets).alias("at")).select(F.col("at.i").alias("i"), F.col("at.j").alias("j"), "year", of("i").alias("x"), of("j").alias("y"))
 
@@ -147,7 +174,7 @@ def moments(found: DataFrame, blocks: int = 1, at_once: int = 512) -> DataFrame:
                 edges = np.flatnonzero(np.append(True, (i[1:] != i[:-1]) | (j[1:] != j[:-1])))
                 for a, b in zip(edges, np.append(edges[1:], len(i)), strict=True):
                     if now not in (None, (i[a], j[a])):
-                        yield state.rows(int(now[1]))
+                        yield from state.rows(*map(int, now))
                         state = _State()
                     now = (i[a], j[a])
                     own = part.slice(a, b - a)
@@ -155,7 +182,7 @@ def moments(found: DataFrame, blocks: int = 1, at_once: int = 512) -> DataFrame:
                     names_b, y = matrix(own.column(4), b - a)
                     state.add(names_a, names_b, block_moments(x, y, own.column(2).to_numpy()))
         if now is not None:
-            yield state.rows(int(now[1]))
+            yield from state.rows(*map(int, now))
 
     parts = rows.sortWithinPartitions("i", "j").mapInArrow(run, SCHEMA)
     return merged([parts])
@@ -169,7 +196,7 @@ def merged(tables: list[DataFrame]) -> DataFrame:
         for row in table.to_pylist():
             m = {c: np.array([row[c]], np.int64 if c == "n" or "year" in c else float) for c in _FIELDS}
             state.add([row["metric"]], row["partner"], m)
-        return pa.Table.from_batches([state.rows(table.column("block")[0].as_py())])
+        return pa.Table.from_batches([_batch(state.a, state.b, state.m, table.column("block")[0].as_py())])
 
     every = reduce(DataFrame.unionByName, tables)
     return every.groupBy("metric", "block").applyInArrow(run, SCHEMA)
