@@ -762,7 +762,7 @@ def test_near_dup_wide_templates_are_not_dealt(spark, monkeypatch):
     for n in (150, 300):
         rows = spark.createDataFrame(wide_template_texts(n, 25), "doc_id bigint, text string").repartition(4)
         dealt.clear()
-        got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(rows, 1, few=2, pivots=1).collect()}
+        got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(rows, 1, few=2, pivots=1, members=32).collect()}
         assert got == {i: i for i in range(n)} | {10_000 + i: i for i in range(25)}
         assert len(dealt) == 2 and max(dealt) <= 400  # a pair that pivots have not joined makes a few rows, a text that is like no other none
 

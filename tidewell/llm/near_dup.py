@@ -13,8 +13,8 @@ not enough of it stand in no common list.
 
 Of a list with few members, all pairs are compared. Of a longer one, every member is compared
 with one of them, the pivot; links merge labels, and a second pivot takes the rest. If then a list
-of sets that don't fit into their sketches still has several labels, its members may have no more
-in common than a template. They are listed once more by larger sketches, in which a similar pair
+of sets that don't fit into their sketches still has several labels, and more members than a
+block, these may have no more in common than a template. They are listed once more by larger sketches, in which a similar pair
 shares a greater part for sure: sets that only share a template stand in no common list again.
 Members of a list that then still has several labels meet in blocks, where only those outside
 the list's largest label are compared with others. First their sketches meet, and only members
@@ -406,8 +406,11 @@ def class_components(docs: DataFrame, width: int, percent: int, k: int, few: int
         unstage(roots)
         roots = following
     left = staged(mixed(roots).select("m", "p", "c", "n", "label").distinct(), "left")
-    again = _listed_again(left.where("m = 0").select("c", "n", "label").distinct(), docs, classes, width, percent, wide)
-    rest = staged(left.where("m > 0").select("p", "c", "n", "label").distinct().unionAll(again), "rest")
+    # what fits into one block meets there
+    large = staged(left.where("m = 0").groupBy("p").agg(F.count("*").alias("count")).where(F.col("count") > members), "large")
+    both = spread_join(left, large.select("p", F.lit(True).alias("large")), ["p"], "c", large, heavy_limit(left.count()), "left").withColumn("large", (F.col("m") == 0) & F.coalesce("large", F.lit(False)))
+    again = _listed_again(both.where("large").select("c", "n", "label").distinct(), docs, classes, width, percent, wide)
+    rest = staged(both.where("not large").select("p", "c", "n", "label").distinct().unionAll(again), "rest")
     alive = staged(_alive(rest, classes, k, percent, members), "alive")
     sets = full_sets(docs, classes, alive.select("c").distinct(), width)
     found.append(staged(_block_links(alive, sets, percent, room), "links"))
@@ -425,7 +428,7 @@ def class_components(docs: DataFrame, width: int, percent: int, k: int, few: int
     some = spread_join(small.where("n > 0"), known.drop("count").withColumn("known", F.lit(True)), ["c"], "doc_id", known.select("c", "count"), heavy_limit(n), "left")
     out = some.select("doc_id", "n", "c", F.when(F.col("known"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.coalesce("keeper", "c").alias("keeper"))
     out = staged(out.unionAll(small.where("n = 0").select("doc_id", "n", "c", F.col("doc_id").alias("component_id"), F.col("c").alias("keeper"))), "near")
-    unstage(rows, classes, lists, left, again, rest, alive, sets, roots, final, known, *found, *tables)
+    unstage(rows, classes, lists, left, large, again, rest, alive, sets, roots, final, known, *found, *tables)
     return out
 
 
