@@ -358,4 +358,4 @@ def exact_distinct(t):
     return t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").dropDuplicates().groupBy("l_orderkey", "l_partkey", "l_suppkey").agg(F.count("*").alias("n"))
 
 
-from . import choices, panels, tables, texts  # noqa: E402, F401  they register their queries
+from . import choices, panels, stores, tables, texts  # noqa: E402, F401  they register their queries
