@@ -84,9 +84,10 @@ def factorize(sample: list[tuple[int, int, np.ndarray]], most: int = TERMS, fact
     keys = keys[count >= least].astype(np.uint64)
     if len(classes) < 2 or not len(keys):
         return FactorModel(np.zeros(0, np.uint64), np.zeros(0), np.zeros((0, factors)), 3.0 if classes == {1} else -3.0)
-    sparse = Sparse(keys)
-    rows = [(y, sparse.find(own)[1]) for y, _, own in sample]
     strong = np.isin(keys, informative(sample, least, most))
+    release()
+    sparse = Sparse(keys)
+    rows = [(y, sparse.find(own)[1].astype(np.int32)) for y, _, own in sample]
     tenth, rows = (rows[::10], [r for i, r in enumerate(rows) if i % 10]) if len(rows) >= 200 else ([], rows)
     n = [max(1, sum(y == c for y, _ in rows)) for c in (0, 1)]
     heft = [len(rows) / (2 * x) for x in n]
@@ -94,7 +95,7 @@ def factorize(sample: list[tuple[int, int, np.ndarray]], most: int = TERMS, fact
     w, v, b = np.zeros(len(keys)), rng.normal(0, 0.01, (len(keys), factors)), 0.0
     gw, gb = np.where(strong, 1e-6, 10.0), 1e-6
     gv = np.repeat(np.where(strong, 1e-4, 1.0)[:, None], factors, 1)
-    flat, size = np.concatenate([np.zeros(0, np.int64), *(own for _, own in tenth)]), np.array([len(own) for _, own in tenth], int)
+    flat, size = np.concatenate([np.zeros(0, np.int32), *(own for _, own in tenth)]), np.array([len(own) for _, own in tenth], int)
     doc, truth = np.repeat(np.arange(len(tenth)), size), np.array([y for y, _ in tenth])
 
     def loss() -> float:
