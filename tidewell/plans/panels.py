@@ -235,7 +235,7 @@ def two_column_zip(t):
 
 @query("SELECT c_custkey, c_name, c_mktsegment FROM customer")
 def paged_source(t):
-    """A paged endpoint whose length isn't known, a task a page. Its pages are files of customers, which Spark has numbered and written."""
+    """A paged endpoint whose length isn't known, read to its end. Its pages are files of customers, which Spark has numbered and written."""
     from ..operators.ordering import global_index
 
     endpoint = f"{io.scratch_dir(t._spark)}/endpoint-{uuid.uuid4().hex}"
@@ -243,7 +243,7 @@ def paged_source(t):
     record = F.to_json(F.struct("c_custkey", "c_name", "c_mktsegment"))
     rows_.select(F.floor(c("at") / 100).alias("page"), record.alias("value")).repartition("page").write.partitionBy("page").text(endpoint)
     t._spark.dataSource.register(io.PagedSource)
-    pages = t._spark.read.format("tidewell_pages").options(fetch="tidewell.sources.io.stored_page", limit="100", endpoint=endpoint).load()
+    pages = t._spark.read.format("tidewell_pages").options(fetch="tidewell.sources.io.stored_page", limit="100", pages="all", last_offset="all", endpoint=endpoint).load()
     return pages.select(F.from_json("record", "c_custkey bigint, c_name string, c_mktsegment string").alias("x")).select("x.*")
 
 

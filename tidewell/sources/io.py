@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 from functools import partial, reduce
 
@@ -205,8 +206,12 @@ def checksums(spark: SparkSession, path: str) -> DataFrame:
 
 
 class _Page(InputPartition):
-    def __init__(self, offset: int, limit: int):
-        self.offset, self.limit = offset, limit
+    def __init__(self, first: int, end: int):
+        self.first, self.end = first, end
+
+
+#: Tasks that pages are dealt to at most; each has pages that follow each other.
+PAGE_TASKS = 200
 
 
 class _Pages(DataSourceReader):
@@ -214,31 +219,41 @@ class _Pages(DataSourceReader):
         module, _, name = options["fetch"].rpartition(".")
         fetch, self.limit = getattr(__import__(module, fromlist=[name]), name), int(options["limit"])
         self.fetch = partial(fetch, options["endpoint"]) if "endpoint" in options else fetch
-        self.most, self.last = int(options.get("pages", 200)), int(options.get("last_offset", 200_000))
+        bound = lambda key, default: math.inf if options.get(key) == "all" else int(options.get(key, default))
+        self.most, self.last = bound("pages", 200), bound("last_offset", 200_000)
         self.total = int(options["total"]) if "total" in options else None
 
+    def _full(self, page: int) -> bool:
+        return len(list(self.fetch(page * self.limit, self.limit))) == self.limit
+
     def partitions(self) -> list[InputPartition]:
-        ends = self.last + 1 if self.total is None else min(self.total, self.last + 1)
-        offsets = list(range(0, ends, self.limit))
-        if self.total is None:  # a page that isn't full is the last: found by halving, in few requests
-            low, high = 0, min(len(offsets), self.most) + 1
+        allowed = self.last if self.last == math.inf else self.last // self.limit + 1
+        if self.total is None:  # a page that isn't full is the last: found by doubling and halving, in few requests
+            low, high, end = 0, 1, min(allowed, self.most) + 1
+            while high < end and self._full(high - 1):
+                low, high = high, 2 * high
+            high = min(high, end)
             while low + 1 < high:
                 mid = (low + high) // 2
-                low, high = (mid, high) if len(list(self.fetch(offsets[mid - 1], self.limit))) == self.limit else (low, mid)
-            offsets = offsets[: low + 1]
-        if len(offsets) > self.most:
-            raise ValueError(f"{len(offsets)} pages of {self.limit} rows; the option pages allows {self.most}")
-        return [_Page(i, self.limit) for i in offsets]
+                low, high = (mid, high) if self._full(mid - 1) else (low, mid)
+            pages = min(low + 1, allowed)
+        else:
+            pages = min(-(-self.total // self.limit), allowed)
+        if pages > self.most:
+            raise ValueError(f"{pages} pages of {self.limit} rows; the option pages allows {self.most}")
+        each = max(1, -(-pages // PAGE_TASKS))
+        return [_Page(i, min(i + each, pages)) for i in range(0, pages, each)]
 
     def read(self, page: InputPartition) -> Iterator[tuple]:
-        for row in self.fetch(page.offset, page.limit):
-            yield (row,)
+        for i in range(page.first, page.end):
+            for row in self.fetch(i * self.limit, self.limit):
+                yield (row,)
 
 
 class PagedSource(DataSource):
-    """A paged endpoint, a task a page. Options: fetch (an importable function (offset, limit)
+    """A paged endpoint, a task a page, or of more than PAGE_TASKS pages several. Options: fetch (an importable function (offset, limit)
     -> JSON texts, or with the option endpoint, (endpoint, offset, limit)), limit, and total where it is known; without it, pages are read until one isn't
-    full. Offsets go up to last_offset (200,000, included); more than `pages` pages (200) are an error."""
+    full. Offsets go up to last_offset (200,000, included); more than `pages` pages (200) are an error. Either may be "all": no bound."""
 
     @classmethod
     def name(cls) -> str:
