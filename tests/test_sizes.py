@@ -1,5 +1,6 @@
-"""Queries and sources beyond the size of the test tables (round 3)."""
+"""Queries and sources beyond the size of the test tables, and sums that only just meet a threshold (round 3)."""
 
+import duckdb
 import pytest
 
 from tidewell.plans import registry
@@ -27,3 +28,15 @@ def test_paged_source_of_many_pages(spark, tmp_path):
     rows.write.parquet(str(tmp_path / "customer.parquet"))
     got = registry.QUERIES["paged_source"](spark, str(tmp_path))
     assert got.count() == 20_450 and got.exceptAll(rows).count() == 0
+
+
+def test_extraction_factors_at_thresholds(spark, tmp_path):
+    rows = [(1, "click" if i < 3 else "view", 56.25) for i in range(30)]  # a share of failed rows of just 0.02
+    rows += [(2, "error" if i < 3 else "view", 38.65) for i in range(20)]  # of low ones 0.15; the score is a tie
+    rows += [(u, "view", u / 100 + 0.05) for u in range(10_000, 10_200)]
+    spark.createDataFrame(rows, "user_id bigint, event_type string, value double").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+    got = {r.user_id: (r.score, r.n_reasons) for r in registry.QUERIES["extraction_factors"](spark, str(tmp_path)).collect()}
+    assert got == {r[0]: r[1:] for r in con.execute(registry.SQL["extraction_factors"]).fetchall()}
+    assert got[1] == (0.563, 1) and got[2] == (0.307, 2)
