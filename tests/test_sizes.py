@@ -40,3 +40,12 @@ def test_extraction_factors_at_thresholds(spark, tmp_path):
     got = {r.user_id: (r.score, r.n_reasons) for r in registry.QUERIES["extraction_factors"](spark, str(tmp_path)).collect()}
     assert got == {r[0]: r[1:] for r in con.execute(registry.SQL["extraction_factors"]).fetchall()}
     assert got[1] == (0.563, 1) and got[2] == (0.307, 2)
+
+
+def test_words_are_joined_by_shuffles(spark):
+    from tidewell.llm import spelling
+
+    words = spark.createDataFrame([("bridges", 9), ("bridgse", 2), ("bridged", 2), ("bridge", 5)], "word string, n bigint")
+    pairs = spelling.near_pairs(words)
+    assert {(r.a, r.b) for r in pairs.collect()} == {("bridge", "bridges"), ("bridge", "bridged"), ("bridged", "bridges")}
+    assert "BroadcastHashJoin" not in pairs._jdf.queryExecution().executedPlan().toString()

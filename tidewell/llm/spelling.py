@@ -85,7 +85,8 @@ def near_pairs(words: DataFrame) -> DataFrame:
     fits = (F.col("x.place") == F.col("y.place")) & (F.length("y.word") == F.length("x.word") + 1 - F.col("y.own"))
     flipped = F.bit_count(F.col("x.mask").bitwiseXOR(F.col("y.mask"))) <= 2
     edit = F.levenshtein("x.word", "y.word", 1) == 1
-    joined = x.join(y, [F.col("x.key") == F.col("y.key"), fits & once & equal(band) & flipped & ~again & edit])
+    # Spark takes the twelve rows of a word for one when it guesses their size, and would send them all to the driver
+    joined = x.join(y.hint("merge"), [F.col("x.key") == F.col("y.key"), fits & once & equal(band) & flipped & ~again & edit])
     return joined.select(F.col("x.word").alias("a"), F.col("x.n").alias("n_a"), F.col("y.word").alias("b"), F.col("y.n").alias("n_b"))
 
 
@@ -121,8 +122,8 @@ def variants(docs: DataFrame, every: int = DELETE_EVERY, least_chars: int = LEAS
     side = lambda a, b: F.struct(F.col(a).alias("word"), F.struct((-F.col(f"n_{b}")).alias("n"), F.col(b).alias("w")).alias("near"))
     both = pairs.select(F.explode(F.array(side("a", "b"), side("b", "a"))).alias("x")).select("x.*")
     best = staged(both.groupBy("word").agg(F.min("near").alias("best"), F.count("*").alias("n_near")), "near-words")
-    known = words.join(best, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"), F.when(-F.col("best.n") >= times * F.col("n"), F.col("best")).alias("best"))
+    known = words.join(best.hint("merge"), "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"), F.when(-F.col("best.n") >= times * F.col("n"), F.col("best")).alias("best"))
     known = staged(known.select("word", F.col("best.w").alias("form"), "n", "n_near", (-F.col("best.n")).alias("form_n")), "known")
     unstage(words, best)
     roots = _roots(known.where("form is not null"), known.agg(F.max("n")).first()[0] or 0, times)
-    return known.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return known.join(roots.hint("merge"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
