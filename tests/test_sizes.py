@@ -47,5 +47,16 @@ def test_words_are_joined_by_shuffles(spark):
 
     words = spark.createDataFrame([("bridges", 9), ("bridgse", 2), ("bridged", 2), ("bridge", 5)], "word string, n bigint")
     pairs = spelling.near_pairs(words)
-    assert {(r.a, r.b) for r in pairs.collect()} == {("bridge", "bridges"), ("bridge", "bridged"), ("bridged", "bridges")}
+    assert {(r.a, r.b) for r in pairs.collect()} == {("bridge", "bridges"), ("bridge", "bridgse"), ("bridge", "bridged"), ("bridged", "bridges")}
     assert "BroadcastHashJoin" not in pairs._jdf.queryExecution().executedPlan().toString()
+
+
+def test_page_rows_in_bounded_tasks(spark, monkeypatch):
+    from tidewell.operators import harvest
+
+    monkeypatch.setattr(harvest, "TASK_LINES", 50)
+    lines = spark.range(3_000).selectExpr("id div 6 as doc_id", "cast(id div 2 % 3 as int) as page_no", "cast(id % 2 as int) as line_no", "'Cost of part: Rs. ' || id as line")
+    out = harvest.page_rows(lines)
+    per_task = [len(x) for x in out.select("doc_id").rdd.glom().collect()]
+    assert sum(per_task) == 3_000 and max(per_task) <= 200 and len(per_task) >= 60
+    assert out.where("value <> doc_id * 6 + row_no").count() == 0
