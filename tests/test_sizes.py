@@ -60,3 +60,15 @@ def test_page_rows_in_bounded_tasks(spark, monkeypatch):
     per_task = [len(x) for x in out.select("doc_id").rdd.glom().collect()]
     assert sum(per_task) == 3_000 and max(per_task) <= 200 and len(per_task) >= 60
     assert out.where("value <> doc_id * 6 + row_no").count() == 0
+
+
+def test_full_sets_are_shuffled_once(spark, monkeypatch):
+    from tidewell.llm import near_dup
+
+    names, kept = [], near_dup.staged
+    monkeypatch.setattr(near_dup, "staged", lambda df, name: names.append(name) or kept(df, name))
+    words = [f"w{i}" for i in range(90)]
+    texts = [" ".join(words), " ".join(words[:85]), " ".join(words[:60] + ["other"] * 9), " ".join(words[::-1]), None]
+    got = near_dup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), 2)
+    assert {(r.doc_id, r.component_id) for r in got.collect()} == {(0, 0), (1, 0), (2, 2), (3, 3), (4, 4)}
+    assert "links" in names and "sets" not in names

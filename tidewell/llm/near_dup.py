@@ -129,13 +129,14 @@ def _likely(rows: DataFrame, key: str, wanted: DataFrame, n: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """c and own (the whole set, packed) of the classes in wanted (c), as a staged table."""
+    """c and own (the whole set, packed) of the classes in wanted (c). They lie by c, so that what joins them by
+    it, also several times in one query, shuffles them no further; a table of them would be."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     n = wanted.count()
     firsts = _likely(classes.select("c", "first"), "c", wanted, n).join(wanted, "c", "left_semi").select("first")
     found = _scan(_likely(texts, "doc_id", firsts, n), width, "own binary", lambda sets: pa.array([x.tobytes() for x in sets], pa.binary()))
     found = found.select(_CLASS("n", "s1", "s2").alias("c"), "own").join(wanted, "c", "left_semi")
-    return staged(found.groupBy("c").agg(F.max("own").alias("own")), "sets")
+    return found.groupBy("c").agg(F.max("own").alias("own"))
 
 
 def _sizes_fit(a: str, b: str, percent: int) -> Column:
@@ -208,7 +209,7 @@ def _listed_again(members: DataFrame, docs: DataFrame, classes: DataFrame, width
     rows = staged(rows, "listed-again")
     several = staged(rows.groupBy("v").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("c").alias("p"), F.count("*").alias("count")).where("lo < hi"), "several")
     out = staged(spread_join(rows, several.select("v", "p"), ["v"], "c", several.select("v", "count"), limit).select("p", "c", "n", "label").distinct(), "again")
-    unstage(sets, postings, often, rows, several)
+    unstage(postings, often, rows, several)
     return out
 
 
@@ -252,7 +253,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, p
     near = staged(_estimated(pairs, classes, k, percent), "near")
     sets = full_sets(docs, classes, _ends(near), width)
     out = staged(_confirmed(near, sets, percent), "links")
-    unstage(pairs, near, sets)
+    unstage(pairs, near)
     return out
 
 
@@ -428,7 +429,7 @@ def class_components(docs: DataFrame, width: int, percent: int, k: int, few: int
     some = spread_join(small.where("n > 0"), known.drop("count").withColumn("known", F.lit(True)), ["c"], "doc_id", known.select("c", "count"), heavy_limit(n), "left")
     out = some.select("doc_id", "n", "c", F.when(F.col("known"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.coalesce("keeper", "c").alias("keeper"))
     out = staged(out.unionAll(small.where("n = 0").select("doc_id", "n", "c", F.col("doc_id").alias("component_id"), F.col("c").alias("keeper"))), "near")
-    unstage(rows, classes, lists, left, large, again, rest, alive, sets, roots, final, known, *found, *tables)
+    unstage(rows, classes, lists, left, large, again, rest, alive, roots, final, known, *found, *tables)
     return out
 
 
