@@ -72,3 +72,50 @@ def test_full_sets_are_shuffled_once(spark, monkeypatch):
     got = near_dup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), 2)
     assert {(r.doc_id, r.component_id) for r in got.collect()} == {(0, 0), (1, 0), (2, 2), (3, 3), (4, 4)}
     assert "links" in names and "sets" not in names
+
+
+def test_full_sets_travel_as_texts(spark, monkeypatch):
+    """Half of the sets' hashes or less is moved, and the sets are the same, however few texts are unpacked at a time."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from tidewell.llm import near_dup
+
+    r = np.random.default_rng(5)
+    texts = [" ".join(f"Wo{r.integers(0, 300)}" for _ in range(int(r.integers(1, 600)))) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = near_dup.sketches(docs, 2, 64)
+    classes = near_dup.staged(rows.groupBy("n", "s1", "s2", "c").agg(F.min("doc_id").alias("first")), "classes")
+    got = near_dup.full_sets(docs, classes, classes.select("c"), 2).join(classes, "c").select("first", "n", "own").toArrow()
+    own, n = got.column("own"), got.column("n").to_pylist()
+    assert len(n) == 40 and sum(len(x.as_py()) for x in own) < 4 * sum(n)
+    twice = [x for x in own for _ in range(2)]
+    for size in (near_dup._SLICE, 1000):
+        monkeypatch.setattr(near_dup, "_SLICE", size)
+        sets = list(near_dup._unpacked(twice, 2))
+        assert len(sets) == 80
+        for i, at in enumerate(got.column("first").to_pylist()):
+            want = near_dup.shingle_sets([texts[at]], 2)[0]
+            assert (sets[2 * i] == want).all() and (sets[2 * i + 1] == want).all() and len(want) == n[i]
+
+
+def test_pairs_by_chance_move_no_sketches(spark):
+    """Every pair that is similar enough stays, unrelated ones go, and only bit maps of their sketches are shuffled."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from tidewell.llm import near_dup
+
+    r, sets = np.random.default_rng(6), []
+    for i in range(60):
+        base = [f"b{i}x{j}" for j in range(int(r.choice([10, 30, 50, 55, 63, 64, 65, 70, 90, 300])))]
+        sets += [base, base[: int(len(base) * r.uniform(0.7, 0.95))] if i % 2 else base + [f"z{i}y{j}" for j in range(int(len(base) * r.uniform(0.05, 0.4)))]]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(sets)], "doc_id bigint, text string")
+    classes = near_dup.staged(near_dup.sketches(docs, 1, 64).select("c", "n", "sketch", F.col("doc_id").alias("first")), "classes")
+    pairs = near_dup.staged(classes.select(F.col("c").alias("a")).join(classes.select(F.col("c").alias("b"))).where("a < b"), "pairs")
+    near = near_dup._estimated(pairs, classes, 64, 80)
+    name = {x.c: x.first for x in classes.select("c", "first").collect()}
+    met = {tuple(sorted((name[x.a], name[x.b]))) for x in near.collect()}
+    alike = {(2 * i, 2 * i + 1) for i in range(60) if 100 * len({*sets[2 * i]} & {*sets[2 * i + 1]}) >= 80 * len({*sets[2 * i]} | {*sets[2 * i + 1]})}
+    assert len(alike) > 25 and alike <= met and all(x // 2 == y // 2 for x, y in met)
+    assert "array_union" not in near._jdf.queryExecution().optimizedPlan().toString()

@@ -2,7 +2,7 @@
 
 A document's set holds its distinct word shingles; one hash function orders all shingles, and a
 document's sketch is the k smallest of its set. Inverted lists of retained values give pairs
-with overlaps, the sketch of the union estimates their similarity, and the full sets decide.
+with overlaps, bit maps of the sketches bound what two of them can share, and the full sets decide.
 Equal sets are one class beforehand; lists, pairs and links are between classes.
 
 Nothing is lost to frequent values: two sets that are similar enough share at least `need`
@@ -25,7 +25,8 @@ a block come members and links, never pairs of a list.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,8 @@ FEW, PIVOTS, MEMBERS, BYTES = 8, 2, 512, 2 << 20
 #: Values of a larger sketch, and by how many percent of them a similar pair may fall below the
 #: threshold: at 0.8, more than 6 standard deviations, once in 10**9 pairs.
 WIDE, SLACK = 1024, 8
+#: Bits of a sketch's bit map.
+SIGN = 512
 _SLICE = 2 << 20
 
 
@@ -50,7 +53,33 @@ def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
     """For each text, the ascending distinct hashes of its shingles of `width` words; of fewer
     words, the one of all of them; of none, none. Words are runs of anything but the six ASCII
     white-space characters, with A-Z lower-cased."""
-    tokens = Tokens([(t or "").encode().lower() for t in texts])
+    return _sets([(t or "").encode().lower() for t in texts], width)
+
+
+def _packed(text: str | None) -> bytes:
+    """A text from which its set is made again: about a third of the set's bytes, whose hashes can't be compressed."""
+    return zlib.compress((text or "").encode().lower(), 1)
+
+
+def _unpacked(packed: Iterable[pa.Scalar], width: int) -> Iterator[np.ndarray]:
+    """The sets of packed texts, made of a few megabytes of text at a time; of one that follows itself, once."""
+    texts, at, size, last = [], [], 0, None
+    for x in packed:
+        now = x.as_py()
+        if now != last:
+            if size > _SLICE:
+                sets = _sets(texts, width)
+                yield from (sets[i] for i in at)
+                texts, at, size = [], [], 0
+            texts.append(zlib.decompress(now))
+            size, last = size + len(texts[-1]), now
+        at.append(len(texts) - 1)
+    sets = _sets(texts, width) if texts else []
+    yield from (sets[i] for i in at)
+
+
+def _sets(texts: list[bytes], width: int) -> list[np.ndarray]:
+    tokens = Tokens(texts)
     h, at = tokens.hash, tokens.offsets
     key = h.copy()
     for i in range(1, min(width, len(h))):
@@ -79,14 +108,15 @@ def _mark(own: np.ndarray) -> tuple[int, int]:
 
 
 def _scan(docs: DataFrame, width: int, extra: str, value) -> DataFrame:
-    """doc_id, n (set size), s1 and s2 (sums that tell sets apart) of each row, and a further column (extra: its name and type) that value makes of the sets."""
+    """doc_id, n (set size), s1 and s2 (sums that tell sets apart) of each row, and a further column (extra: its name and type) that value makes of the texts and sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, size=_SLICE):
-            sets = shingle_sets(batch.column(1).to_pylist(), width)
+            texts = batch.column(1).to_pylist()
+            sets = shingle_sets(texts, width)
             sums = [_mark(x) for x in sets]
             out = {"doc_id": batch.column(0).cast(pa.int64()), "n": pa.array(map(len, sets), pa.int64()), "s1": pa.array([s for s, _ in sums], pa.int64()), "s2": pa.array([s for _, s in sums], pa.int64())}
-            yield pa.RecordBatch.from_pydict(out | {extra.split()[0]: value(sets)})
+            yield pa.RecordBatch.from_pydict(out | {extra.split()[0]: value(texts, sets)})
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id bigint, n bigint, s1 bigint, s2 bigint, {extra}")
 
@@ -98,7 +128,7 @@ _CLASS = F.xxhash64
 def sketches(docs: DataFrame, width: int, k: int) -> DataFrame:
     """doc_id, n, s1, s2, sketch (the k smallest hashes) and c (the class) of each row."""
 
-    def value(sets: list[np.ndarray]) -> pa.Array:
+    def value(_, sets: list[np.ndarray]) -> pa.Array:
         low = [x[:k] for x in sets]
         return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, low)]), pa.int32()), pa.array(np.concatenate(low) if low else np.zeros(0, np.int64)))
 
@@ -129,12 +159,12 @@ def _likely(rows: DataFrame, key: str, wanted: DataFrame, n: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """c and own (the whole set, packed) of the classes in wanted (c). They lie by c, so that what joins them by
+    """c and own (the text of the whole set, see _packed()) of the classes in wanted (c). They lie by c, so that what joins them by
     it, also several times in one query, shuffles them no further; a table of them would be."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     n = wanted.count()
     firsts = _likely(classes.select("c", "first"), "c", wanted, n).join(wanted, "c", "left_semi").select("first")
-    found = _scan(_likely(texts, "doc_id", firsts, n), width, "own binary", lambda sets: pa.array([x.tobytes() for x in sets], pa.binary()))
+    found = _scan(_likely(texts, "doc_id", firsts, n), width, "own binary", lambda texts, _: pa.array([_packed(x) for x in texts], pa.binary()))
     found = found.select(_CLASS("n", "s1", "s2").alias("c"), "own").join(wanted, "c", "left_semi")
     return found.groupBy("c").agg(F.max("own").alias("own"))
 
@@ -153,9 +183,16 @@ def _overlap(n: Column, m: Column, percent: int) -> Column:
     return F.ceil(percent * (n + m) / F.lit(100.0 + percent))
 
 
+def _shared_values(rows: DataFrame) -> DataFrame:
+    """c and shared: its values with their counts (rows: c, v, count), rarest first. Rows travel as they are: as
+    partial lists, of one value each, they would take twice as much."""
+    return rows.select("c", "count", "v").repartition("c").groupBy("c").agg(F.array_sort(F.collect_list(F.struct("count", "v"))).alias("shared"))
+
+
 def listed(classes: DataFrame, k: int, percent: int) -> DataFrame:
     """The inverted lists, a staged table: v (the value), m (the size of the smaller set of a pair that the list is
-    for, 0 for sets of which one may not fit into its sketch), c, n, and small (n is m, or m is 0).
+    for, 0 for sets of which one may not fit into its sketch), c, n, small (n is m, or m is 0), and heavy (whether
+    so many classes retain v that its lists are dealt to several tasks).
 
     A set as the smaller of a pair has the need of a pair with its own size, or, as equal sets are
     one class, with the next; as the larger, that of a pair with m.
@@ -163,7 +200,8 @@ def listed(classes: DataFrame, k: int, percent: int) -> DataFrame:
     postings = classes.select("c", F.explode("sketch").alias("v"))
     often = staged(postings.groupBy("v").agg(F.count("*").alias("count")).where("count > 1"), "often")
     limit = heavy_limit(classes.count())
-    shared = spread_join(postings, often, ["v"], "c", often, limit).groupBy("c").agg(F.array_sort(F.collect_list(F.struct("count", "v"))).alias("shared"))
+    known = _likely(postings, "v", often.select("v"), often.count())
+    shared = _shared_values(spread_join(known, often, ["v"], "c", often, limit))
     full = k * percent // 100
     n, has = F.col("n"), F.size("shared")
     alike = _overlap(n, n, percent)
@@ -176,7 +214,7 @@ def listed(classes: DataFrame, k: int, percent: int) -> DataFrame:
     own = F.when(n <= full, entry(n, F.lit(True), small)).otherwise(entry(F.lit(0), F.lit(True), wide))
     rooms = F.filter(F.concat(F.array(own), below), lambda x: x["room"] > 0)
     rows = shared.join(classes.select("c", "n"), "c").select("c", "n", "shared", F.explode(rooms).alias("x"))
-    out = staged(rows.select("c", "n", "x.m", "x.small", F.explode(F.slice("shared", F.lit(1), F.col("x.room"))).alias("s")).select(F.col("s.v").alias("v"), "m", "c", "n", "small"), "index")
+    out = staged(rows.select("c", "n", "x.m", "x.small", F.explode(F.slice("shared", F.lit(1), F.col("x.room"))).alias("s")).select(F.col("s.v").alias("v"), "m", "c", "n", "small", (F.col("s.count") > limit).alias("heavy")), "index")
     unstage(often)
     return out
 
@@ -193,7 +231,7 @@ def _listed_again(members: DataFrame, docs: DataFrame, classes: DataFrame, width
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, size=_SLICE):
-            low = [np.frombuffer(x.as_buffer(), np.int64)[:wide] for x in batch.column(1)]
+            low = [x[:wide] for x in _unpacked(batch.column(1), width)]
             values = pa.array(np.concatenate(low) if low else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_pydict({"c": batch.column(0), "sketch": pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, low)]), pa.int32()), values)})
 
@@ -201,7 +239,7 @@ def _listed_again(members: DataFrame, docs: DataFrame, classes: DataFrame, width
     postings = staged(postings, "wide")
     often = staged(postings.groupBy("v").agg(F.count("*").alias("count")).where("count > 1"), "often")
     limit = heavy_limit(members.count())
-    shared = spread_join(postings, often, ["v"], "c", often, limit).groupBy("c").agg(F.array_sort(F.collect_list(F.struct("count", "v"))).alias("shared"))
+    shared = _shared_values(spread_join(postings, often, ["v"], "c", often, limit))
     n = F.col("n")
     need = F.when(n <= wide * percent // 100, F.ceil(n * percent / 100.0)).otherwise(F.floor(F.least(n, F.lit(wide)) * (percent - SLACK) / 100.0))
     room = (F.size("shared") - need + 1).cast("int")
@@ -214,30 +252,32 @@ def _listed_again(members: DataFrame, docs: DataFrame, classes: DataFrame, width
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose similarity, estimated from the k smallest hashes of the union, may
-    reach the threshold: at least percent - 30. For k = 64 the estimate falls that far below a
-    true 0.8 once in 10**8 pairs; sets that fit into their sketches are decided exactly."""
+    """The pairs (a, b) whose sketches may have enough in common: all that the threshold asks for
+    where both sets fit into them; otherwise percent - 30 of the k smallest hashes of the union.
+    For k = 64 a true 0.8 has fewer once in 10**8 pairs.
+
+    Two sketches differ in at least as many values as their bit maps in bits, so no such pair is
+    lost. A bit map is an eighth of a sketch, so pairs that share a value by chance, whose number
+    grows faster than the input, are cheap to turn away.
+    """
     n = pairs.count()
     near = _likely(classes.select("c", "n", "sketch"), "c", _ends(pairs), 2 * n)
-    side = lambda x: near.select(F.col("c").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
+    near = near.select("c", "n", F.expr(f"transform(sequence(0, {SIGN // 64 - 1}), i -> aggregate(sketch, 0L, (w, v) -> w | if((v & {SIGN - 1}) div 64 = i, shiftleft(1L, int(v & 63)), 0L)))").alias("bits"))
+    side = lambda x: near.select(F.col("c").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
     half = pairs.join(side("b"), "b")
     both = spread_join(half, side("a"), ["a"], "b", pairs.groupBy("a").count(), heavy_limit(n))
-    union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, k)
-    common = F.array_intersect("s_a", "s_b")
-    in_union = F.size(F.array_intersect(union, common))
-    exact = 100 * F.size(common) >= percent * (F.col("n_a") + F.col("n_b") - F.size(common))
-    likely = 100 * in_union >= (percent - 30) * F.size(union)
-    return both.where(F.when(F.greatest("n_a", "n_b") <= k, exact).otherwise(likely)).select("a", "b")
+    differ = sum(F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(SIGN // 64))
+    least = F.when(F.greatest("n_a", "n_b") <= k, _overlap(F.col("n_a"), F.col("n_b"), percent)).otherwise(F.lit(max(0, -(-k * (percent - 30) // 100))))
+    return both.where(differ <= F.least("n_a", F.lit(k)) + F.least("n_b", F.lit(k)) - 2 * least).select("a", "b")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs whose full sets satisfy 100 * |intersection| >= percent * |union|, as links (hi, lo)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, size=_SLICE):
             keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                a, b = (np.frombuffer(v.as_buffer(), np.int64) for v in (x, y))
+            for a, b in zip(_unpacked(batch.column(2), width), _unpacked(batch.column(3), width), strict=True):
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 keep.append(100 * both >= percent * (len(a) + len(b) - both))
             yield batch.select(["hi", "lo"]).filter(pa.array(keep, pa.bool_()))
@@ -252,7 +292,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, p
     pairs = staged(pairs.distinct(), "pairs")
     near = staged(_estimated(pairs, classes, k, percent), "near")
     sets = full_sets(docs, classes, _ends(near), width)
-    out = staged(_confirmed(near, sets, percent), "links")
+    out = staged(_confirmed(near, sets, width, percent), "links")
     unstage(pairs, near)
     return out
 
@@ -345,11 +385,11 @@ def _alive(members: DataFrame, classes: DataFrame, k: int, percent: int, room: i
     return rows.join(sides, "c").groupBy("part").applyInArrow(run, "p bigint, c bigint, n bigint, label bigint").distinct()
 
 
-def _block_links(members: DataFrame, sets: DataFrame, percent: int, room: int) -> DataFrame:
+def _block_links(members: DataFrame, sets: DataFrame, width: int, percent: int, room: int) -> DataFrame:
     """Links (hi, lo) between members (p, c, n, label) of the same p with different labels: of those between two labels, one of each meeting."""
 
     def run(table: pa.Table) -> pa.Table:
-        own = [np.frombuffer(x.as_buffer(), np.int64) for x in table.column("own").combine_chunks()]
+        own = list(_unpacked(table.column("own"), width))
         ids, label, size = np.array(table.column("c")), np.array(table.column("label")), np.array([len(x) for x in own])
         both = _common(own).astype(float)
         alike = np.triu(_facing(table) & (100 * both >= percent * (size[:, None] + size[None, :] - both)), 1)
@@ -375,10 +415,17 @@ def class_components(docs: DataFrame, width: int, percent: int, k: int, few: int
     index = listed(classes, k, percent)
     # pairs have a member with the list's size, so the pivot is one of these
     rank = F.struct((~F.col("small")).alias("other"), F.xxhash64("c", "v").alias("r"), "c", "n")
-    stats = index.groupBy("v", "m").agg(F.count("*").alias("count"), F.max("small").alias("pairs"), F.min(rank).alias("a"), F.min("c").alias("p")).where("count > 1 and pairs").select("v", "m", "count", F.col("a.c").alias("a"), F.col("a.n").alias("n_a"), "p")
-    stats = staged(stats, "stats")
+
+    def summed(rows: DataFrame) -> DataFrame:
+        out = rows.groupBy("v", "m").agg(F.count("*").alias("count"), F.max("small").alias("pairs"), F.min(rank).alias("a"), F.min("c").alias("p")).where("count > 1 and pairs")
+        return out.select("v", "m", "count", F.col("a.c").alias("a"), F.col("a.n").alias("n_a"), "p")
+
     limit = heavy_limit(index.count())
-    lists = staged(spread_join(index, stats, ["v", "m"], "c", stats.select("v", "m", "count"), limit), "lists")
+    heavy = index.where("heavy").drop("heavy")
+    stats = staged(summed(heavy), "stats")
+    # the others are shuffled once: their lists are short enough for a task, and meet their sums where they lie
+    light = index.where("not heavy").drop("heavy").repartition("v", "m")
+    lists = staged(light.join(summed(light), ["v", "m"]).unionByName(spread_join(heavy, stats, ["v", "m"], "c", stats.select("v", "m", "count"), limit)), "lists")
     unstage(index, stats)
     short = lists.where(F.col("count") <= few)
     x, y = short.select("v", "m", "c", "n", "small").alias("x"), short.select("v", "m", "c", "n", "small").alias("y")
@@ -414,7 +461,7 @@ def class_components(docs: DataFrame, width: int, percent: int, k: int, few: int
     rest = staged(both.where("not large").select("p", "c", "n", "label").distinct().unionAll(again), "rest")
     alive = staged(_alive(rest, classes, k, percent, members), "alive")
     sets = full_sets(docs, classes, alive.select("c").distinct(), width)
-    found.append(staged(_block_links(alive, sets, percent, room), "links"))
+    found.append(staged(_block_links(alive, sets, width, percent, room), "links"))
     final = components(roots.select(F.col("node").alias("hi"), F.col("root").alias("lo")).unionAll(found[-1]))
 
     linked = final.select(F.col("node").alias("c"), "root").unionAll(final.select(F.col("root").alias("c"), "root").distinct())
